@@ -493,7 +493,9 @@ def stock_stream(spark, sf_dir):
     """The change feed read as a stream until it is used up."""
     source = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(source).schema
-    stream = tables.stock_changes_of(spark.readStream.schema(schema).parquet(source))
+    # a stream source lists a folder, whatever the table's file layout is
+    files = spark.readStream.schema(schema)
+    stream = tables.stock_changes_of(files.parquet(f"{sf_dir}/event[s].parquet"))
     root = scratch_path(spark, "stock-stream")
     run = streaming_stock.stock_stream(stream, f"{root}/deltas", f"{root}/checkpoint")
     run.awaitTermination()

@@ -65,5 +65,10 @@ def price_index(year: Column, base_year: Column, rate: float) -> Column:
 
 
 def cost_from_price(price: Column | str, markup: Column | str) -> Column:
-    """Wholesale cost implied by a selling price and a markup, to the centavo."""
-    return F.round(_col(price) / F.coalesce(_col(markup), F.lit(DEFAULT_MARKUP)), 2).cast(PRICE)
+    """Wholesale cost implied by a selling price and a markup, to the centavo.
+
+    The quotient is taken in binary floating point and ties go to the even
+    centavo, which decides quotients that are ties in exact arithmetic.
+    """
+    factor = F.coalesce(_col(markup), F.lit(DEFAULT_MARKUP)).cast("double")
+    return F.bround(_col(price).cast("double") / factor, 2).cast(PRICE)

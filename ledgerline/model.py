@@ -6,8 +6,8 @@ and evaluated by :mod:`ledgerline.operators.quality`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field, fields
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
@@ -161,29 +161,31 @@ TABLES: dict[str, Table] = {
 }
 
 
-@dataclass(frozen=True)
 class Shop:
-    """The ten tables as DataFrames. Key columns may have any type, as long as
-    both sides of a reference agree."""
-
-    categories: DataFrame
-    units: DataFrame
-    suppliers: DataFrame
-    products: DataFrame
-    customers: DataFrame
-    restocks: DataFrame
-    restock_items: DataFrame
-    transactions: DataFrame
-    transaction_items: DataFrame
-    credit_payments: DataFrame
+    """The ten tables by name, as attributes.
 
-    def tables(self) -> Iterator[tuple[str, DataFrame]]:
-        for f in fields(self):
-            yield f.name, getattr(self, f.name)
+    A table is given as a DataFrame or as a function that makes one when the
+    table is first used, so a plan only resolves the tables it needs. Key
+    columns may have any type, as long as both sides of a reference agree.
+    """
 
-    @classmethod
-    def of(cls, frames: dict[str, DataFrame]) -> Shop:
-        return cls(**{f.name: frames[f.name] for f in fields(cls)})
+    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+        missing = TABLES.keys() - frames.keys()
+        if missing:
+            raise ValueError(f"tables not given: {', '.join(sorted(missing))}")
+        self._frames = dict(frames)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise AttributeError(name)
+        frame = self._frames[name]
+        if not isinstance(frame, DataFrame):
+            frame = self._frames[name] = frame()
+        return frame
+
+    def tables(self) -> Iterator[tuple[str, DataFrame]]:
+        for name in TABLES:
+            yield name, getattr(self, name)
 
     def replace(self, **frames: DataFrame) -> Shop:
-        return Shop.of({**dict(self.tables()), **frames})
+        return Shop({**self._frames, **frames})

@@ -49,10 +49,16 @@ def extract_dimension(
     return number_rows(rows, order=list(key), out=id_column, unique_rows=True)
 
 
-def next_ids(existing: DataFrame, incoming: DataFrame, id_column: str, order: Sequence[str]) -> DataFrame:
+def next_ids(
+    existing: DataFrame,
+    incoming: DataFrame,
+    id_column: str,
+    order: Sequence[str],
+    unique_rows: bool = False,
+) -> DataFrame:
     """Give ``incoming`` rows the ids that follow the largest existing one."""
     last = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("last")).scalar()
-    numbered = number_rows(incoming, order, "__n")
+    numbered = number_rows(incoming, order, "__n", unique_rows=unique_rows)
     return numbered.select((last + F.col("__n")).cast("bigint").alias(id_column), *incoming.columns)
 
 
@@ -90,16 +96,15 @@ def resolve_keys(
     ids = dimension.groupBy(F.col(name).alias(text)).agg(F.min(id_column).alias(id_column))
     # distinct texts first: the check never joins the full facts
     texts = facts.filter(F.col(text).isNotNull()).groupBy(text).agg(F.count(F.lit(1)).alias("n_rows"))
-    missing = texts.join(ids, text, "left_anti")
+    missing = materialize(texts.join(ids, text, "left_anti"), "missing")
     columns = [id_column, *[c for c in facts.columns if c != text]]
     named = facts.filter(F.col(text).isNotNull())
     blank = facts.filter(F.col(text).isNull()).withColumn(
         id_column, F.lit(None).cast(dimension.schema[id_column].dataType)
     )
-    if on_missing == "stub":
-        stubs = materialize(
-            next_ids(dimension, missing.select(F.col(text).alias(name)), id_column, [name]), "stubs"
-        )
+    if on_missing == "stub" and not missing.isEmpty():
+        names = missing.select(F.col(text).alias(name))
+        stubs = materialize(next_ids(dimension, names, id_column, [name], unique_rows=True), "stubs")
         dimension = dimension.unionByName(stubs, allowMissingColumns=True)
         ids = ids.unionByName(stubs.select(F.col(name).alias(text), id_column))
     found = named.join(ids, text)

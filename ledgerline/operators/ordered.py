@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.reshape import expand_rows
-from ledgerline.session import materialize
+from ledgerline.session import materialize, materialize_measured
 
 SLICE = "__slice"
 
@@ -23,6 +23,8 @@ SLICE = "__slice"
 HOT_GROUP_ROWS = 1_000_000
 # At most this many groups are treated as hot; smaller ones fit the plain window.
 MAX_HOT_GROUPS = 1_000
+# Row sets up to this size are numbered by a single task.
+SMALL_SORT_ROWS = 200_000
 
 
 def order_columns(order: Sequence[str | Column]) -> list[Column]:
@@ -72,6 +74,8 @@ def hot_values(df: DataFrame, key: str, rows: int | None = None) -> list:
     Collects at most ``MAX_HOT_GROUPS`` values.
     """
     limit = HOT_GROUP_ROWS if rows is None else rows
+    if df.count() <= limit:
+        return []
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     top = counts.filter(F.col("__rows") > limit).orderBy(F.desc("__rows"), key).limit(MAX_HOT_GROUPS)
     return [row[0] for row in top.collect()]
@@ -117,12 +121,16 @@ def number_rows(
     out: str,
     start: int = 1,
     unique_rows: bool = False,
+    small: int | None = None,
 ) -> DataFrame:
     """Number all rows ``start, start + 1, ...`` in ``order``.
 
     The remaining columns extend ``order`` to a total order, so rows that tie
     are copies of each other and the result does not depend on the run. Set
     ``unique_rows`` when ``df`` has no copies; the collapsing step is skipped.
+
+    The rows are stored first. If there are at most ``small`` of them, one task
+    sorts them; otherwise they are sorted in slices.
     """
     named = {o for o in order if isinstance(o, str)}
     cols = order_columns([*order, *[c for c in df.columns if c not in named]])
@@ -130,9 +138,19 @@ def number_rows(
         counted = df.withColumn("__copies", F.lit(1).cast("bigint"))
     else:
         counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    ends = _prefix(counted, [], cols, "__copies", "__end")
-    if unique_rows:
+    stored, size = materialize_measured(
+        counted,
+        "rows",
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.max("__copies"), F.lit(1)).alias("copies"),
+    )
+    if size["n"] <= (SMALL_SORT_ROWS if small is None else small):
+        window = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ends = stored.withColumn("__end", F.sum("__copies").over(window))
+    else:
+        ends = _prefix(stored, [], cols, "__copies", "__end")
+    if size["copies"] == 1:
         return ends.select((F.col("__end") + (start - 1)).alias(out), *df.columns)
-    copies = expand_rows(ends, "__copies", "__copy")
+    copies = expand_rows(ends, "__copies", "__copy", most=size["copies"])
     first = F.col("__end") - F.col("__copies") + start
     return copies.select((first + F.col("__copy")).alias(out), *df.columns)

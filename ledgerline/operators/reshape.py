@@ -45,12 +45,19 @@ def unpivot_groups(
     return df.select(*keys, F.inline(slots)).filter(F.col(required).isNotNull())
 
 
-def expand_rows(df: DataFrame, times: str, position: str) -> DataFrame:
-    """Repeat each row ``times`` times and number the repeats from 0."""
+def expand_rows(df: DataFrame, times: str, position: str, most: int | None = None) -> DataFrame:
+    """Repeat each row ``times`` times and number the repeats from 0.
+
+    Rows with more than ``EXPAND_PIECE`` repeats are cut into pieces that are
+    spread out first. If ``most``, an upper bound of ``times``, is known to be
+    below that, the second branch is left out.
+    """
     last = F.col(times) - 1
     small = df.filter(F.col(times).between(1, EXPAND_PIECE)).withColumn(
         position, F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint")))
     )
+    if most is not None and most <= EXPAND_PIECE:
+        return small
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     piece = F.lit(EXPAND_PIECE).cast("bigint")
     large = (

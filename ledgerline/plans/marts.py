@@ -28,34 +28,34 @@ def on_hand(shop: Shop) -> DataFrame:
         shop.products.select("product_id")
         .join(received, "product_id", "left")
         .join(sold, "product_id", "left")
-        .select(
+        .selectExpr(
             "product_id",
-            or_zero("total_restocked").alias("total_restocked"),
-            or_zero("total_sold").alias("total_sold"),
+            "coalesce(total_restocked, 0) AS total_restocked",
+            "coalesce(total_sold, 0) AS total_sold",
+            "coalesce(total_restocked, 0) - coalesce(total_sold, 0) AS on_hand",
         )
-        .withColumn("on_hand", F.col("total_restocked") - F.col("total_sold"))
     )
 
 
 def product_stock(shop: Shop) -> DataFrame:
     """Derived stock next to the stored count, with the reorder flag."""
-    categories = shop.categories.select("category_id", F.col("name").alias("category"))
-    units = shop.units.select("unit_id", F.col("code").alias("unit"))
+    categories = shop.categories.selectExpr("category_id", "name AS category")
+    units = shop.units.selectExpr("unit_id", "code AS unit")
     return (
         shop.products.join(on_hand(shop), "product_id")
         .join(categories, "category_id")
         .join(units, "unit_id")
-        .select(
+        .selectExpr(
             "product_id",
-            F.col("name").alias("product"),
+            "name AS product",
             "category",
             "unit",
             "reorder_level",
             "total_restocked",
             "total_sold",
             "on_hand",
-            F.col("stock_on_hand").cast("bigint").alias("maintained_on_hand"),
-            (F.col("on_hand") <= F.col("reorder_level")).alias("needs_reorder"),
+            "CAST(stock_on_hand AS BIGINT) AS maintained_on_hand",
+            "on_hand <= reorder_level AS needs_reorder",
         )
     )
 
@@ -77,7 +77,7 @@ def sale_totals(shop: Shop) -> DataFrame:
 def credit_sales(shop: Shop) -> DataFrame:
     """Sales on credit to a known customer."""
     return shop.transactions.filter(
-        (F.col("payment_type") == "credit") & F.col("customer_id").isNotNull()
+        "payment_type = 'credit' AND customer_id IS NOT NULL"
     ).select("transaction_id", "customer_id", "transaction_date")
 
 

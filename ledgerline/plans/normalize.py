@@ -209,9 +209,13 @@ class Deliveries:
 def split_deliveries(
     raw: DataFrame, suppliers: DataFrame, products: DataFrame, on_missing: str = "stub"
 ) -> Deliveries:
-    """Delivery log to delivery headers and lines."""
-    headers = materialize(delivery_headers(raw, ["notes"]), "deliveries")
-    keyed = number_rows(raw, ["delivery_date", "reference_no", "product_name"], "restock_item_id")
+    """Delivery log to delivery headers and lines.
+
+    The log is read once, to number and store its lines; headers come from those.
+    """
+    order = ["delivery_date", "reference_no", "product_name"]
+    keyed = materialize(number_rows(raw, order, "restock_item_id"), "deliveries")
+    headers = materialize(delivery_headers(keyed, ["notes"]), "documents")
     same = [keyed[c].eqNullSafe(headers[c]) for c in DOCUMENT]
     lines = keyed.join(headers, same).select(
         "restock_item_id",
@@ -257,16 +261,18 @@ def normalize(
     sold = split_sales(sales, stock.products, on_missing)
     received = split_deliveries(deliveries, stock.suppliers, sold.products, on_missing)
     shop = Shop(
-        categories=stock.categories,
-        units=stock.units,
-        suppliers=received.suppliers,
-        products=received.products,
-        customers=sold.customers,
-        restocks=received.restocks,
-        restock_items=received.restock_items,
-        transactions=sold.transactions,
-        transaction_items=sold.transaction_items,
-        credit_payments=spark.createDataFrame([], TABLES["credit_payments"].schema),
+        {
+            "categories": stock.categories,
+            "units": stock.units,
+            "suppliers": received.suppliers,
+            "products": received.products,
+            "customers": sold.customers,
+            "restocks": received.restocks,
+            "restock_items": received.restock_items,
+            "transactions": sold.transactions,
+            "transaction_items": sold.transaction_items,
+            "credit_payments": spark.createDataFrame([], TABLES["credit_payments"].schema),
+        }
     )
     return Normalized(
         shop=shop,

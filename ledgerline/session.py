@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -20,6 +20,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # plans are built from many small expressions; their call sites are not needed
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", conf.pop("driver_memory", "8g"))
     )
     for key, value in conf.items():
@@ -58,7 +60,16 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     (slice numbers) or where several branches reuse one expensive result. The
     files survive the loss of executors, so nothing upstream is recomputed.
     """
+    return materialize_measured(df, label)[0]
+
+
+def materialize_measured(df: DataFrame, label: str, *measures: Column) -> tuple[DataFrame, dict]:
+    """:func:`materialize`, plus aggregates taken while the rows are written."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not measures:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), {}
+    observation = Observation()
+    df.observe(observation, *measures).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), observation.get

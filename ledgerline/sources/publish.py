@@ -65,7 +65,7 @@ def read_published(spark: SparkSession, root: str) -> Shop:
     current = current_version(spark, root)
     if current is None:
         raise FileNotFoundError(f"nothing published in {root}")
-    return Shop.of(_read(spark, f"{root}/versions/{current[0]}"))
+    return Shop(_read(spark, f"{root}/versions/{current[0]}"))
 
 
 def _write(df: DataFrame, path: str, cluster_by: str | None) -> None:
@@ -94,7 +94,7 @@ def publish(shop: Shop, root: str) -> str:
         for name in TABLES
         if name != "products"
     }
-    loaded = Shop.of({**staged, "products": shop.products.select(*TABLES["products"].columns)})
+    loaded = Shop({**staged, "products": shop.products.select(*TABLES["products"].columns)})
     _write(recompute_stock(loaded), f"{folder}/products", None)
 
     broken = rule_counts(_read(spark, folder)).filter("n_violations > 0")

@@ -7,34 +7,42 @@ events are credit payments. The group and unit names serve as their own keys.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.functions.money import PRICE, line_cents, money
-from ledgerline.functions.text import barcode
 from ledgerline.model import Shop
 from ledgerline.operators.keys import left_join_named
 from ledgerline.operators.ordered import number_rows
 from ledgerline.session import materialize
 
 
+# Schemas seen so far, so that a table's footers are read once per process.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read_table(spark, sf_dir, "part")
-    return part.select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_type").alias("category_id"),
-        F.col("p_brand").alias("unit_id"),
-        F.col("p_name").alias("name"),
-        # goods sold by weight carry no code
-        F.when(F.col("p_brand") != "Brand#13", barcode(F.col("p_partkey"))).alias("barcode"),
-        F.col("p_retailprice").cast(PRICE).alias("current_price"),
-        F.col("p_size").alias("reorder_level"),
-        (F.col("p_size") - 5).alias("stock_on_hand"),
-        (F.col("p_size") > 1).alias("is_active"),
+    # goods sold by weight (Brand#13) carry no code
+    return read_table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_type AS category_id",
+        "p_brand AS unit_id",
+        "p_name AS name",
+        "CASE WHEN p_brand <> 'Brand#13' THEN format_string('48%011d', p_partkey) END AS barcode",
+        "CAST(p_retailprice AS DECIMAL(10,2)) AS current_price",
+        "p_size AS reorder_level",
+        "p_size - 5 AS stock_on_hand",
+        "p_size > 1 AS is_active",
     )
 
 
@@ -52,70 +60,65 @@ def _dimension(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dimension(spark, sf_dir, "p_type").select(
-        F.col("p_type").alias("category_id"), F.col("p_type").alias("name")
+    return _dimension(spark, sf_dir, "p_type").selectExpr(
+        "p_type AS category_id", "p_type AS name"
     )
 
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dimension(spark, sf_dir, "p_brand").select(
-        F.col("p_brand").alias("unit_id"),
-        F.col("p_brand").alias("code"),
-        F.col("p_brand").alias("name"),
+    return _dimension(spark, sf_dir, "p_brand").selectExpr(
+        "p_brand AS unit_id", "p_brand AS code", "p_brand AS name"
     )
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("supplier_id"),
-        F.col("s_name").alias("name"),
-        F.col("s_nationkey").alias("contact_person"),
+    return read_table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS supplier_id", "s_name AS name", "s_nationkey AS contact_person"
     )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("full_name"),
-        F.col("c_mktsegment").alias("nickname"),
-        F.greatest(F.col("c_acctbal").cast(PRICE), F.lit(0).cast(PRICE)).alias("credit_limit"),
-        (F.col("c_acctbal") >= 0).alias("is_active"),
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS customer_id",
+        "c_name AS full_name",
+        "c_mktsegment AS nickname",
+        "greatest(CAST(c_acctbal AS DECIMAL(10,2)), CAST(0 AS DECIMAL(10,2))) AS credit_limit",
+        "c_acctbal >= 0 AS is_active",
     )
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders")
-    credit = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-    walk_in = ~credit & (F.col("o_orderstatus") == "P")
-    return orders.select(
-        F.col("o_orderkey").alias("transaction_id"),
-        F.when(~walk_in, F.col("o_custkey")).alias("customer_id"),
-        F.col("o_orderdate").alias("transaction_date"),
-        F.when(credit, "credit").otherwise("cash").alias("payment_type"),
+    return read_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS transaction_id",
+        "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_custkey"
+        " WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS customer_id",
+        "o_orderdate AS transaction_date",
+        "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'credit' ELSE 'cash' END"
+        " AS payment_type",
     )
 
 
 def _lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    return read_table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == status)
+    return read_table(spark, sf_dir, "lineitem").filter(f"l_linestatus = '{status}'")
 
 
 def transaction_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir, "O").select(
-        F.col("l_orderkey").alias("transaction_id"),
-        F.col("l_linenumber").alias("line_no"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast(PRICE).alias("unit_price"),
+    return _lines(spark, sf_dir, "O").selectExpr(
+        "l_orderkey AS transaction_id",
+        "l_linenumber AS line_no",
+        "l_partkey AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        "CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price",
     )
 
 
 def restock_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir, "F").select(
-        F.col("l_orderkey").alias("restock_id"),
-        F.col("l_linenumber").alias("line_no"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast(PRICE).alias("unit_cost"),
+    return _lines(spark, sf_dir, "F").selectExpr(
+        "l_orderkey AS restock_id",
+        "l_linenumber AS line_no",
+        "l_partkey AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        "CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_cost",
     )
 
 
@@ -130,12 +133,12 @@ def restocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def credit_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase events, moved back 26 years to fall among the charges."""
-    events = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
-    return events.select(
-        F.col("event_id").alias("payment_id"),
-        F.col("user_id").alias("customer_id"),
-        F.col("value").cast(PRICE).alias("amount"),
-        (F.col("ts") - F.expr("INTERVAL '26' YEAR")).alias("payment_date"),
+    events = read_table(spark, sf_dir, "events").filter("event_type = 'purchase'")
+    return events.selectExpr(
+        "event_id AS payment_id",
+        "user_id AS customer_id",
+        "CAST(value AS DECIMAL(10,2)) AS amount",
+        "ts - INTERVAL '26' YEAR AS payment_date",
     )
 
 
@@ -265,15 +268,16 @@ def sales_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shop(spark: SparkSession, sf_dir: str) -> Shop:
-    return Shop(
-        categories=categories(spark, sf_dir),
-        units=units(spark, sf_dir),
-        suppliers=suppliers(spark, sf_dir),
-        products=products(spark, sf_dir),
-        customers=customers(spark, sf_dir),
-        restocks=restocks(spark, sf_dir),
-        restock_items=restock_items(spark, sf_dir),
-        transactions=transactions(spark, sf_dir),
-        transaction_items=transaction_items(spark, sf_dir),
-        credit_payments=credit_payments(spark, sf_dir),
-    )
+    makers = {
+        "categories": categories,
+        "units": units,
+        "suppliers": suppliers,
+        "products": products,
+        "customers": customers,
+        "restocks": restocks,
+        "restock_items": restock_items,
+        "transactions": transactions,
+        "transaction_items": transaction_items,
+        "credit_payments": credit_payments,
+    }
+    return Shop({name: partial(make, spark, sf_dir) for name, make in makers.items()})
