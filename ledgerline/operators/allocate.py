@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.ordered import hot_values, number_rows, running_total
+from ledgerline.operators.ordered import hot_values, number_rows, running_total, running_totals
 from ledgerline.session import materialize
 
 WIDE = "decimal(38,0)"
@@ -51,16 +51,22 @@ def proportional_allocation(
 
 
 def capped_payments(
-    payments: DataFrame, charged: DataFrame, key: str, order: list[str], amount: str, out: str
+    payments: DataFrame,
+    charged: DataFrame,
+    key: str,
+    order: list[str],
+    amount: str,
+    out: str,
+    hot: list | None = None,
 ) -> DataFrame:
     """The part of each payment that total charges allow, in payment order.
 
     ``charged`` has one row per key with column ``charged``. Amounts are integer
-    centavos; negative payments are not expected.
+    centavos; negative payments are not expected. ``hot`` names the keys with
+    too many payments for one task.
     """
-    running = running_total(
-        payments, key, order, amount, "__paid_to", hot=hot_values(payments.select(key), key)
-    )
+    hot = hot_values(payments.select(key), key) if hot is None else hot
+    running = running_total(payments, key, order, amount, "__paid_to", hot)
     before = F.col("__paid_to") - F.col(amount)
     left = F.coalesce(F.col("charged"), F.lit(0)) - before
     allowed = F.greatest(F.lit(0).cast("bigint"), F.least(F.col(amount), left))
@@ -77,6 +83,7 @@ def fifo_allocation(
     payment_id: str,
     charge_order: list[str],
     payment_order: list[str],
+    hot: list | None = None,
 ) -> DataFrame:
     """Apply payments to the oldest charges first; amounts in column ``amount``.
 
@@ -85,23 +92,17 @@ def fifo_allocation(
     charges and payments end before each one names the charge and the payment
     that meet in the interval ending there. Both are then fetched by position
     with an equality join, so the work is linear in the entries of a key; there
-    is no join on overlapping ranges.
+    is no join on overlapping ranges. ``hot`` names the keys with too many
+    entries for one task.
     """
-    hot = sorted(
-        {
-            *hot_values(charges.select(key), key),
-            *hot_values(payments.select(key), key),
-        }
-    )
+    if hot is None:
+        hot = hot_values(charges.select(key).unionByName(payments.select(key)), key)
 
     def intervals(df: DataFrame, order: list[str], kind: str, id_column: str) -> DataFrame:
-        one = df.select(
-            key, *order, "amount", F.lit(1).cast("bigint").alias("__one"),
-            *([id_column] if id_column not in order else []),
-        )
-        ends = running_total(one, key, order, "amount", "__hi", hot)
-        numbered = running_total(ends, key, order, "__one", "__pos", hot)
-        return numbered.select(
+        used = dict.fromkeys([key, *order, id_column])
+        one = df.select(*used, "amount", F.lit(1).cast("bigint").alias("__one"))
+        ends = running_totals(one, key, order, {"__hi": "amount", "__pos": "__one"}, hot)
+        return ends.select(
             key,
             F.lit(kind).alias("__kind"),
             F.col(id_column).alias("__id"),
@@ -114,16 +115,18 @@ def fifo_allocation(
         intervals(payments, payment_order, "p", payment_id)
     )
     sides = materialize(sides, "intervals")
-    is_charge = F.when(F.col("__kind") == "c", 1).otherwise(0).cast("bigint")
-    ends = sides.select(key, "__hi", "__kind", "__pos", is_charge.alias("__c"))
-    order = ["__hi", "__kind", "__pos"]
-    counted = running_total(ends, key, order, "__c", "__charges_to", hot)
-    counted = counted.withColumn("__p", 1 - F.col("__c"))
-    counted = running_total(counted, key, order, "__p", "__payments_to", hot)
-    meets = counted.select(
-        key,
-        (F.col("__charges_to") - F.col("__c") + 1).alias("__charge_pos"),
-        (F.col("__payments_to") - F.col("__p") + 1).alias("__payment_pos"),
+    ends = sides.selectExpr(
+        f"`{key}`", "__hi", "__kind", "__pos",
+        "CAST(__kind = 'c' AS BIGINT) AS __c", "CAST(__kind = 'p' AS BIGINT) AS __p",
+    )
+    counted = running_totals(
+        ends, key, ["__hi", "__kind", "__pos"], {"__charges_to": "__c", "__payments_to": "__p"}, hot
+    )
+    # this row's own side counts the row itself, the other side the next one to end
+    meets = counted.selectExpr(
+        f"`{key}`",
+        "__charges_to - __c + 1 AS __charge_pos",
+        "__payments_to - __p + 1 AS __payment_pos",
     )
     c = sides.filter("__kind = 'c'").select(
         key,

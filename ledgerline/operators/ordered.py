@@ -40,10 +40,12 @@ def sorted_slices(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     return materialize(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
-def _prefix(df: DataFrame, key: list[str], order: list[Column], value: str, out: str) -> DataFrame:
-    """Inclusive running sum of ``value`` per ``key``, computed slice by slice."""
+def _prefix(df: DataFrame, key: list[str], order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """Inclusive running sums per ``key``, computed slice by slice."""
     slices = sorted_slices(df, [*key, *order])
-    totals = slices.groupBy(SLICE, *key).agg(F.sum(value).alias("__total"))
+    totals = slices.groupBy(SLICE, *key).agg(
+        *[F.sum(value).alias(f"__total_{out}") for out, value in sums.items()]
+    )
     # one row per slice and key: at most as many rows per key as there are slices
     earlier = (
         Window.partitionBy(*key) if key else Window.partitionBy(F.lit(0))
@@ -52,19 +54,22 @@ def _prefix(df: DataFrame, key: list[str], order: list[Column], value: str, out:
     offsets = totals.select(
         F.col(SLICE).alias("__offset_slice"),
         *[F.col(k).alias(o) for k, o in offset_keys.items()],
-        F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__offset"),
+        *[
+            F.coalesce(F.sum(f"__total_{out}").over(earlier), F.lit(0)).alias(f"__before_{out}")
+            for out in sums
+        ],
     )
     within = (
         Window.partitionBy(SLICE, *key)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = slices.withColumn(out, F.sum(value).over(within))
+    local = slices.select("*", *[F.sum(value).over(within).alias(out) for out, value in sums.items()])
     match = F.col(SLICE) == F.col("__offset_slice")
     for k, o in offset_keys.items():
         match = match & F.col(k).eqNullSafe(F.col(o))
     return local.join(offsets, match).select(
-        *df.columns, (F.col(out) + F.col("__offset")).alias(out)
+        *df.columns, *[(F.col(out) + F.col(f"__before_{out}")).alias(out) for out in sums]
     )
 
 
@@ -87,20 +92,20 @@ def is_hot(key: str, hot: list) -> Column:
     return test | F.col(key).isNull() if None in hot else test
 
 
-def running_total(
+def running_totals(
     df: DataFrame,
     key: str,
     order: Sequence[str | Column],
-    value: str,
-    out: str,
+    sums: dict[str, str],
     hot: list | None = None,
 ) -> DataFrame:
-    """Running sum of ``value`` per ``key`` in ``order``, this row included.
+    """Running sums per ``key`` in ``order``, each row included in its own sum.
 
-    ``order`` should identify a row within its key. ``hot`` lists the values of
-    ``key`` that are too large for one task (see :func:`hot_values`); they are
-    summed in slices, all others with a plain window, on which Catalyst can
-    still push a filter on ``key`` down to the scan.
+    ``sums`` maps output names to columns; ``order`` should identify a row
+    within its key. ``hot`` lists the values of ``key`` that are too large for
+    one task (see :func:`hot_values`); they are summed in slices, all others
+    with a plain window, on which Catalyst can still push a filter on ``key``
+    down to the scan.
     """
     cols = order_columns(order)
     window = (
@@ -108,11 +113,28 @@ def running_total(
         .orderBy(*cols)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    added = [F.sum(value).over(window).alias(out) for out, value in sums.items()]
     if not hot:
-        return df.withColumn(out, F.sum(value).over(window))
-    plain = df.filter(~is_hot(key, hot)).withColumn(out, F.sum(value).over(window))
-    sliced = _prefix(df.filter(is_hot(key, hot)), [key], cols, value, out)
-    return plain.unionByName(sliced.withColumn(out, F.col(out).cast(plain.schema[out].dataType)))
+        return df.select("*", *added)
+    # both branches read the stored rows, so their input is computed once
+    stored = materialize(df, "running")
+    plain = stored.filter(~is_hot(key, hot)).select("*", *added)
+    sliced = _prefix(stored.filter(is_hot(key, hot)), [key], cols, sums)
+    for out in sums:
+        sliced = sliced.withColumn(out, F.col(out).cast(plain.schema[out].dataType))
+    return plain.unionByName(sliced)
+
+
+def running_total(
+    df: DataFrame,
+    key: str,
+    order: Sequence[str | Column],
+    value: str,
+    out: str,
+    hot: list | None = None,
+) -> DataFrame:
+    """:func:`running_totals` of a single column."""
+    return running_totals(df, key, order, {out: value}, hot)
 
 
 def number_rows(
@@ -148,7 +170,7 @@ def number_rows(
         window = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ends = stored.withColumn("__end", F.sum("__copies").over(window))
     else:
-        ends = _prefix(stored, [], cols, "__copies", "__end")
+        ends = _prefix(stored, [], cols, {"__end": "__copies"})
     if size["copies"] == 1:
         return ends.select((F.col("__end") + (start - 1)).alias(out), *df.columns)
     copies = expand_rows(ends, "__copies", "__copy", most=size["copies"])

@@ -21,7 +21,7 @@ from ledgerline.functions.text import tagged
 from ledgerline.model import Shop
 from ledgerline.operators.allocate import capped_payments, fifo_allocation
 from ledgerline.operators.ordered import number_rows
-from ledgerline.plans.marts import balance_cents, charges, on_hand
+from ledgerline.plans.marts import balance_cents, charges, hot_customers, on_hand
 from ledgerline.plans.reports import day_product_sales, units_per_product
 from ledgerline.session import materialize
 
@@ -95,7 +95,8 @@ def payment_cap(shop: Shop) -> DataFrame:
     )
     charged = charges(shop).groupBy("customer_id").agg(F.sum("sale_cents").alias("charged"))
     capped = capped_payments(
-        paid, charged, "customer_id", ["payment_date", "payment_id"], "amount_cents", "allowed_cents"
+        paid, charged, "customer_id", ["payment_date", "payment_id"], "amount_cents",
+        "allowed_cents",
     )
     return capped.select(
         "payment_id", "customer_id",
@@ -299,6 +300,7 @@ def settled_charges(shop: Shop) -> DataFrame:
     return fifo_allocation(
         due, paid, "customer_id", "transaction_id", "payment_id",
         ["transaction_date", "transaction_id"], ["payment_date", "payment_id"],
+        hot=hot_customers(shop),
     )
 
 
