@@ -649,6 +649,12 @@ def credit_features(spark, sf_dir):
     return analytics.credit_features(tables.shop(spark, sf_dir))
 
 
+@query
+def basket_pairs(spark, sf_dir):
+    """Product names sold together in at least 0.2 percent of the sales."""
+    return analytics.frequent_pairs(tables.shop(spark, sf_dir), "name", 0.002)
+
+
 @query
 def rfm_segments(spark, sf_dir):
     return analytics.rfm_segments(tables.shop(spark, sf_dir))

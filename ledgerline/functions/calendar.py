@@ -14,12 +14,13 @@ PAYDAYS = [15, 16, 30, 31, 1]
 
 
 def day_spine(dates: DataFrame, column: str) -> DataFrame:
-    """Every day from the first to the last date of ``column``."""
+    """Every day from the first to the last date of ``column``, and the first year."""
     bounds = dates.agg(
         F.min(F.to_date(column)).alias("first"), F.max(F.to_date(column)).alias("last")
     )
     return bounds.filter(F.col("first").isNotNull()).select(
-        F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))).alias("day")
+        F.year("first").alias("first_year"),
+        F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))).alias("day"),
     )
 
 

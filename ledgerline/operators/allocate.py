@@ -22,10 +22,13 @@ def proportional_allocation(
     ``total`` exactly; a minimum that does not fit raises an error. ``key``
     identifies a row; weights must not be negative.
     """
-    sums = df.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(weight), F.lit(0)).cast(WIDE).alias("w")
-    )
-    n, weights = sums.select("n").scalar(), sums.select("w").scalar()
+    stored = materialize(df, "weights")
+    sums = stored.agg(
+        F.struct(
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(weight), F.lit(0)).cast(WIDE).alias("w")
+        )
+    ).scalar()
+    n, weights = sums["n"], sums["w"]
     rest = F.lit(total).cast("bigint") - n * min_each
     rest = F.when(
         rest < 0, F.raise_error(F.lit("the minimum for each row exceeds the total"))
@@ -33,14 +36,13 @@ def proportional_allocation(
     divisor = F.when(weights > 0, weights).otherwise(n.cast(WIDE))
     own = F.when(weights > 0, F.col(weight).cast(WIDE)).otherwise(F.lit(1).cast(WIDE))
     shares = (
-        df.withColumn("__rest", rest)
+        stored.withColumn("__rest", rest)
         .withColumn("__scaled", own * F.col("__rest"))
         .withColumn("__divisor", divisor)
         .withColumn("__floor", F.expr("__scaled div __divisor"))
         .withColumn("__remainder", (F.col("__scaled") % F.col("__divisor")).cast(WIDE))
         .select(*df.columns, "__rest", "__floor", "__remainder")
     )
-    shares = materialize(shares, "shares")
     short = shares.agg(F.max("__rest") - F.sum("__floor")).scalar()
     order = [F.desc("__remainder"), F.asc(key)]
     ranked = number_rows(shares, order, "__rank", unique_rows=True)

@@ -165,6 +165,9 @@ VIEWS: dict[str, str] = {
         SELECT d.customer_id, d.transaction_id, s.payment_id,
                LEAST(d.hi, s.hi) - GREATEST(d.lo, s.lo) AS allocated
         FROM due d JOIN settling s ON s.customer_id = d.customer_id AND s.lo < d.hi AND d.lo < s.hi""",
+    "bought": """
+        SELECT DISTINCT i.transaction_id, p.name
+        FROM shop_txn_item i JOIN shop_product p ON p.product_id = i.product_id""",
     "day_weight": """
         SELECT day, isodow(day) - 1 AS day_of_week, isodow(day) - 1 >= 4 AS is_weekend,
                month(day) = 12 AS is_december, day(day) IN (15, 16, 30, 31, 1) AS is_payday,
@@ -589,6 +592,15 @@ ORACLE: dict[str, str] = {
                      SUM(s.total) AS spent
               FROM shop_txn t JOIN sale_total s ON s.transaction_id = t.transaction_id
               WHERE t.customer_id IS NOT NULL GROUP BY 1) z""",
+    "basket_pairs": """
+        SELECT a.name AS item_a, b.name AS item_b, COUNT(*) AS n_both,
+               round(COUNT(*)::DOUBLE / MAX(na.n), 6) AS confidence,
+               round(COUNT(*) * MAX(t.n)::DOUBLE / (MAX(na.n) * MAX(nb.n)), 6) AS lift
+        FROM bought a JOIN bought b ON a.transaction_id = b.transaction_id AND a.name < b.name
+        JOIN (SELECT name, COUNT(*) AS n FROM bought GROUP BY 1) na ON na.name = a.name
+        JOIN (SELECT name, COUNT(*) AS n FROM bought GROUP BY 1) nb ON nb.name = b.name,
+        (SELECT COUNT(DISTINCT transaction_id) AS n FROM bought) t
+        GROUP BY 1, 2 HAVING COUNT(*) >= ceil(0.002 * MAX(t.n))""",
     "price_history": "SELECT * FROM history",
     "price_as_of": """
         SELECT w.product_id, w.day, h.price

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,19 +30,21 @@ from ledgerline.session import materialize
 
 
 def calendar_features(dates: DataFrame, column: str) -> DataFrame:
-    """Demand features for every day in the range of ``column``; weights add to 1."""
-    days = calendar.day_spine(dates, column)
-    first_year = days.agg(F.min(F.year("day"))).scalar()
+    """Demand features for every day in the range of ``column``; shares add to 1.
+
+    The table is read once for its first and last date. The window over all
+    days holds one row per calendar day.
+    """
     day = F.col("day")
-    weighted = days.withColumn("weight", calendar.demand_weight(day, first_year))
-    total = weighted.agg(F.sum("weight")).scalar()
+    days = calendar.day_spine(dates, column)
+    weighted = days.withColumn("weight", calendar.demand_weight(day, F.col("first_year")))
     return weighted.select(
         "day",
         F.weekday("day").alias("day_of_week"),
         calendar.is_weekend(day).alias("is_weekend"),
         calendar.is_december(day).alias("is_december"),
         calendar.is_payday(day).alias("is_payday"),
-        (F.col("weight") / total).alias("share"),
+        (F.col("weight") / F.sum("weight").over(Window.partitionBy())).alias("share"),
     )
 
 
@@ -138,7 +143,7 @@ def weekly_demand(shop: Shop) -> DataFrame:
 
 def reorder_suggestion(shop: Shop, weeks_of_cover: int) -> DataFrame:
     """Units to order so that stock covers the reorder level and recent demand."""
-    daily = day_product_sales(shop)
+    daily = materialize(day_product_sales(shop).select("day", "product_id", "units"), "daily")
     last = daily.agg(F.max("day")).scalar()
     recent = (
         daily.filter(F.col("day") > F.date_sub(last, 28))
@@ -329,6 +334,51 @@ def invoice_aging(shop: Shop) -> DataFrame:
     )
 
 
+def frequent_pairs(shop: Shop, item: str, min_support: float) -> DataFrame:
+    """Pairs of items bought together in at least ``min_support`` of all sales.
+
+    FP-growth finds the pairs without listing every pair of a basket. Items
+    below the threshold cannot be part of a frequent pair and are removed
+    first; at most (mean basket size / ``min_support``) items remain, which
+    bounds every basket, however many lines it has.
+    """
+    names = shop.products.select("product_id", F.col(item).alias("item"))
+    lines = shop.transaction_items.select("transaction_id", "product_id").distinct()
+    bought = materialize(
+        lines.join(names, "product_id").select("transaction_id", "item").distinct(), "bought"
+    )
+    baskets = bought.select("transaction_id").distinct().count()
+    least = max(1, math.ceil(min_support * baskets))
+    singles = bought.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    kept = (
+        bought.join(singles.select("item"), "item")
+        .groupBy("transaction_id")
+        .agg(F.collect_list("item").alias("items"))
+    )
+    kept = materialize(kept, "baskets")
+    remaining = kept.count()
+    schema = "item_a string, item_b string, n_both bigint, confidence double, lift double"
+    if remaining == 0:
+        return shop.products.sparkSession.createDataFrame([], schema)
+    # the learner takes a share of the baskets it sees and rounds the count up
+    learner = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / remaining)
+    pairs = learner.fit(kept).freqItemsets.filter(F.size("items") == 2)
+    sorted_pair = F.array_sort("items")
+    counted = pairs.select(
+        sorted_pair[0].alias("item_a"), sorted_pair[1].alias("item_b"), F.col("freq").alias("n_both")
+    )
+    a = singles.select(F.col("item").alias("item_a"), F.col("n").alias("n_a"))
+    b = singles.select(F.col("item").alias("item_b"), F.col("n").alias("n_b"))
+    lift = F.col("n_both") * F.lit(float(baskets)) / (F.col("n_a") * F.col("n_b"))
+    return counted.join(a, "item_a").join(b, "item_b").select(
+        "item_a",
+        "item_b",
+        "n_both",
+        F.round(F.col("n_both") / F.col("n_a"), 6).alias("confidence"),
+        F.round(lift, 6).alias("lift"),
+    )
+
+
 def stale_balances(shop: Shop, stored: DataFrame) -> DataFrame:
     """Customers whose stored balance is not what the ledger gives."""
     derived = balance_cents(shop).select("customer_id", money("owed").alias("balance"))

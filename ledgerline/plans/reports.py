@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import TOTAL, cents, line_cents, money, or_zero
@@ -314,7 +314,7 @@ def credit_first_date(shop: Shop) -> DataFrame:
 def hour_share(moments: DataFrame, column: str) -> DataFrame:
     """Share of rows per hour of the day. The window sees at most 24 rows."""
     hours = moments.groupBy(F.hour(column).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-    total = hours.agg(F.sum("n")).scalar()
+    total = F.sum("n").over(Window.partitionBy())
     return hours.select("hour", "n", F.round(F.col("n") / total, 6).alias("share"))
 
 

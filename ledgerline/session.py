@@ -49,8 +49,29 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# Folders this process has handed out, for drop_scratch.
+_HANDED_OUT: list[str] = []
+# Small tables stored once and used by many plans; they go with the scratch folders.
+SHARED: dict[tuple, DataFrame] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _HANDED_OUT.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this process.
+
+    Call it when no DataFrame built so far is needed any more.
+    """
+    SHARED.clear()
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _HANDED_OUT:
+        path = hadoop.Path(_HANDED_OUT.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:

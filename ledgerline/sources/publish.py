@@ -20,12 +20,13 @@ from ledgerline.plans.marts import recompute_stock
 
 MANIFEST_SCHEMA = "version STRING, sequence BIGINT, published_at TIMESTAMP"
 
-# The column each fact table is sorted by inside its files, for min/max pruning.
+# The column each fact table is sorted by, for min/max pruning of files and row
+# groups. The key follows, so that a frequent value spreads over many files.
 CLUSTER_BY = {
-    "restock_items": "product_id",
-    "transactions": "transaction_date",
-    "transaction_items": "transaction_id",
-    "credit_payments": "customer_id",
+    "restock_items": ["product_id", "restock_item_id"],
+    "transactions": ["transaction_date", "transaction_id"],
+    "transaction_items": ["transaction_id", "transaction_item_id"],
+    "credit_payments": ["customer_id", "payment_id"],
 }
 
 
@@ -68,9 +69,9 @@ def read_published(spark: SparkSession, root: str) -> Shop:
     return Shop(_read(spark, f"{root}/versions/{current[0]}"))
 
 
-def _write(df: DataFrame, path: str, cluster_by: str | None) -> None:
+def _write(df: DataFrame, path: str, cluster_by: list[str] | None) -> None:
     if cluster_by is not None:
-        df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     df.write.parquet(path)
 
 

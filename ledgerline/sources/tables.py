@@ -17,7 +17,7 @@ from ledgerline.functions.money import PRICE, line_cents, money
 from ledgerline.model import Shop
 from ledgerline.operators.keys import left_join_named
 from ledgerline.operators.ordered import number_rows
-from ledgerline.session import materialize
+from ledgerline.session import SHARED, materialize
 
 
 # Schemas seen so far, so that a table's footers are read once per process.
@@ -46,17 +46,16 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Group and unit lists, written once per session and input folder. As stored
-# tables they have a known size, by which Spark decides whether to broadcast.
-_DIMENSIONS: dict[tuple[str, str, str], DataFrame] = {}
-
-
 def _dimension(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    """The distinct values of a part column, written once per session and folder.
+
+    A stored table has a known size, by which Spark decides whether to broadcast.
+    """
     slot = (spark.sparkContext.applicationId, sf_dir, column)
-    if slot not in _DIMENSIONS:
+    if slot not in SHARED:
         names = read_table(spark, sf_dir, "part").select(column).distinct()
-        _DIMENSIONS[slot] = materialize(names, column)
-    return _DIMENSIONS[slot]
+        SHARED[slot] = materialize(names, column)
+    return SHARED[slot]
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,3 +93,37 @@ def test_plain_ledger_window_lets_a_key_filter_through(spark, tmp_path, entries)
     total = ordered.running_total(stored, "k", ["day", "ref"], "v", "t").filter("k = 2")
     plan = total._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(k,2)" in plan
+
+
+def test_hot_join_key_is_split_by_adaptive_execution(spark):
+    """A customer with a third of the sales does not end up in one join task."""
+    from ledgerline.operators.keys import left_join_named
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sales = spark.range(0, 60000, 1, 6).select(
+            F.col("id").alias("sale"),
+            F.when(F.col("id") % 3 == 0, 1)
+            .when(F.col("id") % 3 == 1, F.col("id") % 997)
+            .cast("long")
+            .alias("customer_id"),
+        )
+        people = spark.range(997).select(
+            F.col("id").alias("customer_id"), F.concat(F.lit("c"), "id").alias("name")
+        )
+        joined = left_join_named(sales, people, "customer_id")
+        assert joined.count() == 60000
+        named = sales.filter("customer_id IS NOT NULL").join(people, "customer_id", "left")
+        named.collect()
+        assert "skewed" in named._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
