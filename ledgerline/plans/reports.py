@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import TOTAL, cents, line_cents, money, or_zero
 from ledgerline.model import Shop
 from ledgerline.operators.keys import left_join_named
+from ledgerline.operators.quality import union_all
 from ledgerline.plans.marts import (
     balance_cents,
     customer_balances,
@@ -130,7 +129,7 @@ def table_counts(frames: dict[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         for name, df in frames.items()
     ]
-    per_table = reduce(DataFrame.unionByName, counts)
+    per_table = union_all(counts)
     total = F.grouping("table_name") == 1
     return per_table.rollup("table_name").agg(F.sum("n_rows").alias("n_rows"), total.alias("__t")).select(
         F.when(F.col("__t"), "TOTAL").otherwise(F.col("table_name")).alias("table_name"), "n_rows"
@@ -175,7 +174,7 @@ def integrity_report(shop: Shop) -> DataFrame:
     units = category_sales(shop).select(
         F.concat(F.lit("units:"), F.col("category")).alias("metric"), F.col("units").cast(TOTAL).alias("value")
     )
-    return reduce(DataFrame.unionByName, [*sizes, *unpivoted, units])
+    return union_all([*sizes, *unpivoted, units])
 
 
 def line_amounts(shop: Shop) -> DataFrame:

@@ -9,6 +9,8 @@ whole new one, and a failed load leaves nothing behind that they could read.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from ledgerline.model import TABLES, Shop
 from ledgerline.operators.quality import rule_counts
 from ledgerline.plans.marts import recompute_stock
+from ledgerline.sources.csv import read_tables
 
 MANIFEST_SCHEMA = "version STRING, sequence BIGINT, published_at TIMESTAMP"
 
@@ -54,10 +57,9 @@ def current_version(spark: SparkSession, root: str) -> tuple[str, int] | None:
     return row["last"]["version"], row["last"]["sequence"]
 
 
-def _read(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _read(spark: SparkSession, folder: str, names: Iterable[str] = TABLES) -> dict[str, DataFrame]:
     return {
-        name: spark.read.schema(table.schema).parquet(f"{folder}/{name}")
-        for name, table in TABLES.items()
+        name: spark.read.schema(TABLES[name].schema).parquet(f"{folder}/{name}") for name in names
     }
 
 
@@ -86,16 +88,18 @@ def publish(shop: Shop, root: str) -> str:
     previous = current_version(spark, root)
     version = uuid.uuid4().hex
     folder = f"{root}/versions/{version}"
-    for name, df in shop.tables():
-        columns = TABLES[name].columns
-        if name != "products":
-            _write(df.select(*columns), f"{folder}/{name}", CLUSTER_BY.get(name))
-    staged = {
-        name: spark.read.schema(TABLES[name].schema).parquet(f"{folder}/{name}")
-        for name in TABLES
-        if name != "products"
-    }
-    loaded = Shop({**staged, "products": shop.products.select(*TABLES["products"].columns)})
+    others = [(name, df) for name, df in shop.tables() if name != "products"]
+
+    def stage(table: tuple[str, DataFrame]) -> None:
+        name, df = table
+        _write(df.select(*TABLES[name].columns), f"{folder}/{name}", CLUSTER_BY.get(name))
+
+    # the tables do not depend on each other; small ones need not wait for large ones
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(stage, others))
+    products = shop.products.select(*TABLES["products"].columns)
+    staged = _read(spark, folder, [name for name, _ in others])
+    loaded = Shop({**staged, "products": products})
     _write(recompute_stock(loaded), f"{folder}/products", None)
 
     broken = rule_counts(_read(spark, folder)).filter("n_violations > 0")
@@ -111,3 +115,9 @@ def publish(shop: Shop, root: str) -> str:
     )
     entry.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
     return version
+
+
+def load_csv(spark: SparkSession, csv_root: str, root: str) -> Shop:
+    """Load a folder of CSV tables as a new version and return what was published."""
+    publish(Shop(read_tables(spark, csv_root)), root)
+    return read_published(spark, root)

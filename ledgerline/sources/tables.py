@@ -280,3 +280,36 @@ def shop(spark: SparkSession, sf_dir: str) -> Shop:
         "credit_payments": credit_payments,
     }
     return Shop({name: partial(make, spark, sf_dir) for name, make in makers.items()})
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The supplied tables as the ten load files of the shop model.
+
+    Numbers stand in for the group and unit names, lines get ids, and columns
+    with defaults are left to the loader. Purchases of nothing are no payments.
+    """
+    groups = number_rows(categories(spark, sf_dir).select("name"), ["name"], "category_id")
+    measures = number_rows(units(spark, sf_dir).select("code", "name"), ["code"], "unit_id")
+    goods = (
+        products(spark, sf_dir)
+        .drop("stock_on_hand")
+        .withColumnRenamed("category_id", "category")
+        .withColumnRenamed("unit_id", "unit")
+        .join(groups.withColumnRenamed("name", "category"), "category")
+        .join(measures.selectExpr("unit_id", "code AS unit"), "unit")
+        .drop("category", "unit")
+    )
+    received = restock_items(spark, sf_dir).drop("line_no")
+    sold = transaction_items(spark, sf_dir).drop("line_no")
+    return {
+        "categories": groups,
+        "units": measures,
+        "suppliers": suppliers(spark, sf_dir),
+        "products": goods,
+        "customers": customers(spark, sf_dir),
+        "restocks": restocks(spark, sf_dir),
+        "restock_items": number_rows(received, received.columns, "restock_item_id"),
+        "transactions": transactions(spark, sf_dir),
+        "transaction_items": number_rows(sold, sold.columns, "transaction_item_id"),
+        "credit_payments": credit_payments(spark, sf_dir).filter("amount > 0"),
+    }
