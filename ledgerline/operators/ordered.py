@@ -18,31 +18,42 @@ from ledgerline.operators.reshape import expand_rows
 from ledgerline.session import materialize, materialize_measured
 
 SLICE = "__slice"
+POSITION = "__position"
+# monotonically_increasing_id counts rows in its lower 33 bits
+POSITION_MASK = (1 << 33) - 1
 
 # Groups above this many rows leave the plain window and are sorted in slices.
 HOT_GROUP_ROWS = 1_000_000
 # At most this many groups are treated as hot; smaller ones fit the plain window.
 MAX_HOT_GROUPS = 1_000
-# Row sets up to this size are numbered by a single task.
-SMALL_SORT_ROWS = 200_000
 
 
 def order_columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
 
 
-def sorted_slices(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
-    """Range-partition ``df`` by ``order`` and store each row's slice number.
+def sorted_slices(
+    df: DataFrame, order: Sequence[str | Column], *measures: Column
+) -> tuple[DataFrame, dict]:
+    """Sort ``df`` into slices and store it with slice numbers and positions.
 
-    The partition id is only stable once written, hence the materialized table.
+    Rows are range-partitioned by ``order``; slice 0 holds the first rows, and
+    ``POSITION`` numbers the rows of a slice from 0. Both depend on the task
+    that computes them, so they count only once written. Small inputs end up in
+    one slice. ``measures`` are aggregates taken while writing.
     """
-    ranged = df.repartitionByRange(*order_columns(order))
-    return materialize(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
+    cols = order_columns(order)
+    placed = (
+        df.repartitionByRange(*cols)
+        .sortWithinPartitions(*cols)
+        .withColumn(SLICE, F.spark_partition_id())
+        .withColumn(POSITION, F.monotonically_increasing_id().bitwiseAND(POSITION_MASK))
+    )
+    return materialize_measured(placed, "slices", *measures)
 
 
-def _prefix(df: DataFrame, key: list[str], order: list[Column], sums: dict[str, str]) -> DataFrame:
-    """Inclusive running sums per ``key``, computed slice by slice."""
-    slices = sorted_slices(df, [*key, *order])
+def _prefix(slices: DataFrame, key: list[str], sums: dict[str, str]) -> DataFrame:
+    """Inclusive running sums per ``key`` over sorted slices."""
     totals = slices.groupBy(SLICE, *key).agg(
         *[F.sum(value).alias(f"__total_{out}") for out, value in sums.items()]
     )
@@ -61,15 +72,16 @@ def _prefix(df: DataFrame, key: list[str], order: list[Column], sums: dict[str,
     )
     within = (
         Window.partitionBy(SLICE, *key)
-        .orderBy(*order)
+        .orderBy(POSITION)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = slices.select("*", *[F.sum(value).over(within).alias(out) for out, value in sums.items()])
     match = F.col(SLICE) == F.col("__offset_slice")
     for k, o in offset_keys.items():
         match = match & F.col(k).eqNullSafe(F.col(o))
+    columns = [c for c in slices.columns if c not in (SLICE, POSITION)]
     return local.join(offsets, match).select(
-        *df.columns, *[(F.col(out) + F.col(f"__before_{out}")).alias(out) for out in sums]
+        *columns, *[(F.col(out) + F.col(f"__before_{out}")).alias(out) for out in sums]
     )
 
 
@@ -119,7 +131,8 @@ def running_totals(
     # both branches read the stored rows, so their input is computed once
     stored = materialize(df, "running")
     plain = stored.filter(~is_hot(key, hot)).select("*", *added)
-    sliced = _prefix(stored.filter(is_hot(key, hot)), [key], cols, sums)
+    slices, _ = sorted_slices(stored.filter(is_hot(key, hot)), [key, *cols])
+    sliced = _prefix(slices, [key], sums)
     for out in sums:
         sliced = sliced.withColumn(out, F.col(out).cast(plain.schema[out].dataType))
     return plain.unionByName(sliced)
@@ -143,7 +156,6 @@ def number_rows(
     out: str,
     start: int = 1,
     unique_rows: bool = False,
-    small: int | None = None,
 ) -> DataFrame:
     """Number all rows ``start, start + 1, ...`` in ``order``.
 
@@ -151,28 +163,37 @@ def number_rows(
     are copies of each other and the result does not depend on the run. Set
     ``unique_rows`` when ``df`` has no copies; the collapsing step is skipped.
 
-    The rows are stored first. If there are at most ``small`` of them, one task
-    sorts them; otherwise they are sorted in slices.
+    The rows are sorted and stored. Without copies a row's number is its
+    position plus the size of the slices before it, so no window is needed;
+    with copies the numbered rows are stored as well. Either way the result can
+    be read many times at the cost of a scan.
     """
     named = {o for o in order if isinstance(o, str)}
-    cols = order_columns([*order, *[c for c in df.columns if c not in named]])
+    total_order = [*order, *[c for c in df.columns if c not in named]]
     if unique_rows:
         counted = df.withColumn("__copies", F.lit(1).cast("bigint"))
     else:
         counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    stored, size = materialize_measured(
+    slices, found = sorted_slices(
         counted,
-        "rows",
-        F.count(F.lit(1)).alias("n"),
+        total_order,
+        F.coalesce(F.max(SLICE), F.lit(0)).alias("last_slice"),
         F.coalesce(F.max("__copies"), F.lit(1)).alias("copies"),
     )
-    if size["n"] <= (SMALL_SORT_ROWS if small is None else small):
-        window = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ends = stored.withColumn("__end", F.sum("__copies").over(window))
-    else:
-        ends = _prefix(stored, [], cols, {"__end": "__copies"})
-    if size["copies"] == 1:
-        return ends.select((F.col("__end") + (start - 1)).alias(out), *df.columns)
-    copies = expand_rows(ends, "__copies", "__copy", most=size["copies"])
-    first = F.col("__end") - F.col("__copies") + start
-    return copies.select((first + F.col("__copy")).alias(out), *df.columns)
+    if found["copies"] > 1:
+        ends = _prefix(slices, [], {"__end": "__copies"})
+        copies = expand_rows(ends, "__copies", "__copy", most=found["copies"])
+        number = F.col("__end") - F.col("__copies") + F.col("__copy") + start
+        return materialize(copies.select(number.alias(out), *df.columns), "numbered")
+    if found["last_slice"] == 0:
+        return slices.select((F.col(POSITION) + start).alias(out), *df.columns)
+    sizes = slices.groupBy(F.col(SLICE).alias("__offset_slice")).agg(F.count(F.lit(1)).alias("__n"))
+    # one row per slice
+    earlier = Window.orderBy("__offset_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "__offset_slice", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
+    )
+    number = F.col(POSITION) + F.col("__before") + start
+    return slices.join(offsets, F.col(SLICE) == F.col("__offset_slice")).select(
+        number.alias(out), *df.columns
+    )

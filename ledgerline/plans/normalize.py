@@ -22,7 +22,6 @@ from ledgerline.operators.keys import (
 )
 from ledgerline.operators.ordered import number_rows
 from ledgerline.operators.reshape import split_packed, unpivot_groups
-from ledgerline.session import materialize
 
 ITEM_SLOTS = 3
 
@@ -118,7 +117,7 @@ def split_inventory(raw: DataFrame) -> Inventory:
 
 def key_sales(raw: DataFrame) -> DataFrame:
     """The sales list with a sale id, assigned once for headers and items alike."""
-    return materialize(number_rows(raw, ["sale_date", "customer_name"], "sale_id"), "sales")
+    return number_rows(raw, ["sale_date", "customer_name"], "sale_id")
 
 
 def sale_items(keyed: DataFrame, slots: int = ITEM_SLOTS) -> DataFrame:
@@ -214,10 +213,11 @@ def split_deliveries(
     The log is read once, to number and store its lines; headers come from those.
     """
     order = ["delivery_date", "reference_no", "product_name"]
-    keyed = materialize(number_rows(raw, order, "restock_item_id"), "deliveries")
-    headers = materialize(delivery_headers(keyed, ["notes"]), "documents")
-    same = [keyed[c].eqNullSafe(headers[c]) for c in DOCUMENT]
-    lines = keyed.join(headers, same).select(
+    keyed = number_rows(raw, order, "restock_item_id")
+    headers = delivery_headers(keyed, ["notes"])
+    documents = headers.select("restock_id", *[F.col(c).alias(f"of_{c}") for c in DOCUMENT])
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in DOCUMENT]
+    lines = keyed.join(documents, same).select(
         "restock_item_id",
         "restock_id",
         "product_name",
@@ -225,9 +225,9 @@ def split_deliveries(
         "unit_cost",
     )
     items = resolve_keys(lines, products, "product_name", "name", "product_id", on_missing)
-    documents = resolve_keys(headers, suppliers, "supplier_name", "name", "supplier_id", "stub")
+    resolved = resolve_keys(headers, suppliers, "supplier_name", "name", "supplier_id", "stub")
     return Deliveries(
-        restocks=documents.rows.select(
+        restocks=resolved.rows.select(
             "restock_id",
             "supplier_id",
             F.col("delivery_date").alias("restock_date"),
@@ -237,7 +237,7 @@ def split_deliveries(
         restock_items=items.rows.select(
             "restock_item_id", "restock_id", "product_id", "quantity", "unit_cost"
         ),
-        suppliers=documents.dimension,
+        suppliers=resolved.dimension,
         products=items.dimension,
         unresolved=items.unresolved,
     )
