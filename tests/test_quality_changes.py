@@ -19,7 +19,7 @@ def broken(shop):
     return rows(counts)
 
 
-def with_row(shop, name, **values):
+def with_row(shop, name, /, **values):
     table = TABLES[name]
     row = {"created_at": NOW, "updated_at": NOW, "is_active": True, **values}
     extra = shop.products.sparkSession.createDataFrame(
