@@ -660,8 +660,8 @@ def credit_features(spark, sf_dir):
 
 @query
 def basket_pairs(spark, sf_dir):
-    """Product names sold together in at least 0.2 percent of the sales."""
-    return analytics.frequent_pairs(tables.shop(spark, sf_dir), "name", 0.002)
+    """Product names sold together in at least 0.1 percent of the sales."""
+    return analytics.frequent_pairs(tables.shop(spark, sf_dir), "name", 0.001)
 
 
 @query

@@ -600,7 +600,7 @@ ORACLE: dict[str, str] = {
         JOIN (SELECT name, COUNT(*) AS n FROM bought GROUP BY 1) na ON na.name = a.name
         JOIN (SELECT name, COUNT(*) AS n FROM bought GROUP BY 1) nb ON nb.name = b.name,
         (SELECT COUNT(DISTINCT transaction_id) AS n FROM bought) t
-        GROUP BY 1, 2 HAVING COUNT(*) >= ceil(0.002 * MAX(t.n))""",
+        GROUP BY 1, 2 HAVING COUNT(*) >= ceil(0.001 * MAX(t.n))""",
     "price_history": "SELECT * FROM history",
     "price_as_of": """
         SELECT w.product_id, w.day, h.price
