@@ -38,18 +38,21 @@ def random_odds(doc_id: str = "doc_id") -> Column:
     return u / (1 - u)
 
 
-def _level(rows: DataFrame, key: list[str], need: Column, mass: Column, weight: Column, out: str) -> DataFrame:
+def _level(
+    rows: DataFrame, key: list[str], need: Column, mass: Column, weight: Column, rate: Column, out: str
+) -> DataFrame:
     """Per ``key``, the level at which the sum of least(MOST, level * weight) * mass is ``need``.
 
-    ``rows`` has few rows per key. With the rows in the order in which they reach MOST, the level
+    ``rate`` is weight * mass. ``rows`` has few rows per key. With the rows in the order in which they reach MOST, the level
     is the largest of what remains for the others once the earlier ones are full.
     """
     order = Window.partitionBy(*key) if key else Window.partitionBy(F.lit(0))
     order = order.orderBy(F.desc("__weight"))
     full = F.sum(MOST * F.col("__mass")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    slope = F.sum(F.col("__mass") * F.col("__weight")).over(order.rowsBetween(0, Window.unboundedFollowing))
+    slope = F.sum("__rate").over(order.rowsBetween(0, Window.unboundedFollowing))
     levels = rows.select(
-        *key, need.alias("__need"), mass.cast("double").alias("__mass"), weight.cast("double").alias("__weight")
+        *key, need.alias("__need"), mass.cast("double").alias("__mass"), weight.cast("double").alias("__weight"),
+        rate.cast("double").alias("__rate"),
     ).select(*key, F.try_divide(F.col("__need") - F.coalesce(full, F.lit(0.0)), slope).alias("__level"))
     return levels.groupBy(*key).agg(F.greatest(F.max("__level"), F.lit(0.0)).alias(out))
 
@@ -71,7 +74,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float =
     # copies per word of a source grow with its weight over its size
     per_word = F.when(F.col("source_size") > 0, F.col("weight") / F.col("source_size"))
     filled = weighed.filter("source_size > 0")
-    level = _level(filled, [], F.col("need"), F.col("source_size"), per_word, "level")
+    level = _level(filled, [], F.col("need"), F.col("source_size"), per_word, F.col("weight"), "level")
     # a one-row table without a key of its own
     return (
         weighed.withColumn("__all", F.lit(0))
@@ -120,7 +123,7 @@ def plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TO
     ).select("source", "__pref", "mass", "target")
     level = _level(
         classes.withColumn("__null", F.col("source").isNull()), ["source", "__null"], F.col("target"), F.col("mass"),
-        F.col("__pref"), "level",
+        F.col("__pref"), F.col("mass") * F.col("__pref"), "level",
     ).select(F.col("source").alias("__level_source"), "level")
     goals = goals.join(level, F.col("source").eqNullSafe(F.col("__level_source")), "left").select(
         F.col("source").alias("__source"), "source_size", "target", F.coalesce("level", F.lit(0.0)).alias("level")

@@ -2,6 +2,99 @@
 
 from __future__ import annotations
 
-WORD = r"[^\x20\x09-\x0D]+"
+CHAT_FORMAT = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+),
+escaped AS (
+    SELECT *,
+        regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS body,
+        regexp_replace(replace(regexp_replace(role, '<(\\*)n>', '<\\\1n>', 'g'), chr(10), '<n>'), '<(\\*)\|', '<\\\1|', 'g')
+            AS head
+    FROM rows
+)
+SELECT
+    conv_id,
+    count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length('<|im_start|>' || head || chr(10) || body || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM escaped
+GROUP BY conv_id
+"""
 
-QUERIES: dict[str, str] = {}
+MIX = r"""
+WITH sizes AS (
+    SELECT doc_id, source,
+        CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+    FROM documents
+),
+sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source
+),
+weighed AS (
+    SELECT *, [5.0, 2.0, 1.0]::DOUBLE[][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+        1.5::DOUBLE * sum(source_size) OVER () AS need
+    FROM sources
+),
+levels AS (
+    SELECT (need - coalesce(sum(2.0::DOUBLE * source_size) OVER before, 0)) / sum(weight) OVER after AS level
+    FROM weighed WHERE source_size > 0
+    WINDOW before AS (ORDER BY weight / source_size DESC, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+        after AS (ORDER BY weight / source_size DESC, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+),
+targets AS (
+    SELECT source, source_size,
+        CASE WHEN source_size > 0 THEN least(2.0::DOUBLE * source_size, (SELECT max(level) FROM levels) * weight) ELSE 0 END
+            AS target
+    FROM weighed
+),
+ranked AS (
+    SELECT sizes.*, source_size, target, target / nullif(source_size, 0) AS copies,
+        (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE
+            AS u
+    FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source
+),
+placed AS (
+    SELECT *, coalesce(floor(copies), 0) AS whole,
+        sum(size) OVER (PARTITION BY source ORDER BY u, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier,
+        target - sum(size * coalesce(floor(copies), 0)) OVER (PARTITION BY source) AS rest
+    FROM ranked
+)
+SELECT doc_id, size, source_size, target,
+    CAST(size * (whole + CASE
+        WHEN copies > whole AND 2 * coalesce(earlier, 0) + size <= 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed
+"""
+
+URL_FILTER = r"""
+WITH rules(verdict, host, path) AS (
+    VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+        ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+),
+split AS (
+    SELECT page_id,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+),
+fits AS (
+    SELECT page_id, max_by(rules.host || rules.path, length(rules.host || rules.path)) AS rule,
+        max_by(verdict, length(rules.host || rules.path)) AS verdict
+    FROM (SELECT DISTINCT * FROM split) s JOIN rules
+        ON (s.host = rules.host OR ends_with(s.host, '.' || rules.host)) AND starts_with(s.path, rules.path)
+    GROUP BY page_id
+)
+SELECT split.page_id, split.host, split.path, rule, coalesce(verdict, 'allow') AS verdict
+FROM split LEFT JOIN fits ON split.page_id = fits.page_id
+"""
+
+QUERIES: dict[str, str] = {
+    "op3_chat_format": CHAT_FORMAT,
+    "op5_mix_sources": MIX,
+    "op7_url_filter": URL_FILTER,
+}
