@@ -1,17 +1,22 @@
 """Byte-level BPE encoding and decoding by a file of ranked byte strings.
 
-Every match of the pattern is a word of its own. The distinct words of a block of documents are
-encoded once, by Spark's higher-order functions: a word is an array of byte strings, and a fold
-merges the adjacent pair of the lowest rank until no pair has one. The rank map is a literal, an
-array of small maps in which a string's hash finds its map. Decoding concatenates the byte strings
-of the ids.
+Every match of the pattern is a word of its own. A word is an array of byte strings, and a fold
+merges the adjacent pair of the lowest rank until no pair has one. Decoding concatenates the byte
+strings of the ids.
+
+:func:`encode_words` folds arrays of distinct words by Spark's higher-order functions over a literal
+rank map, an array of small maps in which a string's hash finds its map. On whole corpora that
+takes several times the CPU time that a corpus may cost (figures in the README). So
+:func:`encode` folds the distinct words of a task in Python, with the rank map broadcast.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import heapq
 import json
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,10 +25,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm import words as W
-
-# documents are encoded in blocks of about this many bytes of text
-BLOCK_BYTES = 8 << 20
+# a task remembers the ids of at most so many words, then forgets them all
+MOST_KNOWN = 1 << 20
+# words up to this length are folded by scanning a list
+SHORT = 64
 MAPS = 1 << 16
 NO_RANK = (1 << 31) - 1
 IDS = np.dtype("<u4")
@@ -45,8 +50,6 @@ def _literal(path: str) -> tuple[str, int]:
 
 
 def _place(key: str) -> int:
-    import zlib
-
     return zlib.crc32(key.encode()) % MAPS
 
 
@@ -104,49 +107,88 @@ def encode_words(words: Column, path: str) -> Column:
     )
 
 
-def _blocks(pattern: str, names: list[str]) -> Callable:
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def fold_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of one word, as :func:`fold_word` finds them."""
+    if word in ranks:
+        return [ranks[word]]
+    return _fold_short(word, ranks) if len(word) <= SHORT else _fold_long(word, ranks)
+
+
+def _fold_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Looks for the leftmost pair of the lowest rank in a list, which is short."""
+    rank = ranks.get
+    parts = [word[k : k + 1] for k in range(len(word))]
+    pairs = [rank(word[k : k + 2], NO_RANK) for k in range(len(word) - 1)]
+    while pairs:
+        least = min(pairs)
+        if least == NO_RANK:
+            break
+        at = pairs.index(least)
+        merged = parts[at] = parts[at] + parts.pop(at + 1)
+        pairs.pop(at)
+        if at < len(pairs):
+            pairs[at] = rank(merged + parts[at + 1], NO_RANK)
+        if at:
+            pairs[at - 1] = rank(parts[at - 1] + merged, NO_RANK)
+    return [ranks[part] for part in parts]
+
+
+def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Takes the pairs from a heap, so time grows with the length and its logarithm only."""
+    n = len(word)
+    ends = list(range(1, n + 1))
+    before = list(range(-1, n - 1))
+    rank = ranks.get
+    pairs = [(r, k, k + 2) for k in range(n - 1) if (r := rank(word[k : k + 2])) is not None]
+    heapq.heapify(pairs)
+    while pairs:
+        _, first, end = heapq.heappop(pairs)
+        middle = ends[first]
+        # a pair is stale once one of its parts has been merged
+        if middle >= end or middle == 0 or ends[middle] != end:
+            continue
+        ends[first], ends[middle] = end, 0
+        if end < n:
+            before[end] = first
+            after = ends[end]
+            if (r := rank(word[first:after])) is not None:
+                heapq.heappush(pairs, (r, first, after))
+        left = before[first]
+        if left >= 0 and (r := rank(word[left:end])) is not None:
+            heapq.heappush(pairs, (r, left, end))
+    ids, at = [], 0
+    while at < n:
+        ids.append(ranks[word[at : ends[at]]])
+        at = ends[at]
+    return ids
+
+
+class Known(dict):
+    """The ids, as bytes, of the distinct words that a task has met; a new word is folded once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks = ranks
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = np.array(fold_bytes(word.encode(), self.ranks), IDS).tobytes()
+        return ids
+
+
+def _encoder(ranks, pattern: str, names: list[str]) -> Callable:
+    def encode_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern).findall
+        known = Known(ranks.value)
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            sizes = np.diff(W.text_buffers(batch["text"])[1])
-            cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK_BYTES)) + 1, [len(sizes)]]))
-            for first, last in zip(cuts[:-1], cuts[1:], strict=True):
-                part = rows.slice(first, last - first)
-                known: dict[str, int] = {}
-                index = []
-                for text in part["text"].to_pylist():
-                    found = split(text or "")
-                    index.append(np.fromiter((known.setdefault(w, len(known)) for w in found), IDS, len(found)).tobytes())
-                keys = [pa.array([part[n].to_pylist()], pa.list_(part.schema.field(n).type)) for n in names]
-                yield pa.RecordBatch.from_arrays(
-                    [*keys, pa.array([list(known)], pa.list_(pa.string())), pa.array([index], pa.list_(pa.binary()))],
-                    names=[*names, "words", "index"],
-                )
-
-    return blocks
-
-
-def _gather(names: list[str]) -> Callable:
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                codes = row["codes"].flatten()
-                bounds, values = codes.offsets.to_numpy(), codes.values.to_numpy().astype(IDS)
-                sizes = np.diff(bounds)
-                ids = []
-                for index in row["index"].flatten().to_pylist():
-                    index = np.frombuffer(index, IDS)
-                    own = sizes[index]
-                    ends = np.cumsum(own)
-                    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(bounds[index] - (ends - own), own)
-                    ids.append(values[at].tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [*[row[n].flatten() for n in names], pa.array(ids, pa.binary())], names=[*names, "ids"]
-                )
-
-    return gather
+            ids = []
+            for text in batch["text"].to_pylist():
+                ids.append(b"".join(map(known.__getitem__, split(text or ""))))
+                if len(known) > MOST_KNOWN:
+                    known.clear()
+            columns = [batch[n] for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary())], names=[*names, "ids"])
+
+    return encode_texts
 
 
 def encode(docs: DataFrame, path: str, pattern: str, keys: list[str]) -> DataFrame:
@@ -156,12 +198,9 @@ def encode(docs: DataFrame, path: str, pattern: str, keys: list[str]) -> DataFra
     an empty table gives none. Other columns than ``keys`` and text are ignored.
     """
     inputs = docs.select(*[F.col(f"`{k}`") for k in keys], F.col("text").cast("string").alias("text"))
-    kinds = {f.name: f.dataType.simpleString() for f in inputs.schema}
-    arrays = ", ".join(f"`{k}` array<{kinds[k]}>" for k in keys)
-    blocks = inputs.mapInArrow(_blocks(pattern, keys), f"{arrays}, words array<string>, index array<binary>")
-    coded = blocks.withColumn("codes", encode_words(F.col("words"), path)).drop("words")
-    plain = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
-    return coded.mapInArrow(_gather(keys), f"{plain}, ids binary")
+    shipped = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.schema if f.name != "text")
+    return inputs.mapInArrow(_encoder(shipped, pattern, keys), f"{plain}, ids binary")
 
 
 def _decoder(pieces) -> Callable:

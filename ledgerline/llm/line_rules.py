@@ -66,18 +66,16 @@ def _repeated_words(words: W.Words, hashes: np.ndarray) -> np.ndarray:
 def _lines(piece: W.Piece, words: W.Words) -> tuple[np.ndarray, ...]:
     """Byte spans of the lines with a word, their texts and the positions of their words."""
     breaks = np.flatnonzero(piece.bytes == W.NEWLINE)
-    # a text ends its last line; a break ends the line before it
     starts = np.unique(np.concatenate([piece.bounds[:-1], breaks + 1]))
     starts = starts[starts < len(piece.bytes)]
-    stops = np.concatenate([breaks, piece.bounds[1:]])
-    stops.sort()
-    ends = stops[np.searchsorted(stops, starts, "left")]
+    # a line ends at the next break or with its text
+    texts = np.searchsorted(piece.bounds, starts, "right") - 1
+    ends = np.append(breaks, len(piece.bytes))[np.searchsorted(breaks, starts, "left")]
+    ends = np.minimum(ends, piece.bounds[texts + 1])
     first = np.searchsorted(words.starts, starts)
     last = np.searchsorted(words.starts, ends)
     filled = last > first
-    starts, ends, first, last = starts[filled], ends[filled], first[filled], last[filled]
-    texts = np.searchsorted(piece.bounds, starts, "right") - 1
-    return starts, ends, first, last, texts
+    return starts[filled], ends[filled], first[filled], last[filled], texts[filled]
 
 
 def _duplicates(keys: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:

@@ -58,7 +58,7 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
         return np.zeros(0, np.uint64)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * powers(BASE, len(values)), out=sums[1:])
-    raw = (sums[ends] - sums[starts]) * powers(INVERSE, len(values))[starts]
+    raw = (sums[ends] - sums[starts]) * powers(INVERSE, len(values) + 1)[starts]
     return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(BASE))
 
 

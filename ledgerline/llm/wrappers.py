@@ -34,6 +34,7 @@ DEPTH = 60
 # a text that more than half of a slot's pages share, three at least, belongs to the template
 TEMPLATE_PAGES = 3
 TEMPLATE_PERCENT = 50
+ALONE, NOWHERE = -1, -2
 
 # tags that begin and end a block; all others are markup inside one
 BLOCKS = frozenset(
@@ -251,6 +252,7 @@ def parse(source: str) -> tuple[Node, list[tuple[int, str]]]:
     expression = _folded(root)
     numbers = {id(leaf): k for k, leaf in enumerate(leaves)}
     order = _places(root, expression, numbers)
+    # folding keeps every text of the page, so each has a place
     return expression, [(order[k], texts[k]) for k in range(len(texts))]
 
 
@@ -273,18 +275,30 @@ def _places(node: Node, expression: Node, numbers: dict[int, int]) -> dict[int,
     return found
 
 
-def _match(items: list[Node], pattern: list[Node], numbers: dict[int, int], found: dict[int, int]) -> None:
-    """Walks the pattern with the items; every item takes the next part that bears its label."""
-    flat = [part for part in _flatten(pattern)]
-    at = 0
+def _match(items: list[Node], pattern: list[Node], numbers: dict[int, int], found: dict[int, int]) -> bool:
+    """Walks the pattern with the items; every item takes the next part that matches all of it.
+
+    An item may stay on a part, since it may be repeated, and a group begins anew where its labels
+    return. An item that nothing matches is left out, and the answer is False.
+    """
+    flat = list(_flatten(pattern))
+    at, whole = 0, True
     for item in items:
-        # stay on a repeated part, else go on; a group begins anew where its labels return
-        order = [*range(at, len(flat)), *range(at)]
-        at = next(k for k in order if flat[k].label == item.label)
-        if item.label == "#":
-            found[numbers[id(item)]] = flat[at].slot
+        for k in [*range(at, len(flat)), *range(at)]:
+            if flat[k].label != item.label:
+                continue
+            if item.label == "#":
+                found[numbers[id(item)]] = flat[k].slot
+                at = k
+                break
+            inner: dict[int, int] = {}
+            if _match(item.items, flat[k].items, numbers, inner):
+                found.update(inner)
+                at = k
+                break
         else:
-            _match(item.items, flat[at].items, numbers, found)
+            whole = False
+    return whole
 
 
 def _flatten(pattern: list[Node]) -> Iterator[Node]:
@@ -296,12 +310,16 @@ def _flatten(pattern: list[Node]) -> Iterator[Node]:
 
 
 def slot_map(expression: Node, wrapper: Node) -> list[int]:
-    """For every slot of an expression the number of the wrapper's slot it falls into."""
-    leaves = [slot for slot, _, _ in expression.slots()]
-    numbers = {id(leaf): k for k, leaf in enumerate(leaves)}
+    """For every slot of an expression the number of the wrapper's slot it falls into.
+
+    A slot that alignment has put where the walk does not find it is judged by its labels alone:
+    it gets ALONE if no container above it speaks against it, and NOWHERE otherwise.
+    """
+    slots = list(expression.slots())
+    numbers = {id(leaf): k for k, (leaf, _, _) in enumerate(slots)}
     plain = Node("", items=list(_opened(expression.items)))
     found = _places(plain, wrapper, numbers)
-    return [found[k] for k in range(len(leaves))]
+    return [found.get(k, ALONE if _wanted(path) else NOWHERE) for k, (_, path, _) in enumerate(slots)]
 
 
 def _opened(items: list[Node]) -> Iterator[Node]:
@@ -474,7 +492,7 @@ def extract(pages: DataFrame) -> DataFrame:
     )
     known = wrappers.withColumnRenamed("shape", "wrapper").join(statistics, "host", "left")
     chosen = materialize(known.groupBy("host").applyInPandas(_choose, "host string, chosen array<int>"), "slots")
-    kept = F.filter("blocks", lambda b: F.array_contains("chosen", b["slot"]))
+    kept = F.filter("blocks", lambda b: F.array_contains("chosen", b["slot"]) | (b["slot"] == ALONE))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
     return (
         placed.join(chosen, "host")

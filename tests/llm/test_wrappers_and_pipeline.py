@@ -77,7 +77,7 @@ def test_a_line_that_all_pages_share_stays(spark):
         ("<article>loose<p>in</p>tail<ul><li>one<li>two</ul></article>", "loose\n\nin\n\ntail\n\none\n\ntwo"),
         ("<article><p>a</p><script>x<p>no</p></script><style>s</style><!-- c <p>no</p> --><p>b</p></article>", "a\n\nb"),
         ("<article><p>a<table><tr><td>1<td>2<tr><td>3</table></article>", "a\n\n1\n\n2\n\n3"),
-        ('<article><p title="a > b">x</p><p>unclosed attribute <a href="y>z</p></article>', "x\n\nunclosed attribute"),
+        ('<article><p title="a > b">x</p><p>unclosed attribute <a href="y>z</p></article>', "x\n\nunclosed attribute z"),
         ("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>", "deep"),
         ("<article><p>" + "long " * 100_000 + "</p></article>", ("long " * 100_000).strip()),
     ],
