@@ -28,6 +28,9 @@ BAND = 2
 BANDS = 48
 # windows begin at every m/8-th shingle
 OVERLAP = 8
+# places in the table of known shingles, by their top bits
+TABLE_BITS = 20
+SHIFT = np.uint64(64 - TABLE_BITS)
 
 _random = np.random.Generator(np.random.PCG64(8))
 MULTIPLIERS = _random.integers(0, 1 << 63, BAND * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,15 +105,38 @@ def prepare(templates: Mapping[str, str]) -> list[Template]:
     return ready
 
 
-def find(hashes: np.ndarray, bounds: np.ndarray, template: Template, least: float) -> Iterator[tuple[int, float, int, int]]:
+class Library:
+    """Templates by the size of their shingles, with a small table that most other shingles fail."""
+
+    def __init__(self, templates: list[Template]):
+        self.sizes: dict[int, tuple[np.ndarray, list[Template]]] = {}
+        for template in templates:
+            known, own = self.sizes.setdefault(template.size, (np.zeros(1 << TABLE_BITS, bool), []))
+            known[template.values >> SHIFT] = True
+            own.append(template)
+
+    def find(self, hashes: np.ndarray, bounds: np.ndarray, least: float):
+        """(template, text, containment, first word, last word) of every window that contains a template.
+
+        ``hashes`` are word hashes of texts that begin at ``bounds``.
+        """
+        for size, (known, templates) in self.sizes.items():
+            shingles = W.window_hashes(hashes, size)
+            # shingles that reach into the next text belong to no window
+            likely = np.flatnonzero(known[shingles >> SHIFT] & W.within(bounds, size))
+            for template in templates:
+                hits = likely[np.isin(shingles[likely], template.values)]
+                for match in find(shingles, hits, bounds, template, least):
+                    yield template, *match
+
+
+def find(
+    shingles: np.ndarray, hits: np.ndarray, bounds: np.ndarray, template: Template, least: float
+) -> Iterator[tuple[int, float, int, int]]:
     """(text, containment, first word, last word) of every window that contains the template.
 
-    ``hashes`` are word hashes of texts that begin at ``bounds``.
+    ``hits`` are the positions of the template's shingles among those of all texts.
     """
-    shingles = W.window_hashes(hashes, template.size)
-    # shingles that reach into the next text belong to no window
-    inside = W.within(bounds, template.size)
-    hits = np.flatnonzero(np.isin(shingles, template.values) & inside)
     if not len(hits):
         return
     stride = max(1, template.length // OVERLAP)
@@ -139,19 +165,18 @@ def find(hashes: np.ndarray, bounds: np.ndarray, template: Template, least: floa
                 yield int(chunk[k, 0]), share, int(places.min()), int(places.max()) + template.size - 1
 
 
-def _scanner(templates: list[Template], least: float):
+def _scanner(library: Library, least: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in W.pieces(batch["text"]):
                 words = W.find_words(piece)
                 hashes = _normal_hashes(piece, words)
                 best: dict[tuple[int, str], tuple[float, int, int]] = {}
-                for template in templates:
-                    for text, share, first, last in find(hashes, words.bounds, template, least):
-                        known = best.get((text, template.name))
-                        # the fullest match, the earliest and shortest of equals
-                        if known is None or (-share, first, last) < (-known[0], known[1], known[2]):
-                            best[text, template.name] = (share, first, last)
+                for template, text, share, first, last in library.find(hashes, words.bounds, least):
+                    known = best.get((text, template.name))
+                    # the fullest match, the earliest and shortest of equals
+                    if known is None or (-share, first, last) < (-known[0], known[1], known[2]):
+                        best[text, template.name] = (share, first, last)
                 found = sorted(best.items())
                 rows = pa.array([text for (text, _), _ in found], pa.int64())
                 starts = [int(words.starts[words.bounds[t] + f] - piece.bounds[t]) for (t, _), (_, f, _) in found]
@@ -184,6 +209,6 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment:
     """
     inputs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return inputs.mapInArrow(
-        _scanner(prepare(templates), containment),
+        _scanner(Library(prepare(templates)), containment),
         "doc_id long, license string, containment double, first_byte long, end_byte long",
     )

@@ -36,7 +36,7 @@ sources AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source
 ),
 weighed AS (
-    SELECT *, [5.0, 2.0, 1.0]::DOUBLE[][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+    SELECT *, list_extract([5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE], (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1) AS weight,
         1.5::DOUBLE * sum(source_size) OVER () AS need
     FROM sources
 ),
@@ -93,8 +93,101 @@ SELECT split.page_id, split.host, split.path, rule, coalesce(verdict, 'allow') A
 FROM split LEFT JOIN fits ON split.page_id = fits.page_id
 """
 
+QUALITY_RULES = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(source, '') AS host, source IS NULL AS no_host, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
+        row_number() OVER () AS row_no
+    FROM documents
+),
+grams AS (
+    SELECT row_no, i, array_to_string(words[i:i + 4], ' ') AS gram
+    FROM (SELECT row_no, words, unnest(range(1, len(words) - 3)) AS i FROM docs)
+),
+covered AS (
+    SELECT row_no, count(DISTINCT i + j) AS n
+    FROM (SELECT row_no, i, unnest(range(5)) AS j
+          FROM (SELECT *, count(*) OVER (PARTITION BY row_no, gram) AS times FROM grams) WHERE times > 1)
+    GROUP BY row_no
+),
+lines AS (
+    SELECT row_no, host, no_host, line, max(n) AS n, sum(n) AS all_n
+    FROM (SELECT row_no, host, no_host,
+              regexp_replace(trim(regexp_replace(
+                  translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'
+              )), '^ | $', '', 'g') AS line,
+              len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n
+          FROM (SELECT row_no, host, no_host, unnest(lines) AS l FROM docs))
+    GROUP BY ALL
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY row_no ORDER BY n DESC, line) AS place,
+        first_value(line) OVER (PARTITION BY row_no ORDER BY n DESC, line) AS longest,
+        nth_value(line, 2) OVER (PARTITION BY row_no ORDER BY n DESC, line
+            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second
+    FROM lines
+),
+frequent AS (
+    SELECT host, no_host, line
+    FROM (SELECT host, no_host, line, count(DISTINCT CASE WHEN place = 1 THEN coalesce(second, line) ELSE longest END) AS n
+          FROM ranked GROUP BY ALL)
+    JOIN (SELECT host, no_host, count(*) AS of FROM docs GROUP BY ALL) USING (host, no_host)
+    WHERE n > 20 AND n * 100 > of * 2
+),
+lost AS (
+    SELECT row_no, CAST(sum(all_n) AS BIGINT) AS n FROM lines JOIN frequent USING (host, no_host, line) GROUP BY row_no
+),
+counts AS (
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+        CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        coalesce(covered.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS boilerplate_words
+    FROM docs LEFT JOIN covered USING (row_no) LEFT JOIN lost USING (row_no)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, boilerplate_words,
+    NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * (n_words - boilerplate_words) >= 30 * n_words AS kept
+FROM counts
+"""
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(words) = 1 THEN words
+        ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS shingles
+    FROM docs
+),
+members AS MATERIALIZED (SELECT doc_id, unnest(shingles) AS shingle, len(shingles) AS n FROM sets),
+links AS MATERIALIZED (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+        AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+ways AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(doc_id, other) AS (
+    SELECT DISTINCT x, x FROM ways
+    UNION
+    SELECT reached.doc_id, ways.y FROM reached JOIN ways ON ways.x = reached.other
+),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+    doc_id = coalesce(component_id, doc_id) AS kept
+FROM sets LEFT JOIN least USING (doc_id)
+"""
+
 QUERIES: dict[str, str] = {
     "op3_chat_format": CHAT_FORMAT,
+    "op4_quality_rules": QUALITY_RULES,
     "op5_mix_sources": MIX,
     "op7_url_filter": URL_FILTER,
+    "op9_minhash_near_dedup": NEAR_DUPLICATES,
 }

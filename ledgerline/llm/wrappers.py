@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.rows import CHECK, KEY, row_key
@@ -61,7 +61,7 @@ ASIDE = frozenset(
 )
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
 ASIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification\w*|"
+    r"(?:^|[\s_-])(?:ads?|advert\w*|ad(?:box|sense|slot|unit|wrap|block)|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification\w*|toast|"
     r"alert|popup|modal|overlay|newsletter|subscri\w+|signup|login|sidebar|side|aside|widgets?|related|recommend\w*|"
     r"share|sharing|social|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|footer|header|masthead|toolbar|"
     r"comments?|commentlist|reply|replies|respond|discussion|disqus|search|skip|disclaimer)(?:$|[\s_-])"
@@ -410,32 +410,25 @@ def _wanted(path: tuple[str, ...]) -> bool:
     return True
 
 
-def choose_slots(wrapper: str, statistics: dict[int, tuple[int, int, int]]) -> list[int]:
-    """The wrapper's slots that hold the article.
+def rank_slots(wrapper: str, statistics: dict[int, tuple[int, int]]) -> list[int]:
+    """For every slot of the wrapper how sure it is to hold the article, -1 if it does not.
 
-    ``statistics`` has, per slot, the pages with it, the pages that share its most frequent text,
-    and its characters. A text outside repeated groups that most pages share is the template's.
+    ``statistics`` has, per slot, the pages with it and the pages that share its most frequent
+    text. A text outside repeated groups that most pages share is the template's.
     """
-    found = []
+    ranks = []
     for slot, (_, path, many) in enumerate(Node.load(json.loads(wrapper)).slots()):
-        pages, same, chars = statistics.get(slot, (0, 0, 0))
+        pages, same = statistics.get(slot, (0, 0))
         fixed = not many and same >= TEMPLATE_PAGES and 100 * same > TEMPLATE_PERCENT * pages
         heading = bool(path) and _parts(path[-1])[0] in HEADINGS
-        if _wanted(path) and (heading or not fixed):
-            found.append((_main_rank(path), slot, chars))
-    if not found:
-        return []
-    # the surest kind of place that has text decides for the host
-    best = max(rank for rank, _, chars in found if chars or rank == 0) if any(c or not r for r, _, c in found) else 0
-    return [slot for rank, slot, _ in found if rank >= best]
+        ranks.append(_main_rank(path) if _wanted(path) and (heading or not fixed) else -1)
+    return ranks
 
 
-def _choose(rows: pd.DataFrame) -> pd.DataFrame:
-    statistics = {
-        int(r.slot): (int(r.pages), int(r.same), int(r.chars)) for r in rows.itertuples() if r.slot == r.slot
-    }
-    slots = choose_slots(rows["wrapper"].iloc[0], statistics)
-    return pd.DataFrame({"host": [rows["host"].iloc[0]], "chosen": [slots]})
+def _rank(rows: pd.DataFrame) -> pd.DataFrame:
+    statistics = {int(r.slot): (int(r.pages), int(r.same)) for r in rows.itertuples() if r.slot == r.slot}
+    ranks = rank_slots(rows["wrapper"].iloc[0], statistics)
+    return pd.DataFrame({"host": [rows["host"].iloc[0]], "ranks": [ranks]})
 
 
 def infer_wrappers(shapes: DataFrame) -> DataFrame:
@@ -446,7 +439,7 @@ def infer_wrappers(shapes: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars, wrapper slots used.
+    """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
     The text is the page's article: its blocks in page order, with character references decoded
     and white space inside a block turned into one space, joined by two line breaks.
@@ -481,21 +474,25 @@ def extract(pages: DataFrame) -> DataFrame:
     placed = placed.select("page_id", "url", "host", KEY, CHECK, block.alias("blocks"))
 
     texts = placed.select("host", KEY, CHECK, F.explode("blocks").alias("b")).select(
-        "host", KEY, CHECK, F.col("b.slot").alias("slot"), F.xxhash64("b.text").alias("value"),
-        F.char_length("b.text").alias("size"),
-    )
-    # a repeated slot has several texts on a page; copies of a page have one key
-    values = texts.groupBy("host", "slot", KEY, CHECK).agg(F.min("value").alias("value"), F.sum("size").alias("size"))
-    counted = values.groupBy("host", "slot", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
-    statistics = counted.groupBy("host", "slot").agg(
-        F.sum("n").alias("pages"), F.max("n").alias("same"), F.sum("size").alias("chars")
+        "host", KEY, CHECK, F.col("b.slot").alias("slot"), F.xxhash64("b.text").alias("value")
     )
+    # a repeated slot has several texts on a page; copies of a page have one key
+    values = texts.groupBy("host", "slot", KEY, CHECK).agg(F.min("value").alias("value"))
+    counted = values.groupBy("host", "slot", "value").agg(F.count(F.lit(1)).alias("n"))
+    statistics = counted.groupBy("host", "slot").agg(F.sum("n").alias("pages"), F.max("n").alias("same"))
     known = wrappers.withColumnRenamed("shape", "wrapper").join(statistics, "host", "left")
-    chosen = materialize(known.groupBy("host").applyInPandas(_choose, "host string, chosen array<int>"), "slots")
-    kept = F.filter("blocks", lambda b: F.array_contains("chosen", b["slot"]) | (b["slot"] == ALONE))
+    ranks = materialize(known.groupBy("host").applyInPandas(_rank, "host string, ranks array<int>"), "slots")
+
+    def rank(block: Column) -> Column:
+        known_slot = F.get("ranks", block["slot"])
+        return F.when(block["slot"] == ALONE, 0).when(block["slot"] == NOWHERE, -1).otherwise(known_slot)
+
+    # the surest kind of place that a page has text in is its article
+    best = F.array_max(F.transform("blocks", rank))
+    ranked = placed.join(ranks, "host").withColumn("best", best)
+    kept = F.filter("blocks", lambda b: (F.col("best") >= 0) & (rank(b) == F.col("best")))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
     return (
-        placed.join(chosen, "host")
-        .select("page_id", "url", text.alias("text"))
+        ranked.select("page_id", "url", text.alias("text"))
         .withColumn("n_chars", F.char_length("text").cast("long"))
     )

@@ -56,6 +56,13 @@ def test_known_pages(spark):
         assert found[k].n_chars == len(want[k])
 
 
+def test_a_host_with_two_layouts(spark):
+    rows = [(k, "http://a.com/x", layout(k % 3, f"T{k}", [f"own {k}", f"more {k}"], k)) for k in range(30)]
+    found = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    for k in range(30):
+        assert found[k] == "\n\n".join(expected(k % 3, f"T{k}", [f"own {k}", f"more {k}"])), k
+
+
 def test_a_line_that_all_pages_share_stays(spark):
     rows = [
         (k, "http://a.com/x", layout(0, f"T{k}", ["the same line in all pages", f"own {k}", "the same line in all pages"], k))
