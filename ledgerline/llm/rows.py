@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +34,3 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, one_of_copies: bool = False
     if one_of_copies:
         kept = kept.dropDuplicates([KEY, CHECK])
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def same_columns(columns: Iterable[str]) -> list[Column]:
-    return [F.col(f"`{c}`") for c in columns]
