@@ -49,6 +49,9 @@ HEADLINE = [
     "price_as_of",
     "demand_weekly",
     "rfm_segments",
+    "stock_paths_agree",
+    "delete_with_cascade",
+    "csv_text_roundtrip",
 ]
 
 

@@ -8,11 +8,12 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.functions.money import PRICE, cents, money
 from ledgerline.functions.text import barcode, document_no, one_line, tagged
 from ledgerline.model import TABLES
-from ledgerline.operators import allocate, changes, quality
+from ledgerline.operators import allocate, changes, deletes, quality
 from ledgerline.operators.keys import Resolved, extract_dimension, next_ids, resolve_keys
 from ledgerline.operators.ordered import number_rows
 from ledgerline.operators.reshape import expand_rows, split_evenly, split_packed, unpivot_groups
@@ -50,7 +51,7 @@ def utang_ledger(spark, sf_dir):
 
 @query
 def ledger_for_customer(spark, sf_dir):
-    return marts.credit_ledger(tables.shop(spark, sf_dir)).filter("customer_id = 1")
+    return marts.credit_ledger(tables.shop(spark, sf_dir), customer_ids=[1])
 
 
 @query
@@ -208,6 +209,17 @@ def csv_roundtrip(spark, sf_dir):
     return back.withColumn("payment_date", F.col("payment_date").cast("timestamp_ntz"))
 
 
+@query
+def csv_text_roundtrip(spark, sf_dir):
+    """Texts with blanks, quotes, commas and line breaks written to CSV and read back."""
+    path = scratch_path(spark, "csv-text")
+    texts = tables.read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    odd = F.concat(F.lit('  "quoted", \\ and\r\n'), F.col("source"), F.lit(' ""  '))
+    csv.write_csv(texts.withColumn("source", odd), path, multi_line=True)
+    back = csv.read_csv(spark, path, StructType.fromDDL("doc_id BIGINT, text STRING, source STRING"), multi_line=True)
+    return back.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"), "source")
+
+
 @query
 def load_published(spark, sf_dir):
     """All tables to CSV, loaded, checked and published; rows per published table."""
@@ -243,8 +255,8 @@ def append_with_next_ids(spark, sf_dir):
 
 @query
 def surrogate_keys(spark, sf_dir):
-    """Delivery lines numbered by day and then by all their columns."""
-    lines = tables.read_table(spark, sf_dir, "lineitem").filter("l_linestatus = 'F'").select(
+    """All lines numbered by day and then by all their columns."""
+    lines = tables.read_table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").alias("delivery_date"),
         F.col("l_orderkey").alias("reference_no"),
         F.col("l_partkey").alias("product_id"),
@@ -459,6 +471,14 @@ def cascade_delete(spark, sf_dir):
     )
 
 
+@query
+def delete_with_cascade(spark, sf_dir):
+    """Stored stock after all walk-in sales were deleted, which took their lines along."""
+    shop = tables.shop(spark, sf_dir)
+    walk_ins = shop.transactions.filter("customer_id IS NULL").select("transaction_id")
+    return deletes.delete_rows(shop, "transactions", walk_ins).shop.products.select("product_id", "stock_on_hand")
+
+
 @query
 def fd_violations(spark, sf_dir):
     return quality.fd_violations(
@@ -497,6 +517,39 @@ def stock_cdc_batch(spark, sf_dir):
     return changes.net_stock(changes.stock_deltas(tables.stock_changes(spark, sf_dir)))
 
 
+@query
+def stock_paths_agree(spark, sf_dir):
+    """Stock kept by applying changes next to stock recomputed over the changed lines."""
+    shop = tables.shop(spark, sf_dir)
+    feed = tables.stock_changes(spark, sf_dir)
+    kept = changes.apply_stock(marts.recompute_stock(shop), changes.stock_deltas(feed))
+    changed = shop.replace(
+        restock_items=shop.restock_items.select("product_id", "quantity").unionByName(
+            changes.signed_lines(feed, "restock")
+        ),
+        transaction_items=shop.transaction_items.select("product_id", "quantity").unionByName(
+            changes.signed_lines(feed, "sale")
+        ),
+    )
+    derived = marts.on_hand(changed).select("product_id", F.col("on_hand").alias("derived"))
+    return (
+        kept.select("product_id", F.col("stock_on_hand").alias("maintained"))
+        .join(derived, "product_id")
+        .withColumn("drift", F.col("maintained") - F.col("derived"))
+    )
+
+
+@query
+def marts_by_sql(spark, sf_dir):
+    """Stock per product group, asked of a registered view in SQL text."""
+    marts.register_views(spark, tables.shop(spark, sf_dir), tables=False)
+    return spark.sql(
+        """SELECT category, COUNT(*) AS n_products, COUNT_IF(needs_reorder) AS n_reorder,
+                  SUM(on_hand) AS units
+           FROM product_stock GROUP BY category"""
+    )
+
+
 @query
 def stock_stream(spark, sf_dir):
     """The change feed read as a stream until it is used up."""

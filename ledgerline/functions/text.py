@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def one_line(text: Column) -> Column:
-    """Newlines become ``, `` so that a value fits on one CSV line."""
-    return F.regexp_replace(text, "\r?\n", ", ")
+    """Line breaks become ``, `` so that a value fits on one CSV line."""
+    return F.regexp_replace(text, "\r\n|\r|\n", ", ")
 
 
 def barcode(number: Column) -> Column:

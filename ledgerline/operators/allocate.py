@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.ordered import hot_values, number_rows, running_total, running_totals
+from ledgerline.operators.ordered import hot_keys, number_rows, running_total, running_totals
 from ledgerline.session import materialize
 
 WIDE = "decimal(38,0)"
@@ -59,15 +59,15 @@ def capped_payments(
     order: list[str],
     amount: str,
     out: str,
-    hot: list | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """The part of each payment that total charges allow, in payment order.
 
     ``charged`` has one row per key with column ``charged``. Amounts are integer
-    centavos; negative payments are not expected. ``hot`` names the keys with
+    centavos; negative payments are not expected. ``hot`` holds the keys with
     too many payments for one task.
     """
-    hot = hot_values(payments.select(key), key) if hot is None else hot
+    hot = hot_keys(payments.select(key), key) if hot is None else hot
     running = running_total(payments, key, order, amount, "__paid_to", hot)
     before = F.col("__paid_to") - F.col(amount)
     left = F.coalesce(F.col("charged"), F.lit(0)) - before
@@ -85,7 +85,7 @@ def fifo_allocation(
     payment_id: str,
     charge_order: list[str],
     payment_order: list[str],
-    hot: list | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Apply payments to the oldest charges first; amounts in column ``amount``.
 
@@ -94,11 +94,11 @@ def fifo_allocation(
     charges and payments end before each one names the charge and the payment
     that meet in the interval ending there. Both are then fetched by position
     with an equality join, so the work is linear in the entries of a key; there
-    is no join on overlapping ranges. ``hot`` names the keys with too many
+    is no join on overlapping ranges. ``hot`` holds the keys with too many
     entries for one task.
     """
     if hot is None:
-        hot = hot_values(charges.select(key).unionByName(payments.select(key)), key)
+        hot = hot_keys(charges.select(key).unionByName(payments.select(key)), key)
 
     def intervals(df: DataFrame, order: list[str], kind: str, id_column: str) -> DataFrame:
         used = dict.fromkeys([key, *order, id_column])

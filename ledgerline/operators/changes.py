@@ -49,6 +49,18 @@ def line_deletes(items: DataFrame, side: str) -> DataFrame:
     return line_inserts(items, side).withColumn("op", F.lit("DELETE"))
 
 
+def signed_lines(changes: DataFrame, side: str) -> DataFrame:
+    """The changes of one side as lines whose quantities are added to the lines there were."""
+    own = changes.filter(F.col("side") == side)
+    taken = F.when(F.col("op") == "INSERT", F.col("quantity")).otherwise(-F.col("quantity"))
+    first = own.select(F.col("product_id").cast("bigint").alias("product_id"), taken.cast("int").alias("quantity"))
+    second = own.filter("op = 'UPDATE'").select(
+        F.col("new_product_id").cast("bigint").alias("product_id"),
+        F.col("new_quantity").cast("int").alias("quantity"),
+    )
+    return first.unionByName(second)
+
+
 def net_stock(deltas: DataFrame) -> DataFrame:
     """Net movement per product."""
     return deltas.groupBy("product_id").agg(F.sum("delta").alias("stock_delta"))
@@ -86,9 +98,11 @@ def upsert(
     """Apply the newest change per key and stamp the rows that really changed.
 
     Rows only in ``base`` pass through, rows only in ``changes`` are added.
+    Changes without a key say nothing about any row and are left out.
     """
     columns = [c for c in base.columns if c not in (key, stamp_column)]
-    new = latest_per_key(changes, [key], version).select(key, *columns)
+    known = changes.filter(F.col(key).isNotNull())
+    new = latest_per_key(known, [key], version).select(key, *columns)
     joined = base.alias("old").join(new.alias("new"), F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
     has_new = F.col(f"new.{key}").isNotNull()
     has_old = F.col(f"old.{key}").isNotNull()
@@ -102,13 +116,18 @@ def upsert(
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Change log between two snapshots: key, op and the changed column names."""
-    joined = before.alias("old").join(
-        after.alias("new"), F.col(f"old.{key}") == F.col(f"new.{key}"), "full"
+    """Change log between two snapshots: key, op and the changed column names.
+
+    A row with a NULL key matches no other; it is deleted or inserted.
+    """
+    joined = before.withColumn("__there", F.lit(True)).alias("old").join(
+        after.withColumn("__there", F.lit(True)).alias("new"),
+        F.col(f"old.{key}") == F.col(f"new.{key}"),
+        "full",
     )
     op = (
-        F.when(F.col(f"old.{key}").isNull(), "INSERT")
-        .when(F.col(f"new.{key}").isNull(), "DELETE")
+        F.when(F.col("old.__there").isNull(), "INSERT")
+        .when(F.col("new.__there").isNull(), "DELETE")
         .when(_differs(columns, "old", "new"), "UPDATE")
     )
     names = [

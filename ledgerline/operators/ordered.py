@@ -3,8 +3,8 @@
 A window without PARTITION BY, or partitioned by a key that owns a third of the
 rows, runs in a single task. The operators here sort by range partitioning
 instead: every row gets a slice number, slices are summarized to one row each,
-and the summaries supply what each slice has to add. Copies of one row are
-collapsed to a count before sorting, so equal rows cannot fill one slice.
+and the summaries supply what each slice has to add. Rows with very many copies
+are collapsed to a count before sorting, so equal rows cannot fill one slice.
 """
 
 from __future__ import annotations
@@ -22,10 +22,10 @@ POSITION = "__position"
 # monotonically_increasing_id counts rows in its lower 33 bits
 POSITION_MASK = (1 << 33) - 1
 
-# Groups above this many rows leave the plain window and are sorted in slices.
+# Groups above this many rows leave the plain window and are sorted in slices; the results are equal.
 HOT_GROUP_ROWS = 1_000_000
-# At most this many groups are treated as hot; smaller ones fit the plain window.
-MAX_HOT_GROUPS = 1_000
+# A row with more copies is numbered by their count instead of one by one.
+MOST_COPIES = 100_000
 
 
 def order_columns(order: Sequence[str | Column]) -> list[Column]:
@@ -85,23 +85,14 @@ def _prefix(slices: DataFrame, key: list[str], sums: dict[str, str]) -> DataFram
     )
 
 
-def hot_values(df: DataFrame, key: str, rows: int | None = None) -> list:
-    """The values of ``key`` that own more than ``rows`` rows, largest first.
+def hot_keys(df: DataFrame, key: str, rows: int | None = None) -> DataFrame:
+    """The values of ``key`` that own more than ``rows`` rows, as a stored table of one column.
 
-    Collects at most ``MAX_HOT_GROUPS`` values.
+    However many there are, none is collected.
     """
     limit = HOT_GROUP_ROWS if rows is None else rows
-    if df.count() <= limit:
-        return []
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    top = counts.filter(F.col("__rows") > limit).orderBy(F.desc("__rows"), key).limit(MAX_HOT_GROUPS)
-    return [row[0] for row in top.collect()]
-
-
-def is_hot(key: str, hot: list) -> Column:
-    known = [v for v in hot if v is not None]
-    test = F.coalesce(F.col(key).isin(known), F.lit(False)) if known else F.lit(False)
-    return test | F.col(key).isNull() if None in hot else test
+    return materialize(counts.filter(F.col("__rows") > limit).select(key), "hot-keys")
 
 
 def running_totals(
@@ -109,15 +100,15 @@ def running_totals(
     key: str,
     order: Sequence[str | Column],
     sums: dict[str, str],
-    hot: list | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Running sums per ``key`` in ``order``, each row included in its own sum.
 
     ``sums`` maps output names to columns; ``order`` should identify a row
-    within its key. ``hot`` lists the values of ``key`` that are too large for
-    one task (see :func:`hot_values`); they are summed in slices, all others
-    with a plain window, on which Catalyst can still push a filter on ``key``
-    down to the scan.
+    within its key. ``hot`` holds the values of ``key`` that are too large for
+    one task (see :func:`hot_keys`). Only their rows are stored and summed in
+    slices; all others stay in a plain window, through which Catalyst pushes a
+    filter on ``key`` down to the scan.
     """
     cols = order_columns(order)
     window = (
@@ -126,12 +117,12 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     added = [F.sum(value).over(window).alias(out) for out, value in sums.items()]
-    if not hot:
+    if hot is None or hot.isEmpty():
         return df.select("*", *added)
-    # both branches read the stored rows, so their input is computed once
-    stored = materialize(df, "running")
-    plain = stored.filter(~is_hot(key, hot)).select("*", *added)
-    slices, _ = sorted_slices(stored.filter(is_hot(key, hot)), [key, *cols])
+    marks = hot.select(F.col(key).alias("__hot"))
+    same = F.col(key).eqNullSafe(F.col("__hot"))
+    plain = df.join(marks, same, "left_anti").select("*", *added)
+    slices, _ = sorted_slices(df.join(marks, same, "left_semi"), [key, *cols])
     sliced = _prefix(slices, [key], sums)
     for out in sums:
         sliced = sliced.withColumn(out, F.col(out).cast(plain.schema[out].dataType))
@@ -144,7 +135,7 @@ def running_total(
     order: Sequence[str | Column],
     value: str,
     out: str,
-    hot: list | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """:func:`running_totals` of a single column."""
     return running_totals(df, key, order, {out: value}, hot)
@@ -163,37 +154,37 @@ def number_rows(
     are copies of each other and the result does not depend on the run. Set
     ``unique_rows`` when ``df`` has no copies; the collapsing step is skipped.
 
-    The rows are sorted and stored. Without copies a row's number is its
-    position plus the size of the slices before it, so no window is needed;
-    with copies the numbered rows are stored as well. Either way the result can
-    be read many times at the cost of a scan.
+    The rows are sorted and stored. A row's number is its position in its
+    slice plus the size of the slices before it, so no window is needed, and
+    equal rows take numbers that follow one another. Only a row with so many
+    copies that they would fill a slice is collapsed to a count first and
+    expanded in bounded pieces afterwards; the numbers are the same either way.
+    The result can be read many times at the cost of a scan.
     """
     named = {o for o in order if isinstance(o, str)}
     total_order = [*order, *[c for c in df.columns if c not in named]]
-    if unique_rows:
-        counted = df.withColumn("__copies", F.lit(1).cast("bigint"))
-    else:
-        counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    slices, found = sorted_slices(
-        counted,
-        total_order,
-        F.coalesce(F.max(SLICE), F.lit(0)).alias("last_slice"),
-        F.coalesce(F.max("__copies"), F.lit(1)).alias("copies"),
-    )
-    if found["copies"] > 1:
-        ends = _prefix(slices, [], {"__end": "__copies"})
-        copies = expand_rows(ends, "__copies", "__copy", most=found["copies"])
-        number = F.col("__end") - F.col("__copies") + F.col("__copy") + start
-        return materialize(copies.select(number.alias(out), *df.columns), "numbered")
-    if found["last_slice"] == 0:
-        return slices.select((F.col(POSITION) + start).alias(out), *df.columns)
-    sizes = slices.groupBy(F.col(SLICE).alias("__offset_slice")).agg(F.count(F.lit(1)).alias("__n"))
-    # one row per slice
-    earlier = Window.orderBy("__offset_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "__offset_slice", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
-    )
-    number = F.col(POSITION) + F.col("__before") + start
-    return slices.join(offsets, F.col(SLICE) == F.col("__offset_slice")).select(
-        number.alias(out), *df.columns
-    )
+    crowded = False
+    if not unique_rows:
+        # a hash is enough to look for them, and only hashes are shuffled
+        hashed = df.groupBy(F.xxhash64(*df.columns).alias("__row")).agg(F.count(F.lit(1)).alias("__copies"))
+        crowded = not hashed.filter(F.col("__copies") > MOST_COPIES).isEmpty()
+    if not crowded:
+        slices, found = sorted_slices(df, total_order, F.coalesce(F.max(SLICE), F.lit(0)).alias("last_slice"))
+        if found["last_slice"] == 0:
+            return slices.select((F.col(POSITION) + start).alias(out), *df.columns)
+        sizes = slices.groupBy(F.col(SLICE).alias("__offset_slice")).agg(F.count(F.lit(1)).alias("__n"))
+        # one row per slice
+        earlier = Window.orderBy("__offset_slice").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select(
+            "__offset_slice", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
+        )
+        number = F.col(POSITION) + F.col("__before") + start
+        return slices.join(offsets, F.col(SLICE) == F.col("__offset_slice")).select(
+            number.alias(out), *df.columns
+        )
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    slices, found = sorted_slices(counted, total_order, F.max("__copies").alias("copies"))
+    ends = _prefix(slices, [], {"__end": "__copies"})
+    expanded = expand_rows(ends, "__copies", "__copy", most=found["copies"])
+    number = F.col("__end") - F.col("__copies") + F.col("__copy") + start
+    return materialize(expanded.select(number.alias(out), *df.columns), "numbered")

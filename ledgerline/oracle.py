@@ -333,6 +333,10 @@ ORACLE: dict[str, str] = {
                round(COUNT(*)::DOUBLE / SUM(COUNT(*)) OVER (), 6) AS share
         FROM events GROUP BY 1""",
     "csv_roundtrip": "SELECT payment_id, customer_id, amount, payment_date FROM shop_payment",
+    "csv_text_roundtrip": """
+        SELECT doc_id, length(text) AS n_chars, md5(text) AS text_md5,
+               '  "quoted", \\ and' || chr(13) || chr(10) || source || ' ""  ' AS source
+        FROM documents""",
     "defaults_applied": """
         SELECT product_id, name, current_price, CAST(NULL AS VARCHAR) AS barcode,
                CAST(0 AS INT) AS reorder_level, CAST(0 AS BIGINT) AS stock_on_hand,
@@ -344,11 +348,12 @@ ORACLE: dict[str, str] = {
                s_name AS full_name
         FROM supplier""",
     "surrogate_keys": """
-        SELECT CAST(row_number() OVER (ORDER BY restock_date, restock_id, product_id, supplier_id,
-                    quantity, unit_cost) AS BIGINT) AS restock_item_id,
-               restock_date AS delivery_date, restock_id AS reference_no, product_id, supplier_id,
-               quantity, unit_cost
-        FROM shop_restock_item""",
+        SELECT CAST(row_number() OVER (ORDER BY delivery_date, reference_no, product_id, supplier_id,
+                    quantity, unit_cost) AS BIGINT) AS restock_item_id, *
+        FROM (SELECT l_shipdate AS delivery_date, l_orderkey AS reference_no, l_partkey AS product_id,
+                     l_suppkey AS supplier_id, CAST(l_quantity AS INT) AS quantity,
+                     CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_cost
+              FROM lineitem) l""",
     "alt_suppliers_split": "SELECT list_no, alt_supplier_name FROM alternate",
     "alt_supplier_lookup": "SELECT * FROM alternate WHERE alt_supplier_name LIKE '%PROMO%'",
     "unpivot_items": """
@@ -439,6 +444,12 @@ ORACLE: dict[str, str] = {
         SELECT i.* FROM shop_txn_item i
         WHERE NOT EXISTS (SELECT 1 FROM shop_txn t WHERE t.customer_id IS NULL
                           AND t.transaction_id = i.transaction_id)""",
+    "delete_with_cascade": """
+        SELECT p.product_id, CAST(p.stock_on_hand + COALESCE(d.q, 0) AS BIGINT) AS stock_on_hand
+        FROM shop_product p LEFT JOIN (
+            SELECT i.product_id, SUM(i.quantity) AS q
+            FROM shop_txn_item i JOIN shop_txn t ON t.transaction_id = i.transaction_id
+            WHERE t.customer_id IS NULL GROUP BY 1) d ON d.product_id = p.product_id""",
     "fd_violations": """
         SELECT product_name, COUNT(DISTINCT product_category) AS n_values FROM delivery_flat
         GROUP BY 1 HAVING COUNT(DISTINCT product_category) > 1""",
@@ -462,6 +473,20 @@ ORACLE: dict[str, str] = {
             SELECT new_product_id, sign * new_quantity FROM shop_stock_change
             WHERE op = 'UPDATE') d
         GROUP BY 1""",
+    "stock_paths_agree": """
+        SELECT s.product_id, CAST(on_hand + COALESCE(d.delta, 0) AS BIGINT) AS maintained,
+               CAST(on_hand + COALESCE(d.delta, 0) AS BIGINT) AS derived, CAST(0 AS BIGINT) AS drift
+        FROM stock s LEFT JOIN (
+            SELECT product_id, SUM(delta) AS delta FROM (
+                SELECT product_id, sign * CASE WHEN op = 'INSERT' THEN quantity ELSE -quantity END AS delta
+                FROM shop_stock_change
+                UNION ALL
+                SELECT new_product_id, sign * new_quantity FROM shop_stock_change WHERE op = 'UPDATE') c
+            GROUP BY 1) d ON d.product_id = s.product_id""",
+    "marts_by_sql": """
+        SELECT category, COUNT(*) AS n_products, COUNT(*) FILTER (on_hand <= reorder_level) AS n_reorder,
+               CAST(SUM(on_hand) AS BIGINT) AS units
+        FROM stock GROUP BY 1""",
     "upsert_latest": """
         SELECT c_custkey AS customer_id, COALESCE(n.nickname, c_mktsegment) AS nickname,
                CASE WHEN n.nickname IS DISTINCT FROM c_mktsegment AND n.customer_id IS NOT NULL

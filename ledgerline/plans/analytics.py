@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +27,9 @@ from ledgerline.plans.marts import balance_cents, charges, hot_customers, on_han
 from ledgerline.plans.reports import day_product_sales, units_per_product
 from ledgerline.session import materialize
 
+# Items per block of a large basket.
+BASKET_BLOCK = 64
+
 
 def calendar_features(dates: DataFrame, column: str) -> DataFrame:
     """Demand features for every day in the range of ``column``; shares add to 1.
@@ -337,10 +339,12 @@ def invoice_aging(shop: Shop) -> DataFrame:
 def frequent_pairs(shop: Shop, item: str, min_support: float) -> DataFrame:
     """Pairs of items bought together in at least ``min_support`` of all sales.
 
-    FP-growth finds the pairs without listing every pair of a basket. Items
-    below the threshold cannot be part of a frequent pair and are removed
+    Items below the threshold cannot be part of a frequent pair and are removed
     first; at most (mean basket size / ``min_support``) items remain, which
-    bounds every basket, however many lines it has.
+    bounds every basket, however many lines it has. Baskets are cut into blocks
+    of about ``BASKET_BLOCK`` items; pairs of blocks yield their pairs of items,
+    which are summed in the task that makes them, so no task holds the pairs of
+    a large basket.
     """
     names = shop.products.select("product_id", F.col(item).alias("item"))
     lines = shop.transaction_items.select("transaction_id", "product_id").distinct()
@@ -350,22 +354,47 @@ def frequent_pairs(shop: Shop, item: str, min_support: float) -> DataFrame:
     baskets = bought.select("transaction_id").distinct().count()
     least = max(1, math.ceil(min_support * baskets))
     singles = bought.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
-    kept = (
-        bought.join(singles.select("item"), "item")
-        .groupBy("transaction_id")
-        .agg(F.collect_list("item").alias("items"))
-    )
-    kept = materialize(kept, "baskets")
-    remaining = kept.count()
-    schema = "item_a string, item_b string, n_both bigint, confidence double, lift double"
-    if remaining == 0:
-        return shop.products.sparkSession.createDataFrame([], schema)
-    # the learner takes a share of the baskets it sees and rounds the count up
-    learner = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / remaining)
-    pairs = learner.fit(kept).freqItemsets.filter(F.size("items") == 2)
-    sorted_pair = F.array_sort("items")
-    counted = pairs.select(
-        sorted_pair[0].alias("item_a"), sorted_pair[1].alias("item_b"), F.col("freq").alias("n_both")
+    kept = materialize(bought.join(singles.select("item"), "item"), "frequent-items")
+    sizes = kept.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    blocks = F.ceil(F.col("size") / BASKET_BLOCK).cast("int")
+    cut = (
+        kept.join(sizes, "transaction_id")
+        .groupBy("transaction_id", F.pmod(F.xxhash64("item"), blocks).alias("block"))
+        .agg(F.sort_array(F.collect_list("item")).alias("items"), F.max(blocks).alias("blocks"))
+    )
+    cut = materialize(cut, "basket-blocks")
+    inside = cut.select(
+        F.explode(
+            F.flatten(
+                F.transform(
+                    "items",
+                    lambda x, i: F.transform(
+                        F.slice("items", i + 2, F.size("items")), lambda y: F.struct(x.alias("a"), y.alias("b"))
+                    ),
+                )
+            )
+        ).alias("pair")
+    )
+    other = cut.filter("blocks > 1").select(
+        "transaction_id", F.col("block").alias("other_block"), F.col("items").alias("others")
+    )
+    between = cut.filter("blocks > 1").join(other, "transaction_id").filter("block < other_block").select(
+        F.explode(
+            F.flatten(
+                F.transform(
+                    "items",
+                    lambda x: F.transform(
+                        "others", lambda y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+                    ),
+                )
+            )
+        ).alias("pair")
+    )
+    counted = (
+        inside.unionByName(between)
+        .groupBy(F.col("pair.a").alias("item_a"), F.col("pair.b").alias("item_b"))
+        .agg(F.count(F.lit(1)).alias("n_both"))
+        .filter(F.col("n_both") >= least)
     )
     a = singles.select(F.col("item").alias("item_a"), F.col("n").alias("n_a"))
     b = singles.select(F.col("item").alias("item_b"), F.col("n").alias("n_b"))
@@ -383,4 +412,4 @@ def stale_balances(shop: Shop, stored: DataFrame) -> DataFrame:
     """Customers whose stored balance is not what the ledger gives."""
     derived = balance_cents(shop).select("customer_id", money("owed").alias("balance"))
     both = stored.join(derived, "customer_id")
-    return both.filter(F.col("stored_balance") != F.col("balance"))
+    return both.filter(~F.col("stored_balance").eqNullSafe(F.col("balance")))

@@ -7,13 +7,15 @@ before any shuffle, and leaves joins between tables with one row per key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import cents, line_cents, money, or_zero
 from ledgerline.functions.text import tagged
 from ledgerline.model import Shop
-from ledgerline.operators.ordered import hot_values, running_total
+from ledgerline.operators.ordered import hot_keys, running_total
 
 
 def units_by_product(items: DataFrame, out: str) -> DataFrame:
@@ -81,10 +83,26 @@ def credit_sales(shop: Shop) -> DataFrame:
     ).select("transaction_id", "customer_id", "transaction_date")
 
 
-def charges(shop: Shop) -> DataFrame:
-    """Credit sales that have lines, with their total in centavos."""
+def charges(shop: Shop, few: bool = False) -> DataFrame:
+    """Credit sales that have lines, with their total in centavos.
+
+    With ``few`` the sales are expected to be a small part of all; their lines
+    are picked before they are summed, so no other line is shuffled.
+    """
+    sales = credit_sales(shop)
+    if few:
+        own = shop.transaction_items.join(sales.select("transaction_id"), "transaction_id", "left_semi")
+        shop = shop.replace(transaction_items=own)
     totals = sale_totals(shop).select("transaction_id", "sale_cents")
-    return credit_sales(shop).join(totals, "transaction_id")
+    return sales.join(totals, "transaction_id")
+
+
+def of_customers(shop: Shop, customer_ids: Sequence[int]) -> Shop:
+    """The shop with the sales and payments of some customers only; lines are left as they are."""
+    chosen = F.col("customer_id").isin(*customer_ids)
+    return shop.replace(
+        transactions=shop.transactions.filter(chosen), credit_payments=shop.credit_payments.filter(chosen)
+    )
 
 
 def balance_cents(shop: Shop) -> DataFrame:
@@ -114,10 +132,10 @@ def customer_balances(shop: Shop) -> DataFrame:
     )
 
 
-def ledger_entries(shop: Shop) -> DataFrame:
-    """Charges and payments on one timeline, amounts in centavos."""
+def ledger_entries(shop: Shop, few: bool = False) -> DataFrame:
+    """Charges and payments on one timeline, amounts in centavos; ``few`` as in :func:`charges`."""
     zero = F.lit(0).cast("bigint")
-    sales = charges(shop).select(
+    sales = charges(shop, few).select(
         "customer_id",
         F.col("transaction_date").alias("entry_date"),
         F.lit("charge").alias("entry_type"),
@@ -136,7 +154,7 @@ def ledger_entries(shop: Shop) -> DataFrame:
     return sales.unionByName(payments)
 
 
-def hot_customers(shop: Shop, rows: int | None = None) -> list:
+def hot_customers(shop: Shop, rows: int | None = None) -> DataFrame:
     """Customers with more ledger entries than one task should sort.
 
     Counts headers and payments only; no line is read.
@@ -144,16 +162,22 @@ def hot_customers(shop: Shop, rows: int | None = None) -> list:
     keys = credit_sales(shop).select("customer_id").unionByName(
         shop.credit_payments.select("customer_id")
     )
-    return hot_values(keys, "customer_id", rows)
+    return hot_keys(keys, "customer_id", rows)
 
 
-def credit_ledger(shop: Shop, hot: list | None = None) -> DataFrame:
+def credit_ledger(
+    shop: Shop, hot: DataFrame | None = None, customer_ids: Sequence[int] | None = None
+) -> DataFrame:
     """The ledger with a running balance per customer.
 
     Entries of one customer are ordered by date and then by the text of their
-    reference. ``hot`` defaults to what :func:`hot_customers` finds.
+    reference. ``hot`` defaults to what :func:`hot_customers` finds. With
+    ``customer_ids`` only these customers' headers, lines and payments are
+    counted, summed and shuffled.
     """
-    entries = ledger_entries(shop).withColumn("net", F.col("debit_cents") - F.col("credit_cents"))
+    if customer_ids is not None:
+        shop = of_customers(shop, customer_ids)
+    entries = ledger_entries(shop, few=customer_ids is not None).withColumn("net", F.col("debit_cents") - F.col("credit_cents"))
     ledger = running_total(
         entries,
         key="customer_id",
@@ -171,3 +195,19 @@ def credit_ledger(shop: Shop, hot: list | None = None) -> DataFrame:
         money("credit_cents").alias("credit"),
         money("running_cents").alias("running_balance"),
     )
+
+
+VIEWS = {
+    "product_stock": product_stock,
+    "customer_balances": customer_balances,
+    "credit_ledger": credit_ledger,
+}
+
+
+def register_views(spark: SparkSession, shop: Shop, tables: bool = True) -> None:
+    """Make the marts, and with ``tables`` the ten tables, available to SQL text by name."""
+    if tables:
+        for name, df in shop.tables():
+            df.createOrReplaceTempView(name)
+    for name, mart in VIEWS.items():
+        mart(shop).createOrReplaceTempView(name)

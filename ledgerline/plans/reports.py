@@ -16,6 +16,7 @@ from ledgerline.plans.marts import (
     product_stock,
     sale_totals,
 )
+from ledgerline.session import materialize
 
 
 def product_sales(shop: Shop) -> DataFrame:
@@ -38,6 +39,17 @@ def category_sales(shop: Shop) -> DataFrame:
     )
 
 
+def category_units(shop: Shop, sold: DataFrame) -> DataFrame:
+    """Units per product group from ``sold``, which has one row per product."""
+    groups = shop.categories.select("category_id", F.col("name").alias("category"))
+    return (
+        sold.join(shop.products.select("product_id", "category_id"), "product_id")
+        .join(groups, "category_id")
+        .groupBy("category")
+        .agg(F.sum("quantity").alias("units"))
+    )
+
+
 def top_categories(shop: Shop, k: int = 5) -> DataFrame:
     return category_sales(shop).orderBy(F.desc("units"), "category").limit(k)
 
@@ -142,9 +154,16 @@ def integrity_report(shop: Shop) -> DataFrame:
         return df.select(F.lit(name).alias("metric"), F.col("value").cast(TOTAL).alias("value"))
 
     count = F.count(F.lit(1)).alias("value")
+    # one row per product serves the line count, the stock and the units
+    sold = materialize(
+        shop.transaction_items.groupBy("product_id").agg(
+            F.count(F.lit(1)).alias("n_lines"), F.sum("quantity").alias("quantity")
+        ),
+        "sold-per-product",
+    )
     stock = (
         shop.products.select("product_id", "stock_on_hand")
-        .join(on_hand(shop).select("product_id", "on_hand"), "product_id")
+        .join(on_hand(shop.replace(transaction_items=sold)).select("product_id", "on_hand"), "product_id")
         .agg(
             F.count_if(F.col("on_hand") != F.col("stock_on_hand")).alias("drift"),
             F.count_if(F.col("stock_on_hand") < 0).alias("negative"),
@@ -154,8 +173,10 @@ def integrity_report(shop: Shop) -> DataFrame:
         F.count_if(F.col("owed") < 0).alias("negative"),
         or_zero(F.sum(money("owed"))).alias("outstanding"),
     )
+    lines = sold.agg(or_zero(F.sum("n_lines")).alias("value"))
     sizes = [
-        metric(df.agg(count), f"rows:{name}") for name, df in shop.tables()
+        metric(lines if name == "transaction_items" else df.agg(count), f"rows:{name}")
+        for name, df in shop.tables()
     ]
     pairs = [
         (stock, "drift", "stock_drift"),
@@ -171,7 +192,7 @@ def integrity_report(shop: Shop) -> DataFrame:
             if source is df
         ]
         unpivoted.append(df.select(F.inline(F.array(*structs))))
-    units = category_sales(shop).select(
+    units = category_units(shop, sold).select(
         F.concat(F.lit("units:"), F.col("category")).alias("metric"), F.col("units").cast(TOTAL).alias("value")
     )
     return union_all([*sizes, *unpivoted, units])

@@ -61,6 +61,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system of ``path`` and the path as its objects."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what a folder holds; none if it does not exist."""
+    files, target = file_system(spark, folder)
+    return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this process.
 

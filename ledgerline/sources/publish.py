@@ -12,13 +12,13 @@ import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.model import TABLES, Shop
 from ledgerline.operators.quality import rule_counts
 from ledgerline.plans.marts import recompute_stock
+from ledgerline.session import file_names, file_system, materialize
 from ledgerline.sources.csv import read_tables
 
 MANIFEST_SCHEMA = "version STRING, sequence BIGINT, published_at TIMESTAMP"
@@ -37,13 +37,22 @@ class ValidationError(ValueError):
     """A load broke at least one rule."""
 
 
+class ConflictError(RuntimeError):
+    """Another load was published or is being published in between."""
+
+
 def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/manifest")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not file_names(spark, f"{root}/manifest"):
+        return None
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/manifest")
+
+
+def _claim(spark: SparkSession, root: str, sequence: int) -> None:
+    """Take a sequence number for this publisher; the file system lets only one have it."""
+    path = f"{root}/claims/{sequence}"
+    files, target = file_system(spark, path)
+    if not files.createNewFile(target):
+        raise ConflictError(f"another load has taken number {sequence}; if it did not finish, remove {path}")
 
 
 def current_version(spark: SparkSession, root: str) -> tuple[str, int] | None:
@@ -73,6 +82,8 @@ def read_published(spark: SparkSession, root: str) -> Shop:
 
 def _write(df: DataFrame, path: str, cluster_by: list[str] | None) -> None:
     if cluster_by is not None:
+        # range bounds come from a sample of the stored rows, so no source is read twice
+        df = materialize(df, "staged")
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     df.write.parquet(path)
 
@@ -81,7 +92,8 @@ def publish(shop: Shop, root: str) -> str:
     """Load ``shop`` as a new version and return its name.
 
     The stored stock count is recomputed once from the staged lines. Raises
-    :class:`ValidationError`, publishing nothing, if any rule is violated.
+    :class:`ValidationError`, publishing nothing, if any rule is violated, and
+    :class:`ConflictError` if another load was published in the meantime.
     Loading the same data again publishes an equal version.
     """
     spark = shop.products.sparkSession
@@ -108,6 +120,7 @@ def publish(shop: Shop, root: str) -> str:
     if problems:
         raise ValidationError("; ".join(sorted(problems)))
     sequence = 1 if previous is None else previous[1] + 1
+    _claim(spark, root, sequence)
     entry = spark.range(1).select(
         F.lit(version).alias("version"),
         F.lit(sequence).cast("bigint").alias("sequence"),

@@ -4,7 +4,7 @@ Each micro-batch is reduced to one delta per key and written to a folder named
 after the batch. A batch that runs again after a failure overwrites its own
 folder, so every change counts exactly once, and no running totals are kept in
 streaming state. The current value is the sum of the deltas; :func:`compact`
-folds finished batches into one when their number grows.
+folds committed batches into one when their number grows.
 """
 
 from __future__ import annotations
@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.changes import stock_deltas
+from ledgerline.session import file_names
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DELTA_SCHEMA = "{key} BIGINT, delta BIGINT, batch_id BIGINT"
 
 
@@ -52,7 +55,11 @@ def distinct_changes(
 
 
 def stock_stream(changes: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Apply a stream of sale and delivery line changes to stock."""
+    """Apply a stream of sale and delivery line changes to stock.
+
+    The ids of delivered changes are kept on the executors' disks, not in their heaps.
+    """
+    changes.sparkSession.conf.set(STATE_STORE, ROCKS)
     return write_deltas(
         stock_deltas(distinct_changes(changes)), "product_id", path, checkpoint, available_now
     )
@@ -67,11 +74,24 @@ def current_totals(spark: SparkSession, key: str, path: str, out: str) -> DataFr
     return read_deltas(spark, key, path).groupBy(key).agg(F.sum("delta").alias(out))
 
 
-def compact(spark: SparkSession, key: str, path: str, target: str) -> None:
-    """Write the net of all finished batches to ``target`` as batch -1.
+def last_committed(spark: SparkSession, checkpoint: str) -> int:
+    """The last batch the stream has committed, -1 before the first."""
+    names = file_names(spark, f"{checkpoint}/commits")
+    return max((int(name) for name in names if name.isdigit()), default=-1)
+
+
+def compact(spark: SparkSession, key: str, path: str, target: str, checkpoint: str) -> int:
+    """Fold all committed batches into batch -1 of ``target``; returns the last one folded.
 
-    Run it while the stream is stopped, then continue the stream with
-    ``target`` as its path and the same checkpoint.
+    A batch that was written but not committed runs again when the stream goes
+    on, so it is copied under its own name, which the rerun overwrites. Run
+    this while the stream is stopped, then continue the stream with ``target``
+    as its path and the same checkpoint.
     """
-    net = current_totals(spark, key, path, "delta")
+    last = last_committed(spark, checkpoint)
+    deltas = read_deltas(spark, key, path)
+    net = deltas.filter(F.col("batch_id") <= last).groupBy(key).agg(F.sum("delta").alias("delta"))
     net.write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+    later = deltas.filter(F.col("batch_id") > last)
+    later.write.mode("append").partitionBy("batch_id").parquet(target)
+    return last

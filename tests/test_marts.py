@@ -31,7 +31,10 @@ def test_customer_balances(spark):
 
 @pytest.mark.parametrize("hot", [[], [1], [1, 2]])
 def test_credit_ledger(spark, hot):
-    got = rows(marts.credit_ledger(small_shop(spark), hot=hot))
+    shop = small_shop(spark)
+    table = spark.createDataFrame([(k,) for k in hot], "customer_id long")
+    got = rows(marts.credit_ledger(shop, hot=table))
+    assert rows(marts.credit_ledger(shop, hot=table, customer_ids=[1])) == [r for r in got if r[0] == 1]
     assert got == [
         (1, day(2), "charge", "TXN#1", D("49.00"), D("0.00"), D("49.00")),
         (1, day(4), "payment", "PAY#1", D("0.00"), D("30.00"), D("19.00")),

@@ -28,12 +28,16 @@ def brute_running(data):
     return sorted(out, key=repr)
 
 
+def hot_table(spark, entries, values):
+    return spark.createDataFrame([(v,) for v in values], entries.select("k").schema)
+
+
 def test_running_total_plain_and_sliced_agree(spark, entries):
     expected = brute_running([tuple(r) for r in entries.collect()])
-    plain = ordered.running_total(entries, "k", ["day", "ref"], "v", "t", hot=[])
+    plain = ordered.running_total(entries, "k", ["day", "ref"], "v", "t", hot=hot_table(spark, entries, []))
     assert rows(plain) == expected
     for hot in ([1], [1, None], [None], [1, 2, 3, 4, 5, None]):
-        sliced = ordered.running_total(entries, "k", ["day", "ref"], "v", "t", hot=hot)
+        sliced = ordered.running_total(entries, "k", ["day", "ref"], "v", "t", hot=hot_table(spark, entries, hot))
         assert rows(sliced) == expected, hot
 
 
@@ -44,16 +48,16 @@ def test_hot_key_is_spread_over_slices(spark, entries):
         sizes = [r["count"] for r in slices.groupBy(ordered.SLICE).count().collect()]
         assert len(sizes) == 8
         assert max(sizes) < 2 * sum(sizes) / len(sizes)
-        total = ordered.running_total(entries, "k", ["day", "ref"], "v", "t", hot=[1])
+        total = ordered.running_total(entries, "k", ["day", "ref"], "v", "t", hot=hot_table(spark, entries, [1]))
         assert rows(total) == brute_running([tuple(r) for r in entries.collect()])
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_hot_values_finds_large_groups_only(spark, entries):
-    assert ordered.hot_values(entries, "k", rows=900) == [1]
-    assert ordered.hot_values(entries, "k", rows=5000) == []
-    assert None in ordered.hot_values(entries, "k", rows=100)
+def test_hot_keys_are_those_of_large_groups(spark, entries):
+    assert rows(ordered.hot_keys(entries, "k", rows=900)) == [(1,)]
+    assert rows(ordered.hot_keys(entries, "k", rows=5000)) == []
+    assert (None,) in rows(ordered.hot_keys(entries, "k", rows=100))
 
 
 @pytest.fixture(params=["one slice", "many slices"])
@@ -135,3 +139,24 @@ def test_hot_join_key_is_split_by_adaptive_execution(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_many_hot_groups_agree_with_the_plain_window(spark, tmp_path):
+    """However many groups are hot, all are summed in slices, and none is collected."""
+    df = spark.range(0, 9000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 1500).alias("k"),
+        F.col("id").alias("at"),
+        (F.col("id") % 7).alias("v"),
+    )
+    hot = ordered.hot_keys(df, "k", 4)
+    assert hot.count() > 1000
+    assert rows(ordered.running_total(df, "k", ["at"], "v", "t", hot)) == rows(
+        ordered.running_total(df, "k", ["at"], "v", "t")
+    )
+
+
+def test_many_copies_are_numbered_alike(spark, monkeypatch):
+    df = spark.createDataFrame([("x", 1)] * 30 + [("a", 2), ("z", 0)], "a string, b int")
+    plain = rows(ordered.number_rows(df, ["a"], "n"))
+    monkeypatch.setattr(ordered, "MOST_COPIES", 5)
+    assert rows(ordered.number_rows(df, ["a"], "n")) == plain

@@ -217,3 +217,45 @@ def test_left_join_named_keeps_rows_without_key(spark):
     facts = spark.createDataFrame([(1, 7), (2, None), (3, 8)], "f int, k int")
     dim = spark.createDataFrame([(7, "x")], "k int, name string")
     assert rows(keys.left_join_named(facts, dim, "k")) == [(1, 7, "x"), (2, None, None), (3, 8, None)]
+
+
+def test_null_keys_in_upserts_and_differences(spark):
+    from datetime import datetime
+
+    schema = "id long, x string, updated_at timestamp"
+    base = spark.createDataFrame([(1, "a", datetime(2000, 1, 1))], schema)
+    new = spark.createDataFrame([(None, "z", 1), (1, "b", 1), (2, "c", 1)], "id long, x string, v int")
+    got = changes.upsert(base, new, "id", ["v"], datetime(2001, 1, 1))
+    assert rows(got, "id", "x") == [(1, "b"), (2, "c")]
+    before = spark.createDataFrame([(None, "a"), (1, "a")], "id long, x string")
+    after = spark.createDataFrame([(1, "a"), (None, "c"), (None, "d")], "id long, x string")
+    log = changes.snapshot_diff(before, after, "id", ["x"])
+    assert rows(log, "id", "op") == [(None, "DELETE"), (None, "INSERT"), (None, "INSERT")]
+
+
+def test_deletes_follow_the_references(spark):
+    from ledgerline.operators import deletes
+
+    shop = small_shop(spark)
+    sales = spark.createDataFrame([(1,), (99,)], "transaction_id long")
+    gone = shop.transaction_items.filter("transaction_id = 1")
+    sold = {r.product_id: r.q for r in gone.groupBy("product_id").agg(F.sum("quantity").alias("q")).collect()}
+    done = deletes.delete_rows(shop, "transactions", sales)
+    assert done.shop.transactions.filter("transaction_id = 1").count() == 0
+    assert done.shop.transaction_items.filter("transaction_id = 1").count() == 0
+    assert done.shop.transaction_items.count() == shop.transaction_items.count() - gone.count()
+    assert rows(done.gone["transaction_items"]) == rows(gone)
+    before = dict(rows(shop.products, "product_id", "stock_on_hand"))
+    after = dict(rows(done.shop.products, "product_id", "stock_on_hand"))
+    assert after == {k: v + sold.get(k, 0) for k, v in before.items()}
+    with pytest.raises(deletes.DeleteBlocked, match="customers: transactions.customer_id"):
+        deletes.delete_rows(shop, "customers", shop.customers.select("customer_id"))
+
+
+def test_marts_as_views(spark):
+    from ledgerline.plans import marts
+
+    marts.register_views(spark, small_shop(spark))
+    assert spark.sql("SELECT * FROM customer_balances b JOIN customers c USING (customer_id)").count() == 2
+    assert spark.sql("SELECT MAX(running_balance) AS m FROM credit_ledger").first().m == 49
+    assert spark.sql("SELECT COUNT(*) AS n FROM product_stock").first().n == 3

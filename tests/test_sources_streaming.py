@@ -4,6 +4,7 @@ from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from helpers import rows
 from ledgerline.functions import money, text
@@ -104,7 +105,7 @@ def test_stream_counts_every_change_once(spark, tmp_path):
     batches = spark.read.parquet(deltas).select("batch_id").distinct().count()
     assert batches == 2
     folded = str(tmp_path / "folded")
-    stock.compact(spark, "product_id", deltas, folded)
+    assert stock.compact(spark, "product_id", deltas, folded, mark) == 1
     assert rows(stock.current_totals(spark, "product_id", folded, "d")) == [(1, 10), (2, -4)]
     # and the stream goes on in the folded place
     feed(spark, source, 0, [(4, "restock", "INSERT", 2, 6, None, None)])
@@ -113,6 +114,66 @@ def test_stream_counts_every_change_once(spark, tmp_path):
     assert rows(stock.current_totals(spark, "product_id", folded, "d")) == [(1, 10), (2, 2)]
 
 
+def test_compaction_leaves_uncommitted_batches_alone(spark, tmp_path):
+    source, deltas, mark, folded = (str(tmp_path / n) for n in ("source", "deltas", "mark", "folded"))
+    schema = "change_id long, side string, op string, product_id long, quantity int, new_product_id long, new_quantity int"
+    for change in (1, 2):
+        feed(spark, source, 0, [(change, "restock", "INSERT", 1, 10, None, None)])
+        stock.stock_stream(spark.readStream.schema(schema).parquet(source), deltas, mark).awaitTermination()
+    # the second batch was written, but the stream ended before it was committed
+    for name in ("1", ".1.crc"):
+        (tmp_path / "mark" / "commits" / name).unlink(missing_ok=True)
+    assert stock.last_committed(spark, mark) == 0
+    assert stock.compact(spark, "product_id", deltas, folded, mark) == 0
+    assert rows(stock.current_totals(spark, "product_id", folded, "d")) == [(1, 20)]
+    stock.stock_stream(spark.readStream.schema(schema).parquet(source), folded, mark).awaitTermination()
+    assert rows(stock.current_totals(spark, "product_id", folded, "d")) == [(1, 20)]
+
+
+TEXTS = ["  lead", "trail  ", "", None, 'say "hi", now', '""', "back\\slash", '\\"', "a,b", "'", "#x", "\t"]
+
+
+def test_csv_text_in_both_directions(spark, tmp_path):
+    import csv as standard
+
+    schema = StructType.fromDDL("n BIGINT, t STRING")
+    for multi_line, texts in ((False, TEXTS), (True, [*TEXTS, "a\nb", "c\r\nd", "e\rf", "\n", 'x\n"y"\n'])):
+        path = str(tmp_path / f"out{multi_line}")
+        wanted = sorted(enumerate(texts))
+        csv.write_csv(spark.createDataFrame(wanted, schema), path, multi_line)
+        assert sorted(tuple(r) for r in csv.read_csv(spark, path, schema, multi_line).collect()) == wanted
+        # what is written is read by a standard reader
+        found = []
+        for part in (tmp_path / f"out{multi_line}").glob("part-*"):
+            with open(part, newline="") as file:
+                found += [(int(r["n"]), r["t"]) for r in standard.DictReader(file)]
+        assert sorted(found) == [(n, t or "") for n, t in wanted]
+        # and the other way round; a standard writer has no sign for NULL
+        folder = tmp_path / f"in{multi_line}"
+        folder.mkdir()
+        with open(folder / "a.csv", "w", newline="") as file:
+            writer = standard.writer(file, lineterminator="\n")
+            writer.writerow(["n", "t"])
+            writer.writerows(wanted)
+        back = sorted(tuple(r) for r in csv.read_csv(spark, str(folder), schema, multi_line).collect())
+        assert [(n, t or "") for n, t in back] == [(n, t or "") for n, t in wanted]
+
+
+def test_line_breaks_need_multi_line(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\rb")], "n long, t string")
+    with pytest.raises(Exception, match="line break"):
+        csv.write_csv(df, str(tmp_path / "x"))
+
+
+def test_two_publishers_cannot_take_one_number(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    publish.publish(small_shop(spark), root)
+    # both have read the same last version
+    monkeypatch.setattr(publish, "current_version", lambda *_: None)
+    with pytest.raises(publish.ConflictError, match="number 1"):
+        publish.publish(small_shop(spark), root)
+
+
 def test_stream_equals_batch_for_a_folder_source(spark, tmp_path, sf_dir):
     from ledgerline.catalog import QUERIES
     from ledgerline.sources import tables
