@@ -25,8 +25,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.rows import in_small_batches
+
 # a task remembers the ids of at most so many words, then forgets them all
-MOST_KNOWN = 1 << 20
+MOST_KNOWN = 1 << 18
 # words up to this length are folded by scanning a list
 SHORT = 64
 MAPS = 1 << 16
@@ -200,7 +202,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keys: list[str]) -> DataFra
     inputs = docs.select(*[F.col(f"`{k}`") for k in keys], F.col("text").cast("string").alias("text"))
     shipped = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
     plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.schema if f.name != "text")
-    return inputs.mapInArrow(_encoder(shipped, pattern, keys), f"{plain}, ids binary")
+    return in_small_batches(inputs).mapInArrow(_encoder(shipped, pattern, keys), f"{plain}, ids binary")
 
 
 def _decoder(pieces) -> Callable:

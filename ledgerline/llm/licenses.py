@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import words as W
+from ledgerline.llm.rows import in_small_batches
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -208,7 +209,7 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment:
     * The templates travel with the job; they are a parameter, not a table. Other columns are ignored.
     """
     inputs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return inputs.mapInArrow(
+    return in_small_batches(inputs).mapInArrow(
         _scanner(Library(prepare(templates)), containment),
         "doc_id long, license string, containment double, first_byte long, end_byte long",
     )

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import words as W
-from ledgerline.llm.rows import CHECK, KEY, keep_rows, row_key
+from ledgerline.llm.rows import CHECK, KEY, in_small_batches, keep_rows, row_key
 from ledgerline.session import materialize
 
 MIN_WORDS = 10
@@ -155,7 +155,7 @@ def measure(docs: DataFrame) -> DataFrame:
     inputs = docs.select(
         F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"), *row_key()
     )
-    return inputs.mapInArrow(_measure, SCHEMA)
+    return in_small_batches(inputs).mapInArrow(_measure, SCHEMA)
 
 
 def frequent_lines(

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import words as W
 from ledgerline.llm.graph import components
-from ledgerline.llm.rows import CHECK, KEY, keep_rows, row_key
+from ledgerline.llm.rows import CHECK, KEY, in_small_batches, keep_rows, row_key
 from ledgerline.session import materialize
 
 # 32 bands of 4 registers: at similarity 0.8 a pair shares no band with probability 5e-8
@@ -407,7 +407,7 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         F.col("text").cast("string").alias("text"),
         *[c.alias(n) for c, n in zip(row_key(), ("key", "check"), strict=True)],
     )
-    rows = materialize(inputs.mapInArrow(_sketcher(size), SKETCH), "sketches")
+    rows = materialize(in_small_batches(inputs).mapInArrow(_sketcher(size), SKETCH), "sketches")
     classes = rows.filter("cls IS NOT NULL").groupBy("cls").agg(
         F.min("doc_id").alias("rep"),
         F.min(F.struct("key", "check")).alias("row"),

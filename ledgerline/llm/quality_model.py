@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import words as W
-from ledgerline.llm.rows import CHECK, KEY, keep_rows, row_key
+from ledgerline.llm.rows import CHECK, KEY, in_small_batches, keep_rows, row_key
 from ledgerline.session import materialize
 
 BUCKET_BITS = 17
@@ -185,7 +185,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = T
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     inputs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *row_key())
-    scored = inputs.mapInArrow(_scorer(shipped), f"doc_id long, {KEY} long, {CHECK} int, score double")
+    scored = in_small_batches(inputs).mapInArrow(_scorer(shipped), f"doc_id long, {KEY} long, {CHECK} int, score double")
     return scored.withColumn("held_out", held_out()).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )

@@ -18,6 +18,25 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+# Texts differ in size by orders of magnitude, so batches on their way to Python are bounded in bytes.
+BATCH_LIMITS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20,
+}
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches are no larger than a task should hold at once."""
+    conf = df.sparkSession.conf
+    for key, limit in BATCH_LIMITS.items():
+        known = conf.get(key, None)
+        digits = "".join(c for c in known or "" if c.isdigit() or c == "-")
+        # a value below 1 stands for no limit, and one with a unit is replaced as well
+        if digits != known or not 0 < int(digits) <= limit:
+            conf.set(key, str(limit))
+    return df
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """96 bits that name a document's id and text; rows that share them are copies of one row."""
     # the nulls are told apart from empty texts and from zero

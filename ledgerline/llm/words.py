@@ -15,7 +15,7 @@ import pyarrow as pa
 
 # Texts are handled in pieces of about this many bytes, which bounds a task's memory; a
 # longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 512 << 10
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.rows import CHECK, KEY, row_key
+from ledgerline.llm.rows import CHECK, KEY, in_small_batches, row_key
 from ledgerline.llm.url_rules import host_of
 from ledgerline.session import materialize
 
@@ -456,7 +456,7 @@ def extract(pages: DataFrame) -> DataFrame:
         F.col("html").cast("string").alias("html"),
     )
     keys = row_key("url", "html")
-    parsed = inputs.select("*", *keys).mapInArrow(
+    parsed = in_small_batches(inputs.select("*", *keys)).mapInArrow(
         _parse_pages,
         f"page_id long, url string, host string, {KEY} long, {CHECK} int, shape string, "
         "blocks array<struct<leaf: int, text: string>>",
