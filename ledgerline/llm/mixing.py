@@ -75,18 +75,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float =
     per_word = F.when(F.col("source_size") > 0, F.col("weight") / F.col("source_size"))
     filled = weighed.filter("source_size > 0")
     level = _level(filled, [], F.col("need"), F.col("source_size"), per_word, F.col("weight"), "level")
-    # a one-row table without a key of its own
-    return (
-        weighed.withColumn("__all", F.lit(0))
-        .join(level.withColumn("__all", F.lit(0)), "__all", "left")
-        .select(
-            "source",
-            "source_size",
-            F.coalesce(
-                F.least((MOST * F.col("source_size")).cast("double"), F.col("level") * F.col("weight")), F.lit(0.0)
-            ).alias("target"),
-        )
-    )
+    # one number
+    found = level.first()
+    reached = F.lit(float(found["level"]) if found else 0.0) * F.col("weight")
+    target = F.least((MOST * F.col("source_size")).cast("double"), reached)
+    return weighed.select("source", "source_size", target.alias("target"))
 
 
 def _preference(column: str | None) -> Column:
