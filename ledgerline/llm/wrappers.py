@@ -71,9 +71,13 @@ MAIN_NAMES = re.compile(
     r"(?:^|[\s_-])(?:article|articlebody|post|entry|story|content|main|maincontent|body|text)(?:$|[\s_-])"
 )
 
+# A script or style lasts to its end tag or the page's end. Pictures, sound and form fields are left out as a
+# whole, and an xmp is taken as it is written; of those, one that is closed at once or never ends with its own tag.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|textarea|svg|math|object|audio|video|canvas|xmp|noframes)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<(script|style)(?=[\s/>])[^>]*(?:>.*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)|\Z)"
+    r"|<(textarea|svg|audio|video|canvas|noframes|xmp)(?=[\s/>])(?:(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>"
+    r"(?:(?<=/>)|([^<]*+(?:<(?!/?\2[\s/>])[^<]*+)*+)</\2(?=[\s/>])[^>]*>)?"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)",
@@ -218,9 +222,13 @@ def parse(source: str) -> tuple[Node, list[tuple[int, str]]]:
         if token.start() > at:
             pending.append(source[at : token.start()])
         at = token.end()
-        name = token[3] or token[6]
+        name = token[5] or token[8]
         if not name:
-            if token[1]:
+            if token[2] and token[2].lower() == "xmp":
+                flush()
+                pending.append(html.escape(token[3] or ""))
+                flush()
+            elif token[1] or token[2]:
                 pending.append(" ")
             continue
         tag = name.lower()
@@ -229,7 +237,7 @@ def parse(source: str) -> tuple[Node, list[tuple[int, str]]]:
                 pending.append(" ")
             continue
         flush()
-        if token[2] or token[5]:
+        if token[4] or token[7]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
@@ -241,7 +249,7 @@ def parse(source: str) -> tuple[Node, list[tuple[int, str]]]:
         if len(stack) > DEPTH:
             stack.append((tag, parent))
             continue
-        node = Node(_label(tag, token[4] or token[7] or ""))
+        node = Node(_label(tag, token[6] or token[9] or ""))
         parent.items.append(node)
         stack.append((tag, node))
     if at < len(source):

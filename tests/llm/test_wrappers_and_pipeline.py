@@ -96,6 +96,24 @@ def test_odd_sources(spark, source, text):
     assert [r.text for r in found if r.page_id == 1] == [text, text]
 
 
+@pytest.mark.parametrize(
+    ("source", "blocks"),
+    [
+        ("<p>a</p><video-player id=1></video-player><p>b</p>", ["a", "b"]),
+        ("<p>a</p><svg width=1/><p>b</p><svg><path d=''/><g>no</g></svg><p>c</p>", ["a", "b", "c"]),
+        ("<p>a</p><video src='x > y'><p>b</p><canvas>no</canvas><p>c</p>", ["a", "b", "c"]),
+        ("<p>a</p><svg><p>b</p><svg>no</svg><p>c</p><audio>no</audio >d", ["a", "b", "c", "d"]),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p><math/><p>b</p>", ["so x=1 holds", "b"]),
+        ("<p>a</p><noscript><p>b</p></noscript><object data=x><p>c</p></object><p>d</p>", ["a", "b", "c", "d"]),
+        ("<p>a</p><xmp><b>&amp;</b></xmp><p>b</p>", ["a", "<b>&amp;</b>", "b"]),
+        ("<p>a</p><script src=x>var p='<p>no</p>'</script x><script-like>b</script-like><style>no", ["a", "b"]),
+        ("<p>a</p><!--><p>b</p><!-- no --!><p>c</p><textarea>no</textarea>", ["a", "b", "c"]),
+    ],
+)
+def test_only_scripts_and_media_are_skipped(source, blocks):
+    assert [text for _, text in wrappers.parse(f"<article>{source}</article>")[1]] == blocks
+
+
 def test_empty_pages(spark):
     assert wrappers.extract(spark.createDataFrame([], PAGES)).count() == 0
 
