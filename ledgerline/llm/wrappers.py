@@ -34,7 +34,9 @@ DEPTH = 60
 # a text that more than half of a slot's pages share, three at least, belongs to the template
 TEMPLATE_PAGES = 3
 TEMPLATE_PERCENT = 50
-ALONE, NOWHERE = -1, -2
+# numbers for slots that are not in the wrapper: ALONE less the slot's own rank, or NOWHERE
+ALONE, NOWHERE = -2, -1
+MAIN_RANKS = (3, 2, 1)
 
 # tags that begin and end a block; all others are markup inside one
 BLOCKS = frozenset(
@@ -321,13 +323,13 @@ def slot_map(expression: Node, wrapper: Node) -> list[int]:
     """For every slot of an expression the number of the wrapper's slot it falls into.
 
     A slot that alignment has put where the walk does not find it is judged by its labels alone:
-    it gets ALONE if no container above it speaks against it, and NOWHERE otherwise.
+    it gets its own rank, below ALONE, if no container above it speaks against it, and NOWHERE otherwise.
     """
     slots = list(expression.slots())
     numbers = {id(leaf): k for k, (leaf, _, _) in enumerate(slots)}
     plain = Node("", items=list(_opened(expression.items)))
     found = _places(plain, wrapper, numbers)
-    return [found.get(k, ALONE if _wanted(path) else NOWHERE) for k, (_, path, _) in enumerate(slots)]
+    return [found.get(k, ALONE - _main_rank(path) if _wanted(path) else NOWHERE) for k, (_, path, _) in enumerate(slots)]
 
 
 def _opened(items: list[Node]) -> Iterator[Node]:
@@ -391,17 +393,16 @@ def _is_aside(label: str) -> bool:
 
 
 def _main_rank(path: tuple[str, ...]) -> int:
-    """How sure the labels above a slot are that it is in the article: 3 (an article) to 0."""
-    rank = 0
+    """The kind of the outermost main container above a slot: 3 (an article) to 1, 0 if there is none."""
     for label in path:
         tag, names, role = _parts(label)
         if tag == "article" or role == "article":
-            rank = 3
-        elif tag == "main" or role in MAIN_ROLES:
-            rank = max(rank, 2)
-        elif tag in ("div", "section", "td") and MAIN_NAMES.search(names):
-            rank = max(rank, 1)
-    return rank
+            return 3
+        if tag == "main" or role in MAIN_ROLES:
+            return 2
+        if tag in ("div", "section", "td") and MAIN_NAMES.search(names):
+            return 1
+    return 0
 
 
 def _wanted(path: tuple[str, ...]) -> bool:
@@ -419,7 +420,7 @@ def _wanted(path: tuple[str, ...]) -> bool:
 
 
 def rank_slots(wrapper: str, statistics: dict[int, tuple[int, int]]) -> list[int]:
-    """For every slot of the wrapper how sure it is to hold the article, -1 if it does not.
+    """For every slot of the wrapper the kind of its main container, -1 if it does not hold the article.
 
     ``statistics`` has, per slot, the pages with it and the pages that share its most frequent
     text. A text outside repeated groups that most pages share is the template's.
@@ -493,12 +494,23 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def rank(block: Column) -> Column:
         known_slot = F.get("ranks", block["slot"])
-        return F.when(block["slot"] == ALONE, 0).when(block["slot"] == NOWHERE, -1).otherwise(known_slot)
+        return F.when(block["slot"] <= ALONE, ALONE - block["slot"]).when(block["slot"] == NOWHERE, -1).otherwise(known_slot)
 
-    # the surest kind of place that a page has text in is its article
-    best = F.array_max(F.transform("blocks", rank))
-    ranked = placed.join(ranks, "host").withColumn("best", best)
-    kept = F.filter("blocks", lambda b: (F.col("best") >= 0) & (rank(b) == F.col("best")))
+    def amount(kind: int) -> Column:
+        """The length of a page's text in main containers of a kind."""
+        own = F.filter("ranked", lambda b: b["rank"] == kind)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda n, b: n + F.char_length(b["text"]))
+
+    # The kind of main container that holds most of a page's text is its article, all of it; a
+    # page that has no text in such containers is one itself.
+    ranked = placed.join(ranks, "host").withColumn(
+        "ranked", F.transform("blocks", lambda b: F.struct(rank(b).alias("rank"), b["text"].alias("text")))
+    )
+    most = F.greatest(*[F.struct(amount(kind).alias("n"), F.lit(kind).alias("kind")) for kind in MAIN_RANKS])
+    ranked = ranked.select("page_id", "url", "ranked", most.alias("most"))
+    best = F.when(F.col("most.n") > 0, F.col("most.kind")).otherwise(0)
+    ranked = ranked.select("page_id", "url", "ranked", best.alias("best"))
+    kept = F.filter("ranked", lambda b: b["rank"] == F.col("best"))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
     return (
         ranked.select("page_id", "url", text.alias("text"))

@@ -114,6 +114,27 @@ def test_only_scripts_and_media_are_skipped(source, blocks):
     assert [text for _, text in wrappers.parse(f"<article>{source}</article>")[1]] == blocks
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<main><h1>T</h1><p>long main text</p></main><article><p>card</p></article>", "T\n\nlong main text"),
+        ("<main><p>long main text</p><article><p>card</p></article></main>", "long main text\n\ncard"),
+        ("<article><p>card</p></article><div class=content><p>long main text</p></div>", "long main text"),
+        ("<div class=content><p>intro</p><article><p>body</p></article><p>outro</p></div>", "intro\n\nbody\n\noutro"),
+        ("<p>outside</p><article><p>one</p></article><h2>x</h2><article class=b><p>two</p></article>", "one\n\ntwo"),
+    ],
+)
+def test_the_main_container_stays_whole(spark, source, text):
+    df = spark.createDataFrame([(1, "http://a.com/x", f"<body>{source}</body>")], PAGES)
+    assert [r.text for r in wrappers.extract(df).collect()] == [text]
+
+
+def test_slots_outside_the_wrapper_keep_their_own_rank():
+    wrapper = wrappers.parse("<body><p>a</p></body>")[0]
+    page = wrappers.parse("<body><article><p>a</p></article><p>b</p><nav>c</nav></body>")[0]
+    assert wrappers.slot_map(page, wrapper) == [wrappers.ALONE - 3, wrappers.ALONE, wrappers.NOWHERE]
+
+
 def test_empty_pages(spark):
     assert wrappers.extract(spark.createDataFrame([], PAGES)).count() == 0
 
