@@ -39,7 +39,7 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SCHEMA = (
     "doc_id long, source string, row_key long, row_check int, "
     + ", ".join(f"{c} long" for c in COUNTS)
-    + ", lines array<long>, line_words array<int>, line_bodies array<long>"
+    + ", lines array<long>, line_words array<int>, body long"
 )
 
 
@@ -85,18 +85,11 @@ def _duplicates(keys: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
     return W.per_owner(texts, n) - W.per_owner(texts[first], n)
 
 
-def _bodies(lines: np.ndarray, sizes: np.ndarray, alone: int) -> np.ndarray:
-    """For every distinct line of a text, a hash of the text's longest other line.
-
-    Copies of a document, edited ones too, mostly agree in it; documents that share only
-    boilerplate do not. A text of one line stands for itself.
-    """
-    if len(lines) < 2:
-        return np.full(len(lines), alone, np.int64)
-    order = np.lexsort((lines, sizes))
-    bodies = np.full(len(lines), lines[order[-1]], np.int64)
-    bodies[order[-1]] = lines[order[-2]]
-    return bodies
+def _bodies(lines: list[np.ndarray]) -> np.ndarray:
+    """A hash of the distinct lines of every text, in order; only texts that agree in all of them share it."""
+    bounds = np.concatenate([[0], np.cumsum([len(own) for own in lines])]).astype(np.int64)
+    flat = np.concatenate(lines) if lines else np.zeros(0, np.int64)
+    return W.span_hashes(flat.view(np.uint64), bounds[:-1], bounds[1:]).view(np.int64)
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,25 +114,22 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             normal = W.span_hashes(folded, first, last).view(np.int64)
             sizes = (last - first).astype(np.int32)
             bounds = np.searchsorted(texts, np.arange(n + 1))
-            lines, line_words, bodies = [], [], []
-            whole = W.span_hashes(folded, words.bounds[:-1], words.bounds[1:]).view(np.int64)
+            lines, line_words = [], []
             for k in range(n):
                 own = normal[bounds[k] : bounds[k + 1]]
-                distinct, at, back = np.unique(own, return_index=True, return_inverse=True)
-                own_sizes = sizes[bounds[k] : bounds[k + 1]]
+                distinct, back = np.unique(own, return_inverse=True)
                 lines.append(distinct)
                 # the words of all copies of a line
-                line_words.append(np.bincount(back, own_sizes, len(distinct)).astype(np.int32))
-                bodies.append(_bodies(distinct, own_sizes[at], whole[k]))
+                line_words.append(np.bincount(back, sizes[bounds[k] : bounds[k + 1]], len(distinct)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     *[part[c] for c in ("doc_id", "source", KEY, CHECK)],
                     *[pa.array(counts[c], pa.int64()) for c in COUNTS],
                     _nested(lines, pa.int64()),
                     _nested(line_words, pa.int32()),
-                    _nested(bodies, pa.int64()),
+                    pa.array(_bodies(lines), pa.int64()),
                 ],
-                names=["doc_id", "source", "row_key", "row_check", *COUNTS, "lines", "line_words", "line_bodies"],
+                names=["doc_id", "source", "row_key", "row_check", *COUNTS, "lines", "line_words", "body"],
             )
 
 
@@ -161,17 +151,17 @@ def measure(docs: DataFrame) -> DataFrame:
 def frequent_lines(
     measured: DataFrame, min_documents: int = MIN_DOCUMENTS, host_percent: float = HOST_PERCENT
 ) -> DataFrame:
-    """Lines (source, line) that more of a host's documents have than the limits allow."""
+    """Lines (source, line) that more of a host's distinct documents have than the limits allow."""
     one_host = F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
     seen = (
-        measured.select(one_host.alias("host"), F.explode(F.arrays_zip("lines", "line_bodies")).alias("l"))
-        .select("host", F.col("l.lines").alias("line"), F.col("l.line_bodies").alias("body"))
+        measured.select(one_host.alias("host"), F.explode("lines").alias("line"), "body")
         .distinct()
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("documents"))
         .filter(F.col("documents") > min_documents)
     )
-    hosts = measured.groupBy(one_host.alias("host")).agg(F.count(F.lit(1)).alias("host_documents"))
+    distinct = measured.select(one_host.alias("host"), "body").distinct()
+    hosts = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
     return seen.join(hosts, "host").filter(F.col("documents") * 100 > F.col("host_documents") * host_percent)
 
 
@@ -186,8 +176,8 @@ def judge(
     * Words, lines and windows are taken from the whole text. NULL and empty texts have no words
       and fail the base rules.
     * Lines are compared without regard to the case of A to Z and to white space. A line counts
-      once per document however often it is repeated there; documents whose longest other line
-      is the same are copies and count once.
+      once per document however often it is repeated there; documents that agree in all their
+      distinct lines are copies and count once, among a line's documents and among the host's.
     * The host is ``source``; NULL is a host of its own.
     * Repeated rows get a row each, with equal verdicts. Ties do not arise. An empty table gives
       none. Other columns of ``docs`` are ignored.
@@ -205,7 +195,7 @@ def judge(
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     left = F.col("n_words") - F.col("boilerplate_words")
     return (
-        measured.drop("lines", "line_words", "line_bodies")
+        measured.drop("lines", "line_words", "body")
         .join(lost, "__row", "left")
         .withColumn("boilerplate_words", F.coalesce("boilerplate_words", F.lit(0)).cast("long"))
         .withColumn("base_failed", base_failed)

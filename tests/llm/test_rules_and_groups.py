@@ -38,6 +38,22 @@ def test_frequent_lines_are_taken_out(spark):
     assert all(found[200 + k].kept and found[200 + k].boilerplate_words == 0 for k in range(40))
 
 
+def test_documents_that_share_several_lines_count(spark):
+    header, disclaimer = " ".join(f"h{k}" for k in range(12)), " ".join(f"d{k}" for k in range(50))
+    rows = [(k, f"{header}\n{' '.join(f'own{k}x{j}' for j in range(8))}\n{disclaimer}", "en", "a", 0) for k in range(30)]
+    # the lines of one document in another order, and again, are a copy of it
+    rows += [(100 + k, f"{disclaimer}\nown text of one document\n{header}\n" + f"{header}\n" * (k % 2), "en", "b", 0) for k in range(30)]
+    # copies do not lower the share of the other documents that have a line
+    menu = "Home | Products | About us | Contact | Legal notice | Press | Jobs today"
+    rows += [(200 + k, f"{menu}\n{' '.join(f'w{k}x{j}' for j in range(40))}", "en", "c", 0) for k in range(25)]
+    rows += [(300 + k, " ".join(f"same{j}" for j in range(20)), "en", "c", 0) for k in range(300)]
+    found = {r.doc_id: r for r in line_rules.judge(docs(spark, rows), min_documents=20, host_percent=10).collect()}
+    assert all(found[k].boilerplate_words == 62 and not found[k].kept for k in range(30))
+    assert all(found[100 + k].boilerplate_words == 0 for k in range(30))
+    assert all(found[200 + k].boilerplate_words == len(menu.split()) and found[200 + k].kept for k in range(25))
+    assert all(found[300 + k].boilerplate_words == 0 and found[300 + k].kept for k in range(300))
+
+
 def test_rules_keep_columns_and_rows(spark):
     table = docs(spark, awkward(), CLASH)
     kept = line_rules.keep_good(table)
