@@ -2,18 +2,21 @@
 
 Every text is covered by overlapping windows a little longer than a template. A window retrieves a
 template if the MinHash values of their shingles agree in one of the bands; the exact share of the
-template's shingles that the window contains then decides.
+template's shingles that the window contains then decides. Words are compared without the
+punctuation around them, and marks alone, as of comments, are no words. A match inside a longer
+match of another template, or with the same words as a fuller one, is part of that one.
 
 A stretch as long as a template of m shingles that holds a share c of them lies inside a window of
 at most 1.125 m + 1 shingles, so their Jaccard similarity is at least about c / (1.125 + 1 - c). At
 c = 0.8 that is 0.6, and 48 bands of 2 values miss it with a probability below 1e-9. A window
-without any shingle of a template has no value in common with it and is passed over.
+with fewer shingles of a template than the share asks for cannot contain it and is passed over.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +26,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm import words as W
 from ledgerline.llm.rows import in_small_batches
 
-SHINGLE = 5
+# words of a shingle, in notices of fewer than ten words and of fewer than six
+SHINGLE, SHORT, SHORTEST = 5, 3, 2
 CONTAINMENT = 0.8
 BAND = 2
 BANDS = 48
@@ -34,6 +38,8 @@ TABLE_BITS = 20
 SHIFT = np.uint64(64 - TABLE_BITS)
 
 _random = np.random.Generator(np.random.PCG64(8))
+MARKS = np.zeros(256, bool)
+MARKS[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 MULTIPLIERS = _random.integers(0, 1 << 63, BAND * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 # fixed values: notices as their licenses word them
@@ -69,6 +75,86 @@ TEMPLATES = {
     "All rights reserved": "All rights reserved.",
 }
 
+_GNU = (
+    "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1}General Public "
+    "License as published by the Free Software Foundation, either version {2} of the License, or (at your option) any "
+    "later version."
+)
+_GNU_COMMA = _GNU.replace("software: you", "software; you").replace(", either", "; either")
+_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+    "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD_2 = (
+    TEMPLATES["BSD-3-Clause"] + ": 1. Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. "
+)
+_CC = "This work is licensed under a Creative Commons {0} {1} International License."
+_CC_KINDS = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+
+# further notices and the short licenses as a whole
+NOTICES = {
+    "MIT text": (
+        TEMPLATES["MIT permission"] + ", and to permit persons to whom the Software is furnished to do so, subject to "
+        "the following conditions: The above copyright notice and this permission notice shall be included in all "
+        "copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY "
+        "KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+        "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+        "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF "
+        "OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "MIT notice": "This project is licensed under the MIT License.",
+    "BSD-2-Clause text": _BSD_2 + _DISCLAIMER,
+    "BSD-3-Clause text": (
+        _BSD_2 + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+        "or promote products derived from this software without specific prior written permission. " + _DISCLAIMER
+    ),
+    "ISC text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+        "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
+        "USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "ISC": "Released under the ISC License.",
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means."
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0 notice": _GNU_COMMA.format("program", "", "2"),
+    "LGPL-2.1 notice": _GNU_COMMA.format("library", "Lesser ", "2.1"),
+    "LGPL-3.0 notice": _GNU.format("program", "Lesser ", "3"),
+    "AGPL-3.0 notice": _GNU.format("program", "Affero ", "3"),
+    "Apache-1.1": "Licensed under the Apache License, Version 1.1.",
+}
+NOTICES |= {f"CC-{kind}-4.0 notice": _CC.format(name, "4.0") for kind, name in _CC_KINDS.items() if kind != "BY"}
+NOTICES |= {f"CC-{kind}-4.0 short": f"Licensed under CC {kind} 4.0." for kind in _CC_KINDS if kind not in ("BY-NC", "BY-SA")}
+
+# the long licenses as a whole, one file each
+_FILES = sorted(resources.files("ledgerline.llm").joinpath("license_texts").iterdir(), key=lambda file: file.name)
+TEXTS = {f"{file.name.removesuffix('.txt')} text": file.read_text("utf-8") for file in _FILES}
+LICENSES = {**TEMPLATES, **NOTICES, **TEXTS}
+
 
 @dataclass
 class Template:
@@ -88,18 +174,37 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return W.mix(pairs[..., 0] * np.uint64(W.BASE) + pairs[..., 1])
 
 
-def _normal_hashes(piece: W.Piece, words: W.Words) -> np.ndarray:
-    return W.word_hashes(piece, words, lower=True)
+def _punctuation(data: np.ndarray) -> np.ndarray:
+    """Which bytes are ASCII punctuation, or of the dashes, quotes and bullets of U+2010 to U+203F."""
+    marks = MARKS[data]
+    first = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x80) & (data[2:] >= 0x90))
+    for k in range(3):
+        marks[first + k] = True
+    return marks
+
+
+def _normal_words(piece: W.Piece) -> tuple[W.Words, np.ndarray]:
+    """The words that hold more than punctuation, and their hashes without punctuation at the ends."""
+    words = W.find_words(piece)
+    core = np.flatnonzero(~(W.SPACE[piece.bytes] | _punctuation(piece.bytes)))
+    first, last = np.searchsorted(core, words.starts), np.searchsorted(core, words.ends)
+    filled = last > first
+    starts, ends = words.starts[filled], words.ends[filled]
+    hashes = W.span_hashes(W.LOWER_VALUES[piece.bytes], core[first[filled]], core[last[filled] - 1] + 1)
+    return W.Words(starts, ends, np.searchsorted(starts, piece.bounds)), hashes
+
+
+def _shingle_size(words: int) -> int:
+    return SHINGLE if words >= 10 else SHORT if words >= 6 else min(SHORTEST, words)
 
 
 def prepare(templates: Mapping[str, str]) -> list[Template]:
-    """Templates ready for scanning. A notice of fewer words than a shingle is one shingle."""
+    """Templates ready for scanning. A template without words is left out."""
     ready = []
     for name, text in templates.items():
-        piece = next(W.pieces(pa.array([text])))
-        words = W.find_words(piece)
-        hashes = _normal_hashes(piece, words)
-        size = min(SHINGLE, len(hashes))
+        piece = next(W.pieces(pa.array([text], pa.string())))
+        _, hashes = _normal_words(piece)
+        size = _shingle_size(len(hashes))
         if size:
             shingles = W.window_hashes(hashes, size)
             ready.append(Template(name, size, len(shingles), np.unique(shingles), signature(shingles)))
@@ -131,6 +236,20 @@ class Library:
                     yield template, *match
 
 
+def _span(values: np.ndarray, places: np.ndarray, length: int) -> tuple[int, int]:
+    """The first and last place of a match; where that is longer than its template, without repetitions at the ends."""
+    first, last = int(places.min()), int(places.max())
+    if last - first >= length:
+        _, back = np.unique(values, return_inverse=True)
+        ends = np.full(back.max() + 1, -1)
+        np.maximum.at(ends, back, places)
+        first = int(ends.min())
+        begins = np.full(len(ends), last)
+        np.minimum.at(begins, back[places >= first], places[places >= first])
+        last = int(begins.max())
+    return first, last
+
+
 def find(
     shingles: np.ndarray, hits: np.ndarray, bounds: np.ndarray, template: Template, least: float
 ) -> Iterator[tuple[int, float, int, int]]:
@@ -150,6 +269,10 @@ def find(
     counts = last - first + 1
     index = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
     windows = np.unique(np.stack([np.repeat(texts, counts), index], 1), axis=0)
+    starts = bounds[windows[:, 0]] + windows[:, 1] * stride
+    ends = np.minimum(starts + width, bounds[windows[:, 0] + 1] - template.size + 1)
+    enough = np.searchsorted(hits, ends) - np.searchsorted(hits, starts) >= least * len(template.values)
+    windows = windows[enough]
     for chunk in np.array_split(windows, max(1, len(windows) * width // 1_000_000)):
         starts = bounds[chunk[:, 0]] + chunk[:, 1] * stride
         ends = np.minimum(starts + width, bounds[chunk[:, 0] + 1] - template.size + 1)
@@ -162,22 +285,51 @@ def find(
             found = np.isin(rows[k], template.values)
             share = len(np.unique(rows[k][found])) / len(template.values)
             if share >= least:
-                places = at[k][found] - bounds[chunk[k, 0]]
-                yield int(chunk[k, 0]), share, int(places.min()), int(places.max()) + template.size - 1
+                first, last = _span(rows[k][found], at[k][found] - bounds[chunk[k, 0]], template.length)
+                yield int(chunk[k, 0]), share, first, last + template.size - 1
+
+
+def _whole(matches: list[tuple[int, int, str, float]]) -> Iterator[tuple[int, int, str, float]]:
+    """The matches (first word, last word, template, share) of a text that are no part of another template's."""
+    fullest: dict[tuple[int, int], float] = {}
+    for first, last, _, share in matches:
+        fullest[first, last] = max(share, fullest.get((first, last), 0.0))
+    # the farthest end so far, and the farthest of the other templates, of spans that begin earlier or end later
+    far, far_name, other = -1, "", -1
+    spans = sorted(fullest, key=lambda s: (s[0], -s[1]))
+    by_span: dict[tuple[int, int], set[str]] = {}
+    for first, last, name, share in matches:
+        if share == fullest[first, last]:
+            by_span.setdefault((first, last), set()).add(name)
+    for first, last in spans:
+        names = by_span[first, last]
+        for name in names:
+            if last > (other if name == far_name else far):
+                yield first, last, name, fullest[first, last]
+        for name in names:
+            if name == far_name:
+                far = max(far, last)
+            elif last > far:
+                far, far_name, other = last, name, far
+            else:
+                other = max(other, last)
 
 
 def _scanner(library: Library, least: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in W.pieces(batch["text"]):
-                words = W.find_words(piece)
-                hashes = _normal_hashes(piece, words)
-                best: dict[tuple[int, str], tuple[float, int, int]] = {}
+                words, hashes = _normal_words(piece)
+                matches: dict[int, list[tuple[int, int, str, float]]] = {}
                 for template, text, share, first, last in library.find(hashes, words.bounds, least):
-                    known = best.get((text, template.name))
-                    # the fullest match, the earliest and shortest of equals
-                    if known is None or (-share, first, last) < (-known[0], known[1], known[2]):
-                        best[text, template.name] = (share, first, last)
+                    matches.setdefault(text, []).append((first, last, template.name, share))
+                best: dict[tuple[int, str], tuple[float, int, int]] = {}
+                for text, own in matches.items():
+                    for first, last, name, share in _whole(own):
+                        known = best.get((text, name))
+                        # the fullest match, the earliest and shortest of equals
+                        if known is None or (-share, first, last) < (-known[0], known[1], known[2]):
+                            best[text, name] = (share, first, last)
                 found = sorted(best.items())
                 rows = pa.array([text for (text, _), _ in found], pa.int64())
                 starts = [int(words.starts[words.bounds[t] + f] - piece.bounds[t]) for (t, _), (_, f, _) in found]
@@ -196,17 +348,34 @@ def _scanner(library: Library, least: float):
     return scan
 
 
-def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+def template_table(licenses: DataFrame) -> dict[str, str]:
+    """Templates from a table of licenses (license, text), a dimension; several texts of one license are numbered."""
+    templates: dict[str, str] = {}
+    rows = licenses.select(F.col("license").cast("string"), F.col("text").cast("string")).dropna().distinct()
+    for name, text in sorted(tuple(row) for row in rows.collect()):
+        key, k = name, 1
+        while key in templates:
+            k += 1
+            key = f"{name} ({k})"
+        templates[key] = text
+    return templates
+
+
+def scan(docs: DataFrame, templates: Mapping[str, str] = LICENSES, containment: float = CONTAINMENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text) and license found in it.
 
     Columns: doc_id, license, containment (share of the template's distinct shingles found in the
     best window), first_byte and end_byte (the match in the text's UTF-8).
 
-    * Words are compared without regard to the case of A to Z. A template of fewer than five words
-      is one shingle of its length.
+    * Words are compared without regard to the case of A to Z and to punctuation at their ends; words
+      of nothing else, such as comment marks, are passed over. Shingles have five words, three in a
+      template of fewer than ten and two in one of fewer than six.
+    * A match inside a longer match of another template, or on the same words as a fuller one, is not
+      given: a license as a whole is one match, not its notices as well.
     * NULL and empty texts contain nothing. Of several matches of a license in a text the fullest is
       given, then the earliest. Repeated rows give repeated results; an empty table gives none.
-    * The templates travel with the job; they are a parameter, not a table. Other columns are ignored.
+    * The templates travel with the job. They are a parameter, of which ``template_table`` makes one from
+      a table of licenses. Other columns are ignored.
     """
     inputs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return in_small_batches(inputs).mapInArrow(

@@ -163,5 +163,45 @@ def test_licenses_equal_brute_force(spark, sf_dir):
     assert licenses.scan(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_licenses_in_other_words_and_as_a_whole(spark):
+    header, bsd = licenses.TEMPLATES["Apache-2.0 header"].split(), licenses.NOTICES["BSD-2-Clause text"]
+    broken = [" ".join(header[k : k + 9]) for k in range(0, len(header), 9)]
+    gnu = licenses.NOTICES["GPL-2.0 notice"]
+    cases = {
+        "Released under the MIT License, as is": {"MIT"},
+        "\u00a9 x. (All rights reserved)": {"All rights reserved"},
+        "All rights reserved": {"All rights reserved"},
+        "# " + "\n# ".join(broken): {"Apache-2.0 header"},
+        "/*\n * " + "\n * ".join(broken) + "\n */": {"Apache-2.0 header"},
+        "//" + "\n//".join(broken): {"Apache-2.0 header"},
+        bsd.replace('"AS IS"', "\u201cAS IS\u201d"): {"BSD-2-Clause text"},
+        licenses.NOTICES["MIT text"]: {"MIT text"},
+        licenses.NOTICES["MIT text"] + "\nReleased under the MIT License!": {"MIT text", "MIT"},
+        gnu: {"GPL-2.0 notice"},
+        "This work is licensed under the GNU General Public License, version 2.": {"GPL-2.0"},
+        "-- " + licenses.NOTICES["LGPL-2.1 notice"]: {"LGPL-2.1 notice"},
+        licenses.NOTICES["AGPL-3.0 notice"]: {"AGPL-3.0 notice"},
+        licenses.NOTICES["ISC text"]: {"ISC text"},
+        licenses.NOTICES["Unlicense"]: {"Unlicense"},
+        licenses.NOTICES["MPL-2.0"]: {"MPL-2.0"},
+        "Licensed under CC BY-ND 4.0": {"CC-BY-ND-4.0 short"},
+        "Licensed under CC BY-NC 3.0, and the MIT License": set(),
+    }
+    cases |= {licenses.TEXTS[f"{name} text"]: {f"{name} text"} for name in ("Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "CC0-1.0", "MPL-2.0")}
+    rows = [(k, text, "en", "a", 0) for k, text in enumerate(cases)]
+    found = {k: set() for k in range(len(rows))}
+    for row in licenses.scan(docs(spark, rows)).collect():
+        found[row.doc_id].add(row.license)
+    assert [found[k] for k in range(len(rows))] == list(cases.values())
+
+
+def test_licenses_from_a_table(spark):
+    table = spark.createDataFrame([("A", "one two three"), ("A", "six of seven"), ("B", None), (None, "x")], "license string, text string")
+    templates = licenses.template_table(table)
+    assert templates == {"A": "one two three", "A (2)": "six of seven"}
+    rows = [(1, "zero, one two three!", "en", "a", 0)]
+    assert [(r.license, r.containment) for r in licenses.scan(docs(spark, rows), templates).collect()] == [("A", 1.0)]
+
+
 def test_licenses_on_awkward_rows(spark):
     assert licenses.scan(docs(spark, awkward(), CLASH)).count() == 0
