@@ -6,14 +6,15 @@ the other: what only one side has becomes optional, what one side repeats become
 the result is the host's wrapper. A page's texts then belong to the wrapper's slots, and a slot is
 judged by its place in the wrapper and by how its texts vary over the pages of the host.
 
-A page is parsed once. Alignment works on the distinct expressions of a host only, first in
-salted parts and then on the parts' wrappers, so a host that has a third of all pages is no
-different from others.
+A page is parsed once. Alignment works on the distinct expressions of a host only, in blocks of
+bounded size and then on the blocks' wrappers, round after round, so a host that has a third of
+all pages is no different from others.
 """
 
 from __future__ import annotations
 
 import html
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -27,8 +28,8 @@ from ledgerline.llm.rows import CHECK, KEY, in_small_batches, row_key
 from ledgerline.llm.url_rules import host_of
 from ledgerline.session import materialize
 
-# parts in which the expressions of a host are aligned first
-PARTS = 16
+# expressions of a host that one task aligns at once
+BLOCK = 64
 # containers nested deeper than this add no level of their own
 DEPTH = 60
 # a text that more than half of a slot's pages share, three at least, belongs to the template
@@ -375,10 +376,12 @@ def _infer(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
-        slots = [
-            slot_map(Node.load(json.loads(shape)), Node.load(json.loads(wrapper)))
-            for shape, wrapper in zip(rows["shape"], rows["wrapper"], strict=True)
-        ]
+        known: dict[str, Node] = {}
+        slots = []
+        for shape, wrapper in zip(rows["shape"], rows["wrapper"], strict=True):
+            if wrapper not in known:
+                known = {wrapper: Node.load(json.loads(wrapper))}
+            slots.append(slot_map(Node.load(json.loads(shape)), known[wrapper]))
         yield pd.DataFrame({"host": rows["host"], "shape_key": rows["shape_key"], "slots": slots})
 
 
@@ -441,10 +444,26 @@ def _rank(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def infer_wrappers(shapes: DataFrame) -> DataFrame:
-    """(host, shape): the wrapper of every host of ``shapes`` (host, shape), whose rows are distinct."""
-    salted = shapes.withColumn("part", F.pmod(F.xxhash64("shape"), F.lit(PARTS)))
-    partial = salted.groupBy("host", "part").applyInPandas(_infer, "host string, shape string")
-    return partial.groupBy("host").applyInPandas(_infer, "host string, shape string")
+    """(host, shape): the wrapper of every host of ``shapes`` (host, shape), whose rows are distinct.
+
+    Expressions of hosts with more than a block of them are dealt into blocks by hash, about half
+    full, and each block gives its wrapper. That is repeated until no host has more than a block.
+    """
+    done = None
+    for turn in itertools.count():
+        sizes = shapes.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK)
+        sizes = materialize(sizes, f"wrapper-sizes-{turn}")
+        if sizes.isEmpty():
+            break
+        small = shapes.join(sizes, "host", "left_anti")
+        done = small if done is None else done.unionByName(small)
+        blocks = F.ceil(F.col("n") * 2 / BLOCK)
+        part = F.pmod(F.xxhash64("shape", F.lit(turn)), blocks).alias("part")
+        dealt = shapes.join(sizes, "host").select("host", "shape", part)
+        aligned = dealt.groupBy("host", "part").applyInPandas(_infer, "host string, shape string")
+        shapes = materialize(aligned.distinct(), f"wrappers-{turn}")
+    rest = shapes if done is None else done.unionByName(shapes)
+    return rest.groupBy("host").applyInPandas(_infer, "host string, shape string")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -473,9 +492,9 @@ def extract(pages: DataFrame) -> DataFrame:
     parsed = materialize(parsed.withColumn("shape_key", F.sha2("shape", 256)), "parsed-pages")
     shapes = materialize(parsed.select("host", "shape", "shape_key").distinct(), "shapes")
     wrappers = materialize(infer_wrappers(shapes.select("host", "shape")), "wrappers")
-    places = shapes.join(wrappers.withColumnRenamed("shape", "wrapper"), "host").mapInPandas(
-        _place, "host string, shape_key string, slots array<int>"
-    )
+    # every row has its host's wrapper with it, so batches are bounded in bytes
+    paired = in_small_batches(shapes.join(wrappers.withColumnRenamed("shape", "wrapper"), "host"))
+    places = paired.mapInPandas(_place, "host string, shape_key string, slots array<int>")
     places = materialize(places, "places")
     placed = parsed.drop("shape").join(places, ["host", "shape_key"])
     # array positions count from 0 in the lists

@@ -156,6 +156,36 @@ def test_alignment():
     assert len(wrappers.slot_map(single, merged)) == 2
 
 
+def test_expressions_are_aligned_in_bounded_blocks(spark, tmp_path, monkeypatch):
+    """A host of many expressions, with the number of them that each call aligns written down."""
+    folder = str(tmp_path)
+    align_all = wrappers._align_all
+
+    def counted(shapes):
+        import uuid
+
+        with open(f"{folder}/{uuid.uuid4()}", "w") as file:
+            file.write(str(len(shapes)))
+        return align_all(shapes)
+
+    def plan(k, n):
+        # as many expressions as subsets of ten tags
+        tags = "ul ol dl table pre blockquote h2 h3 h4 h5".split()
+        return "".join(f"<{tag}>x{n}</{tag}>" for j, tag in enumerate(tags) if k >> j & 1)
+
+    monkeypatch.setattr(wrappers, "_align_all", counted)
+    shapes = {("big.com", wrappers.parse(f"<article><p>a</p>{plan(k, k)}</article>")[0]) for k in range(1000)}
+    rows = [(host, wrappers.json.dumps(shape.dump())) for host, shape in shapes] + [("small.com", '["",0,[["#",0,[]]]]')]
+    df = spark.createDataFrame(rows, "host string, shape string").distinct()
+    found = {r.host: r.shape for r in wrappers.infer_wrappers(df).collect()}
+    assert sorted(found) == ["big.com", "small.com"]
+    sizes = [int(path.read_text()) for path in tmp_path.iterdir()]
+    assert sum(sizes) >= len(rows) and max(sizes) <= 64
+    wrapper = wrappers.Node.load(wrappers.json.loads(found["big.com"]))
+    labels = {label for _, path, _ in wrapper.slots() for label in path}
+    assert labels >= set("p ul ol dl table pre blockquote h2 h3 h4 h5".split())
+
+
 def test_every_operator_is_registered():
     names = set(entry.queries())
     for number in range(1, 11):
