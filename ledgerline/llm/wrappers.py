@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.rows import CHECK, KEY, in_small_batches, row_key
+from ledgerline.llm.rows import CHECK, KEY, in_small_batches
 from ledgerline.llm.url_rules import host_of
 from ledgerline.session import materialize
 
 # expressions of a host that one task aligns at once
 BLOCK = 64
-# containers nested deeper than this add no level of their own
+# containers nested deeper than this add no level of their own, unless their texts are judged by it
 DEPTH = 60
 # a text that more than half of a slot's pages share, three at least, belongs to the template
 TEMPLATE_PAGES = 3
@@ -206,7 +206,8 @@ def align(left: Node, right: Node) -> Node:
 def parse(source: str) -> tuple[Node, list[tuple[int, str]]]:
     """The expression of a page and its texts in order, each with the number of its slot there."""
     root = Node("")
-    stack: list[tuple[str, Node]] = [("", root)]
+    # below DEPTH an entry also has the labels above its texts
+    stack: list[tuple[str, Node, tuple[str, ...]]] = [("", root, ())]
     texts: list[str] = []
     leaves: list[Node] = []
     pending: list[str] = []
@@ -249,12 +250,16 @@ def parse(source: str) -> tuple[Node, list[tuple[int, str]]]:
         while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1][0], ()):
             stack.pop()
         parent = stack[-1][1]
+        label, path = _label(tag, token[6] or token[9] or ""), ()
         if len(stack) > DEPTH:
-            stack.append((tag, parent))
-            continue
-        node = Node(_label(tag, token[6] or token[9] or ""))
+            path = stack[-1][2] or tuple(entry[1].label for entry in stack[1:])
+            if not _matters(label, path):
+                stack.append((tag, parent, path))
+                continue
+            path = (*path, label)
+        node = Node(label)
         parent.items.append(node)
-        stack.append((tag, node))
+        stack.append((tag, node, path))
     if at < len(source):
         pending.append(source[at:])
     flush()
@@ -354,11 +359,11 @@ def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             blocks.append([{"leaf": leaf, "text": text} for leaf, text in texts])
         yield pa.RecordBatch.from_arrays(
             [
-                *[batch[c] for c in ("page_id", "url", "host", KEY, CHECK)],
+                *[batch[c] for c in ("page_id", "url", "host")],
                 pa.array(shapes, pa.string()),
                 pa.array(blocks, text_type),
             ],
-            names=["page_id", "url", "host", KEY, CHECK, "shape", "blocks"],
+            names=["page_id", "url", "host", "shape", "blocks"],
         )
 
 
@@ -422,16 +427,38 @@ def _wanted(path: tuple[str, ...]) -> bool:
     return True
 
 
+def _in_article(path: tuple[str, ...]) -> bool:
+    """Whether a container above a slot says by its tag or role that it holds the article."""
+    for label in path:
+        tag, _, role = _parts(label)
+        if tag in ("article", "main") or role in MAIN_ROLES:
+            return True
+    return False
+
+
+def _matters(label: str, path: tuple[str, ...]) -> bool:
+    """Whether texts in a container are judged otherwise than those beside it; true a few times on a path."""
+    tag = _parts(label)[0]
+    if _is_aside(label):
+        return not any(map(_is_aside, path))
+    if tag == "header" or tag in HEADINGS:
+        kind = ("header",) if tag == "header" else HEADINGS
+        return not any(_parts(above)[0] in kind for above in path)
+    return bool(_main_rank((label,))) and (not _main_rank(path) or (_in_article((label,)) and not _in_article(path)))
+
+
 def rank_slots(wrapper: str, statistics: dict[int, tuple[int, int]]) -> list[int]:
     """For every slot of the wrapper the kind of its main container, -1 if it does not hold the article.
 
     ``statistics`` has, per slot, the pages with it and the pages that share its most frequent
-    text. A text outside repeated groups that most pages share is the template's.
+    text. A text outside repeated groups, articles and main elements that most pages share is the
+    template's.
     """
     ranks = []
     for slot, (_, path, many) in enumerate(Node.load(json.loads(wrapper)).slots()):
         pages, same = statistics.get(slot, (0, 0))
         fixed = not many and same >= TEMPLATE_PAGES and 100 * same > TEMPLATE_PERCENT * pages
+        fixed = fixed and not _in_article(path)
         heading = bool(path) and _parts(path[-1])[0] in HEADINGS
         ranks.append(_main_rank(path) if _wanted(path) and (heading or not fixed) else -1)
     return ranks
@@ -475,7 +502,8 @@ def extract(pages: DataFrame) -> DataFrame:
     * Pages are grouped by the host of their url; NULL urls and urls without a host are one group.
     * NULL and empty html, and pages without any text, give an empty text. Tags that are not
       closed, or closed without being open, are repaired as far as blocks need it.
-    * Copies of a page count once in the statistics of a host. Repeated rows get a row each.
+    * Copies of a page, pages with the same texts under any url, count once in the statistics of a
+      host. Repeated rows get a row each.
     * An empty table gives no rows. Other columns are ignored.
     """
     url = F.col("url").cast("string")
@@ -483,11 +511,9 @@ def extract(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host_of(url).alias("host"),
         F.col("html").cast("string").alias("html"),
     )
-    keys = row_key("url", "html")
-    parsed = in_small_batches(inputs.select("*", *keys)).mapInArrow(
+    parsed = in_small_batches(inputs).mapInArrow(
         _parse_pages,
-        f"page_id long, url string, host string, {KEY} long, {CHECK} int, shape string, "
-        "blocks array<struct<leaf: int, text: string>>",
+        "page_id long, url string, host string, shape string, blocks array<struct<leaf: int, text: string>>",
     )
     parsed = materialize(parsed.withColumn("shape_key", F.sha2("shape", 256)), "parsed-pages")
     shapes = materialize(parsed.select("host", "shape", "shape_key").distinct(), "shapes")
@@ -499,12 +525,16 @@ def extract(pages: DataFrame) -> DataFrame:
     placed = parsed.drop("shape").join(places, ["host", "shape_key"])
     # array positions count from 0 in the lists
     block = F.transform("blocks", lambda b: F.struct(F.get("slots", b["leaf"]).alias("slot"), b["text"].alias("text")))
-    placed = placed.select("page_id", "url", "host", KEY, CHECK, block.alias("blocks"))
+    placed = placed.select("page_id", "url", "host", block.alias("blocks"))
 
-    texts = placed.select("host", KEY, CHECK, F.explode("blocks").alias("b")).select(
+    # copies of a page have all texts in common
+    keys = [F.xxhash64("blocks.text").alias(KEY), F.hash("blocks.text").alias(CHECK)]
+    # named before the blocks are exploded, or each of them would hash all texts of its page
+    keyed = placed.select("host", *keys, "blocks")
+    texts = keyed.select("host", KEY, CHECK, F.explode("blocks").alias("b")).select(
         "host", KEY, CHECK, F.col("b.slot").alias("slot"), F.xxhash64("b.text").alias("value")
     )
-    # a repeated slot has several texts on a page; copies of a page have one key
+    # a repeated slot has several texts on a page
     values = texts.groupBy("host", "slot", KEY, CHECK).agg(F.min("value").alias("value"))
     counted = values.groupBy("host", "slot", "value").agg(F.count(F.lit(1)).alias("n"))
     statistics = counted.groupBy("host", "slot").agg(F.sum("n").alias("pages"), F.max("n").alias("same"))

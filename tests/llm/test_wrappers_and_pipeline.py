@@ -186,6 +186,31 @@ def test_expressions_are_aligned_in_bounded_blocks(spark, tmp_path, monkeypatch)
     assert labels >= set("p ul ol dl table pre blockquote h2 h3 h4 h5".split())
 
 
+def test_copies_do_not_make_an_article_the_template(spark):
+    copy = "<body><div class=post><h1>T</h1><p>the only paragraph</p></div><link href=/{}></body>"
+    rows = [(k, f"http://a.com/{k}", copy.format(k)) for k in range(4)]
+    rows += [(9, "http://a.com/9", "<body><div class=post><h1>U</h1><p>another paragraph</p></div></body>")]
+    # articles that differ in nothing but what is around them
+    other = "<body><p>seen {} times</p><article><h1>T</h1><blockquote>body</blockquote></article></body>"
+    rows += [(20 + k, f"http://b.com/{k}", other.format(k)) for k in range(4)]
+    found = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(found[k] == "T\n\nthe only paragraph" for k in range(4)) and found[9] == "U\n\nanother paragraph"
+    assert all(found[20 + k] == "T\n\nbody" for k in range(4))
+
+
+def test_asides_count_at_any_depth(spark):
+    deep = "<p>keep</p><nav><p>menu</p></nav><div class=comments><div>c</div></div><footer>f</footer><p>also</p>"
+    top = "<header><p>site</p><h1>title</h1></header>"
+    rows = [
+        (1, "http://a.com/x", "<article>" + "<div>" * 70 + deep),
+        (2, "http://b.com/x", "<p>outside</p>" + "<div>" * 70 + f"<main>{top}{deep}</main>"),
+        (3, "http://c.com/x", "<article>" + "<div class=comments><div class=content>" * 2000 + "c</article>"),
+        (4, "http://d.com/x", "<article>" + "<div>" * 70 + "<h1><div class=content><header>" * 1000 + "c"),
+    ]
+    found = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found[1] == "keep\n\nalso" and found[2] == "title\n\nkeep\n\nalso" and found[3] == ""
+
+
 def test_every_operator_is_registered():
     names = set(entry.queries())
     for number in range(1, 11):
