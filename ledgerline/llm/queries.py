@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, chat, licenses, line_rules, mixing, near_dups, quality_model, spots, url_rules, wrappers
+from ledgerline.llm import bpe, chat, licenses, line_rules, mixing, near_dups, quality_model, resampling, spots, url_rules, wrappers
 from ledgerline.llm.rows import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,12 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spots.edited_likeness(read(spark, sf_dir, "documents"))
 
 
+def target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the words of ``benchmark``."""
+    drawn = resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": quality,
     "op2_byte_bpe": byte_bpe,
@@ -86,4 +92,5 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": license_scan,
     "op9_minhash_near_dedup": near_duplicates,
     "op10_spot_fingerprints": fingerprints,
+    "op13_target_resample": target_resample,
 }

@@ -184,10 +184,75 @@ SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, coalesce(component_i
 FROM sets LEFT JOIN least USING (doc_id)
 """
 
+# crc32 as 256 remainders by byte, folded over the bytes of every distinct key
+CRC_TABLE = r"""
+remainders AS MATERIALIZED (
+    SELECT list(list_reduce(range(8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+        ORDER BY i) AS r
+    FROM (SELECT unnest(range(256)) AS i)
+)
+"""
+
+
+def crc32(key: str) -> str:
+    """The crc32 of a text column, where ``remainders`` is joined."""
+    code = f"hex(encode({key}))"
+    octets = f"list_transform(range(len({code}) // 2), lambda k: CAST('0x' || substr({code}, 2 * k + 1, 2) AS BIGINT))"
+    return (
+        f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, r[xor(c & 255, b) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+    )
+
+
+FEATURE_WORDS = r"""regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+RESAMPLE = rf"""
+WITH {CRC_TABLE.strip()},
+found AS MATERIALIZED (
+    SELECT 'd' AS side, doc_id, row_number() OVER () AS row_no, {FEATURE_WORDS} AS words FROM documents
+    UNION ALL SELECT 't', NULL, NULL, {FEATURE_WORDS} FROM benchmark
+),
+counted AS MATERIALIZED (
+    SELECT side, row_no, word, count(*) AS n FROM (SELECT side, row_no, unnest(words) AS word FROM found) GROUP BY ALL
+),
+hashed AS MATERIALIZED (
+    SELECT word, {crc32("word")} % 10000 AS bucket FROM (SELECT DISTINCT word FROM counted), remainders
+),
+buckets AS (
+    SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 'd'), 0)::DOUBLE AS s,
+        coalesce(sum(n) FILTER (WHERE side = 't'), 0)::DOUBLE AS t
+    FROM counted JOIN hashed USING (word) GROUP BY bucket
+),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(((t + 1) * (sum(s) OVER () + 10000)) / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+    FROM buckets
+),
+weights AS (
+    SELECT row_no, CAST(sum(n * gain) AS BIGINT) AS weight
+    FROM counted JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row_no
+),
+scored AS (
+    SELECT doc_id, row_no, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM (SELECT *, CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)::DOUBLE AS h
+          FROM found WHERE side = 'd') LEFT JOIN weights USING (row_no)
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, row_no) AS place,
+        count(*) FILTER (WHERE n_features >= 20) OVER () AS long
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN n_features >= 20 AND place <= 10 * long // 100 THEN place END AS rank
+FROM ranked
+"""
+
 QUERIES: dict[str, str] = {
     "op3_chat_format": CHAT_FORMAT,
     "op4_quality_rules": QUALITY_RULES,
     "op5_mix_sources": MIX,
     "op7_url_filter": URL_FILTER,
     "op9_minhash_near_dedup": NEAR_DUPLICATES,
+    "op13_target_resample": RESAMPLE,
 }

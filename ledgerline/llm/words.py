@@ -144,8 +144,9 @@ def pieces(column: pa.Array) -> Iterator[Piece]:
         first = last
 
 
-def find_words(piece: Piece) -> Words:
-    word = ~SPACE[piece.bytes]
+def find_words(piece: Piece, between: np.ndarray = SPACE) -> Words:
+    """Runs of bytes outside ``between``, which no text's end crosses."""
+    word = ~between[piece.bytes]
     n = len(word)
     begins = np.zeros(n + 1, bool)
     begins[piece.bounds] = True
