@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from ledgerline.llm import bpe, chat, licenses, line_rules, mixing, near_dups, quality_model, resampling, spots, url_rules, wrappers
+from pyspark.sql import functions as F
+
+from ledgerline.llm import (
+    bit_slices,
+    bpe,
+    chat,
+    licenses,
+    line_rules,
+    mixing,
+    near_dups,
+    quality_model,
+    resampling,
+    spots,
+    turn_repair,
+    url_rules,
+    wrappers,
+)
 from ledgerline.llm.rows import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +90,15 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spots.edited_likeness(read(spark, sf_dir, "documents"))
 
 
+def top_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return bit_slices.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_damaged(read(spark, sf_dir, "conversations"))
+
+
 def target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents, drawn towards the words of ``benchmark``."""
     drawn = resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -92,5 +116,7 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": license_scan,
     "op9_minhash_near_dedup": near_duplicates,
     "op10_spot_fingerprints": fingerprints,
+    "op11_bit_sliced_top_k": top_neighbours,
+    "op12_turn_repair": turns,
     "op13_target_resample": target_resample,
 }

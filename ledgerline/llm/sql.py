@@ -248,11 +248,115 @@ SELECT doc_id, n_features, weight, score,
 FROM ranked
 """
 
+TOP_K = r"""
+WITH vectors AS (
+    SELECT vec_id, row_number() OVER () AS row_no, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, q.row_no, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.row_no != c.row_no
+    WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank,
+    vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
+def _step(state: int, keeps: dict[str, int], wants: int, role: str) -> str:
+    """The cheapest way from a grammar state over a turn without inserting: delete it, keep it or re-role it."""
+    kept = " ".join(
+        f"WHEN initial = '{c}' THEN {{'c': cut + f[{to}].c, 'a': 'K' || f[{to}].a, 'l': list_prepend(role || ':' || text, f[{to}].l)}}"
+        for c, to in keeps.items()
+    )
+    return f"""list_sort(list_filter([
+            {{'c': 3 + f[{state}].c, 'a': 'D' || f[{state}].a, 'l': f[{state}].l}},
+            CASE WHEN faulty THEN NULL {kept} END,
+            CASE WHEN NOT faulty THEN {{'c': 2 + cut + f[{wants}].c, 'a': 'R' || f[{wants}].a,
+                'l': list_prepend('{role}:' || text, f[{wants}].l)}} END
+        ], lambda o: o IS NOT NULL))[1]"""
+
+
+def _inserted(own: str, after: str, role: str) -> str:
+    return f"""list_sort([{own}, {{'c': 2 + {after}.c, 'a': 'I' || {after}.a, 'l': list_prepend('{role}:', {after}.l)}}])[1]"""
+
+
+# f lists the grammar states: nothing yet, after system, after user, after assistant
+TURN_REPAIR = rf"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+    FROM conversations
+),
+kinds AS (SELECT keyed.*, {crc32("key")} % 20 AS kind FROM keyed, remainders),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+    FROM kinds, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+),
+ordered AS (
+    SELECT *, left(role, 1) AS initial, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS stripped,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS place
+    FROM damaged
+),
+faults AS (
+    SELECT *, stripped = '' AS blank,
+        stripped != '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS duplicate,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial AS pair,
+        count(*) OVER (PARTITION BY conv_id) AS of
+    FROM ordered
+),
+turns AS MATERIALIZED (
+    SELECT *, blank OR duplicate AS faulty,
+        CASE WHEN NOT blank AND NOT duplicate AND NOT suffix(stripped, '.') AND NOT suffix(stripped, '!') AND NOT suffix(stripped, '?')
+            THEN 1 ELSE 0 END AS cut
+    FROM faults
+),
+counts AS (
+    SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+        count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate, CAST(sum(cut) AS BIGINT) AS truncated,
+        count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM turns GROUP BY conv_id
+),
+repair(conv_id, place, f) AS (
+    SELECT conv_id, of + 1, [
+        {{'c': 0, 'a': '', 'l': []::VARCHAR[]}}, {{'c': 4, 'a': 'II', 'l': ['user:', 'assistant:']}},
+        {{'c': 2, 'a': 'I', 'l': ['assistant:']}}, {{'c': 0, 'a': '', 'l': []::VARCHAR[]}}]
+    FROM (SELECT DISTINCT conv_id, of FROM turns)
+    UNION ALL
+    SELECT conv_id, place, [
+        {_inserted("g[1]", "h3", "user")}, {_inserted("g[2]", "h3", "user")}, h3, {_inserted("g[4]", "h3", "user")}]
+    FROM (
+        SELECT conv_id, place, g, {_inserted("g[3]", "g[4]", "assistant")} AS h3
+        FROM (
+            SELECT turns.conv_id, turns.place, [
+                {_step(1, {"s": 2, "u": 3}, 3, "user")},
+                {_step(2, {"u": 3}, 3, "user")},
+                {_step(3, {"a": 4}, 4, "assistant")},
+                {_step(4, {"u": 3}, 3, "user")}] AS g
+            FROM repair JOIN turns
+                ON turns.conv_id IS NOT DISTINCT FROM repair.conv_id AND turns.place = repair.place - 1
+        )
+    )
+)
+SELECT every.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(f[1].c, 0) AS BIGINT) AS cost,
+    coalesce(f[1].a, '') AS audit, sha256(coalesce(array_to_string(f[1].l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) every
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM every.conv_id
+LEFT JOIN repair ON repair.conv_id IS NOT DISTINCT FROM every.conv_id AND repair.place = 1
+"""
+
 QUERIES: dict[str, str] = {
     "op3_chat_format": CHAT_FORMAT,
     "op4_quality_rules": QUALITY_RULES,
     "op5_mix_sources": MIX,
     "op7_url_filter": URL_FILTER,
     "op9_minhash_near_dedup": NEAR_DUPLICATES,
+    "op11_bit_sliced_top_k": TOP_K,
+    "op12_turn_repair": TURN_REPAIR,
     "op13_target_resample": RESAMPLE,
 }
