@@ -13,13 +13,13 @@ from pyspark.sql.types import StructType
 from ledgerline.functions.money import PRICE, cents, money
 from ledgerline.functions.text import barcode, document_no, one_line, tagged
 from ledgerline.model import TABLES
-from ledgerline.operators import allocate, changes, deletes, quality
+from ledgerline.operators import allocate, changes, deletes, inclusion, names, quality
 from ledgerline.operators.keys import Resolved, extract_dimension, next_ids, resolve_keys
 from ledgerline.operators.ordered import number_rows
 from ledgerline.operators.reshape import expand_rows, split_evenly, split_packed, unpivot_groups
-from ledgerline.plans import analytics, marts, normalize, reports
+from ledgerline.plans import analytics, design, maintained, marts, normalize, reports
 from ledgerline.session import scratch_path
-from ledgerline.sources import csv, publish, tables
+from ledgerline.sources import csv, feeds, publish, tables
 from ledgerline.streaming import stock as streaming_stock
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -509,9 +509,52 @@ def stale_balance(spark, sf_dir):
     return analytics.stale_balances(tables.shop(spark, sf_dir), stored)
 
 
+# --- Structure found in the data --------------------------------------------
+
+
+@query
+def fd_discovery(spark, sf_dir):
+    """Every minimal dependency of the delivery log, with up to three columns on the left."""
+    return design.dependency_table(tables.deliveries_flat(spark, sf_dir))
+
+
+@query
+def normal_form_plan(spark, sf_dir):
+    """The tables that the flat order list should be cut into, by the dependencies found in it."""
+    return design.design_table(tables.orders_flat(spark, sf_dir))
+
+
+@query
+def inclusion_candidates(spark, sf_dir):
+    """Which columns of the supplied tables may refer to which others."""
+    return inclusion.inclusions(tables.given(spark, sf_dir))
+
+
+@query
+def name_clusters(spark, sf_dir):
+    """Spellings of product and customer names that are one typing error apart."""
+    return names.clusters(tables.typed_names(spark, sf_dir), "name")
+
+
 # --- Incremental maintenance ------------------------------------------------
 
 
+@query
+def balances_maintained(spark, sf_dir):
+    """Balances moved by four batches of changes to sales, lines and payments."""
+    root = scratch_path(spark, "kept-balances")
+    maintained.keep_balances(root, feeds.sale_batches(spark, sf_dir))
+    return maintained.kept_balances(spark, root, tables.customers(spark, sf_dir).select("customer_id"))
+
+
+@query
+def category_revenue_maintained(spark, sf_dir):
+    """Sales per product group moved by four batches of changes to products and lines."""
+    root = scratch_path(spark, "kept-sales")
+    maintained.keep_category_sales(root, feeds.product_batches(spark, sf_dir))
+    return maintained.kept_category_sales(spark, root)
+
+
 @query
 def stock_cdc_batch(spark, sf_dir):
     return changes.net_stock(changes.stock_deltas(tables.stock_changes(spark, sf_dir)))

@@ -7,6 +7,7 @@ the ones it names.
 from __future__ import annotations
 
 import re
+from itertools import combinations
 
 VIEWS: dict[str, str] = {
     "shop_product": """
@@ -647,6 +648,164 @@ ORACLE: dict[str, str] = {
                                        GROUP BY 1) s ON s.transaction_id = c.transaction_id) z
         WHERE open_amount > 0 GROUP BY 1""",
 }
+
+def _set_counts(table: str, columns: list[str], most: int) -> str:
+    """Distinct rows of ``table`` in every set of up to ``most`` columns; a set is a mask of bits."""
+    sets = [s for n in range(1, most + 1) for s in combinations(range(len(columns)), n)]
+    counts = [f"SELECT 0 AS mask, CAST(COUNT(*) > 0 AS BIGINT) AS n FROM {table}"]
+    for s in sets:
+        names = ", ".join(columns[k] for k in s)
+        counts.append(f"SELECT {sum(1 << k for k in s)}, COUNT(*) FROM (SELECT DISTINCT {names} FROM {table})")
+    return " UNION ALL ".join(counts)
+
+
+def _dependencies(table: str, columns: list[str], most: int) -> str:
+    """Common table expressions: counts of all sets, and the minimal dependencies (left, a, n)."""
+    names = ", ".join(f"'{c}'" for c in columns)
+    return f"""
+        flat AS MATERIALIZED (SELECT * FROM {table}),
+        sets AS MATERIALIZED ({_set_counts("flat", columns, most)}),
+        place AS (SELECT unnest([{names}]) AS name, unnest(range({len(columns)})) AS a),
+        holding AS MATERIALIZED (
+            SELECT l.mask AS lhs, a, l.n FROM sets l, place
+            JOIN sets b ON b.mask = l.mask | (1 << a)
+            WHERE l.mask & (1 << a) = 0 AND bit_count(l.mask) <= 3 AND b.n = l.n),
+        minimal AS MATERIALIZED (
+            SELECT * FROM holding h WHERE NOT EXISTS (
+                SELECT 1 FROM holding s WHERE s.a = h.a AND s.lhs <> h.lhs AND s.lhs & h.lhs = s.lhs))"""
+
+
+def _names(mask: str) -> str:
+    return f"(SELECT coalesce(string_agg(name, ', ' ORDER BY a), '') FROM place WHERE ({mask}) & (1 << a) <> 0)"
+
+
+DELIVERY_COLUMNS = (
+    "delivery_date reference_no supplier_name supplier_contact product_name product_category qty_received unit_cost"
+).split()
+ORACLE["fd_discovery"] = f"""WITH delivery_flat AS ({{delivery_flat}}),{_dependencies("delivery_flat", DELIVERY_COLUMNS, 4)}
+        SELECT {_names("lhs")} AS determinant, name AS dependent, n AS n_values
+        FROM minimal JOIN place USING (a)"""
+
+ORDER_COLUMNS = (
+    "reference_no sale_date priority payment_type customer_name customer_nickname country region currency"
+).split()
+# a set of columns identifies the list if no closed set but the whole contains it
+ORACLE["normal_form_plan"] = f"""WITH order_flat AS (
+            SELECT o_orderkey AS reference_no, CAST(o_orderdate AS DATE) AS sale_date, o_orderpriority AS priority,
+                   CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'credit' ELSE 'cash' END AS payment_type,
+                   c_name AS customer_name, c_mktsegment AS customer_nickname, n_name AS country, r_name AS region,
+                   'PHP' AS currency
+            FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+            JOIN region ON r_regionkey = n_regionkey),{_dependencies("order_flat", ORDER_COLUMNS, len(ORDER_COLUMNS))},
+        reach AS (SELECT lhs, lhs | bit_or(1 << a) AS closure FROM holding
+                  WHERE lhs IN (SELECT lhs FROM minimal) GROUP BY lhs),
+        masks AS (SELECT unnest(range(1 << {len(ORDER_COLUMNS)})) AS m),
+        lower AS (SELECT DISTINCT up.closure, minimal.lhs, minimal.a FROM reach up
+                  JOIN reach down ON down.closure & up.closure = down.closure AND down.closure <> up.closure
+                  JOIN minimal ON minimal.lhs = down.lhs),
+        groups AS (SELECT closure, bit_or(lhs) AS keyed,
+                          arg_min(lhs, {{'n': bit_count(lhs), 'k': list_filter(range({len(ORDER_COLUMNS)}), lambda k: lhs & (1 << k) <> 0)}}) AS key
+                   FROM reach GROUP BY closure),
+        stuck AS MATERIALIZED (SELECT closure, m FROM groups JOIN masks ON m & closure = m AND m <> closure
+                  WHERE NOT EXISTS (SELECT 1 FROM lower WHERE lower.closure = groups.closure
+                                    AND lower.lhs & m = lower.lhs AND m & (1 << a) = 0)),
+        parts AS (SELECT closure, key, min(m) AS cols FROM groups JOIN masks ON m & closure = m AND m & keyed = keyed
+                  WHERE NOT EXISTS (SELECT 1 FROM stuck WHERE stuck.closure = groups.closure AND masks.m & stuck.m = masks.m)
+                  GROUP BY closure, key),
+        closed AS (SELECT m FROM masks WHERE m <> (1 << {len(ORDER_COLUMNS)}) - 1 AND NOT EXISTS (
+                   SELECT 1 FROM minimal WHERE lhs & m = lhs AND m & (1 << a) = 0)),
+        root AS (SELECT min(m) AS m FROM masks WHERE NOT EXISTS (
+                 SELECT 1 FROM closed WHERE masks.m & closed.m = masks.m)),
+        every AS (SELECT cols, key FROM parts
+                  UNION ALL SELECT m, m FROM root
+                  WHERE NOT EXISTS (SELECT 1 FROM parts WHERE closure = (1 << {len(ORDER_COLUMNS)}) - 1))
+        SELECT {_names("cols")} AS columns, {_names("key")} AS key, n AS n_rows
+        FROM every JOIN sets ON sets.mask = cols"""
+
+GIVEN = {
+    "region": "r_regionkey:integer r_name:string",
+    "nation": "n_nationkey:integer n_name:string n_regionkey:integer",
+    "customer": "c_custkey:integer c_name:string c_nationkey:integer c_acctbal:fraction c_mktsegment:string",
+    "supplier": "s_suppkey:integer s_name:string s_nationkey:integer s_acctbal:fraction",
+    "part": "p_partkey:integer p_name:string p_brand:string p_type:string p_size:integer p_retailprice:fraction",
+    "orders": "o_orderkey:integer o_custkey:integer o_orderstatus:string o_totalprice:fraction o_orderdate:time"
+    " o_orderpriority:string",
+    "lineitem": "l_orderkey:integer l_partkey:integer l_suppkey:integer l_linenumber:integer l_quantity:fraction"
+    " l_extendedprice:fraction l_discount:fraction l_tax:fraction l_returnflag:string l_linestatus:string l_shipdate:time",
+    "events": "event_id:integer ts:time user_id:integer event_type:string value:fraction props:string",
+    "documents": "doc_id:integer text:string lang:string source:string n_chars:integer",
+    "embeddings": "vec_id:integer label:integer",
+    "pages": "page_id:integer url:string html:string",
+    "benchmark": "item_id:integer text:string",
+    "labels": "doc_id:integer quality:integer toxic:integer",
+    "conversations": "conv_id:integer turn:integer role:string text:string",
+}
+_VALUES = " UNION ALL ".join(
+    f"SELECT '{table}' AS t, '{name}' AS c, '{kind}' AS kind, CAST({name} AS VARCHAR) AS v, COUNT(*) AS n FROM {table}"
+    f" WHERE {name} IS NOT NULL GROUP BY ALL"
+    for table, columns in GIVEN.items()
+    for name, kind in (column.split(":") for column in columns.split())
+)
+ORACLE["inclusion_candidates"] = f"""WITH vals AS MATERIALIZED ({_VALUES}),
+        sizes AS (SELECT t, c, COUNT(*) AS n_values, MAX(n) = 1 AS is_key FROM vals GROUP BY ALL)
+        SELECT a.t AS from_table, a.c AS from_column, b.t AS to_table, b.c AS to_column, MAX(sa.n_values) AS n_values,
+               COUNT(*) AS n_found, bool_or(sb.is_key) AS to_is_key
+        FROM vals a JOIN vals b ON a.kind = b.kind AND a.v = b.v AND (a.t <> b.t OR a.c <> b.c)
+        JOIN sizes sa ON sa.t = a.t AND sa.c = a.c JOIN sizes sb ON sb.t = b.t AND sb.c = b.c
+        GROUP BY 1, 2, 3, 4 HAVING COUNT(*) * 100 >= MAX(sa.n_values) * 90"""
+
+ORACLE["name_clusters"] = """WITH RECURSIVE listed AS (
+            SELECT key, name, key % 12 AS slip, key // 12 % 7 + 1 AS place
+            FROM (SELECT p_partkey AS key, p_name AS name FROM part UNION ALL
+                  SELECT o_orderkey, c_name FROM orders JOIN customer ON c_custkey = o_custkey)),
+        counted AS (
+            SELECT name, COUNT(*) AS n_rows, trim(regexp_replace(lower(name), '\\s+', ' ', 'g')) AS normal
+            FROM (SELECT CASE slip
+                WHEN 1 THEN left(name, place - 1) || substr(name, place + 1)
+                WHEN 2 THEN left(name, place) || substr(name, place, 1) || substr(name, place + 1)
+                WHEN 3 THEN left(name, place - 1) || 'x' || substr(name, place + 1)
+                WHEN 4 THEN '  ' || upper(name) || ' ' ELSE name END AS name FROM listed)
+            GROUP BY 1),
+        normals AS MATERIALIZED (
+            SELECT DISTINCT normal, regexp_replace(normal, '[0-9]+', '0', 'g') AS letters,
+                   array_to_string(regexp_extract_all(normal, '[0-9]+'), ' ') AS numbers FROM counted),
+        near AS MATERIALIZED (
+            SELECT a.normal AS x, b.normal AS y FROM normals a JOIN normals b ON a.numbers = b.numbers
+            WHERE levenshtein(a.letters, b.letters) <= 1),
+        reached(normal, other) AS (
+            SELECT normal, normal FROM normals UNION
+            SELECT reached.normal, near.y FROM reached JOIN near ON near.x = reached.other),
+        labels AS (SELECT normal, MIN(other) AS label FROM reached GROUP BY 1),
+        heads AS (SELECT label, arg_min(name, {'n': -n_rows, 'm': name}) AS cluster, COUNT(*) AS n_names
+                  FROM counted JOIN labels USING (normal) GROUP BY 1)
+        SELECT name, n_rows, cluster, n_names FROM counted JOIN labels USING (normal) JOIN heads USING (label)"""
+
+ORACLE["balances_maintained"] = """
+        SELECT customer_id, CAST(COALESCE(charged, 0) AS DECIMAL(38,2)) AS total_utang,
+               CAST(COALESCE(paid, 0) AS DECIMAL(38,2)) AS total_paid,
+               CAST(COALESCE(charged, 0) - COALESCE(paid, 0) AS DECIMAL(38,2)) AS balance
+        FROM shop_customer
+        LEFT JOIN (
+            SELECT customer_id, SUM(quantity * unit_price) AS charged
+            FROM (SELECT transaction_id,
+                         CASE WHEN transaction_id % 7 = 3 THEN customer_id // 2 ELSE customer_id END AS customer_id,
+                         CASE WHEN transaction_id % 14 = 3 THEN 'credit' ELSE payment_type END AS payment_type
+                  FROM shop_txn WHERE transaction_id % 11 <> 5) t
+            JOIN (SELECT transaction_id, unit_price,
+                         CASE line_no WHEN 2 THEN quantity + 1 WHEN 4 THEN 1 ELSE quantity END AS quantity
+                  FROM shop_txn_item WHERE transaction_id % 22 <> 5) i USING (transaction_id)
+            WHERE payment_type = 'credit' GROUP BY 1) c USING (customer_id)
+        LEFT JOIN (
+            SELECT customer_id, SUM(amount + CASE WHEN payment_id % 9 = 2 THEN 1 ELSE 0 END) AS paid
+            FROM shop_payment WHERE payment_id % 9 <> 4 GROUP BY 1) p USING (customer_id)"""
+ORACLE["category_revenue_maintained"] = """
+        SELECT category, CAST(SUM(quantity) AS BIGINT) AS units, CAST(SUM(quantity * unit_price) AS DECIMAL(38,2)) AS sales
+        FROM (SELECT product_id, unit_price, CASE WHEN line_no = 2 THEN quantity + 1 ELSE quantity END AS quantity
+              FROM shop_txn_item WHERE line_no <> 4) i
+        JOIN (SELECT product_id, CASE WHEN product_id % 4 = 1 THEN 'PROMO' ELSE category END AS category
+              FROM shop_product WHERE product_id % 17 <> 3) p USING (product_id)
+        GROUP BY 1"""
+ORACLE["fd_discovery"] = ORACLE["fd_discovery"].replace("{delivery_flat}", VIEWS["delivery_flat"])
 ORACLE["load_published"] = ORACLE["load_counts"].replace(
     "FROM shop_payment", "FROM shop_payment WHERE amount > 0"
 )
@@ -670,5 +829,5 @@ def oracle_sql() -> dict[str, str]:
     result = {}
     for name, sql in ORACLE.items():
         views = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in _needed(sql))
-        result[name] = f"WITH {views}\n{sql}" if views else sql
+        result[name] = f"WITH {views}\n{sql}" if views and not sql.startswith("WITH") else sql
     return result

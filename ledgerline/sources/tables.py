@@ -266,6 +266,62 @@ def sales_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def typed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of products, and of the customers on all orders, as hands type them.
+
+    A few letters are lost, doubled or hit wrong.
+    """
+    goods = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.col("p_name").alias("name"))
+    order, person = read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer")
+    people = order.join(person, order["o_custkey"] == person["c_custkey"]).select(
+        F.col("o_orderkey").alias("key"), F.col("c_name").alias("name")
+    )
+    slip, place = F.col("key") % 12, (F.floor(F.col("key") / 12) % 7 + 1).cast("int")
+    before, after = F.substring(F.col("name"), F.lit(1), place - 1), F.substring(F.col("name"), place + 1, F.length("name"))
+    letter = F.substring(F.col("name"), place, F.lit(1))
+    return goods.unionByName(people).select(
+        F.when(slip == 1, F.concat(before, after))
+        .when(slip == 2, F.concat(before, letter, letter, after))
+        .when(slip == 3, F.concat(before, F.lit("x"), after))
+        .when(slip == 4, F.concat(F.lit("  "), F.upper("name"), F.lit(" ")))
+        .otherwise(F.col("name"))
+        .alias("name")
+    )
+
+
+def given(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The supplied tables by name."""
+    names = (
+        "region nation customer supplier part orders lineitem events documents embeddings pages"
+        " benchmark labels conversations"
+    )
+    return {name: read_table(spark, sf_dir, name) for name in names.split()}
+
+
+def orders_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order, with the customer, the country and the region written out every time."""
+    order = read_table(spark, sf_dir, "orders")
+    person = read_table(spark, sf_dir, "customer")
+    country = read_table(spark, sf_dir, "nation")
+    region = read_table(spark, sf_dir, "region")
+    return (
+        order.join(person, order["o_custkey"] == person["c_custkey"])
+        .join(country, person["c_nationkey"] == country["n_nationkey"])
+        .join(region, country["n_regionkey"] == region["r_regionkey"])
+        .select(
+            F.col("o_orderkey").alias("reference_no"),
+            F.to_date("o_orderdate").alias("sale_date"),
+            F.col("o_orderpriority").alias("priority"),
+            F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "credit").otherwise("cash").alias("payment_type"),
+            F.col("c_name").alias("customer_name"),
+            F.col("c_mktsegment").alias("customer_nickname"),
+            F.col("n_name").alias("country"),
+            F.col("r_name").alias("region"),
+            F.lit("PHP").alias("currency"),
+        )
+    )
+
+
 def shop(spark: SparkSession, sf_dir: str) -> Shop:
     makers = {
         "categories": categories,
