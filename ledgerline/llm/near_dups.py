@@ -389,7 +389,7 @@ def _distinct_pairs(left: Column, right: Column) -> list[Column]:
 def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text) with the group it belongs to.
 
-    Columns: doc_id, key and check (see ``rows.row_key``), n_shingles, component_id, kept.
+    Columns: doc_id, key and check (see ``rows.row_key``), n_shingles, component_id, kept, chosen.
     Documents are linked if 100 * |intersection| >= ``percent`` * |union| of their sets of
     ``size``-word shingles; ``component_id`` is the smallest doc_id reachable over links.
 
@@ -399,7 +399,8 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
       component is its own doc_id.
     * Rows with equal sets are linked. Rows may share a doc_id; the smallest non-NULL doc_id of a
       component names it, and ``kept`` is true for the rows that bear it (all NULL: NULL is the
-      name and the rows are kept).
+      name and the rows are kept). ``chosen`` is true for one document of a component only, the
+      first by doc_id (NULL last), key and check, and for every text without shingles.
     * An empty table gives no rows. Other columns of ``docs`` are ignored.
     """
     inputs = docs.select(
@@ -411,6 +412,7 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     classes = rows.filter("cls IS NOT NULL").groupBy("cls").agg(
         F.min("doc_id").alias("rep"),
         F.min(F.struct("key", "check")).alias("row"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "check")).alias("first"),
         F.max("n_shingles").alias("n_shingles"),
         F.max("registers").alias("registers"),
     )
@@ -440,22 +442,25 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     labels = components(links.unionByName(more))
 
     owners = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "cls", "rep", F.coalesce("label", "cls").alias("label")
+        "cls", "rep", "first", F.coalesce("label", "cls").alias("label")
     )
     owners = materialize(owners, "owners")
-    names = owners.groupBy("label").agg(F.min("rep").alias("component_id"))
-    named = owners.join(names, "label").select("cls", "component_id")
+    names = owners.groupBy("label").agg(F.min("rep").alias("component_id"), F.min("first").alias("first"))
+    named = owners.drop("first").join(names, "label").select(
+        "cls", "component_id", F.struct("first.key", "first.check").alias("first")
+    )
     alone = F.col("cls").isNull()
     return (
         rows.drop("registers")
         .join(named, "cls", "left")
         .withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select("doc_id", "key", "check", "n_shingles", "component_id", "kept")
+        .withColumn("chosen", alone | (F.struct("key", "check") == F.col("first")))
+        .select("doc_id", "key", "check", "n_shingles", "component_id", "kept", "chosen")
     )
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of every group, with all its columns; repeated rows count as one document."""
-    chosen = groups(docs, size, percent).filter("kept")
+    """One document of every group, with all its columns; rows of equal id and text count as one document."""
+    chosen = groups(docs, size, percent).filter("chosen")
     return keep_rows(docs, chosen.select(F.col("key").alias(KEY), F.col("check").alias(CHECK)), one_of_copies=True)

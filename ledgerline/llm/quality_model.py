@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import words as W
@@ -112,8 +112,8 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.concatenate([buckets[first[k] : last[k]] for buckets, first, last in kinds])
                 for k in range(len(piece))
             ]
-    # tasks may read rows in any order
-    order = sorted(range(len(ids)), key=lambda k: (ids[k], labels[k], len(texts[k])))
+    # tasks may read rows in any order; an id occurs once
+    order = sorted(range(len(ids)), key=lambda k: ids[k])
     table, bias = fit([texts[k] for k in order], np.array([labels[k] for k in order], int))
     yield pa.RecordBatch.from_arrays(
         [pa.array([table.tobytes()], pa.binary()), pa.array([bias])], names=["weights", "bias"]
@@ -129,31 +129,38 @@ def train(
 ) -> tuple[np.ndarray, float]:
     """Learn from ``labels`` (doc_id, quality) and the texts of ``docs`` (doc_id, text).
 
-    Held-out rows are never read. Of the others those with the smallest hashes are the sample:
-    at most ``documents``, and at most ``chars`` characters in all. A doc_id with several labels
-    counts as bad if one of them is 0; NULL labels are left out. Without any label every text
-    gets even odds.
+    Held-out rows are never read. Of the others the ids with the smallest hashes are the sample:
+    at most ``documents``, with one text each, and at most ``chars`` characters in all, shorter
+    texts first. Of an id with several rows the text with the smallest hash is taken. A doc_id
+    with several labels counts as bad if one of them is 0; NULL labels and labels other than 0
+    and 1 are set aside. Without any label every text gets even odds.
     """
     marked = (
-        labels.filter(~held_out() & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+        labels.filter(~held_out() & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.min("quality").cast("int").alias("label"))
     )
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
-    # the sample has a fixed number of rows, so it may be broadcast
-    sample = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(
+    # the sample has a fixed number of ids, so it may be broadcast
+    found = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(
         F.broadcast(chosen), "doc_id"
     )
-    sized = materialize(sample.withColumn("size", F.length("text").cast("long")), "sample")
-    total = sized.agg(F.sum("size")).first()[0] or 0
-    if total > chars:
-        # documents of a share that fits, shorter texts first
-        limit = sized.select("size").orderBy("size").limit(documents).toPandas()["size"]
-        fits = limit[limit.cumsum() <= chars]
-        sized = sized.filter(F.col("size") <= int(fits.max() if len(fits) else 0))
+    # an id may own very many rows; each task sends one of them at most
+    one = found.groupBy("doc_id").agg(
+        F.min("label").alias("label"), F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text"))).alias("row")
+    )
+    sized = one.select("doc_id", "label", "row.text", F.length("row.text").cast("long").alias("size"))
+    sized = materialize(sized, "sample")
+    # at most ``documents`` rows without their texts
+    order = Window.partitionBy(F.lit(0)).orderBy("size", F.xxhash64("doc_id"), "doc_id")
+    upto = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    fits = sized.select("doc_id", upto.alias("upto")).filter(F.col("upto") <= chars)
+    sized = sized.join(fits, "doc_id", "left_semi")
     model = sized.select("doc_id", "text", "label").coalesce(1).mapInArrow(_train, "weights binary, bias double")
-    weights, bias = materialize(model, "model").first()
-    return np.frombuffer(weights, np.float32), bias
+    fitted = materialize(model, "model").first()
+    if fitted is None:
+        return np.zeros(BUCKETS, np.float32), 0.0
+    return np.frombuffer(fitted["weights"], np.float32), fitted["bias"]
 
 
 def _scorer(model):

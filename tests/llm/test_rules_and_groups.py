@@ -147,3 +147,28 @@ def test_classifier_sample_is_bounded(spark):
     model = quality_model.train(docs(spark, rows), labels, documents=40, chars=8000)
     scored = {r.doc_id: r.predicted for r in quality_model.score(docs(spark, rows), model, 0.5).collect()}
     assert scored == {k: k % 2 for k in range(200)}
+
+
+def test_classifier_sample_takes_one_row_of_an_id(spark):
+    """An id with very many rows, labels that are no labels, and texts of one size beyond the limit."""
+    table = docs(spark, [(0, f"good words number {k} here", "en", "a", 0) for k in range(5000)])
+    more = docs(spark, [(k, ("good words here " if k % 2 else "bad### one ") * 20, "en", "a", 0) for k in range(1, 60)])
+    labels = [(k, k % 2, 0) for k in range(60)] + [(2, 2, 0), (61, -1, 0), (3, None, 0)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = quality_model.train(table.unionByName(more), labels, documents=50, chars=3000)
+    assert model[0].shape == (quality_model.BUCKETS,) and abs(model[1]) < 100
+    again = quality_model.train(more.unionByName(table).repartition(5), labels, documents=50, chars=3000)
+    assert again[1] == model[1] and (again[0] == model[0]).all()
+    scored = quality_model.score(more, model, 0.5).collect()
+    assert all(0 <= r.score <= 1 for r in scored)
+
+
+def test_one_of_a_group_stays_without_ids(spark):
+    """Near copies that have no id, or one id between them, are one group like any other."""
+    copies = near_copies(8, 80, 3, 2)
+    rows = [(None, text, "en", "a", 0) for text in copies] + [(7, text.upper() + " end", "en", "a", 0) for text in copies]
+    rows += [(9, "another text of its own entirely", "en", "a", 0), (None, None, "en", "a", 0)]
+    kept = near_dups.keep_one(docs(spark, rows)).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == sorted([7, 9, None], key=str)
+    grouped = near_dups.groups(docs(spark, rows)).collect()
+    assert sum(r.chosen for r in grouped) == 3 and all(r.chosen for r in grouped if not r.n_shingles)
