@@ -400,7 +400,8 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     * Rows with equal sets are linked. Rows may share a doc_id; the smallest non-NULL doc_id of a
       component names it, and ``kept`` is true for the rows that bear it (all NULL: NULL is the
       name and the rows are kept). ``chosen`` is true for one document of a component only, the
-      first by doc_id (NULL last), key and check, and for every text without shingles.
+      first by doc_id (NULL last), key and check, and its repetitions, and for every text without
+      shingles.
     * An empty table gives no rows. Other columns of ``docs`` are ignored.
     """
     inputs = docs.select(
