@@ -6,9 +6,15 @@ the other: what only one side has becomes optional, what one side repeats become
 the result is the host's wrapper. A page's texts then belong to the wrapper's slots, and a slot is
 judged by its place in the wrapper and by how its texts vary over the pages of the host.
 
+Tags and roles decide what a container is. A class or id is a hint only: it counts for nothing on
+what holds the page's main container or most of its text, and inside an article it is a vote, which
+stands if the container's texts over all pages of the host read like furniture: links, scraps, or
+one text on most pages.
+
 A page is parsed once. Alignment works on the distinct expressions of a host only, in blocks of
 bounded size and then on the blocks' wrappers, round after round, so a host that has a third of
-all pages is no different from others.
+all pages is no different from others. Two lists of siblings are aligned on bits of whole numbers,
+with the square root of their length kept in rows, so pages of very many siblings fit as well.
 """
 
 from __future__ import annotations
@@ -16,7 +22,9 @@ from __future__ import annotations
 import html
 import itertools
 import json
+import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,6 +38,8 @@ from ledgerline.session import materialize
 
 # expressions of a host that one task aligns at once
 BLOCK = 64
+# expressions of a host that are put into its wrapper at once
+PLACED = 512
 # containers nested deeper than this add no level of their own, unless their texts are judged by it
 DEPTH = 60
 # a text that more than half of a slot's pages share, three at least, belongs to the template
@@ -63,19 +73,38 @@ ASIDE = frozenset(
     "head nav footer aside form menu dialog button select option template iframe legend search title fieldset".split()
 )
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
-ASIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|ad(?:box|sense|slot|unit|wrap|block)|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification\w*|toast|"
+# words of classes and ids that name such a container
+ASIDE_WORD = re.compile(
+    r"ads?|advert\w*|ad(?:box|sense|slot|unit|wrap|block)|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification\w*|toast|"
     r"alert|popup|modal|overlay|newsletter|subscri\w+|signup|login|sidebar|side|aside|widgets?|related|recommend\w*|"
     r"share|sharing|social|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|footer|header|masthead|toolbar|"
-    r"comments?|commentlist|reply|replies|respond|discussion|disqus|search|skip|disclaimer)(?:$|[\s_-])"
+    r"comments?|commentlist|reply|replies|respond|discussion|disqus|search|skip|disclaimer"
+)
+COMMENT_WORD = re.compile(r"comments?|commentlist|replies|respond|disqus")
+# of these, words that no layout around an article is named by
+NEVER_WORD = re.compile(
+    r"ads?|advert\w*|ad(?:box|sense|slot|unit|wrap|block)|sponsor\w*|promo\w*|cookies?|consent|gdpr|newsletter|subscri\w+|signup|"
+    r"login|breadcrumbs?|pagination|pager|comments?|commentlist|reply|replies|respond|disqus|disclaimer"
+)
+# words that mean something else often enough, and say little beside a class that is no such name
+DOUBTFUL = frozenset("side share search social discussion notice notices alert reply skip related header".split())
+# words that go along with them, which leave a name what it is
+PLAIN_WORDS = frozenset(
+    "box bar wrap wrapper container inner outer list lists item items link links button buttons btn form area block section "
+    "post posts article articles news site page main top bottom left right primary secondary global content row col column "
+    "group panel module unit slot title text body icon icons media mobile desktop fixed sticky more story stories tag tags "
+    "region holder inline small large default custom html first last even odd active open closed sm md lg xs xl".split()
 )
+# beginnings of names that speak of a part which is missing or elsewhere
+MENTIONS = frozenset("no not non without has have with hide show is are js".split())
 MAIN_ROLES = frozenset(["main", "article"])
 MAIN_NAMES = re.compile(
     r"(?:^|[\s_-])(?:article|articlebody|post|entry|story|content|main|maincontent|body|text)(?:$|[\s_-])"
 )
 
-# A script or style lasts to its end tag or the page's end. Pictures, sound and form fields are left out as a
-# whole, and an xmp is taken as it is written; of those, one that is closed at once or never ends with its own tag.
+# A script or style lasts to its end tag or the page's end. Sound, drawings and form fields are left out as a
+# whole, of pictures the text elements stay, and an xmp is taken as it is written; of those, one that is closed at
+# once or never ends with its own tag.
 TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"
     r"|<(script|style)(?=[\s/>])[^>]*(?:>.*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)|\Z)"
@@ -86,6 +115,11 @@ TOKEN = re.compile(
     r"|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+PICTURE_TEXT = re.compile(r"<text(?=[\s/>])[^>]*+(?<!/)>(.*?)(?:</text(?=[\s/>])[^>]*>|\Z)", re.S | re.I)
+MARKUP = re.compile(r"<[^>]*>")
+SENTENCE_END = re.compile(r"[.!?\u2026:;\u3002\uff01\uff1f][\"'\u201d\u2019\u00bb)\]]*$")
+# what names were found to say
+_NAMES: dict[str, int] = {}
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 BREAKS = frozenset(["br", "hr", "wbr", "img", "input"])
 
@@ -114,17 +148,22 @@ class Node:
         label, flags, items = values
         return Node(label, bool(flags & 1), bool(flags & 2), [Node.load(i) for i in items])
 
-    def slots(self) -> Iterator[tuple[Node, tuple[str, ...], bool]]:
-        """The text slots in order, with the labels above them and whether they are repeated."""
+    def placed(self) -> Iterator[tuple[Node, tuple[Node, ...], bool]]:
+        """The text slots in order, with the labelled elements above them and whether they are repeated."""
         pending = [(self, (), False)]
         while pending:
-            node, path, many = pending.pop()
+            node, above, many = pending.pop()
             many = many or node.many
             if node.label == "#":
-                yield node, path, many
+                yield node, above, many
             else:
-                path = (*path, node.label) if node.label else path
-                pending += [(i, path, many) for i in reversed(node.items)]
+                above = (*above, node) if node.label else above
+                pending += [(i, above, many) for i in reversed(node.items)]
+
+    def slots(self) -> Iterator[tuple[Node, tuple[str, ...], bool]]:
+        """The text slots in order, with the labels above them and whether they are repeated."""
+        for node, above, many in self.placed():
+            yield node, tuple(n.label for n in above), many
 
 
 def _label(tag: str, attributes: str) -> str:
@@ -165,14 +204,70 @@ def _fold_groups(items: list[Node], other: list[Node]) -> list[Node]:
     """Runs of ``items`` that are one round of a group of ``other`` become that group."""
     for group in (i for i in other if not i.label):
         keys, size = [i.key() for i in group.items], len(group.items)
-        k = 0
-        while k + size <= len(items):
-            if [i.key() for i in items[k : k + size]] == keys:
-                items = [*items[:k], Node("", items=items[k : k + size]), *items[k + size :]]
-            k += 1
+        own = [i.key() for i in items]
+        if not size or keys[0] not in own:
+            continue
+        folded, k = [], 0
+        while k < len(items):
+            if own[k : k + size] == keys:
+                folded.append(Node("", items=items[k : k + size]))
+                k += size
+            else:
+                folded.append(items[k])
+                k += 1
+        items = folded
     return items
 
 
+def _common(a: list[str], b: list[str]) -> Iterator[int]:
+    """How to walk two lists along a longest common subsequence: 0 for both, 1 for the first, 2 for the second.
+
+    Row y of the table of lengths is a whole number with a bit per element of ``a``, which is not
+    set where the element makes the subsequence of the rests longer. A row follows from the row
+    after it in a few operations. Every so many rows one is kept, and those between are made again
+    when the walk comes to them.
+    """
+    n, m = len(a), len(b)
+    full = (1 << n) - 1
+    # bit 0 is the last element, so that rows are made from the ends of the lists
+    masks: dict[str, int] = {}
+    for k, key in enumerate(reversed(a)):
+        masks[key] = masks.get(key, 0) | 1 << k
+    step = max(1, math.isqrt(m))
+
+    def after(row: int, key: str) -> int:
+        both = row & masks.get(key, 0)
+        return ((row + both) | (row - both)) & full
+
+    kept, row = [full], full
+    for j in range(m):
+        row = after(row, b[m - 1 - j])
+        if (j + 1) % step == 0:
+            kept.append(row)
+    rows: list[int] = []
+    first = -1
+    x = y = 0
+    while x < n and y < m:
+        if a[x] == b[y]:
+            yield 0
+            x, y = x + 1, y + 1
+            continue
+        j = m - y
+        if first < 0 or j < first:
+            first = j // step * step
+            rows = [kept[j // step]]
+            while len(rows) <= j - first:
+                rows.append(after(rows[-1], b[m - first - len(rows)]))
+        if rows[j - first] >> (n - x - 1) & 1:
+            yield 1
+            x += 1
+        else:
+            yield 2
+            y += 1
+    yield from itertools.repeat(1, n - x)
+    yield from itertools.repeat(2, m - y)
+
+
 def align(left: Node, right: Node) -> Node:
     """The expression that matches what either of two expressions of one label matches.
 
@@ -185,16 +280,12 @@ def align(left: Node, right: Node) -> Node:
     if ka == kb:
         out.items = [align(x, y) for x, y in zip(a, b, strict=True)]
         return out
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for x in range(len(a) - 1, -1, -1):
-        for y in range(len(b) - 1, -1, -1):
-            best[x][y] = best[x + 1][y + 1] + 1 if ka[x] == kb[y] else max(best[x + 1][y], best[x][y + 1])
     x = y = 0
-    while x < len(a) or y < len(b):
-        if x < len(a) and y < len(b) and ka[x] == kb[y]:
+    for way in _common(ka, kb):
+        if way == 0:
             out.items.append(align(a[x], b[y]))
             x, y = x + 1, y + 1
-        elif y == len(b) or (x < len(a) and best[x + 1][y] >= best[x][y + 1]):
+        elif way == 1:
             out.items.append(Node(a[x].label, a[x].many, True, a[x].items))
             x += 1
         else:
@@ -203,28 +294,48 @@ def align(left: Node, right: Node) -> Node:
     return out
 
 
+def _is_prose(text: str, linked: int) -> bool:
+    """Whether a text reads like a sentence, and is not mostly a link."""
+    words = text.count(" ") + 1
+    return 2 * linked < len(text) and (words >= 12 or (words >= 5 and bool(SENTENCE_END.search(text))))
+
+
 def parse(source: str) -> tuple[Node, list[tuple[int, str]]]:
     """The expression of a page and its texts in order, each with the number of its slot there."""
+    expression, texts = read_page(source)
+    return expression, [(slot, text) for slot, text, _ in texts]
+
+
+def read_page(source: str) -> tuple[Node, list[tuple[int, str, bool]]]:
+    """The expression of a page and its texts in order: the number of the slot, the text, whether it is prose."""
     root = Node("")
     # below DEPTH an entry also has the labels above its texts
     stack: list[tuple[str, Node, tuple[str, ...]]] = [("", root, ())]
     texts: list[str] = []
+    linked: list[int] = []
     leaves: list[Node] = []
     pending: list[str] = []
+    in_link: list[str] = []
+    links = 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(pending)).split())
+        inside = len(" ".join(html.unescape("".join(in_link)).split()))
         pending.clear()
+        in_link.clear()
         if text:
             leaf = Node("#")
             stack[-1][1].items.append(leaf)
             leaves.append(leaf)
             texts.append(text)
+            linked.append(inside)
 
     at = 0
     for token in TOKEN.finditer(source):
         if token.start() > at:
             pending.append(source[at : token.start()])
+            if links:
+                in_link.append(pending[-1])
         at = token.end()
         name = token[5] or token[8]
         if not name:
@@ -232,6 +343,9 @@ def parse(source: str) -> tuple[Node, list[tuple[int, str]]]:
                 flush()
                 pending.append(html.escape(token[3] or ""))
                 flush()
+            elif token[2] and token[2].lower() == "svg" and token[3]:
+                pending += [f" {MARKUP.sub(' ', inner)} " for inner in PICTURE_TEXT.findall(token[3])]
+                pending.append(" ")
             elif token[1] or token[2]:
                 pending.append(" ")
             continue
@@ -239,6 +353,8 @@ def parse(source: str) -> tuple[Node, list[tuple[int, str]]]:
         if tag not in BLOCKS:
             if tag in BREAKS:
                 pending.append(" ")
+            elif tag == "a":
+                links = max(0, links - 1) if token[4] or token[7] else 1
             continue
         flush()
         if token[4] or token[7]:
@@ -265,11 +381,55 @@ def parse(source: str) -> tuple[Node, list[tuple[int, str]]]:
     flush()
     # folding replaces nodes, so every text remembers its place by the labels around it
     _prune(root)
-    expression = _folded(root)
     numbers = {id(leaf): k for k, leaf in enumerate(leaves)}
+    _mark(root, {id(leaf): (len(texts[k]), linked[k]) for k, leaf in enumerate(leaves)})
+    expression = _folded(root)
     order = _places(root, expression, numbers)
     # folding keeps every text of the page, so each has a place
-    return expression, [(order[k], texts[k]) for k in range(len(texts))]
+    return expression, [(order[k], texts[k], _is_prose(texts[k], linked[k])) for k in range(len(texts))]
+
+
+def _mark(root: Node, sizes: dict[int, tuple[int, int]]) -> None:
+    """Marks containers whose names or tag "form" say nothing, because the article is in them.
+
+    These hold the main container of the page, the article or main element with the most text. On
+    other pages and outside it they hold more than half of the page's text, less than half of that
+    in links; comments and adverts may be longer than what they go with, so their names stand.
+    """
+    weights: dict[int, tuple[int, int]] = {}
+    order: list[tuple[Node, Node | None]] = []
+    pending: list[tuple[Node, Node | None]] = [(root, None)]
+    while pending:
+        node, above = pending.pop()
+        order.append((node, above))
+        pending += [(i, node) for i in node.items]
+    parents = {id(node): above for node, above in order}
+    for node, above in reversed(order):
+        chars, links = sizes.get(id(node), (0, 0)) if node.label == "#" else weights.get(id(node), (0, 0))
+        weights[id(node)] = (chars, links)
+        if above is not None:
+            sums = weights.get(id(above), (0, 0))
+            weights[id(above)] = (sums[0] + chars, sums[1] + links)
+    total = weights[id(root)][0]
+    holds: set[int] = set()
+    mains = [node for node, _ in order if _holds_article(node.label) and not _is_comment(node.label)]
+    if mains:
+        node: Node | None = max(mains, key=lambda n: weights[id(n)][0])
+        while node is not None:
+            holds.add(id(node))
+            node = parents[id(node)]
+    inside: set[int] = set()
+    for node, above in order:
+        if above is not None and (id(above) in inside or _holds_article(above.label)):
+            inside.add(id(node))
+        tag, names, role = _parts(node.label)
+        if tag != "form" and role != "form" and not _aside_name(names):
+            continue
+        chars, links = weights[id(node)]
+        never = any(NEVER_WORD.fullmatch(w) for words in _name_words(names) for w in words)
+        most = 2 * chars > total and 2 * links < chars and not never and id(node) not in inside
+        if id(node) in holds or most:
+            node.label = "|".join([tag, names, role, "+"])
 
 
 def _prune(node: Node) -> bool:
@@ -298,11 +458,16 @@ def _match(items: list[Node], pattern: list[Node], numbers: dict[int, int], foun
     return. An item that nothing matches is left out, and the answer is False.
     """
     flat = list(_flatten(pattern))
+    places: dict[str, list[int]] = {}
+    for k, part in enumerate(flat):
+        places.setdefault(part.label, []).append(k)
     at, whole = 0, True
     for item in items:
-        for k in [*range(at, len(flat)), *range(at)]:
-            if flat[k].label != item.label:
-                continue
+        own = places.get(item.label, [])
+        # parts from here on first, then those before
+        start = bisect_left(own, at)
+        for turn in range(len(own)):
+            k = own[(start + turn) % len(own)]
             if item.label == "#":
                 found[numbers[id(item)]] = flat[k].slot
                 at = k
@@ -329,13 +494,15 @@ def slot_map(expression: Node, wrapper: Node) -> list[int]:
     """For every slot of an expression the number of the wrapper's slot it falls into.
 
     A slot that alignment has put where the walk does not find it is judged by its labels alone:
-    it gets its own rank, below ALONE, if no container above it speaks against it, and NOWHERE otherwise.
+    it gets its own rank, below ALONE, if no container above it decides against it, and NOWHERE otherwise.
     """
     slots = list(expression.slots())
     numbers = {id(leaf): k for k, (leaf, _, _) in enumerate(slots)}
     plain = Node("", items=list(_opened(expression.items)))
     found = _places(plain, wrapper, numbers)
-    return [found.get(k, ALONE - _main_rank(path) if _wanted(path) else NOWHERE) for k, (_, path, _) in enumerate(slots)]
+    return [
+        found.get(k, ALONE - _main_rank(path) if _verdict(path)[0] else NOWHERE) for k, (_, path, _) in enumerate(slots)
+    ]
 
 
 def _opened(items: list[Node]) -> Iterator[Node]:
@@ -350,13 +517,13 @@ def _opened(items: list[Node]) -> Iterator[Node]:
 
 
 def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    text_type = pa.list_(pa.struct([("leaf", pa.int32()), ("text", pa.string())]))
+    text_type = pa.list_(pa.struct([("leaf", pa.int32()), ("text", pa.string()), ("prose", pa.bool_())]))
     for batch in batches:
         shapes, blocks = [], []
         for source in batch["html"].to_pylist():
-            expression, texts = parse(source or "")
+            expression, texts = read_page(source or "")
             shapes.append(json.dumps(expression.dump(), separators=(",", ":")))
-            blocks.append([{"leaf": leaf, "text": text} for leaf, text in texts])
+            blocks.append([{"leaf": leaf, "text": text, "prose": prose} for leaf, text, prose in texts])
         yield pa.RecordBatch.from_arrays(
             [
                 *[batch[c] for c in ("page_id", "url", "host")],
@@ -379,15 +546,11 @@ def _infer(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": [rows["host"].iloc[0]], "shape": [_align_all(shapes)]})
 
 
-def _place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in batches:
-        known: dict[str, Node] = {}
-        slots = []
-        for shape, wrapper in zip(rows["shape"], rows["wrapper"], strict=True):
-            if wrapper not in known:
-                known = {wrapper: Node.load(json.loads(wrapper))}
-            slots.append(slot_map(Node.load(json.loads(shape)), known[wrapper]))
-        yield pd.DataFrame({"host": rows["host"], "shape_key": rows["shape_key"], "slots": slots})
+def _place(shapes: pd.DataFrame, wrappers: pd.DataFrame) -> pd.DataFrame:
+    """The places of some expressions of a host in its wrapper."""
+    wrapper = Node.load(json.loads(wrappers["wrapper"].iloc[0]))
+    slots = [slot_map(Node.load(json.loads(shape)), wrapper) for shape in shapes["shape"]]
+    return pd.DataFrame({"host": shapes["host"], "shape_key": shapes["shape_key"], "slots": slots})
 
 
 def _parts(label: str) -> tuple[str, str, str]:
@@ -395,9 +558,51 @@ def _parts(label: str) -> tuple[str, str, str]:
     return tag, names, role
 
 
+def _marked(label: str) -> bool:
+    return label.endswith("|+")
+
+
+def _holds_article(label: str) -> bool:
+    """Whether a container says by its tag or role that it holds the article."""
+    tag, _, role = _parts(label)
+    return tag in ("article", "main") or role in MAIN_ROLES
+
+
+def _name_words(names: str) -> Iterator[list[str]]:
+    """The words of every class and id that speaks of the container itself."""
+    for name in names.split():
+        words = [w for w in re.split(r"[^a-z]+", name) if len(w) > 1]
+        if words and words[0] not in MENTIONS:
+            yield words
+
+
+def _plain(words: list[str]) -> bool:
+    return all(w in PLAIN_WORDS or ASIDE_WORD.fullmatch(w) for w in words)
+
+
+def _aside_name(names: str) -> int:
+    """What classes and ids say about a container: 2 that it holds something else than the article, 1 maybe, 0 nothing.
+
+    A name says so if it consists of such words and of words that go along with them; with other
+    words, or a doubtful word beside other names, it may mean something else.
+    """
+    if names not in _NAMES:
+        words = list(_name_words(names))
+        aside = [own for own in words if any(ASIDE_WORD.fullmatch(w) for w in own)]
+        others = not all(map(_plain, words))
+        sure = any(_plain(own) and not (others and all(w in DOUBTFUL for w in own)) for own in aside)
+        _NAMES[names] = 2 if sure else int(bool(aside))
+    return _NAMES[names]
+
+
+def _is_comment(label: str) -> bool:
+    return any(_plain(own) and any(COMMENT_WORD.fullmatch(w) for w in own) for own in _name_words(_parts(label)[1]))
+
+
 def _is_aside(label: str) -> bool:
+    """Whether a container may hold something else than the article."""
     tag, names, role = _parts(label)
-    return tag in ASIDE or role in ASIDE_ROLES or (tag not in ("html", "body", "main") and bool(ASIDE_NAMES.search(names)))
+    return tag in ASIDE or role in ASIDE_ROLES or (tag not in ("html", "body", "main") and _aside_name(names) > 0)
 
 
 def _main_rank(path: tuple[str, ...]) -> int:
@@ -413,27 +618,33 @@ def _main_rank(path: tuple[str, ...]) -> int:
     return 0
 
 
-def _wanted(path: tuple[str, ...]) -> bool:
-    """Whether no container above a slot holds something else than the article."""
-    inside = False
-    for label in path:
-        tag = _parts(label)[0]
-        inside = inside or tag in ("article", "main")
-        if _is_aside(label):
-            return False
+def _verdict(path: tuple[str, ...]) -> tuple[int, int]:
+    """What the containers above a slot say: 2 that it is wanted, 0 that it is not, 1 that its texts have to tell.
+
+    In the last case the second number is the place on the path of the container to be judged.
+    """
+    inside, vote = False, -1
+    for k, label in enumerate(path):
+        tag, names, role = _parts(label)
+        if not _marked(label):
+            if tag in ASIDE or role in ASIDE_ROLES:
+                return 0, k
+            said = 0 if tag in ("html", "body", "main") else _aside_name(names)
+            if said == 2 and (not (inside or _holds_article(label)) or _is_comment(label)):
+                return 0, k
+            # inside the article a plain name is a vote, and one that may mean something else is none
+            if vote < 0 and ((said == 2 and inside) or (said == 1 and not inside and not _holds_article(label))):
+                vote = k
+        inside = inside or _holds_article(label)
         # a header of the article itself has its title, and no more of it
         if tag == "header" and not (inside and _parts(path[-1])[0] in HEADINGS):
-            return False
-    return True
+            return 0, k
+    return (2, -1) if vote < 0 else (1, vote)
 
 
 def _in_article(path: tuple[str, ...]) -> bool:
     """Whether a container above a slot says by its tag or role that it holds the article."""
-    for label in path:
-        tag, _, role = _parts(label)
-        if tag in ("article", "main") or role in MAIN_ROLES:
-            return True
-    return False
+    return any(map(_holds_article, path))
 
 
 def _matters(label: str, path: tuple[str, ...]) -> bool:
@@ -447,29 +658,61 @@ def _matters(label: str, path: tuple[str, ...]) -> bool:
     return bool(_main_rank((label,))) and (not _main_rank(path) or (_in_article((label,)) and not _in_article(path)))
 
 
-def rank_slots(wrapper: str, statistics: dict[int, tuple[int, int]]) -> list[int]:
+def rank_slots(wrapper: str, statistics: dict[int, tuple[int, int, int, int]]) -> list[int]:
     """For every slot of the wrapper the kind of its main container, -1 if it does not hold the article.
 
-    ``statistics`` has, per slot, the pages with it and the pages that share its most frequent
-    text. A text outside repeated groups, articles and main elements that most pages share is the
-    template's.
+    ``statistics`` has, per slot, the pages with it, the pages that share its most frequent text,
+    the characters of its texts and those of texts that are prose. A text outside repeated groups,
+    articles and main elements that most pages share is the template's. A container whose name
+    votes against it is left out if less than half of its text is prose of its own.
     """
-    ranks = []
-    for slot, (_, path, many) in enumerate(Node.load(json.loads(wrapper)).slots()):
-        pages, same = statistics.get(slot, (0, 0))
-        fixed = not many and same >= TEMPLATE_PAGES and 100 * same > TEMPLATE_PERCENT * pages
-        fixed = fixed and not _in_article(path)
+    slots = []
+    own: dict[int, list[int]] = {}
+    for slot, (_, above, many) in enumerate(Node.load(json.loads(wrapper)).placed()):
+        path = tuple(n.label for n in above)
+        pages, same, chars, prose = statistics.get(slot, (0, 0, 0, 0))
+        shared = same >= TEMPLATE_PAGES and 100 * same > TEMPLATE_PERCENT * pages
+        verdict, at = _verdict(path)
+        judged = id(above[at]) if verdict == 1 else 0
+        if judged:
+            sums = own.setdefault(judged, [0, 0])
+            sums[0] += chars
+            sums[1] += 0 if shared and not many else prose
+        fixed = not many and shared and not _in_article(path)
         heading = bool(path) and _parts(path[-1])[0] in HEADINGS
-        ranks.append(_main_rank(path) if _wanted(path) and (heading or not fixed) else -1)
+        slots.append((verdict, judged, heading or not fixed, _main_rank(path), above))
+    ranks = []
+    for verdict, judged, varies, rank, _ in slots:
+        wanted = verdict == 2 or (verdict == 1 and 2 * own[judged][1] >= own[judged][0])
+        ranks.append(rank if wanted and varies else -1)
     return ranks
 
 
 def _rank(rows: pd.DataFrame) -> pd.DataFrame:
-    statistics = {int(r.slot): (int(r.pages), int(r.same)) for r in rows.itertuples() if r.slot == r.slot}
+    statistics = {
+        int(r.slot): (int(r.pages), int(r.same), int(r.chars), int(r.prose)) for r in rows.itertuples() if r.slot == r.slot
+    }
     ranks = rank_slots(rows["wrapper"].iloc[0], statistics)
     return pd.DataFrame({"host": [rows["host"].iloc[0]], "ranks": [ranks]})
 
 
+def _put_into_wrappers(shapes: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """(host, shape_key, slots): where the slots of every expression are in its host's wrapper.
+
+    A host's expressions are dealt into parts of bounded size, and its wrapper goes to each once.
+    """
+    sizes = shapes.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / PLACED).cast("int").alias("parts"))
+    sizes = materialize(sizes, "host-parts")
+    dealt = shapes.join(sizes, "host").select(
+        "host", F.pmod(F.xxhash64("shape_key"), F.col("parts")).cast("int").alias("part"), "shape", "shape_key"
+    )
+    sent = wrappers.join(sizes, "host").select(
+        "host", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("shape").alias("wrapper")
+    )
+    paired = dealt.groupBy("host", "part").cogroup(sent.groupBy("host", "part"))
+    return paired.applyInPandas(_place, "host string, shape_key string, slots array<int>")
+
+
 def infer_wrappers(shapes: DataFrame) -> DataFrame:
     """(host, shape): the wrapper of every host of ``shapes`` (host, shape), whose rows are distinct.
 
@@ -504,6 +747,9 @@ def extract(pages: DataFrame) -> DataFrame:
       closed, or closed without being open, are repaired as far as blocks need it.
     * Copies of a page, pages with the same texts under any url, count once in the statistics of a
       host. Repeated rows get a row each.
+    * A form that holds the main container or most of a page's text is a container like others;
+      its controls are left out. Of an svg the text elements stay. Contents of audio, video, canvas
+      and textarea elements, which browsers do not show as text, are left out.
     * An empty table gives no rows. Other columns are ignored.
     """
     url = F.col("url").cast("string")
@@ -513,18 +759,19 @@ def extract(pages: DataFrame) -> DataFrame:
     )
     parsed = in_small_batches(inputs).mapInArrow(
         _parse_pages,
-        "page_id long, url string, host string, shape string, blocks array<struct<leaf: int, text: string>>",
+        "page_id long, url string, host string, shape string, blocks array<struct<leaf: int, text: string, prose: boolean>>",
     )
     parsed = materialize(parsed.withColumn("shape_key", F.sha2("shape", 256)), "parsed-pages")
     shapes = materialize(parsed.select("host", "shape", "shape_key").distinct(), "shapes")
     wrappers = materialize(infer_wrappers(shapes.select("host", "shape")), "wrappers")
-    # every row has its host's wrapper with it, so batches are bounded in bytes
-    paired = in_small_batches(shapes.join(wrappers.withColumnRenamed("shape", "wrapper"), "host"))
-    places = paired.mapInPandas(_place, "host string, shape_key string, slots array<int>")
+    places = _put_into_wrappers(shapes, wrappers)
     places = materialize(places, "places")
     placed = parsed.drop("shape").join(places, ["host", "shape_key"])
     # array positions count from 0 in the lists
-    block = F.transform("blocks", lambda b: F.struct(F.get("slots", b["leaf"]).alias("slot"), b["text"].alias("text")))
+    block = F.transform(
+        "blocks",
+        lambda b: F.struct(F.get("slots", b["leaf"]).alias("slot"), b["text"].alias("text"), b["prose"].alias("prose")),
+    )
     placed = placed.select("page_id", "url", "host", block.alias("blocks"))
 
     # copies of a page have all texts in common
@@ -532,12 +779,15 @@ def extract(pages: DataFrame) -> DataFrame:
     # named before the blocks are exploded, or each of them would hash all texts of its page
     keyed = placed.select("host", *keys, "blocks")
     texts = keyed.select("host", KEY, CHECK, F.explode("blocks").alias("b")).select(
-        "host", KEY, CHECK, F.col("b.slot").alias("slot"), F.xxhash64("b.text").alias("value")
-    )
-    # a repeated slot has several texts on a page
-    values = texts.groupBy("host", "slot", KEY, CHECK).agg(F.min("value").alias("value"))
-    counted = values.groupBy("host", "slot", "value").agg(F.count(F.lit(1)).alias("n"))
-    statistics = counted.groupBy("host", "slot").agg(F.sum("n").alias("pages"), F.max("n").alias("same"))
+        "host", KEY, CHECK, F.col("b.slot").alias("slot"), F.xxhash64("b.text").alias("value"),
+        F.char_length("b.text").cast("long").alias("chars"),
+        F.when(F.col("b.prose"), F.char_length("b.text")).otherwise(0).cast("long").alias("prose"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("chars", "prose")]
+    # a repeated slot has several texts on a page; copies of a page have equal ones
+    values = texts.groupBy("host", "slot", KEY, CHECK).agg(F.min("value").alias("value"), *sums)
+    counted = values.groupBy("host", "slot", "value").agg(F.count(F.lit(1)).alias("n"), *sums)
+    statistics = counted.groupBy("host", "slot").agg(F.sum("n").alias("pages"), F.max("n").alias("same"), *sums)
     known = wrappers.withColumnRenamed("shape", "wrapper").join(statistics, "host", "left")
     ranks = materialize(known.groupBy("host").applyInPandas(_rank, "host string, ranks array<int>"), "slots")
 

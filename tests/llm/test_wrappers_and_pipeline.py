@@ -129,6 +129,149 @@ def test_the_main_container_stays_whole(spark, source, text):
     assert [r.text for r in wrappers.extract(df).collect()] == [text]
 
 
+PROSE = "This sentence is long enough to be read as one, and it ends like one."
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        # names around the main container, or that only mention a part, say nothing
+        ("<div class='layout has-sidebar'><main><h1>T</h1><p>body</p></main></div>", "T\n\nbody"),
+        ("<div class='post no-sidebar'><h1>T</h1><p>body</p></div>", "T\n\nbody"),
+        ("<div class='sidebar-left'><div class=sidebar>links</div><main><p>body text</p></main></div>", "body text"),
+        (f"<div class='page with-header'><div class=header>Site</div><div class=content><p>{PROSE}</p></div></div>", PROSE),
+        (f"<div class='overlay wrapper'><h1>T</h1><p>{PROSE}</p></div><div class=menu>m</div>", f"T\n\n{PROSE}"),
+        # inside an article names vote, and prose stands against them
+        (f"<article><section class=discussion><h2>Discussion</h2><p>{PROSE}</p></section></article>", f"Discussion\n\n{PROSE}"),
+        (f"<article><p>a</p><section id=search-algorithms><p>{PROSE}</p></section></article>", f"a\n\n{PROSE}"),
+        ("<article><p>body</p><div class=share-price><p>12.40 today</p></div></article>", "body\n\n12.40 today"),
+        ("<article><p>body</p><div class='side effects'><ul><li>nausea<li>headache</ul></div></article>", "body\n\nnausea\n\nheadache"),
+        (f"<main><p>body</p><div class=notice><p>{PROSE}</p></div></main>", f"body\n\n{PROSE}"),
+        ("<main><p>body</p><div class=share-buttons><a href=x>Tweet</a> <a href=y>Mail</a></div></main>", "body"),
+        (f"<main><p>body</p><div class=related-posts><a href=x>{PROSE}</a></div></main>", "body"),
+        ("<main><p>body</p><div class=ad>buy now</div></main>", "body"),
+        # tags and roles decide, and so do reader comments
+        (f"<article><p>body</p><aside><p>{PROSE}</p></aside><nav>x</nav></article>", "body"),
+        (f"<article><p>body</p><div id=comments><p>{PROSE}</p><p>{PROSE}</p></div></article>", "body"),
+        (f"<div class=content><p>{PROSE}</p></div><div class=comment-list>" + f"<p>{PROSE}</p>" * 9 + "</div>", PROSE),
+        (f"<main><p>{PROSE}</p></main><aside><article><p>card</p></article></aside>", PROSE),
+        # a form around everything is a container; one beside the article is a form
+        (f"<form id=f><div class=content><h1>T</h1><p>{PROSE}</p><button>Go</button></div></form>", f"T\n\n{PROSE}"),
+        (f"<form><main><p>{PROSE}</p></main><select><option>x</select></form>", PROSE),
+        (f"<article><p>{PROSE}</p><form><p>Your mail address, please.</p></form></article>", PROSE),
+        # a menu stays one however long it is
+        ("<div class=menu>" + "<a href=x>one more link of the menu</a> " * 20 + "</div><p>body</p>", "body"),
+        ("<article><p>one</p><svg><g>no</g><text x=1>two <tspan>three</tspan></text></svg><p>four</p></article>", "one\n\ntwo three\n\nfour"),
+    ],
+)
+def test_names_are_hints(spark, source, text):
+    df = spark.createDataFrame([(1, "http://a.com/x", f"<html><body>{source}</body></html>")], PAGES)
+    assert [r.text for r in wrappers.extract(df).collect()] == [text]
+
+
+def test_votes_count_over_the_pages_of_a_host(spark):
+    """A box that says the same on most pages is furniture, whatever it says; one that varies is text."""
+    page = "<article><h1>T{0}</h1><p>{1} {0}</p><div class=notice><p>{2}</p></div></article>"
+    rows = [(k, "http://a.com/x", page.format(k, PROSE, PROSE)) for k in range(9)]
+    rows += [(20 + k, "http://b.com/x", page.format(k, PROSE, f"{k} things. {PROSE}")) for k in range(9)]
+    found = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(found[k] == f"T{k}\n\n{PROSE} {k}" for k in range(9))
+    assert all(found[20 + k] == f"T{k}\n\n{PROSE} {k}\n\n{k} things. {PROSE}" for k in range(9))
+
+
+def random_site(random, site):
+    """A function that renders an article of one site, whose template is drawn once."""
+    wrap = random.choice([
+        "<article class='{0}'>{1}</article>", "<main id={0}>{1}</main>", "<div class='post {0}'>{1}</div>",
+        "<div class='has-{0}'><div class=content>{1}</div></div>", "<div role=main>{1}</div>", "<form id=form0><main>{1}</main></form>",
+    ])
+    kind = random.choice(["single", "narrow", "theme-0", "sidebar-none"])
+    before = random.sample(
+        ["<nav><ul><li><a href=/>Home</a><li><a href=/b>News</a></ul></nav>", "<header><h2>Site</h2><p>The slogan of this site.</p></header>",
+         "<div class=cookie-notice>We use cookies.</div>", "<div class='banner ad-box'>Buy {k} now</div>"], random.randint(1, 4),
+    )
+    after = random.sample(
+        ["<aside><h3>Related</h3><a href=/{k}>Other {k}</a></aside>", "<footer>&copy; {k} by us</footer>",
+         "<section id=comments><p>Reader {k} says that this was well done.</p></section>",
+         "<form action=/search><label>Search</label><input name=q></form>", "<script>var x = '<p>{k}</p>';</script>"], random.randint(1, 5),
+    )
+    inner = random.choice(["<div class=share-buttons><a href=#>Tweet</a><a href=#>Mail</a></div>", "<aside><p>See also {k}</p></aside>", ""])
+
+    def render(k, blocks):
+        parts = []
+        for j, (tag, text) in enumerate(blocks):
+            parts.append(f"<ul><li>{text}</li></ul>" if tag == "li" else f"<{tag}>{text}</{tag}>")
+            if j == 1:
+                parts.append(inner)
+        body = "".join(parts)
+        page = "".join(before) + wrap.format(kind, body) + "".join(after)
+        return f"<html><head><title>t</title></head><body class='page-{site}'>{page.replace('{k}', str(k))}</body></html>"
+
+    return render
+
+
+def test_random_sites_give_their_articles(spark):
+    """Known articles in drawn templates come back whole, and nothing else with them."""
+    import random as standard
+
+    random = standard.Random(11)
+    rows, want = [], {}
+    for site in range(24):
+        render = random_site(random, site)
+        for k in range(random.choice([1, 2, 12])):
+            blocks = [("h1", f"Title {site} {k}")]
+            for j in range(random.randint(1, 9)):
+                words = " ".join(random.choices("alpha beta gamma delta epsilon zeta eta theta".split(), k=random.randint(6, 40)))
+                blocks.append((random.choice(["p", "p", "p", "h2", "li", "blockquote", "pre"]), f"{words} {site} {k} {j}."))
+            number = site * 100 + k
+            rows.append((number, f"https://site{site}.org/{k}", render(k, blocks)))
+            want[number] = "\n\n".join(text for _, text in blocks)
+    found = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert {k: found[k] for k in want if found[k] != want[k]} == {}
+
+
+def test_many_irregular_siblings():
+    """Two pages of twenty thousand siblings in no order are aligned in bounded memory."""
+    import random as standard
+    import time
+    import tracemalloc
+
+    random = standard.Random(2)
+    pages = []
+    for _ in range(2):
+        items = "".join(f"<div class={random.choice('abcdefghijklmnop')}{random.choice('xyz')}>t</div>" for _ in range(20_000))
+        pages.append(wrappers.parse(f"<body>{items}</body>")[0])
+    started = time.perf_counter()
+    tracemalloc.start()
+    both = wrappers.align(*pages)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20 and time.perf_counter() - started < 60
+    labels = {label for page in pages for _, path, _ in page.slots() for label in path}
+    assert {label for _, path, _ in both.slots() for label in path} == labels
+    placed = wrappers.slot_map(pages[0], both)
+    assert len(placed) == len(list(pages[0].slots())) and time.perf_counter() - started < 60
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_walk_is_a_longest_common_subsequence(seed):
+    import random as standard
+
+    random = standard.Random(seed)
+    a, b = ([random.choice("abcd") for _ in range(random.randint(0, 40))] for _ in range(2))
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for x in range(len(a) - 1, -1, -1):
+        for y in range(len(b) - 1, -1, -1):
+            best[x][y] = best[x + 1][y + 1] + 1 if a[x] == b[y] else max(best[x + 1][y], best[x][y + 1])
+    ways = list(wrappers._common(a, b))
+    assert ways.count(0) == best[0][0]
+    assert ways.count(0) + ways.count(1) == len(a) and ways.count(0) + ways.count(2) == len(b)
+    x = y = 0
+    for way in ways:
+        assert way or a[x] == b[y]
+        x, y = x + (way != 2), y + (way != 1)
+
+
 def test_slots_outside_the_wrapper_keep_their_own_rank():
     wrapper = wrappers.parse("<body><p>a</p></body>")[0]
     page = wrappers.parse("<body><article><p>a</p></article><p>b</p><nav>c</nav></body>")[0]
