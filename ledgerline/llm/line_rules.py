@@ -3,6 +3,11 @@
 Lines that many documents of a host repeat are taken for boilerplate. A document passes if it
 passes the base rules and enough of it is left once such lines are taken out.
 
+A family of edited copies repeats its lines as boilerplate does, and all its members would be
+rejected. What tells it from pages around a menu is that the lines are in no document that passes,
+and are nearly all of the documents that have them. Of such documents the first that has a line
+is kept, so no line of the family is lost.
+
 The counts of a text come from numpy inside tasks, one pass over whole texts. Lines meet in two
 partial aggregations, first per line and document, then per line, so a line that every document
 has costs a task no more than any other.
@@ -31,6 +36,8 @@ MIN_DOCUMENTS = 20
 HOST_PERCENT = 2
 # percent of a document's words that must be left without boilerplate lines
 MIN_LEFT = 30
+# percent of a document's lines that no kept document has, from which on it may stand for them
+MIN_LOST = 75
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -179,29 +186,52 @@ def judge(
       once per document however often it is repeated there; documents that agree in all their
       distinct lines are copies and count once, among a line's documents and among the host's.
     * The host is ``source``; NULL is a host of its own.
+    * A document that boilerplate lines deplete is kept after all if at least ``MIN_LOST`` percent
+      of its distinct lines are in no document that passes, and it is the first (by doc_id, NULL
+      last, then by a hash of id and text) such document to have one of them.
     * Repeated rows get a row each, with equal verdicts. Ties do not arise. An empty table gives
       none. Other columns of ``docs`` are ignored.
     """
     measured = materialize(measure(docs).withColumn("__row", F.monotonically_increasing_id()), "lines")
     frequent = frequent_lines(measured, min_documents, host_percent).select("host", "line")
     host = F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
-    lost = (
+    hits = materialize(
         measured.select("__row", host.alias("host"), F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
         .select("__row", "host", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
-        .join(frequent, ["host", "line"])
-        .groupBy("__row")
-        .agg(F.sum("words").alias("boilerplate_words"))
+        .join(frequent, ["host", "line"]),
+        "boilerplate",
     )
+    lost = hits.groupBy("__row").agg(F.sum("words").alias("boilerplate_words"))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     left = F.col("n_words") - F.col("boilerplate_words")
-    return (
-        measured.drop("lines", "line_words", "body")
+    judged = (
+        measured.withColumn("n_lines", F.size("lines"))
+        .drop("lines", "line_words", "body")
         .join(lost, "__row", "left")
         .withColumn("boilerplate_words", F.coalesce("boilerplate_words", F.lit(0)).cast("long"))
         .withColumn("base_failed", base_failed)
         .withColumn("kept", ~F.col("base_failed") & (100 * left >= min_left * F.col("n_words")))
-        .drop("__row")
     )
+    judged = materialize(judged, "judged")
+    standing = _standing_for_lines(judged, hits).withColumn("__stands", F.lit(True))
+    kept = F.col("kept") | F.coalesce("__stands", F.lit(False))
+    return (
+        judged.join(standing, ["row_key", "row_check"], "left")
+        .withColumn("kept", kept)
+        .select(*[c for c in judged.columns if c not in ("__row", "n_lines")])
+    )
+
+
+def _standing_for_lines(judged: DataFrame, hits: DataFrame) -> DataFrame:
+    """(row_key, row_check) of depleted documents that are the first to hold a line that would be lost."""
+    passed = hits.join(judged.filter("kept").select("__row"), "__row", "left_semi").select("host", "line").distinct()
+    gone = hits.select("__row", "host", "line").join(passed, ["host", "line"], "left_anti")
+    depleted = judged.filter("NOT kept AND NOT base_failed").select("__row", "doc_id", "row_key", "row_check", "n_lines")
+    counts = gone.groupBy("__row").agg(F.count(F.lit(1)).alias("n_gone"))
+    alike = depleted.join(counts, "__row").filter(F.col("n_gone") * 100 >= F.col("n_lines") * MIN_LOST)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key", "row_check")).alias("first")
+    holders = gone.join(alike, "__row").groupBy("host", "line").agg(first)
+    return holders.select("first.row_key", "first.row_check").distinct()
 
 
 def keep_good(docs: DataFrame, **limits: float) -> DataFrame:

@@ -54,6 +54,40 @@ def test_documents_that_share_several_lines_count(spark):
     assert all(found[300 + k].boilerplate_words == 0 and found[300 + k].kept for k in range(300))
 
 
+def family(start, seed, edit_words):
+    """Sixty documents of eight lines, each with one line edited."""
+    random.seed(seed)
+    lines = [" ".join(f"f{seed}x{j}y{k}" for k in range(11)) for j in range(8)]
+    out = []
+    for k in range(60):
+        own, at = list(lines), random.randrange(8)
+        own[at] = " ".join([*own[at].split()[edit_words:], *[f"e{k}x{j}" for j in range(edit_words)]])
+        out.append((start + k, "\n".join(own), "en", "a", 0))
+    return out
+
+
+def test_a_family_of_edited_copies_does_not_vanish(spark):
+    rows = [(k, "\n".join(" ".join(f"o{k}x{j}y{i}" for i in range(9)) for j in range(4)), "en", "a", 0) for k in range(1000)]
+    rows += family(2000, 1, 1) + family(3000, 2, 11)
+    found = {r.doc_id: r for r in line_rules.judge(docs(spark, rows)).collect()}
+    assert all(found[k].kept for k in range(1000))
+    for start in (2000, 3000):
+        kept = [k for k in range(start, start + 60) if found[k].kept]
+        assert 1 <= len(kept) <= 8 and start in kept
+        text = {k: set(t.split("\n")) for k, t, *_ in rows if start <= k < start + 60}
+        # every line that the family shares is still there
+        shared = {line for own in text.values() for line in own if sum(line in other for other in text.values()) > 20}
+        assert shared and shared <= set().union(*[text[k] for k in kept])
+        again = line_rules.judge(docs(spark, rows).repartition(7)).filter("kept").collect()
+        assert sorted(r.doc_id for r in again if start <= r.doc_id < start + 60) == kept
+    # a menu that passing documents have needs nobody to stand for it
+    menu = "Home | Products | About us | Contact | Legal notice | Press | Jobs today | Help"
+    pages = [(k, f"{menu}\n{' '.join(f'w{k}x{j}' for j in range(40))}", "en", "b", 0) for k in range(40)]
+    pages += [(100 + k, f"{menu}\nx{k} y", "en", "b", 0) for k in range(3)]
+    found = {r.doc_id: r for r in line_rules.judge(docs(spark, pages), 20, 10).collect()}
+    assert all(found[k].kept for k in range(40)) and not any(found[100 + k].kept for k in range(3))
+
+
 def test_rules_keep_columns_and_rows(spark):
     table = docs(spark, awkward(), CLASH)
     kept = line_rules.keep_good(table)
