@@ -3,7 +3,9 @@
 Every document gets a desired number of copies from its source's target. The whole part is taken
 for certain. The rest is an inclusion probability; documents are ranked by random odds over
 inclusion odds, and the first ones are taken until their words fill what the source still needs.
-The random number comes from the doc_id, so reruns agree.
+The odds differ within a source: a preference, by default the square root of a document's words,
+makes some documents likelier than others. The random number comes from the doc_id, the text and
+a number among equal rows, so reruns agree and rows that share an id are drawn each on its own.
 
 What the corpus decides is one row per source: the level of copies and the last document taken.
 It is found from sums and a histogram of ranks, so no source is sorted in one task, and documents
@@ -16,7 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.rows import text_of
-from ledgerline.session import materialize
+from ledgerline.operators.ordered import number_rows
+from ledgerline.operators.reshape import expand_rows
+from ledgerline.session import materialize, materialize_measured
 
 WORD = r"[^\x20\x09-\x0D]+"
 # by position of the source in code point order, repeating
@@ -29,11 +33,15 @@ MOST = 2
 STEPS = 1 << 16
 # preferences are rounded to this many steps per doubling, and held between 2^-8 and 2^8
 PREFERENCE_STEPS = 16
+# prefer documents by the square root of their words; one of so many words has preference 1
+BY_WORDS = "words"
+USUAL_WORDS = 256
 
 
-def random_odds(doc_id: str = "doc_id") -> Column:
-    """u / (1 - u) for a number u between 0 and 1 that only depends on the id."""
-    digits = F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")).cast("binary")), 1, 13)
+def random_odds() -> Column:
+    """u / (1 - u) for a number u between 0 and 1 that depends on the id, the text and the number among equal rows."""
+    name = F.concat_ws(":", F.coalesce(F.col("__id").cast("string"), F.lit("null")), "__text", F.col("__copy").cast("string"))
+    digits = F.substring(F.md5(name.cast("binary")), 1, 13)
     u = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
     return u / (1 - u)
 
@@ -85,7 +93,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float =
 def _preference(column: str | None) -> Column:
     if column is None:
         return F.lit(1.0)
-    steps = F.round(F.log2(F.col(column).cast("double")) * PREFERENCE_STEPS)
+    if column == BY_WORDS:
+        worth = F.sqrt(F.col("size") / F.lit(float(USUAL_WORDS)))
+    else:
+        worth = F.col(f"__doc.`{column}`").cast("double")
+    steps = F.round(F.log2(worth) * PREFERENCE_STEPS)
     steps = F.greatest(F.lit(-8.0 * PREFERENCE_STEPS), F.least(F.lit(8.0 * PREFERENCE_STEPS), steps))
     return F.coalesce(F.pow(F.lit(2.0), steps / PREFERENCE_STEPS), F.lit(1.0))
 
@@ -95,7 +107,7 @@ def _ranked(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("__copies", F.coalesce(F.least(F.lit(float(MOST)), F.col("level") * F.col("__pref")), F.lit(0.0)))
     rows = rows.withColumn("__whole", F.floor("__copies"))
     part = F.col("__copies") - F.col("__whole")
-    odds = F.when(part > 0, random_odds("__id") / (part / (1 - part)))
+    odds = F.when(part > 0, random_odds() / (part / (1 - part)))
     # ties go by the id
     return rows.withColumn("__rank", F.when(odds.isNotNull(), F.struct(odds.alias("odds"), F.col("__id").alias("id"))))
 
@@ -107,7 +119,7 @@ def _same_source() -> Column:
 def plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTAL) -> DataFrame:
     """One row per source: __source, source_size, target, level, last (rank of the last one taken).
 
-    ``sizes`` has __id, source, size and __pref and is read several times.
+    ``sizes`` has __id, __text, __copy, source, size and __pref and is read several times.
     """
     goals = targets(sizes, weights, total)
     classes = sizes.groupBy("source", "__pref").agg(F.sum("size").alias("mass")).filter("mass > 0")
@@ -169,7 +181,7 @@ def plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TO
 
 
 def copies_of(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    """``rows`` (with __id, __pref and source) and their source's plan and copies (column copies)."""
+    """``rows`` (with __id, __text, __copy, __pref and source) and their source's plan and copies (column copies)."""
     met = rows.join(cuts, _same_source(), "left").drop("__source")
     ranked = _ranked(met)
     odds = F.col("__rank.odds")
@@ -181,33 +193,53 @@ def copies_of(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     return ranked.withColumn("copies", copies.cast("int"))
 
 
-def _sized(docs: DataFrame, preference: str | None) -> DataFrame:
-    return docs.select(
+def _rows(docs: DataFrame, preference: str | None) -> DataFrame:
+    """Every row of ``docs`` as a struct, with what its draw depends on."""
+    text = text_of()
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
         F.col("doc_id").alias("__id"),
         F.col("source").cast("string").alias("source"),
-        F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"),
-        _preference(preference).alias("__pref"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+        F.md5(text.cast("binary")).alias("__text"),
+    )
+    parts = [F.coalesce(F.col("__id").cast("string"), F.lit("null")), F.col("source").isNull().cast("string")]
+    same = F.md5(F.concat_ws(":", *parts, "__text", F.coalesce("source", F.lit(""))).cast("binary"))
+    return rows.withColumn("__pref", _preference(preference)).withColumn("__same", same)
+
+
+def _numbered(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """The rows without their documents, equal ones numbered from 0 in column __copy; whether there are any."""
+    key = ["__id", "source", "size", "__text", "__same"]
+    counted, found = materialize_measured(
+        rows.groupBy(*key).agg(F.max("__pref").alias("__pref"), F.count(F.lit(1)).alias("__copies")),
+        "mix-sizes",
+        F.coalesce(F.max("__copies"), F.lit(0)).alias("most"),
     )
+    if found["most"] <= 1:
+        return counted.drop("__copies").withColumn("__copy", F.lit(0).cast("long")), False
+    expanded = expand_rows(counted, "__copies", "__copy", most=found["most"])
+    return materialize(expanded.drop("__copies"), "mix-copies"), True
 
 
 def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
     total: float = TOTAL,
-    preference: str | None = None,
+    preference: str | None = BY_WORDS,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): size, source_size, target, taken, copies.
 
     ``preference`` names a column of positive numbers that raise a document's share within its
-    source; without it all are alike.
+    source, or is BY_WORDS for the square root of its words; with None all are alike.
 
     * The size is the number of words of the whole text, 0 for NULL. A NULL source is a source.
       A source of size 0 has target 0 and gives nothing.
-    * Rows of equal doc_id and source are ranked as one and taken or left together.
+    * Rows that share a doc_id, or are equal, are drawn each on its own.
     * The words taken from a source miss its target by less than its longest document.
     * An empty table gives no rows. Other columns of ``docs`` are ignored.
     """
-    sizes = materialize(_sized(docs, preference), "mix-sizes")
+    sizes, _ = _numbered(_rows(docs, preference))
     cuts = plan(sizes, weights, total)
     return copies_of(sizes, cuts).select(
         F.col("__id").alias("doc_id"), "size", "source_size", "target",
@@ -215,15 +247,24 @@ def mix(
     )
 
 
-def take_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTAL) -> DataFrame:
+def take_mix(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    total: float = TOTAL,
+    preference: str | None = BY_WORDS,
+) -> DataFrame:
     """The documents of the mix with all their columns, each as many times as it is taken."""
-    sizes = materialize(_sized(docs, None), "mix-sizes")
+    rows = _rows(docs, preference)
+    sizes, repeated = _numbered(rows)
     cuts = plan(sizes, weights, total)
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
-        F.col("doc_id").alias("__id"),
-        F.col("source").cast("string").alias("source"),
-        F.lit(1.0).alias("__pref"),
-    )
-    taken = copies_of(rows, cuts).filter("copies > 0")
+    numbered = rows.withColumn("__copy", F.lit(0).cast("long"))
+    if repeated:
+        # equal rows are told apart by their place among all repeated rows
+        again = sizes.filter("__copy > 0").select("__same").distinct()
+        placed = number_rows(rows.join(again, "__same", "left_semi"), ["__same"], "__place", start=0)
+        first = placed.groupBy("__same").agg(F.min("__place").alias("__first"))
+        placed = placed.join(first, "__same").withColumn("__copy", F.col("__place") - F.col("__first"))
+        once = numbered.join(again, "__same", "left_anti")
+        numbered = once.unionByName(placed.select(*once.columns))
+    taken = copies_of(numbered, cuts).filter("copies > 0")
     return taken.select("__doc", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("__doc.*")
