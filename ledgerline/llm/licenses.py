@@ -1,15 +1,19 @@
 """License scans: windows of a text that contain a license notice.
 
-Every text is covered by overlapping windows a little longer than a template. A window retrieves a
-template if the MinHash values of their shingles agree in one of the bands; the exact share of the
-template's shingles that the window contains then decides. Words are compared without the
-punctuation around them, and marks alone, as of comments, are no words. A match inside a longer
-match of another template, or with the same words as a fuller one, is part of that one.
+Templates of similar length share overlapping windows a little longer than the longest of them.
+A window is reduced to the shingles that any template has, and the MinHash values of these are
+looked up, band by band, in an index from band values to templates: whatever agrees in a band is
+retrieved, and nothing else. The share of the template's shingles in a window of its own length
+then decides. So the work per window does not grow with the number of templates. Words are
+compared without the punctuation around them, and marks alone, as of comments, are no words. A
+match inside a longer match of another template, or with the same words as a fuller one, is part
+of that one.
 
 A stretch as long as a template of m shingles that holds a share c of them lies inside a window of
-at most 1.125 m + 1 shingles, so their Jaccard similarity is at least about c / (1.125 + 1 - c). At
-c = 0.8 that is 0.6, and 48 bands of 2 values miss it with a probability below 1e-9. A window
-with fewer shingles of a template than the share asks for cannot contain it and is passed over.
+at most 1.54 m + 2 shingles, so the Jaccard similarity of window and template is at least about
+c / (1.54 + 1 - c). At c = 0.8 that is 0.46, and 48 bands of 2 values miss it with a probability of
+1e-5, or less, since most shingles of a window are in no template. A window with fewer shingles of
+templates than the share asks for contains none and is passed over.
 """
 
 from __future__ import annotations
@@ -33,6 +37,10 @@ BAND = 2
 BANDS = 48
 # windows begin at every m/8-th shingle
 OVERLAP = 8
+# templates share windows if the longest has at most so many times the shingles of the shortest
+ALIKE = 1.25
+# shingles of windows that are reduced to MinHash values at once
+CHUNK = 250_000
 # places in the table of known shingles, by their top bits
 TABLE_BITS = 20
 SHIFT = np.uint64(64 - TABLE_BITS)
@@ -153,7 +161,14 @@ NOTICES |= {f"CC-{kind}-4.0 short": f"Licensed under CC {kind} 4.0." for kind in
 # the long licenses as a whole, one file each
 _FILES = sorted(resources.files("ledgerline.llm").joinpath("license_texts").iterdir(), key=lambda file: file.name)
 TEXTS = {f"{file.name.removesuffix('.txt')} text": file.read_text("utf-8") for file in _FILES}
-LICENSES = {**TEMPLATES, **NOTICES, **TEXTS}
+# fixed values: identifiers of the SPDX list
+SPDX_IDS = (
+    "Apache-2.0 MIT MIT-0 ISC Zlib BSL-1.0 Unlicense BSD-2-Clause BSD-3-Clause MPL-2.0 EPL-2.0 GPL-2.0 GPL-2.0-only "
+    "GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only "
+    "LGPL-3.0-or-later AGPL-3.0-only AGPL-3.0-or-later CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC-BY-ND-4.0"
+).split()
+IDENTIFIERS = {f"{name} identifier": f"SPDX-License-Identifier: {name}" for name in SPDX_IDS}
+LICENSES = {**TEMPLATES, **NOTICES, **TEXTS, **IDENTIFIERS}
 
 
 @dataclass
@@ -167,11 +182,17 @@ class Template:
     bands: np.ndarray
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The bands of every row of an array of shingles."""
-    least = np.stack([(shingles * m).min(-1) for m in MULTIPLIERS], -1)
-    pairs = least.reshape(*least.shape[:-1], BANDS, BAND)
-    return W.mix(pairs[..., 0] * np.uint64(W.BASE) + pairs[..., 1])
+def signature(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The band values of the shingles values[first:last] of every window, one row a window."""
+    # every second segment lies between two windows and is not used
+    ends = np.stack([first, last], 1).ravel()
+    least = np.empty((len(first), len(MULTIPLIERS)), np.uint64)
+    for k, m in enumerate(MULTIPLIERS):
+        least[:, k] = np.minimum.reduceat(np.append(values * m, np.uint64(0)), ends)[::2]
+    pairs = least.reshape(len(first), BANDS, BAND)
+    bands = W.mix(pairs[..., 0] * np.uint64(W.BASE) + pairs[..., 1])
+    # a band's values are told apart from those of other bands
+    return W.mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(W.BASE))
 
 
 def _punctuation(data: np.ndarray) -> np.ndarray:
@@ -207,33 +228,120 @@ def prepare(templates: Mapping[str, str]) -> list[Template]:
         size = _shingle_size(len(hashes))
         if size:
             shingles = W.window_hashes(hashes, size)
-            ready.append(Template(name, size, len(shingles), np.unique(shingles), signature(shingles)))
+            values = np.unique(shingles)
+            bands = signature(values, np.array([0]), np.array([len(values)]))[0]
+            ready.append(Template(name, size, len(shingles), values, bands))
     return ready
 
 
+def _windows(hits: np.ndarray, bounds: np.ndarray, width: int, stride: int, size: int) -> tuple[np.ndarray, ...]:
+    """(text, first shingle, end) of the windows that hold a hit; no window leaves its text."""
+    texts = np.searchsorted(bounds, hits, "right") - 1
+    base = bounds[texts]
+    first = np.maximum(0, -(-(hits - base - width + 1) // stride))
+    counts = (hits - base) // stride - first + 1
+    index = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
+    texts, index = np.unique(np.stack([np.repeat(texts, counts), index], 1), axis=0).T
+    starts = bounds[texts] + index * stride
+    return texts, starts, np.minimum(starts + width, bounds[texts + 1] - size + 1)
+
+
+class Group:
+    """Templates of similar length: their common windows, and the index of their band values."""
+
+    def __init__(self, templates: list[Template]):
+        self.templates = templates
+        longest = max(t.length for t in templates)
+        self.stride = max(1, min(t.length for t in templates) // OVERLAP)
+        self.width = longest + max(1, longest // OVERLAP) + self.stride
+        self.fewest = min(len(t.values) for t in templates)
+        keys = np.concatenate([t.bands for t in templates])
+        owners = np.repeat(np.arange(len(templates)), BANDS)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owners = keys[order], owners[order]
+
+    def retrieve(self, bands: np.ndarray) -> np.ndarray:
+        """The pairs (window, template) that agree in a band."""
+        flat = bands.ravel()
+        first = np.searchsorted(self.keys, flat, "left")
+        counts = np.searchsorted(self.keys, flat, "right") - first
+        at = np.repeat(first, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        windows = np.repeat(np.arange(len(flat)) // BANDS, counts)
+        return np.unique(np.stack([windows, self.owners[at]], 1), axis=0)
+
+
 class Library:
-    """Templates by the size of their shingles, with a small table that most other shingles fail."""
+    """Templates by the size of their shingles, and in groups of similar length."""
 
     def __init__(self, templates: list[Template]):
-        self.sizes: dict[int, tuple[np.ndarray, list[Template]]] = {}
-        for template in templates:
-            known, own = self.sizes.setdefault(template.size, (np.zeros(1 << TABLE_BITS, bool), []))
-            known[template.values >> SHIFT] = True
-            own.append(template)
+        self.sizes: dict[int, tuple[np.ndarray, np.ndarray, list[Group]]] = {}
+        for size in sorted({t.size for t in templates}):
+            own = sorted((t for t in templates if t.size == size), key=lambda t: t.length)
+            # a small table that most other shingles fail
+            known = np.zeros(1 << TABLE_BITS, bool)
+            values = np.unique(np.concatenate([t.values for t in own]))
+            known[values >> SHIFT] = True
+            groups: list[list[Template]] = []
+            for template in own:
+                if groups and template.length <= ALIKE * groups[-1][0].length:
+                    groups[-1].append(template)
+                else:
+                    groups.append([template])
+            self.sizes[size] = (known, values, [Group(g) for g in groups])
 
     def find(self, hashes: np.ndarray, bounds: np.ndarray, least: float):
         """(template, text, containment, first word, last word) of every window that contains a template.
 
         ``hashes`` are word hashes of texts that begin at ``bounds``.
         """
-        for size, (known, templates) in self.sizes.items():
+        for size, (known, values, groups) in self.sizes.items():
             shingles = W.window_hashes(hashes, size)
             # shingles that reach into the next text belong to no window
             likely = np.flatnonzero(known[shingles >> SHIFT] & W.within(bounds, size))
-            for template in templates:
-                hits = likely[np.isin(shingles[likely], template.values)]
-                for match in find(shingles, hits, bounds, template, least):
-                    yield template, *match
+            at = np.minimum(np.searchsorted(values, shingles[likely]), len(values) - 1)
+            hits = likely[values[at] == shingles[likely]]
+            if len(hits):
+                for group in groups:
+                    yield from self._in_group(group, size, shingles[hits], hits, bounds, least)
+
+    def _in_group(self, group: Group, size: int, values: np.ndarray, hits: np.ndarray, bounds: np.ndarray, least: float):
+        """``values`` are the shingles at the positions ``hits`` that any template has."""
+        texts, starts, ends = _windows(hits, bounds, group.width, group.stride, size)
+        first, last = np.searchsorted(hits, starts), np.searchsorted(hits, ends)
+        enough = last - first >= least * group.fewest
+        texts, starts, ends, first, last = (x[enough] for x in (texts, starts, ends, first, last))
+        upto = np.cumsum(last - first)
+        wanted: dict[int, list[np.ndarray]] = {}
+        for chunk in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(upto // CHUNK)) + 1):
+            if len(chunk):
+                for window, owner in group.retrieve(signature(values, first[chunk], last[chunk])):
+                    wanted.setdefault(int(owner), []).append(chunk[window])
+        for owner, windows in wanted.items():
+            template = group.templates[owner]
+            own = _own_windows(template, texts[windows], starts[windows], ends[windows], bounds)
+            for text, start, end in own:
+                a, b = np.searchsorted(hits, [start, end])
+                found = np.isin(values[a:b], template.values)
+                share = len(np.unique(values[a:b][found])) / len(template.values)
+                if share >= least:
+                    places = hits[a:b][found] - bounds[text]
+                    left, right = _span(values[a:b][found], places, template.length)
+                    yield template, int(text), share, left, right + template.size - 1
+
+
+def _own_windows(
+    template: Template, texts: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray
+) -> list[tuple[int, int, int]]:
+    """The windows of the template's own length that lie inside retrieved windows: text, first shingle, end."""
+    stride = max(1, template.length // OVERLAP)
+    width = template.length + stride
+    found = set()
+    for text, start, end in zip(texts.tolist(), starts.tolist(), ends.tolist(), strict=True):
+        base, stop = int(bounds[text]), int(bounds[text + 1]) - template.size + 1
+        last = (stop - 1 if end == stop else end - width) - base
+        for k in range(-(-(start - base) // stride), last // stride + 1):
+            found.add((text, base + k * stride, min(base + k * stride + width, stop)))
+    return sorted(found)
 
 
 def _span(values: np.ndarray, places: np.ndarray, length: int) -> tuple[int, int]:
@@ -250,45 +358,6 @@ def _span(values: np.ndarray, places: np.ndarray, length: int) -> tuple[int, int
     return first, last
 
 
-def find(
-    shingles: np.ndarray, hits: np.ndarray, bounds: np.ndarray, template: Template, least: float
-) -> Iterator[tuple[int, float, int, int]]:
-    """(text, containment, first word, last word) of every window that contains the template.
-
-    ``hits`` are the positions of the template's shingles among those of all texts.
-    """
-    if not len(hits):
-        return
-    stride = max(1, template.length // OVERLAP)
-    width = template.length + stride
-    texts = np.searchsorted(bounds, hits, "right") - 1
-    base = bounds[texts]
-    # the windows of its text that hold a hit
-    first = np.maximum(0, -(-(hits - base - width + 1) // stride))
-    last = (hits - base) // stride
-    counts = last - first + 1
-    index = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
-    windows = np.unique(np.stack([np.repeat(texts, counts), index], 1), axis=0)
-    starts = bounds[windows[:, 0]] + windows[:, 1] * stride
-    ends = np.minimum(starts + width, bounds[windows[:, 0] + 1] - template.size + 1)
-    enough = np.searchsorted(hits, ends) - np.searchsorted(hits, starts) >= least * len(template.values)
-    windows = windows[enough]
-    for chunk in np.array_split(windows, max(1, len(windows) * width // 1_000_000)):
-        starts = bounds[chunk[:, 0]] + chunk[:, 1] * stride
-        ends = np.minimum(starts + width, bounds[chunk[:, 0] + 1] - template.size + 1)
-        at = starts[:, None] + np.arange(width)[None, :]
-        # a window that leaves its text repeats its first shingle there
-        at = np.where(at < ends[:, None], at, starts[:, None])
-        rows = shingles[at]
-        retrieved = np.flatnonzero((signature(rows) == template.bands).any(1))
-        for k in retrieved:
-            found = np.isin(rows[k], template.values)
-            share = len(np.unique(rows[k][found])) / len(template.values)
-            if share >= least:
-                first, last = _span(rows[k][found], at[k][found] - bounds[chunk[k, 0]], template.length)
-                yield int(chunk[k, 0]), share, first, last + template.size - 1
-
-
 def _whole(matches: list[tuple[int, int, str, float]]) -> Iterator[tuple[int, int, str, float]]:
     """The matches (first word, last word, template, share) of a text that are no part of another template's."""
     fullest: dict[tuple[int, int], float] = {}
@@ -315,8 +384,9 @@ def _whole(matches: list[tuple[int, int, str, float]]) -> Iterator[tuple[int, in
                 other = max(other, last)
 
 
-def _scanner(library: Library, least: float):
+def _scanner(shipped, least: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library = shipped.value
         for batch in batches:
             for piece in W.pieces(batch["text"]):
                 words, hashes = _normal_words(piece)
@@ -374,11 +444,12 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = LICENSES, containment:
       given: a license as a whole is one match, not its notices as well.
     * NULL and empty texts contain nothing. Of several matches of a license in a text the fullest is
       given, then the earliest. Repeated rows give repeated results; an empty table gives none.
-    * The templates travel with the job. They are a parameter, of which ``template_table`` makes one from
-      a table of licenses. Other columns are ignored.
+    * The templates are broadcast. They are a parameter, of which ``template_table`` makes one from
+      a table of licenses, a dimension. Other columns are ignored.
     """
     inputs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    library = docs.sparkSession.sparkContext.broadcast(Library(prepare(templates)))
     return in_small_batches(inputs).mapInArrow(
-        _scanner(Library(prepare(templates)), containment),
+        _scanner(library, containment),
         "doc_id long, license string, containment double, first_byte long, end_byte long",
     )

@@ -28,7 +28,8 @@ GROUP BY conv_id
 
 MIX = r"""
 WITH sizes AS (
-    SELECT doc_id, source,
+    SELECT doc_id, source, md5(coalesce(text, '')) AS hash,
+        row_number() OVER (PARTITION BY doc_id, source, md5(coalesce(text, ''))) - 1 AS copy,
         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
     FROM documents
 ),
@@ -52,21 +53,44 @@ targets AS (
             AS target
     FROM weighed
 ),
-ranked AS (
-    SELECT sizes.*, source_size, target, target / nullif(source_size, 0) AS copies,
-        (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE
-            AS u
+preferred AS (
+    SELECT sizes.*, source_size, target,
+        CASE WHEN size > 0 THEN pow(2.0::DOUBLE, greatest(-128.0::DOUBLE, least(128.0::DOUBLE,
+            round(log2(sqrt(size / 256.0::DOUBLE)) * 16))) / 16) ELSE 1.0 END AS pref
     FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source
 ),
+classes AS (
+    SELECT source, pref, max(target) AS target, sum(size) AS mass FROM preferred GROUP BY ALL HAVING sum(size) > 0
+),
+reached AS (
+    SELECT source, greatest(max(level), 0) AS level
+    FROM (SELECT source, (target - coalesce(sum(2.0::DOUBLE * mass) OVER before, 0)) / sum(mass * pref) OVER after AS level
+          FROM classes
+          WINDOW before AS (PARTITION BY source ORDER BY pref DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+              after AS (PARTITION BY source ORDER BY pref DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+    GROUP BY source
+),
+wanted AS (
+    SELECT preferred.*, least(2.0::DOUBLE, coalesce(level, 0) * pref) AS copies,
+        (('0x' || substr(md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), 'null'), hash, copy)), 1, 13))::BIGINT
+            + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+    FROM preferred LEFT JOIN reached ON preferred.source IS NOT DISTINCT FROM reached.source
+),
+ranked AS (
+    SELECT *, floor(copies) AS whole,
+        CASE WHEN copies > floor(copies)
+            THEN u / (1 - u) / ((copies - floor(copies)) / (1 - (copies - floor(copies)))) END AS odds
+    FROM wanted
+),
 placed AS (
-    SELECT *, coalesce(floor(copies), 0) AS whole,
-        sum(size) OVER (PARTITION BY source ORDER BY u, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier,
-        target - sum(size * coalesce(floor(copies), 0)) OVER (PARTITION BY source) AS rest
+    SELECT *, target - sum(size * whole) OVER (PARTITION BY source) AS rest,
+        sum(CASE WHEN odds IS NOT NULL THEN size END) OVER (
+            PARTITION BY source ORDER BY odds NULLS LAST, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier
     FROM ranked
 )
 SELECT doc_id, size, source_size, target,
     CAST(size * (whole + CASE
-        WHEN copies > whole AND 2 * coalesce(earlier, 0) + size <= 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        WHEN odds IS NOT NULL AND 2 * coalesce(earlier, 0) + size <= 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM placed
 """
 
@@ -121,35 +145,48 @@ lines AS (
           FROM (SELECT row_no, host, no_host, unnest(lines) AS l FROM docs))
     GROUP BY ALL
 ),
-ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY row_no ORDER BY n DESC, line) AS place,
-        first_value(line) OVER (PARTITION BY row_no ORDER BY n DESC, line) AS longest,
-        nth_value(line, 2) OVER (PARTITION BY row_no ORDER BY n DESC, line
-            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second
-    FROM lines
+bodies AS (
+    SELECT docs.row_no, docs.host, docs.no_host, coalesce(md5(string_agg(line, chr(10) ORDER BY line)), '') AS body
+    FROM docs LEFT JOIN lines USING (row_no) GROUP BY ALL
 ),
 frequent AS (
     SELECT host, no_host, line
-    FROM (SELECT host, no_host, line, count(DISTINCT CASE WHEN place = 1 THEN coalesce(second, line) ELSE longest END) AS n
-          FROM ranked GROUP BY ALL)
-    JOIN (SELECT host, no_host, count(*) AS of FROM docs GROUP BY ALL) USING (host, no_host)
+    FROM (SELECT lines.host, lines.no_host, line, count(DISTINCT body) AS n FROM lines JOIN bodies USING (row_no) GROUP BY ALL)
+    JOIN (SELECT host, no_host, count(DISTINCT body) AS of FROM bodies GROUP BY ALL) USING (host, no_host)
     WHERE n > 20 AND n * 100 > of * 2
 ),
-lost AS (
-    SELECT row_no, CAST(sum(all_n) AS BIGINT) AS n FROM lines JOIN frequent USING (host, no_host, line) GROUP BY row_no
-),
+hits AS MATERIALIZED (SELECT row_no, host, no_host, line, all_n FROM lines JOIN frequent USING (host, no_host, line)),
+lost AS (SELECT row_no, CAST(sum(all_n) AS BIGINT) AS n FROM hits GROUP BY row_no),
 counts AS (
-    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    SELECT row_no, doc_id, CAST(len(words) AS BIGINT) AS n_words,
         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
         coalesce(covered.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS boilerplate_words
     FROM docs LEFT JOIN covered USING (row_no) LEFT JOIN lost USING (row_no)
+),
+judged AS MATERIALIZED (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * (n_words - boilerplate_words) >= 30 * n_words AS passed
+    FROM counts
+),
+gone AS (
+    SELECT row_no, host, no_host, line FROM hits
+    ANTI JOIN (SELECT host, no_host, line FROM hits SEMI JOIN (SELECT row_no FROM judged WHERE passed) USING (row_no))
+        USING (host, no_host, line)
+),
+alike AS (
+    SELECT row_no, doc_id FROM judged
+    JOIN (SELECT row_no, count(*) AS n_gone FROM gone GROUP BY row_no) USING (row_no)
+    JOIN (SELECT row_no, count(*) AS n_lines FROM lines GROUP BY row_no) USING (row_no)
+    WHERE NOT passed AND NOT base_failed AND n_gone * 100 >= n_lines * 75
+),
+holders AS (
+    SELECT DISTINCT arg_min(row_no, doc_id) AS row_no FROM gone JOIN alike USING (row_no) GROUP BY host, no_host, line
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, boilerplate_words,
-    NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * (n_words - boilerplate_words) >= 30 * n_words AS kept
-FROM counts
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, boilerplate_words,
+    passed OR holders.row_no IS NOT NULL AS kept
+FROM judged LEFT JOIN holders USING (row_no)
 """
 
 NEAR_DUPLICATES = r"""

@@ -122,6 +122,48 @@ def test_mix_prefers(spark):
     assert abs(much + little - 10_000) <= 20 and 3 < much / little < 5
 
 
+def test_mix_draws_longer_documents_with_their_odds(spark):
+    """Mean copies follow the wanted ones, which grow with the square root of the words up to two."""
+    sizes = [16, 64, 256, 1024]
+    rows = [(k, " ".join(["w"] * sizes[k % 4]), "en", "a", 0) for k in range(8000)]
+    for total in (0.2, 1.0, 1.5):
+        found = mixing.mix(docs(spark, rows), total=total).collect()
+        words = sum(r.taken for r in found)
+        assert abs(words - total * sum(r.size for r in found)) <= 1024
+        mean = [sum(r.copies for r in found if r.size == s) / 2000 for s in sizes]
+        # the level at which the wanted copies have the wanted words
+        low, high = 0.0, 100.0
+        for _ in range(60):
+            level = (low + high) / 2
+            wanted = [min(2.0, level * (s / 256) ** 0.5) for s in sizes]
+            low, high = (low, level) if sum(w * s for w, s in zip(wanted, sizes)) > total * sum(sizes) else (level, high)
+        assert all(abs(m - w) < 0.06 for m, w in zip(mean, wanted)), (total, mean, wanted)
+        assert all({r.copies for r in found if r.size == s} <= {int(w), int(w) + 1, round(w)} for s, w in zip(sizes, wanted))
+
+
+def test_rows_of_one_id_are_drawn_each_on_its_own(spark):
+    """A source in which one id owns all rows, or one row is repeated, still comes near its target."""
+    rows = [(5, " ".join([f"t{k}"] * (5 + k % 20)), "en", "a", 0) for k in range(300)]
+    rows += [(6, "the same ten words in every one of these rows", "en", "b", 0)] * 400
+    rows += [(None, f"none {k} has an id here", "en", "c", 0) for k in range(200)] + [(1, "alone and small", "en", None, 0)]
+    table = docs(spark, rows, CLASH)
+    found = mixing.mix(table).collect()
+    assert len(found) == len(rows)
+    for size in {r.source_size for r in found}:
+        own = [r for r in found if r.source_size == size]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own)
+    again = mixing.mix(table.repartition(3)).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
+    taken = mixing.take_mix(table)
+    assert taken.columns == table.columns
+    counted = {s: 0 for s in ("a", "b", "c", None)}
+    for r in taken.collect():
+        counted[r.source] += len(words(r.text))
+    goals = {r.source_size: r.target for r in found}
+    sizes = {s: sum(len(words(t)) for _, t, _, o, _ in rows if o == s) for s in counted}
+    assert all(abs(counted[s] - goals[sizes[s]]) <= 25 for s in counted)
+
+
 def brute_licenses(text, templates, least=0.8):
     """For every template, whether some stretch of its length holds the share of its shingles."""
     from plain import lower
@@ -203,5 +245,68 @@ def test_licenses_from_a_table(spark):
     assert [(r.license, r.containment) for r in licenses.scan(docs(spark, rows), templates).collect()] == [("A", 1.0)]
 
 
+def test_identifiers(spark):
+    cases = {
+        "// SPDX-License-Identifier: MIT": {"MIT identifier"},
+        "# SPDX-License-Identifier: GPL-2.0-or-later\nimport os": {"GPL-2.0-or-later identifier"},
+        "/* SPDX-License-Identifier: (Apache-2.0 OR MIT) */": {"Apache-2.0 identifier"},
+        "SPDX-License-Identifier: unknown": set(),
+    }
+    rows = [(k, text, "en", "a", 0) for k, text in enumerate(cases)]
+    found = {k: set() for k in range(len(rows))}
+    for row in licenses.scan(docs(spark, rows)).collect():
+        found[row.doc_id].add(row.license)
+    assert [found[k] for k in range(len(rows))] == list(cases.values())
+
+
+def test_bands_retrieve_what_is_there(spark):
+    """A thousand templates; edited copies inside other words are found through bands, and only through bands."""
+    random = np.random.Generator(np.random.PCG64(3))
+    vocabulary = [f"w{k}" for k in range(3000)]
+
+    def some(n):
+        return [vocabulary[k] for k in random.integers(0, len(vocabulary), n)]
+
+    templates = {f"t{k}": some(int(random.integers(12, 300))) for k in range(1000)}
+    texts, planted = [], []
+    for k in range(400):
+        name = f"t{random.integers(0, 1000)}"
+        own = list(templates[name])
+        # the share of shingles that stay is between 0.8 and 1
+        edits = int(random.integers(0, max(1, (len(own) - 4) // 25) + 1))
+        for at in random.integers(0, len(own), edits):
+            own[at] = "edited"
+        texts.append(" ".join(some(int(random.integers(0, 400))) + own + some(int(random.integers(0, 400)))))
+        size = licenses._shingle_size(len(own))
+        had = {tuple(templates[name][j : j + size]) for j in range(len(own) - size + 1)}
+        have = {tuple(own[j : j + size]) for j in range(len(own) - size + 1)}
+        planted.append((name, len(had & have) / len(had)))
+    texts_of = {name: " ".join(own) for name, own in templates.items()}
+    rows = [(k, text, "en", "a", 0) for k, text in enumerate(texts)]
+    found = {}
+    for row in licenses.scan(docs(spark, rows), texts_of).collect():
+        found.setdefault(row.doc_id, {})[row.license] = row.containment
+    wanted = [(k, name, share) for k, (name, share) in enumerate(planted) if share >= 0.8]
+    missed = [w for w in wanted if w[1] not in found.get(w[0], {})]
+    assert len(wanted) > 300 and len(missed) <= 0.001 * len(wanted)
+    assert all(found[k][name] >= share - 1e-9 for k, name, share in wanted if (k, name, share) not in missed)
+    # nothing else is taken for a license
+    assert all(set(own) == {planted[k][0]} for k, own in found.items())
+
+
+def test_retrieval_probability():
+    """Over windows at the least similarity that counts, bands miss fewer than one in a thousand."""
+    random = np.random.Generator(np.random.PCG64(5))
+    missed = 0
+    for _ in range(2000):
+        values = random.integers(0, 1 << 63, 100, dtype=np.uint64)
+        kept, other = values[:80], random.integers(0, 1 << 63, 74, dtype=np.uint64)
+        window = np.concatenate([kept, other])
+        both = np.concatenate([values, window])
+        bands = licenses.signature(both, np.array([0, 100]), np.array([100, 254]))
+        missed += not (bands[0] == bands[1]).any()
+    assert missed <= 2
+
+
 def test_licenses_on_awkward_rows(spark):
     assert licenses.scan(docs(spark, awkward(), CLASH)).count() == 0
