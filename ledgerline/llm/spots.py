@@ -1,9 +1,13 @@
 """Document fingerprints from spot signatures.
 
 A signature is a common word (the anchor) with the content words that follow it, up to three or to
-the next common word. A document's signatures form its fingerprint; documents are compared by the
-Jaccard similarity of their fingerprints. In a search, fingerprints are partitioned by size, and
-only those of partitions next to each other that share one of their rarest signatures are compared.
+the next common word. A text with hardly any also has its pairs of words. A document's signatures
+form its fingerprint; documents are compared by the Jaccard similarity of their fingerprints.
+
+In a search, fingerprints are partitioned by size, and only those of partitions next to each other
+that share one of their rarest signatures meet. Those that meet in one place are first compared
+with the one of them that meets most others; only what stays in different groups is compared with
+further ones, a few more each round.
 
 Everything is a DataFrame function. Texts are shuffled once, into slices of neighbouring ids.
 """
@@ -16,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.components import components
-from ledgerline.session import materialize
+from ledgerline.session import materialize, materialize_measured
 
 # common words of English, French, German and Spanish
 ANCHORS = (
@@ -27,9 +31,19 @@ ANCHORS = (
 ).split()
 CHAIN = 3
 SIMILARITY = 0.8
+# a text with fewer signatures than this has its pairs of words as well
+FEW = 3
 # neighbouring documents meet in slices of about so many rows; there are at most so many slices
 SLICE_ROWS = 2000
 MOST_SLICES = 1 << 16
+# ids that are looked at per slice to find where it begins
+ROWS_PER_CUT = 16
+# where a slice is looked up in two steps, so many beginnings a step
+STEP = 256
+# signatures are counted in so many bins, to tell frequent ones from rare ones
+BINS = 1 << 16
+# documents that all others of a place are compared with in one round, at most
+HUBS = 64
 
 
 def _pattern(anchors: Sequence[str], chain: int) -> str:
@@ -40,15 +54,24 @@ def _pattern(anchors: Sequence[str], chain: int) -> str:
 def signatures(text: Column, anchors: Sequence[str] = ANCHORS, chain: int = CHAIN) -> Column:
     """The distinct signatures of a whole text as sorted 32-bit hashes.
 
-    Words are runs of letters and digits in lower case. A text without any signature, an empty one
-    too, has the hash of the text itself as its only one, so that different texts differ.
+    Words are runs of letters and digits in lower case. A text with fewer than FEW signatures also
+    has all its pairs of adjacent words, or its only word. A text without words, an empty one too,
+    has the hash of the text itself as its only one, so that different texts differ.
     """
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     # a text that begins or ends with other characters has two blanks there, which ends no word
     found = F.regexp_extract_all(plain, F.lit(_pattern(anchors, chain)), F.lit(0))
     hashes = F.transform(found, lambda s: F.hash(s))
-    own = F.array(F.hash(F.lit("text"), text))
-    return F.array_sort(F.array_distinct(F.when(F.size(found) > 0, hashes).otherwise(own)))
+    words = F.split(F.trim(plain), " +")
+    n = F.size(words) - 1
+    # the words are split once a side, not once a pair
+    pairs = F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.hash(F.lit("pair"), a, b))
+    few = (
+        F.when(F.trim(plain) == "", F.array(F.hash(F.lit("text"), text)))
+        .when(F.size(words) == 1, F.array(F.hash(F.lit("word"), F.element_at(words, 1))))
+        .otherwise(F.concat(hashes, pairs))
+    )
+    return F.array_sort(F.array_distinct(F.when(F.size(found) >= FEW, hashes).otherwise(few)))
 
 
 def fingerprint(signs: Column) -> Column:
@@ -62,39 +85,60 @@ def likeness(left: Column, right: Column) -> Column:
     return both / (F.size(left) + F.size(right) - both)
 
 
+def _in_slices(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__slice``, a number in order of ``__key``; slices have about SLICE_ROWS rows.
+
+    Where slices begin is read off a sorted sample of the keys, so uneven ids make even slices.
+    """
+    n = rows.count()
+    slices = max(1, min(MOST_SLICES, n // SLICE_ROWS))
+    wanted = slices * ROWS_PER_CUT
+    sample = rows.select("__key") if wanted >= n else rows.sample(wanted / n, seed=3).select("__key")
+    keys = F.sort_array(F.collect_list("__key"))
+    # every so many keys a slice begins; the first slice begins with the first row
+    cuts = f"filter(keys, (k, i) -> i > 0 AND i % greatest(1, size(keys) div {slices}) = 0)"
+    found = sample.agg(keys.alias("keys")).select(F.expr(cuts).alias("cuts"))
+    coarse = F.expr(f"filter(cuts, (k, i) -> i % {STEP} = 0)")
+    bounds = found.select(F.struct(coarse.alias("coarse"), "cuts")).scalar()
+
+    def upto(values: Column) -> Column:
+        return F.size(F.filter(values, lambda cut: cut <= F.col("__key")))
+
+    # columns, since functions on arrays take no subqueries
+    known = rows.withColumn("__coarse", bounds["coarse"]).withColumn("__cuts", bounds["cuts"])
+    first = F.greatest(upto(F.col("__coarse")) - 1, F.lit(0)) * STEP
+    number = first + upto(F.slice(F.col("__cuts"), first + 1, F.lit(STEP)))
+    return known.withColumn("__slice", number.cast("int")).drop("__coarse", "__cuts")
+
+
 def with_next(docs: DataFrame, id_: str = "doc_id", text: str = "text", *extra: Column) -> DataFrame:
     """``id_``, ``text`` and ``extra`` of every row, and the same of the row after it as struct ``next``.
 
-    Rows are ordered by id, NULL last, and text; the first row follows the last. Ids are divided
-    into slices of equal width. The first row of a slice is added to the end of the slice before
-    it, so every row meets the next one within its slice. Extra columns are computed after the one
-    shuffle of the texts.
+    Rows are ordered by id, NULL last, and a hash of the text; the first row follows the last. The
+    order is cut into slices of about equal size. The first row of a slice is added to the end of
+    the slice before it, so every row meets the next one within its slice. Extra columns are
+    computed after the one shuffle of the texts.
     """
     rows = docs.select(F.col(id_).cast("long").alias("__id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
-    found = rows.agg(F.count(F.lit(1)), F.min("__id"), F.max("__id")).first()
-    least, most = found[1] or 0, found[2] or 0
-    slices = max(1, min(MOST_SLICES, found[0] // SLICE_ROWS))
-    width = (most - least) // slices + 1
-    # NULL ids come after all others
-    number = F.coalesce(F.floor((F.col("__id") - least) / width).cast("int"), F.lit(slices))
-    sliced = rows.withColumn("__slice", number)
-    # one id per slice, so their number is bounded
-    heads = sliced.groupBy("__slice").agg(F.min("__id").alias("__head"))
+    rows = rows.withColumn(
+        "__key", F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.xxhash64("__text").alias("hash"))
+    )
+    sliced = _in_slices(rows)
+    # one key per slice, so their number is bounded
+    heads = materialize(sliced.groupBy("__slice").agg(F.min("__key").alias("__head")), "slice-heads")
     around = Window.partitionBy(F.lit(0)).orderBy("__slice")
     before = F.coalesce(F.lag("__slice").over(around), F.max("__slice").over(Window.partitionBy(F.lit(0))))
     heads = heads.select(F.col("__slice").alias("__at"), "__head", before.alias("__before"))
     first = (
-        sliced.join(
-            F.broadcast(heads), (F.col("__slice") == F.col("__at")) & F.col("__id").eqNullSafe(F.col("__head"))
-        )
-        .groupBy("__before", "__head")
-        .agg(F.min("__text").alias("__text"))
-        .select(F.col("__head").alias("__id"), "__text", F.col("__before").alias("__slice"), F.lit(1).alias("__extra"))
+        sliced.join(F.broadcast(heads), (F.col("__slice") == F.col("__at")) & F.col("__key").eqNullSafe(F.col("__head")))
+        .groupBy("__before")
+        .agg(F.min(F.struct("__key", "__id", "__text")).alias("first"))
+        .select("first.__id", "first.__text", "first.__key", F.col("__before").alias("__slice"), F.lit(1).alias("__extra"))
     )
     placed = sliced.withColumn("__extra", F.lit(0)).unionByName(first).repartition("__slice")
-    kept = placed.select("__slice", "__extra", F.col("__id").alias(id_), F.col("__text").alias(text), *extra)
-    fields = [c for c in kept.columns if c not in ("__slice", "__extra")]
-    order = Window.partitionBy("__slice").orderBy("__extra", F.col(id_).asc_nulls_last(), text)
+    kept = placed.select("__slice", "__extra", "__key", F.col("__id").alias(id_), F.col("__text").alias(text), *extra)
+    fields = [c for c in kept.columns if c not in ("__slice", "__extra", "__key")]
+    order = Window.partitionBy("__slice").orderBy("__extra", "__key", text)
     following = F.struct(*[F.lead(c).over(order).alias(c) for c in fields]).alias("next")
     return kept.select("__extra", *fields, following).filter("__extra = 0").drop("__extra")
 
@@ -107,14 +151,21 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     ).withColumn("fingerprint", fingerprint(F.col("signatures")))
 
 
-def edited_likeness(docs: DataFrame) -> DataFrame:
-    """How the fingerprint of every text holds against an edit, and against the next text.
+def _class_of(signs: Column) -> Column:
+    """128 bits that name a set of signatures."""
+    halves = [F.xxhash64(signs), F.xxhash64(F.lit(1), signs)]
+    return F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in halves]))
+
+
+def edited_likeness(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """How the fingerprint of every text holds against an edit, and against the next text; and its group.
 
     The edited text has the last quarter of the text (rounded down, in code points) replaced by
-    the first as many of the next document, or by all it has.
+    the first as many of the next document, or by all it has. ``group_id`` is the smallest doc_id
+    of the documents that are connected by a likeness of ``threshold`` or more (see :func:`similar`).
 
     * NULL and empty texts are edited by nothing and are like themselves.
-    * Rows of equal id are ordered by text; repeated rows follow one another.
+    * Rows of equal id are ordered by a hash of their text; repeated rows follow one another.
     * A single row follows itself. An empty table gives no rows. Other columns are ignored.
     """
     rows = with_next(docs, "doc_id", "text", signatures(F.col("__text")).alias("signs"))
@@ -130,62 +181,123 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
         edited.alias("edited"),
         likeness(F.col("signs"), F.col("next.signs")).alias("near_next"),
     )
-    compared = compared.withColumn("edited_signs", signatures(F.col("edited")))
-    return compared.select(
+    compared = compared.select(
+        "doc_id",
+        "n_chars",
+        _class_of(F.col("signs")).alias("cls"),
+        F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("edited_sha"),
+        "signs",
+        signatures(F.col("edited")).alias("edited_signs"),
+        "near_next",
+    )
+    # arrays of numbers are half as long as fingerprints, which are made at the end
+    compared = materialize(compared, "compared")
+    found = compared.join(groups(compared.select("doc_id", "cls", "signs"), threshold), "cls")
+    return found.select(
         "doc_id",
         "n_chars",
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.lower(F.hex("edited_sha")).alias("edited_sha256"),
         fingerprint(F.col("signs")).alias("fingerprint"),
         fingerprint(F.col("edited_signs")).alias("edited_fingerprint"),
         likeness(F.col("signs"), F.col("edited_signs")).alias("near_edited"),
         "near_next",
         F.size("signs").cast("long").alias("n_signatures"),
+        "group_id",
     )
 
 
-def similar(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """(doc_id, fingerprint, group): documents in groups connected by a likeness of ``threshold`` or more.
+def _rare_signatures(classes: DataFrame, threshold: float) -> DataFrame:
+    """(place, cls, n): the places in which a class of n signatures meets those it may be like.
 
-    Equal fingerprints are one class from the start. Sets whose sizes differ by more than the
-    threshold allows cannot be alike: sizes fall into partitions by a logarithm to that base, and
-    a set meets its own partition and the next. A set of n signatures can only be alike to one
-    that has one of its n - ceil(threshold * n) + 1 rarest, so only these are looked up.
+    A set of n signatures can only be alike to one that has one of its n - ceil(threshold * n) + 1
+    first in any one order of all signatures. Here rare ones are first: those in bins that hold no
+    more than twice the mean. A set goes to its own partition of sizes and to the next.
     """
-    prints = materialize(fingerprints(docs).select("doc_id", "signatures", "fingerprint"), "prints")
-    classes = prints.groupBy("fingerprint").agg(F.min("signatures").alias("signs"))
-    classes = materialize(
-        classes.select(
-            F.sha2("fingerprint", 256).alias("cls"),
-            "fingerprint",
-            "signs",
-            F.floor(F.log(F.size("signs").cast("double")) / -F.log(F.lit(threshold)) + 1e-9).cast("int").alias("part"),
-        ),
-        "print-classes",
-    )
-    each = classes.select("cls", "part", F.size("signs").alias("n"), F.explode("signs").alias("sign"))
-    counts = each.groupBy("sign").agg(F.count(F.lit(1)).alias("documents"))
-    ranked = each.join(counts, "sign").groupBy("cls", "part", "n").agg(
-        F.sort_array(F.collect_list(F.struct("documents", "sign"))).alias("signs")
+    bin_ = F.pmod("sign", F.lit(BINS))
+    counts = classes.select(F.explode("signs").alias("sign")).groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # at most as many rows as bins; a bit tells that a bin is full
+    mean = F.sum("n").over(Window.partitionBy(F.lit(0))) / F.lit(float(BINS))
+    full = counts.withColumn("mean", mean).filter(F.col("n") > 2 * F.greatest(F.col("mean"), F.lit(1.0)))
+    words = full.groupBy((F.col("bin") / 64).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(bin % 64 AS INT))")).alias("bits")
     )
-    prefix = F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1
-    rare = ranked.select("cls", "part", "n", F.explode(F.slice("signs", F.lit(1), prefix.cast("int"))).alias("s"))
-    rare = materialize(rare.select("cls", "part", "n", F.col("s.sign").alias("sign")), "rare-signatures")
-    left = rare.select(F.col("cls").alias("a"), F.col("n").alias("na"), "sign", F.explode(F.array("part", F.col("part") + 1)).alias("part"))
-    right = rare.select(F.col("cls").alias("b"), F.col("n").alias("nb"), "sign", "part")
-    pairs = (
-        left.join(right, ["sign", "part"])
-        .filter((F.col("a") != F.col("b")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    signs = classes.select("cls", "signs")
-    links = (
-        pairs.join(signs.select(F.col("cls").alias("a"), F.col("signs").alias("sa")), "a")
-        .join(signs.select(F.col("cls").alias("b"), F.col("signs").alias("sb")), "b")
+    table = materialize(words, "full-bins").agg(F.collect_list(F.struct("word", "bits")).alias("w"))
+    every = F.expr(f"transform(sequence(0, {BINS // 64 - 1}), k -> element_at(map_from_entries(w), k))")
+    bits = materialize(table.select(every.alias("bits")), "bin-bits").select("bits").scalar()
+    classes = classes.withColumn("bits", bits)
+
+    def order(sign: Column) -> Column:
+        at = F.pmod(sign, F.lit(BINS))
+        word = F.coalesce(F.get(F.col("bits"), F.shiftright(at, 6)), F.lit(0).cast("long"))
+        return F.struct(F.getbit(word, at.bitwiseAND(F.lit(63))).alias("full"), F.hash(F.lit(7), sign).alias("mixed"), sign.alias("sign"))
+
+    n = F.size("signs")
+    prefix = (n - F.ceil(threshold * n - 1e-9) + 1).cast("int")
+    part = F.floor(F.log(n.cast("double")) / -F.log(F.lit(threshold)) + 1e-9).cast("int")
+    first = F.slice(F.array_sort(F.transform("signs", order)), F.lit(1), prefix)
+    rows = classes.select("cls", n.alias("n"), part.alias("part"), F.explode(first).alias("s"))
+    rows = rows.select("cls", "n", F.col("s.sign").alias("sign"), F.explode(F.array("part", F.col("part") + 1)).alias("part"))
+    return rows.select(F.xxhash64("sign", "part").alias("place"), "cls", "n")
+
+
+def _links(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) that are alike."""
+    near = F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9
+    wanted = pairs.filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return (
+        wanted.join(classes.select(F.col("cls").alias("a"), F.col("signs").alias("sa")), "a")
+        .join(classes.select(F.col("cls").alias("b"), F.col("signs").alias("sb")), "b")
         .filter(likeness(F.col("sa"), F.col("sb")) >= threshold - 1e-12)
         .select("a", "b")
     )
-    labels = components(links).withColumnRenamed("node", "cls")
-    grouped = classes.select("fingerprint", "cls").join(labels, "cls", "left")
-    grouped = grouped.select("fingerprint", F.coalesce("label", "cls").alias("group"))
-    return prints.select("doc_id", "fingerprint").join(grouped, "fingerprint")
+
+
+def groups(prints: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """(cls, group_id) of every class of ``prints`` (doc_id, cls, signs).
+
+    Equal fingerprints are one class from the start. In every place that classes share, all are
+    compared with a hub, the class that shares most places. Hubs and their likes are connected; in
+    places whose classes are still in different groups the next hubs follow, twice as many each
+    round. What was compared as a hub leaves its place, so rounds end when all that meet are
+    connected or compared.
+    """
+    classes = prints.groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("signs").alias("signs"))
+    classes = materialize(classes, "print-classes")
+    rare = materialize(_rare_signatures(classes, threshold), "rare-signatures")
+    crowded = rare.groupBy("place").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = materialize(rare.join(crowded, "place"), "shared-places")
+    weights = shared.groupBy("cls").agg(F.sum("size").alias("weight"))
+    members = materialize(shared.drop("size").join(weights, "cls"), "place-members")
+    links = None
+    labels = prints.sparkSession.createDataFrame([], "node binary, label binary")
+    hubs = 1
+    while not members.isEmpty():
+        best = Window.partitionBy("place").orderBy(F.desc("weight"), "cls")
+        ranked = members.withColumn("turn", F.row_number().over(best)).filter(F.col("turn") <= hubs)
+        chosen = materialize(ranked.select("place", F.col("cls").alias("b"), F.col("n").alias("nb")), "hubs")
+        met = members.select("place", F.col("cls").alias("a"), F.col("n").alias("na")).join(chosen, "place").filter("a != b")
+        found, counted = materialize_measured(_links(met, classes, threshold), "print-links", F.count(F.lit(1)).alias("n"))
+        if counted["n"]:
+            links = found if links is None else links.unionByName(found)
+            labels = materialize(components(links), "print-labels")
+        rest = members.join(chosen.select("place", F.col("b").alias("cls")), ["place", "cls"], "left_anti")
+        labelled = rest.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+        labelled = materialize(labelled, "open-members")
+        mixed = labelled.groupBy("place").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).filter("l1 != l2")
+        members = materialize(labelled.drop("label").join(mixed.select("place"), "place", "left_semi"), "place-members")
+        hubs = min(HUBS, 2 * hubs)
+    named = classes.select("cls", "least").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    named = named.withColumn("label", F.coalesce("label", "cls"))
+    least = named.groupBy("label").agg(F.min("least").alias("group_id"))
+    return named.join(least, "label").select("cls", "group_id")
+
+
+def similar(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """(doc_id, fingerprint, group_id): documents in groups connected by a likeness of ``threshold`` or more.
+
+    ``group_id`` is the smallest doc_id of the group; a group without any id has NULL.
+    """
+    prints = fingerprints(docs).select("doc_id", _class_of(F.col("signatures")).alias("cls"), F.col("signatures").alias("signs"))
+    prints = materialize(prints, "prints")
+    found = prints.join(groups(prints, threshold), "cls")
+    return found.select("doc_id", fingerprint(F.col("signs")).alias("fingerprint"), "group_id")

@@ -135,9 +135,10 @@ def test_sweep_over_many_slices(spark, monkeypatch):
 
 
 def plain_signs(text):
+    """The distinct signatures of a text, and how many there are with repetitions."""
     plain = " " + "".join(c if c.isalnum() else " " for c in text.lower()) + " "
     own = plain.split()
-    found, k = set(), 0
+    found, n, k = set(), 0, 0
     while k < len(own):
         if own[k] in spots.ANCHORS:
             chain = []
@@ -147,12 +148,24 @@ def plain_signs(text):
                 chain.append(word)
             if chain:
                 found.add(" ".join([own[k], *chain]))
+                n += 1
         k += 1
-    return found
+    return found, n
+
+
+def plain_print(text):
+    """The signatures of a text; with few of them its pairs of words as well, without words the text."""
+    signs, n = plain_signs(text)
+    own = "".join(c if c.isalnum() else " " for c in text.lower()).split()
+    if n >= spots.FEW:
+        return signs
+    if len(own) < 2:
+        return {("word", *own)} if own else {("text", text)}
+    return signs | set(zip(own, own[1:]))
 
 
 def plain_likeness(left, right):
-    a, b = plain_signs(left) or {"=" + left}, plain_signs(right) or {"=" + right}
+    a, b = plain_print(left), plain_print(right)
     return len(a & b) / len(a | b)
 
 
@@ -172,7 +185,7 @@ def test_edits_are_like_their_texts(spark, sf_dir, monkeypatch, slice_rows):
         assert got.n_chars == len(text) and got.edited_sha256 == sha(edited)
         assert abs(got.near_edited - plain_likeness(text, edited)) < 1e-9
         assert abs(got.near_next - plain_likeness(text, after)) < 1e-9
-        assert prints.setdefault(got.fingerprint, text) == text or plain_signs(text) == plain_signs(prints[got.fingerprint])
+        assert prints.setdefault(got.fingerprint, text) == text or plain_print(text) == plain_print(prints[got.fingerprint])
         assert (got.fingerprint == got.edited_fingerprint) == (plain_likeness(text, edited) == 1)
 
 
@@ -207,11 +220,55 @@ def test_similar_documents_equal_all_pairs(spark):
         for y in range(x):
             if plain_likeness(texts[x], texts[y]) >= 0.8 - 1e-12:
                 parent[max(find(x), find(y))] = min(find(x), find(y))
-    found = {r.doc_id: r.group for r in spots.similar(docs(spark, rows)).collect()}
-    names = {}
-    for k in range(len(texts)):
-        assert names.setdefault(find(k), found[k]) == found[k]
-    assert len(set(names.values())) == len(names)
+    assert {r.doc_id: r.group_id for r in spots.similar(docs(spark, rows)).collect()} == {k: find(k) for k in range(len(texts))}
+
+
+def test_places_with_many_unlike_documents(spark, monkeypatch):
+    """Documents that share a rare signature without being alike are compared in rounds, like ones among them found."""
+    monkeypatch.setattr(spots, "HUBS", 16)
+    random.seed(6)
+    texts = []
+    for k in range(30):
+        own = " ".join(f"the w{k}x{j} y{k}" for j in range(random.randint(2, 9)))
+        texts.append(f"the common passage of all and {own}")
+    texts += [text + " of one more" for text in texts[::3]]
+    rows = [(k, t, "en", "a", 0) for k, t in enumerate(texts)]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x in range(len(texts)):
+        for y in range(x):
+            if plain_likeness(texts[x], texts[y]) >= 0.8 - 1e-12:
+                parent[max(find(x), find(y))] = min(find(x), find(y))
+    assert {r.doc_id: r.group_id for r in spots.similar(docs(spark, rows)).collect()} == {k: find(k) for k in range(len(texts))}
+
+
+@pytest.mark.parametrize("slice_rows", [2])
+def test_ids_far_apart_and_shared(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr(spots, "SLICE_ROWS", slice_rows)
+    far = 9 * 10**18
+    rows = [(k, f"the text of number {k} and its end", "en", "a", 0) for k in [-far, -1, 0, 1, 2, 3, far, far + 1]]
+    rows += [(5, f"one id and many a text {k}", "en", "a", 0) for k in range(40)]
+    rows += [(None, f"no id but a text {k}", "en", "a", 0) for k in range(30)] + [(7, "the same row", "en", "a", 0)] * 20
+    found = spots.with_next(docs(spark, rows)).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in found) == sorted(str(r[:2]) for r in rows)
+    # every row is followed by one row, and every row follows one: a circle through all
+    assert sorted(str((r.next.doc_id, r.next.text)) for r in found) == sorted(str(r[:2]) for r in rows)
+    ids = sorted({r[0] for r in rows if r[0] is not None})
+    steps = {(r.doc_id, r.next.doc_id) for r in found}
+    assert steps == {(a, a) for a in (5, 7, None)} | set(zip([*ids, None], [*ids[1:], None, ids[0]]))
+
+
+def test_texts_without_anchors_are_like_their_edits(spark):
+    words = " ".join(f"word{k}" for k in range(40))
+    rows = [(1, words, "en", "a", 0), (2, words[:-20], "en", "a", 0), (3, "lone", "en", "a", 0), (4, "???", "en", "a", 0)]
+    found = {r.doc_id: r for r in spots.edited_likeness(docs(spark, rows)).collect()}
+    assert found[1].near_next > 0.8 and found[1].near_edited > 0.5
+    assert found[3].n_signatures == 1 and found[4].n_signatures == 1
 
 
 def test_no_python_in_plans(spark, sf_dir):
