@@ -17,9 +17,10 @@ from ledgerline.operators import allocate, changes, deletes, inclusion, names, q
 from ledgerline.operators.keys import Resolved, extract_dimension, next_ids, resolve_keys
 from ledgerline.operators.ordered import number_rows
 from ledgerline.operators.reshape import expand_rows, split_evenly, split_packed, unpivot_groups
-from ledgerline.plans import analytics, design, maintained, marts, normalize, reports
-from ledgerline.session import scratch_path
-from ledgerline.sources import csv, feeds, publish, tables
+from ledgerline.plans import analytics, baskets, design, forecast, maintained, marts, normalize, reports
+from ledgerline.session import file_names, scratch_path
+from ledgerline.sources import csv, feeds, incremental, publish, tables
+from ledgerline.streaming import fifo
 from ledgerline.streaming import stock as streaming_stock
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,6 +221,18 @@ def csv_text_roundtrip(spark, sf_dir):
     return back.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"), "source")
 
 
+@query
+def load_incremental(spark, sf_dir):
+    """The load files arrive in two waves; each load takes what is new, and a third finds nothing."""
+    files, root = scratch_path(spark, "arriving-csv"), scratch_path(spark, "grown-warehouse")
+    for wave in feeds.load_waves(spark, sf_dir):
+        for name, df in wave.items():
+            csv.write_csv(df, f"{files}/{name}", mode="append")
+        version = incremental.load_new(spark, files, root)
+    assert incremental.load_new(spark, files, root) == version
+    return reports.table_counts(dict(incremental.read_version(spark, root).tables()))
+
+
 @query
 def load_published(spark, sf_dir):
     """All tables to CSV, loaded, checked and published; rows per published table."""
@@ -760,6 +773,17 @@ def basket_pairs(spark, sf_dir):
     return analytics.frequent_pairs(tables.shop(spark, sf_dir), "name", 0.001)
 
 
+@query
+def basket_rules(spark, sf_dir):
+    """Which product groups are bought along with up to three others, in at least half a percent of the sales."""
+    return baskets.basket_rules(tables.shop(spark, sf_dir), "category_id", 0.005)
+
+
+@query
+def demand_forecast(spark, sf_dir):
+    return forecast.demand_forecast(tables.shop(spark, sf_dir))
+
+
 @query
 def rfm_segments(spark, sf_dir):
     return analytics.rfm_segments(tables.shop(spark, sf_dir))
@@ -789,3 +813,19 @@ def fifo_allocation(spark, sf_dir):
 @query
 def invoice_aging(spark, sf_dir):
     return analytics.invoice_aging(tables.shop(spark, sf_dir))
+
+
+@query
+def fifo_stream(spark, sf_dir):
+    """Charges and payments read as a stream that brings them in no particular order."""
+    root = scratch_path(spark, "fifo-stream")
+    entries = analytics.credit_entries(tables.shop(spark, sf_dir))
+    # the order of the hashes has nothing to do with the dates, so later files hold late entries
+    entries.repartition(F.xxhash64("side", "entry_id")).write.parquet(f"{root}/entries")
+    files = [f for f in file_names(spark, f"{root}/entries") if f.endswith(".parquet")]
+    stream = spark.readStream.schema(fifo.ENTRY).option("maxFilesPerTrigger", max(1, len(files) // 4))
+    run = fifo.fifo_stream(stream.parquet(f"{root}/entries"), f"{root}/moves", f"{root}/checkpoint")
+    run.awaitTermination()
+    return fifo.current_allocations(spark, f"{root}/moves").select(
+        "customer_id", "transaction_id", "payment_id", money("cents").alias("allocated")
+    )

@@ -26,6 +26,8 @@ POSITION_MASK = (1 << 33) - 1
 HOT_GROUP_ROWS = 1_000_000
 # A row with more copies is numbered by their count instead of one by one.
 MOST_COPIES = 100_000
+# Large groups are looked for in a sample that holds about so many rows of the smallest of them.
+ROWS_IN_SAMPLE = 200
 
 
 def order_columns(order: Sequence[str | Column]) -> list[Column]:
@@ -85,13 +87,32 @@ def _prefix(slices: DataFrame, key: list[str], sums: dict[str, str]) -> DataFram
     )
 
 
+def _large_groups(df: DataFrame, key: Column, name: str, limit: int) -> DataFrame:
+    """Values of ``key`` that may own more than ``limit`` rows, found in a sample of the rows.
+
+    A group of that size has ROWS_IN_SAMPLE rows in the sample on average, and half of them is
+    asked for, which none misses in practice; small groups may be among those found.
+    """
+    rate = min(1.0, ROWS_IN_SAMPLE / limit)
+    seen = df if rate == 1 else df.sample(rate, seed=7)
+    counts = seen.groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias("__rows"))
+    return counts.filter(F.col("__rows") > (limit if rate == 1 else limit * rate / 2)).select(name)
+
+
 def hot_keys(df: DataFrame, key: str, rows: int | None = None) -> DataFrame:
     """The values of ``key`` that own more than ``rows`` rows, as a stored table of one column.
 
-    However many there are, none is collected.
+    However many there are, none is collected. Usually there are none, which a sample tells; the
+    rows of the values it suggests are counted.
     """
     limit = HOT_GROUP_ROWS if rows is None else rows
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    keys = df.select(key)
+    suspects = _large_groups(keys, F.col(key), "__suspect", limit)
+    if suspects.isEmpty():
+        return df.sparkSession.createDataFrame([], keys.schema)
+    suspects = materialize(suspects, "suspects")
+    own = keys.join(suspects, F.col(key).eqNullSafe(F.col("__suspect")), "left_semi")
+    counts = own.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     return materialize(counts.filter(F.col("__rows") > limit).select(key), "hot-keys")
 
 
@@ -165,9 +186,8 @@ def number_rows(
     total_order = [*order, *[c for c in df.columns if c not in named]]
     crowded = False
     if not unique_rows:
-        # a hash is enough to look for them, and only hashes are shuffled
-        hashed = df.groupBy(F.xxhash64(*df.columns).alias("__row")).agg(F.count(F.lit(1)).alias("__copies"))
-        crowded = not hashed.filter(F.col("__copies") > MOST_COPIES).isEmpty()
+        # whichever way is taken, the numbers are the same, so a sample and hashes are enough
+        crowded = not _large_groups(df, F.xxhash64(*df.columns), "__row", MOST_COPIES).isEmpty()
     if not crowded:
         slices, found = sorted_slices(df, total_order, F.coalesce(F.max(SLICE), F.lit(0)).alias("last_slice"))
         if found["last_slice"] == 0:

@@ -805,11 +805,83 @@ ORACLE["category_revenue_maintained"] = """
         JOIN (SELECT product_id, CASE WHEN product_id % 4 = 1 THEN 'PROMO' ELSE category END AS category
               FROM shop_product WHERE product_id % 17 <> 3) p USING (product_id)
         GROUP BY 1"""
+
+# how far every product's smoothed numbers are after each week
+ORACLE["demand_forecast"] = """WITH RECURSIVE {shop},
+        weekly AS (
+            SELECT i.product_id, CAST(date_trunc('week', t.transaction_date) AS DATE) AS week, SUM(i.quantity) AS units
+            FROM shop_txn_item i JOIN shop_txn t ON t.transaction_id = i.transaction_id GROUP BY 1, 2),
+        bounds AS (SELECT MIN(week) AS first, MAX(week) AS last, MAX(week) - 28 AS learn FROM weekly),
+        totals AS (SELECT week, SUM(units) AS units FROM weekly, bounds WHERE week <= learn GROUP BY 1),
+        factors AS (
+            SELECT month(week) AS month,
+                   (SUM(units) * MAX(n))::DOUBLE / (COUNT(*) * MAX(u))::DOUBLE AS factor
+            FROM totals, (SELECT COUNT(*) AS n, SUM(units) AS u FROM totals) z GROUP BY 1),
+        series AS MATERIALIZED (
+            SELECT p.product_id, s.week, row_number() OVER (PARTITION BY p.product_id ORDER BY s.week) AS k,
+                   COALESCE(w.units, 0)::DOUBLE AS units, COALESCE(NULLIF(f.factor, 0), 1) AS factor,
+                   s.week <= (SELECT learn FROM bounds) AS learned
+            FROM shop_product p,
+                 (SELECT CAST(unnest(generate_series(first, last, INTERVAL 7 DAY)) AS DATE) AS week FROM bounds) s
+            LEFT JOIN weekly w ON w.product_id = p.product_id AND w.week = s.week
+            LEFT JOIN factors f ON f.month = month(s.week)),
+        starts AS (
+            SELECT product_id, COUNT(*) FILTER (WHERE units > 0) / COUNT(*)::DOUBLE AS chance,
+                   COALESCE(AVG(units / factor) FILTER (WHERE units > 0), 0) AS size, COUNT(*) AS n
+            FROM series WHERE learned GROUP BY 1),
+        fold(product_id, k, n, chance, size, squares) AS (
+            SELECT product_id, 0::BIGINT, n, chance, size, 0::DOUBLE FROM starts
+            UNION ALL
+            SELECT fold.product_id, s.k, fold.n,
+                   fold.chance + 0.1::DOUBLE * (CASE WHEN s.units > 0 THEN 1 ELSE 0 END - fold.chance),
+                   CASE WHEN s.units > 0 THEN fold.size + 0.1::DOUBLE * (s.units / s.factor - fold.size) ELSE fold.size END,
+                   fold.squares + (s.units / s.factor - fold.chance * fold.size) * (s.units / s.factor - fold.chance * fold.size)
+            FROM fold JOIN series s ON s.product_id = fold.product_id AND s.k = fold.k + 1 AND s.learned),
+        fits AS (
+            SELECT product_id, n, chance * size AS level, sqrt(squares / n) AS sigma FROM fold WHERE k = n),
+        recent AS (
+            SELECT s.product_id, SUM(units) / 4 AS mean FROM series s JOIN fits USING (product_id)
+            WHERE learned AND k > n - 4 GROUP BY 1),
+        held AS (
+            SELECT s.product_id, CAST(SUM(units) AS BIGINT) AS units_held_out,
+                   round(SUM(level * factor), 6) AS forecast_held_out,
+                   round(SUM(abs(units - level * factor)) / COUNT(*), 6) AS mean_error,
+                   round(SUM(abs(units - mean)) / COUNT(*), 6) AS mean_error_flat
+            FROM series s JOIN fits USING (product_id) JOIN recent USING (product_id) WHERE NOT learned GROUP BY 1)
+        SELECT product_id, round(level, 6) AS weekly, round(sigma, 6) AS sigma, units_held_out, forecast_held_out,
+               mean_error, mean_error_flat, CAST(ceil(round(level * 2 + 1.65::DOUBLE * sigma * sqrt(2), 6)) AS BIGINT) AS reorder_point,
+               on_hand,
+               CAST(GREATEST(ceil(round(level * 2 + 1.65::DOUBLE * sigma * sqrt(2), 6)) - on_hand, 0) AS BIGINT) AS suggested_units
+        FROM fits JOIN held USING (product_id) JOIN stock USING (product_id)"""
+ORACLE["basket_rules"] = """
+        , baskets AS (SELECT DISTINCT i.transaction_id, p.category AS item
+                      FROM shop_txn_item i JOIN shop_product p ON p.product_id = i.product_id),
+        total AS (SELECT COUNT(DISTINCT transaction_id) AS n FROM baskets),
+        sets AS MATERIALIZED (
+            SELECT items, COUNT(*) AS n FROM (
+                SELECT [item] AS items FROM baskets
+                UNION ALL SELECT [a.item, b.item] FROM baskets a JOIN baskets b USING (transaction_id) WHERE a.item < b.item
+                UNION ALL SELECT [a.item, b.item, c.item] FROM baskets a JOIN baskets b USING (transaction_id)
+                    JOIN baskets c USING (transaction_id) WHERE a.item < b.item AND b.item < c.item
+                UNION ALL SELECT [a.item, b.item, c.item, d.item] FROM baskets a JOIN baskets b USING (transaction_id)
+                    JOIN baskets c USING (transaction_id) JOIN baskets d USING (transaction_id)
+                    WHERE a.item < b.item AND b.item < c.item AND c.item < d.item)
+            GROUP BY 1 HAVING COUNT(*) >= (SELECT ceil(0.005 * n) FROM total)),
+        closed AS (SELECT * FROM sets s WHERE len(items) > 1 AND NOT EXISTS (
+            SELECT 1 FROM sets l WHERE len(l.items) = len(s.items) + 1 AND l.n = s.n AND list_has_all(l.items, s.items))),
+        rules AS (SELECT items, n, unnest(items) AS also FROM closed)
+        SELECT array_to_string(l.items, ' + ') AS items, also, CAST(len(rules.items) AS INT) AS n_items, rules.n AS n_both,
+               round(rules.n / l.n::DOUBLE, 6) AS confidence,
+               round(rules.n * (SELECT n FROM total)::DOUBLE / (l.n * o.n), 6) AS lift
+        FROM rules JOIN sets l ON l.items = list_filter(rules.items, lambda x: x <> also)
+        JOIN sets o ON o.items = [also]"""
 ORACLE["fd_discovery"] = ORACLE["fd_discovery"].replace("{delivery_flat}", VIEWS["delivery_flat"])
 ORACLE["load_published"] = ORACLE["load_counts"].replace(
     "FROM shop_payment", "FROM shop_payment WHERE amount > 0"
 )
+ORACLE["load_incremental"] = ORACLE["load_published"]
 ORACLE["stock_stream"] = ORACLE["stock_cdc_batch"]
+ORACLE["fifo_stream"] = ORACLE["fifo_allocation"]
 
 
 def _needed(sql: str) -> list[str]:
@@ -829,5 +901,8 @@ def oracle_sql() -> dict[str, str]:
     result = {}
     for name, sql in ORACLE.items():
         views = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in _needed(sql))
-        result[name] = f"WITH {views}\n{sql}" if views and not sql.startswith("WITH") else sql
+        if "{shop}" in sql:
+            result[name] = sql.replace("{shop}", views)
+        else:
+            result[name] = f"WITH {views}\n{sql}" if views and not sql.startswith("WITH") else sql
     return result

@@ -311,6 +311,25 @@ def settled_charges(shop: Shop) -> DataFrame:
     )
 
 
+def credit_entries(shop: Shop) -> DataFrame:
+    """Charges and payments of customers as entries of one stream, amounts in centavos."""
+    due = charges(shop).select(
+        "customer_id",
+        F.lit("charge").alias("side"),
+        F.col("transaction_id").alias("entry_id"),
+        F.col("transaction_date").cast("timestamp").alias("at"),
+        F.col("sale_cents").alias("cents"),
+    )
+    paid = shop.credit_payments.select(
+        "customer_id",
+        F.lit("payment").alias("side"),
+        F.col("payment_id").alias("entry_id"),
+        F.col("payment_date").cast("timestamp").alias("at"),
+        cents("amount").alias("cents"),
+    )
+    return due.unionByName(paid)
+
+
 def payment_allocation(shop: Shop) -> DataFrame:
     return settled_charges(shop).select(
         "customer_id", "transaction_id", "payment_id", money("allocated").alias("allocated")

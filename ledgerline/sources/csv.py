@@ -38,7 +38,7 @@ def _one_line(df: DataFrame) -> DataFrame:
     return df.select(*[checked(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
 
 
-def write_csv(df: DataFrame, path: str, multi_line: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, multi_line: bool = False, mode: str = "overwrite") -> None:
     """Write ``df`` as CSV; NULL becomes an empty field, an empty string ``""``.
 
     Text must fit on one line (see :func:`ledgerline.functions.text.one_line`),
@@ -46,7 +46,7 @@ def write_csv(df: DataFrame, path: str, multi_line: bool = False) -> None:
     ``multi_line`` fields may hold line breaks, and a reader has to take every
     file as a whole.
     """
-    writer = (df if multi_line else _one_line(df)).write.mode("overwrite").options(**DIALECT)
+    writer = (df if multi_line else _one_line(df)).write.mode(mode).options(**DIALECT)
     writer = writer.option("emptyValue", '""')
     writer.option("timestampFormat", TIMESTAMP_FORMAT).csv(path)
 

@@ -90,3 +90,17 @@ def product_batches(spark: SparkSession, sf_dir: str) -> list[Changes]:
         ),
         Changes(products=changed_rows(before=moved.filter("product_id % 17 = 3"))),
     ]
+
+
+def load_waves(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
+    """The load files in two waves: people and goods with the even documents, then the odd ones."""
+    frames = tables.warehouse(spark, sf_dir)
+    documents = {
+        "restocks": "restock_id", "restock_items": "restock_id", "transactions": "transaction_id",
+        "transaction_items": "transaction_id", "credit_payments": "payment_id",
+    }
+    first = {
+        name: df.filter(F.col(documents[name]) % 2 == 0) if name in documents else df for name, df in frames.items()
+    }
+    second = {name: frames[name].filter(F.col(key) % 2 == 1) for name, key in documents.items()}
+    return [first, second]

@@ -3,11 +3,14 @@
 Tables are written to a new version folder and checked there. Only when no rule
 is violated does the version enter the manifest, in one appended file. Readers
 take the latest version of the manifest, so they see the whole old load or the
-whole new one, and a failed load leaves nothing behind that they could read.
+whole new one, and a failed load leaves nothing behind that they could read. A load that died while
+publishing blocks nobody for long: its claim on the next number grows old, and a later load takes
+over. :func:`prune` removes versions that are no longer needed.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -21,6 +24,9 @@ from ledgerline.plans.marts import recompute_stock
 from ledgerline.session import file_names, file_system, materialize
 from ledgerline.sources.csv import read_tables
 
+# Seconds after which an unfinished load counts as dead.
+STALE_AFTER = 3600.0
+
 MANIFEST_SCHEMA = "version STRING, sequence BIGINT, published_at TIMESTAMP"
 
 # The column each fact table is sorted by, for min/max pruning of files and row
@@ -47,12 +53,29 @@ def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/manifest")
 
 
-def _claim(spark: SparkSession, root: str, sequence: int) -> None:
-    """Take a sequence number for this publisher; the file system lets only one have it."""
-    path = f"{root}/claims/{sequence}"
-    files, target = file_system(spark, path)
-    if not files.createNewFile(target):
-        raise ConflictError(f"another load has taken number {sequence}; if it did not finish, remove {path}")
+def _claim(spark: SparkSession, root: str, sequence: int, stale_after: float) -> str:
+    """Take a sequence number for this publisher; the file system lets only one have it.
+
+    A claim older than ``stale_after`` seconds was left by a publisher that died. The next attempt
+    at its number is a file of its own, so again only one publisher gets it.
+    """
+    attempt = 0
+    while True:
+        path = f"{root}/claims/{sequence}-{attempt}"
+        files, target = file_system(spark, path)
+        if files.createNewFile(target):
+            return path
+        age = time.time() - files.getFileStatus(target).getModificationTime() / 1000
+        if age < stale_after:
+            raise ConflictError(f"another load has taken number {sequence} {age:.0f} seconds ago")
+        attempt += 1
+
+
+def _still_held(spark: SparkSession, claim: str) -> bool:
+    """Whether nobody took the claim over because this publisher was slow."""
+    head, attempt = claim.rsplit("-", 1)
+    files, target = file_system(spark, f"{head}-{int(attempt) + 1}")
+    return not files.exists(target)
 
 
 def current_version(spark: SparkSession, root: str) -> tuple[str, int] | None:
@@ -88,18 +111,55 @@ def _write(df: DataFrame, path: str, cluster_by: list[str] | None) -> None:
     df.write.parquet(path)
 
 
-def publish(shop: Shop, root: str) -> str:
+def _delete(spark: SparkSession, folder: str) -> None:
+    files, target = file_system(spark, folder)
+    files.delete(target, True)
+
+
+def prune(spark: SparkSession, root: str, keep: int = 2, stale_after: float = STALE_AFTER) -> list[str]:
+    """Delete the folders of all versions but the last ``keep``, and of loads that never finished.
+
+    Folders younger than ``stale_after`` seconds may belong to a load that is running, and stay.
+    Readers of a version that is deleted fail, so keep as many as are being read.
+    """
+    manifest = _manifest(spark, root)
+    # one row a load
+    published = [] if manifest is None else manifest.orderBy(F.desc("sequence")).select("version").collect()
+    kept = {r["version"] for r in published[:keep]}
+    gone = []
+    for name in file_names(spark, f"{root}/versions"):
+        files, target = file_system(spark, f"{root}/versions/{name}")
+        age = time.time() - files.getFileStatus(target).getModificationTime() / 1000
+        if name not in kept and age >= stale_after:
+            files.delete(target, True)
+            gone.append(name)
+    return sorted(gone)
+
+
+def publish(shop: Shop, root: str, stale_after: float = STALE_AFTER) -> str:
     """Load ``shop`` as a new version and return its name.
 
     The stored stock count is recomputed once from the staged lines. Raises
     :class:`ValidationError`, publishing nothing, if any rule is violated, and
     :class:`ConflictError` if another load was published in the meantime.
-    Loading the same data again publishes an equal version.
+    Loading the same data again publishes an equal version. A load that fails deletes what it
+    staged; one that died leaves a folder to :func:`prune` and a claim that others may take over
+    after ``stale_after`` seconds.
     """
     spark = shop.products.sparkSession
-    previous = current_version(spark, root)
     version = uuid.uuid4().hex
     folder = f"{root}/versions/{version}"
+    try:
+        _stage_and_publish(shop, root, version, folder, stale_after)
+    except Exception:
+        _delete(spark, folder)
+        raise
+    return version
+
+
+def _stage_and_publish(shop: Shop, root: str, version: str, folder: str, stale_after: float) -> None:
+    spark = shop.products.sparkSession
+    previous = current_version(spark, root)
     others = [(name, df) for name, df in shop.tables() if name != "products"]
 
     def stage(table: tuple[str, DataFrame]) -> None:
@@ -120,14 +180,15 @@ def publish(shop: Shop, root: str) -> str:
     if problems:
         raise ValidationError("; ".join(sorted(problems)))
     sequence = 1 if previous is None else previous[1] + 1
-    _claim(spark, root, sequence)
+    claim = _claim(spark, root, sequence, stale_after)
     entry = spark.range(1).select(
         F.lit(version).alias("version"),
         F.lit(sequence).cast("bigint").alias("sequence"),
         F.current_timestamp().alias("published_at"),
     )
+    if not _still_held(spark, claim):
+        raise ConflictError(f"another load has taken over number {sequence}")
     entry.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
-    return version
 
 
 def load_csv(spark: SparkSession, csv_root: str, root: str) -> Shop:

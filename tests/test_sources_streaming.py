@@ -174,6 +174,33 @@ def test_two_publishers_cannot_take_one_number(spark, tmp_path, monkeypatch):
         publish.publish(small_shop(spark), root)
 
 
+def test_a_dead_publisher_is_taken_over(spark, tmp_path):
+    root = str(tmp_path)
+    # a load that claimed the first number and died
+    publish._claim(spark, root, 1, stale_after=3600)
+    with pytest.raises(publish.ConflictError, match="number 1"):
+        publish.publish(small_shop(spark), root)
+    version = publish.publish(small_shop(spark), root, stale_after=0)
+    assert publish.current_version(spark, root) == (version, 1)
+    # had it only been slow, it would notice
+    assert not publish._still_held(spark, f"{root}/claims/1-0") and publish._still_held(spark, f"{root}/claims/1-1")
+
+
+def test_old_and_failed_versions_are_removed(spark, tmp_path):
+    root = str(tmp_path)
+    names = [publish.publish(small_shop(spark), root) for _ in range(3)]
+    shop = small_shop(spark)
+    with pytest.raises(publish.ValidationError):
+        publish.publish(shop.replace(customers=shop.customers.unionByName(shop.customers)), root)
+    folders = lambda: sorted(p.name for p in (tmp_path / "versions").iterdir())
+    assert folders() == sorted(names)
+    (tmp_path / "versions" / "never-finished").mkdir()
+    assert publish.prune(spark, root, keep=2) == []
+    assert publish.prune(spark, root, keep=2, stale_after=0) == sorted([names[0], "never-finished"])
+    assert folders() == sorted(names[1:])
+    assert rows(publish.read_published(spark, root).units) == rows(shop.units)
+
+
 def test_stream_equals_batch_for_a_folder_source(spark, tmp_path, sf_dir):
     from ledgerline.catalog import QUERIES
     from ledgerline.sources import tables
