@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from ledgerline.functions.money import PRICE, cents, money
 from ledgerline.functions.text import barcode, document_no, one_line, tagged
 from ledgerline.model import TABLES
-from ledgerline.operators import allocate, changes, deletes, inclusion, names, quality
+from ledgerline.operators import allocate, changes, deletes, inclusion, names, profile, quality
 from ledgerline.operators.keys import Resolved, extract_dimension, next_ids, resolve_keys
 from ledgerline.operators.ordered import number_rows
 from ledgerline.operators.reshape import expand_rows, split_evenly, split_packed, unpivot_groups
@@ -525,6 +525,18 @@ def stale_balance(spark, sf_dir):
 # --- Structure found in the data --------------------------------------------
 
 
+@query
+def profile_merged(spark, sf_dir):
+    """Profiles of two loads of orders and lines, merged, and whether they agree with that of all rows."""
+    frames = {name: tables.read_table(spark, sf_dir, name) for name in ("orders", "lineitem")}
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+    root = scratch_path(spark, "profiles")
+    for odd in (0, 1):
+        profile.save({n: df.filter(F.col(keys[n]) % 2 == odd) for n, df in frames.items()}, root, f"part{odd}")
+    whole = quality.union_all([profile.profile(df, name) for name, df in frames.items()])
+    return profile.agreement(profile.merged(spark.read.parquet(root)), whole)
+
+
 @query
 def fd_discovery(spark, sf_dir):
     """Every minimal dependency of the delivery log, with up to three columns on the left."""

@@ -754,6 +754,23 @@ ORACLE["inclusion_candidates"] = f"""WITH vals AS MATERIALIZED ({_VALUES}),
         JOIN sizes sa ON sa.t = a.t AND sa.c = a.c JOIN sizes sb ON sb.t = b.t AND sb.c = b.c
         GROUP BY 1, 2, 3, 4 HAVING COUNT(*) * 100 >= MAX(sa.n_values) * 90"""
 
+
+
+def _profile(table: str, name: str, kind: str) -> str:
+    number = f"datediff('day', DATE '1970-01-01', CAST({name} AS DATE))" if kind == "time" else name
+    bounds = (
+        f"NULL::DOUBLE AS least, NULL::DOUBLE AS most, MIN({name}) AS least_text, MAX({name}) AS most_text"
+        if kind == "string"
+        else f"MIN({number})::DOUBLE + 0::DOUBLE AS least, MAX({number})::DOUBLE + 0::DOUBLE AS most, NULL::VARCHAR AS least_text, NULL::VARCHAR AS most_text"
+    )
+    return f"""SELECT '{table}' AS table_name, '{name}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT({name}) AS n_null,
+        {bounds}, true AS distinct_agree, true AS quantiles_agree FROM {table}"""
+
+
+ORACLE["profile_merged"] = " UNION ALL ".join(
+    _profile(table, *column.split(":")) for table in ("orders", "lineitem") for column in GIVEN[table].split()
+)
+
 ORACLE["name_clusters"] = """WITH RECURSIVE listed AS (
             SELECT key, name, key % 12 AS slip, key // 12 % 7 + 1 AS place
             FROM (SELECT p_partkey AS key, p_name AS name FROM part UNION ALL
