@@ -52,6 +52,13 @@ HEADLINE = [
     "stock_paths_agree",
     "delete_with_cascade",
     "csv_text_roundtrip",
+    "fd_discovery",
+    "inclusion_candidates",
+    "name_clusters",
+    "balances_maintained",
+    "demand_forecast",
+    "basket_rules",
+    "fifo_stream",
 ]
 
 
