@@ -18,12 +18,14 @@ templates than the share asks for contains none and is passed over.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from importlib import resources
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -386,7 +388,7 @@ def _whole(matches: list[tuple[int, int, str, float]]) -> Iterator[tuple[int, in
 
 def _scanner(shipped, least: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = shipped.value
+        library = pickle.loads(shipped.value)
         for batch in batches:
             for piece in W.pieces(batch["text"]):
                 words, hashes = _normal_words(piece)
@@ -448,7 +450,8 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = LICENSES, containment:
       a table of licenses, a dimension. Other columns are ignored.
     """
     inputs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    library = docs.sparkSession.sparkContext.broadcast(Library(prepare(templates)))
+    # as bytes, classes and all, since executors have no copy of this package
+    library = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Library(prepare(templates))))
     return in_small_batches(inputs).mapInArrow(
         _scanner(library, containment),
         "doc_id long, license string, containment double, first_byte long, end_byte long",
