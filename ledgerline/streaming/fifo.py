@@ -14,10 +14,12 @@ Without it nothing is discarded and the state keeps all entries, on the executor
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,6 +27,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerline.streaming.stock import ROCKS, STATE_STORE
 
+# the functions travel with the job, so executors need no copy of this module
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ENTRY = "customer_id BIGINT, side STRING, entry_id BIGINT, at TIMESTAMP, cents BIGINT"
 MOVED = "customer_id BIGINT, kind STRING, transaction_id BIGINT, payment_id BIGINT, cents BIGINT"
 # the two queues as rows of (time in microseconds, id, centavos), where the first of each begins
