@@ -108,3 +108,35 @@ def test_settled_entries_do_not_change_later_allocations(seed):
     later = np.array([(100, 100, 20)], np.int64)
     more = fifo.allocations(np.concatenate([charges, later]), np.concatenate([payments, later]), 0, 0)
     assert {**gone, **fifo.allocations(np.concatenate([c, later]), np.concatenate([p, later]), charged, paid)} == more
+
+
+def test_one_call_settles_many_customers(spark, monkeypatch):
+    """Customers share buckets, and each gets what it would get alone, in every wave and after a restart."""
+    monkeypatch.setattr(fifo, "BUCKETS", 2)
+    folder, path, checkpoint = (scratch_path(spark, n) for n in ("entries", "moves", "checkpoint"))
+    random.seed(5)
+    rows = [
+        (random.randrange(-40, 40), random.choice(["charge", "payment"]), k, START + timedelta(hours=random.randrange(2000)), random.randrange(1, 900))
+        for k in range(900)
+    ]
+    for part in (rows[:400], rows[400:410], rows[410:]):
+        arrive(spark, part, folder)
+        run(spark, folder, path, checkpoint)
+    assert found(spark, path) == at_once(rows)
+    calls = fifo.moves(spark.readStream.schema(fifo.ENTRY).parquet(folder))
+    assert "pmod" in calls._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_buckets_forget_what_each_customer_would(seed):
+    random.seed(seed)
+    queue = lambda first: np.array([(first + k, k + first, random.randint(1, 9)) for k in range(random.randint(0, 8))], np.int64).reshape(-1, 3)
+    alone = {customer: (queue(0), queue(0)) for customer in (-3, 0, 7)}
+    joined = [np.concatenate([np.column_stack([np.full(len(q[side]), c), q[side]]) for c, q in alone.items()]) for side in (0, 1)]
+    lines = fifo._lines_of(np.zeros((0, 4), np.int64), *joined)
+    before = random.randint(0, 9)
+    charges, payments, lines = fifo._forget(*joined, lines, before)
+    for customer, (c, p) in alone.items():
+        c, p, charged, paid = fifo._settled(c, p, 0, 0, before)
+        assert (charges[charges[:, 0] == customer][:, 1:] == c).all() and (payments[payments[:, 0] == customer][:, 1:] == p).all()
+        assert [line[1:3].tolist() for line in lines if line[0] == customer] in ([[charged, paid]], [])
