@@ -3,7 +3,9 @@
 Every table's folder is read by a file stream, whose checkpoint is the log of files taken. A
 micro-batch passes a gate: rows with malformed fields, broken rules, keys that are there already or
 references to nothing are kept aside with their reasons, all others are written to a folder named
-after the batch, which a rerun replaces. New rows are checked against what is stored, stored rows
+after the batch, which a rerun replaces. The batch is stored once, as it came; types and reasons
+are derived whenever it is read, and only the faults that were found meet its rows again, so a
+batch with few faults is not shuffled. New rows are checked against what is stored, stored rows
 are not checked again. When all streams have come to their end, one appended file says which batch
 of each table belongs to the new version. A load that fails on the way leaves the last version in
 force, and earlier versions can be read as long as their batches are there.
@@ -55,7 +57,7 @@ def _last(spark: SparkSession, root: str, name: str) -> int:
 
 
 def _typed(raw: DataFrame, table: Table) -> DataFrame:
-    """The table's columns, and ``__reasons``: what is wrong with a row by itself."""
+    """The table's columns, and ``__reasons``: what is wrong with a row by itself; ``raw`` has its ROW."""
     reasons = [F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))]
     columns: list[Column] = []
     for f in table.schema.fields:
@@ -65,11 +67,8 @@ def _typed(raw: DataFrame, table: Table) -> DataFrame:
         else:
             value = F.expr(table.defaults.get(f.name, "NULL")).cast(f.dataType)
         columns.append(value.alias(f.name))
-    text = F.to_json(F.struct(*[c for c in raw.columns if c != CORRUPT]))
-    typed = raw.select(
-        *columns, F.array_compact(F.array(*reasons)).alias("__reasons"), text.alias("__text"),
-        F.monotonically_increasing_id().alias(ROW),
-    )
+    text = F.to_json(F.struct(*[c for c in raw.columns if c not in (CORRUPT, ROW)]))
+    typed = raw.select(*columns, F.array_compact(F.array(*reasons)).alias("__reasons"), text.alias("__text"), ROW)
     rules = [F.when(F.col(c).isNull(), F.lit(f"required:{c}")) for c in dict.fromkeys((*table.key, *table.required))]
     rules += [F.when(~F.expr(rule), F.lit(f"check:{name}")) for name, rule in table.checks.items()]
     return typed.withColumn("__reasons", F.concat("__reasons", F.array_compact(F.array(*rules))))
@@ -79,23 +78,32 @@ def _repeats(new: DataFrame, stored: DataFrame, columns: tuple[str, ...]) -> Dat
     """Rows whose key is stored already, or was taken by an earlier row of the batch."""
     whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
     keyed = new.filter(whole).select(ROW, *columns)
-    known = keyed.join(stored.select(*columns), list(columns), "left_semi").select(ROW)
-    first = keyed.groupBy(*columns).agg(F.min(ROW).alias("__first"))
-    later = keyed.join(first, list(columns)).filter(F.col(ROW) != F.col("__first")).select(ROW)
-    return known.unionByName(later).withColumn("reason", F.lit(f"repeated:{'+'.join(columns)}"))
+    known = stored.filter(whole).select(F.lit(None).cast("bigint").alias(ROW), *columns)
+    # each key meets its like once; what is stored is no row of the batch
+    met = keyed.unionByName(known).groupBy(*columns).agg(
+        F.count(ROW).alias("__new"), F.count(F.lit(1)).alias("__all"), F.min(ROW).alias("__first")
+    )
+    suspect = met.filter((F.col("__new") > 0) & (F.col("__all") > 1)).select(
+        *columns, F.when(F.col("__all") == F.col("__new"), F.col("__first")).alias("__first")
+    )
+    # stored, so that few of them need no shuffle of the batch
+    suspect = materialize(suspect, "suspects")
+    found = keyed.join(suspect, list(columns)).filter(~F.col(ROW).eqNullSafe(F.col("__first")))
+    return found.select(ROW, F.lit(f"repeated:{'+'.join(columns)}").alias("reason"))
 
 
 def _orphans(new: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     used = new.filter(F.col(column).isNotNull()).select(ROW, F.col(column).alias("__key"))
     # one row per value meets the parents
     missing = used.select("__key").distinct().join(parent.select(F.col(parent_key).alias("__key")), "__key", "left_anti")
+    missing = materialize(missing, "missing")
     return used.join(missing, "__key", "left_semi").select(ROW, F.lit(f"reference:{column}").alias("reason"))
 
 
 def _take(root: str, name: str, raw: DataFrame, batch_id: int) -> None:
     """Write the rows of a batch that pass the gate, and those that do not with their reasons."""
     spark, table = raw.sparkSession, TABLES[name]
-    typed = materialize(_typed(raw, table), f"taken-{name}")
+    typed = _typed(materialize(raw.withColumn(ROW, F.monotonically_increasing_id()), f"taken-{name}"), table)
     sound = typed.filter(F.size("__reasons") == 0)
     # parents come first: what a batch refers to must have been accepted
     orphans = [
@@ -109,15 +117,12 @@ def _take(root: str, name: str, raw: DataFrame, batch_id: int) -> None:
     repeats = reduce(DataFrame.unionByName, [_repeats(sound, stored, c) for c in (table.key, *table.unique)])
     found = repeats.unionByName(homeless) if orphans else repeats
     faults = found.groupBy(ROW).agg(F.array_sort(F.collect_set("reason")).alias("__more"))
-    judged = materialize(
-        typed.join(faults, ROW, "left").withColumn(
-            "__reasons", F.when(F.col("__more").isNull(), F.col("__reasons")).otherwise(F.concat("__reasons", "__more"))
-        ),
-        f"judged-{name}",
-    )
-    passed = judged.filter(F.size("__reasons") == 0).select(*table.columns)
-    failed = judged.filter(F.size("__reasons") > 0).select(
-        F.col("__text").alias("row"), F.array_join("__reasons", ", ").alias("reasons")
+    faults = materialize(faults, f"faults-{name}")
+    by_itself = F.size("__reasons") > 0
+    passed = typed.filter(~by_itself).join(faults, ROW, "left_anti").select(*table.columns)
+    failed = typed.join(faults, ROW, "left").filter(by_itself | F.col("__more").isNotNull()).select(
+        F.col("__text").alias("row"),
+        F.array_join(F.concat("__reasons", F.coalesce("__more", F.array().cast("array<string>"))), ", ").alias("reasons"),
     )
     failed.write.mode("overwrite").parquet(f"{root}/rejected/{name}/batch_id={batch_id}")
     passed.write.mode("overwrite").parquet(f"{root}/tables/{name}/batch_id={batch_id}")

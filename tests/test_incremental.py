@@ -89,3 +89,23 @@ def test_a_broken_file_leaves_the_last_version(spark, tmp_path):
     broken.unlink()
     with pytest.raises(FileNotFoundError):
         incremental.read_version(spark, root, 9)
+
+
+def test_a_batch_is_stored_once_as_it_came(spark, tmp_path, monkeypatch):
+    """What the gate stores besides the accepted rows: the batch in its own columns, and faults."""
+    files, root = str(tmp_path / "csv"), str(tmp_path / "warehouse")
+    shop = small_shop(spark)
+    arrive(files, **{n: df for n, df in shop.tables()})
+    kept, stored = [], incremental.materialize
+
+    def storing(df, label):
+        out = stored(df, label)
+        kept.append((label, out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(incremental, "materialize", storing)
+    assert incremental.load_new(spark, files, root) == 1
+    for label, columns, n in kept:
+        assert "__text" not in columns and "__reasons" not in columns
+        assert label.startswith("taken-") or n == 0
+    assert sum(label.startswith("taken-") for label, _, _ in kept) == len(TABLES)
