@@ -22,6 +22,7 @@ from ledgerline.operators.keys import (
 )
 from ledgerline.operators.ordered import number_rows
 from ledgerline.operators.reshape import split_packed, unpivot_groups
+from ledgerline.session import materialize
 
 ITEM_SLOTS = 3
 
@@ -117,7 +118,8 @@ def split_inventory(raw: DataFrame) -> Inventory:
 
 def key_sales(raw: DataFrame) -> DataFrame:
     """The sales list with a sale id, assigned once for headers and items alike."""
-    return number_rows(raw, ["sale_date", "customer_name"], "sale_id")
+    # numbering reads its rows several times
+    return number_rows(materialize(raw, "sales-list"), ["sale_date", "customer_name"], "sale_id")
 
 
 def sale_items(keyed: DataFrame, slots: int = ITEM_SLOTS) -> DataFrame:
@@ -210,21 +212,24 @@ def split_deliveries(
 ) -> Deliveries:
     """Delivery log to delivery headers and lines.
 
-    The log is read once, to number and store its lines; headers come from those.
+    The log is read once, to store its lines before they are numbered; headers come from those.
+    Names are looked up before the lines get their documents, which this needs no join for.
     """
     order = ["delivery_date", "reference_no", "product_name"]
-    keyed = number_rows(raw, order, "restock_item_id")
+    keyed = number_rows(materialize(raw, "delivery-log"), order, "restock_item_id")
     headers = delivery_headers(keyed, ["notes"])
     documents = headers.select("restock_id", *[F.col(c).alias(f"of_{c}") for c in DOCUMENT])
     same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in DOCUMENT]
-    lines = keyed.join(documents, same).select(
-        "restock_item_id",
-        "restock_id",
-        "product_name",
-        F.col("qty_received").alias("quantity"),
-        "unit_cost",
+    lines = keyed.select(
+        "restock_item_id", *DOCUMENT, "product_name", F.col("qty_received").alias("quantity"), "unit_cost"
     )
     items = resolve_keys(lines, products, "product_name", "name", "product_id", on_missing)
+
+    def with_documents(df: DataFrame, name: str) -> DataFrame:
+        return df.join(documents, same).select("restock_item_id", "restock_id", name, "quantity", "unit_cost")
+
+    # these are the lines themselves; other policies count names
+    unresolved = with_documents(items.unresolved, "product_name") if on_missing == "quarantine" else items.unresolved
     resolved = resolve_keys(headers, suppliers, "supplier_name", "name", "supplier_id", "stub")
     return Deliveries(
         restocks=resolved.rows.select(
@@ -234,12 +239,10 @@ def split_deliveries(
             "reference_no",
             "notes",
         ),
-        restock_items=items.rows.select(
-            "restock_item_id", "restock_id", "product_id", "quantity", "unit_cost"
-        ),
+        restock_items=with_documents(items.rows, "product_id"),
         suppliers=resolved.dimension,
         products=items.dimension,
-        unresolved=items.unresolved,
+        unresolved=unresolved,
     )
 
 

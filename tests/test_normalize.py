@@ -97,3 +97,20 @@ def test_normalization_is_repeatable(spark, result):
 def test_balance_notes_disagree(spark):
     sales = notebook.frames(spark)[1].filter("customer_name IS NOT NULL")
     assert rows(quality.fd_violations(sales, ["customer_name"], ["customer_balance"])) == [("Anna", 2)]
+
+
+def test_sales_list_is_computed_once(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.plans import normalize
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(note):
+        seen.add(1)
+        return note
+
+    raw = spark.range(50).selectExpr("date'2024-01-01' AS sale_date", "CAST(id % 7 AS STRING) AS customer_name", "CAST(id AS STRING) AS notes")
+    raw = raw.withColumn("notes", F.udf(count)("notes"))
+    assert normalize.key_sales(raw).count() == 50
+    assert seen.value == 50
