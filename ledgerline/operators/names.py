@@ -5,8 +5,9 @@ not 330 ml. Two names that differ by one edit of a letter (or two, if asked for)
 the text that is left when the differing letters are cut out or replaced by a blank space. Every
 distinct name is sent to the places of all its patterns. Who meets in one place is within the
 distance by construction, so a place needs no comparison of all pairs: linking everyone to one
-name of the place connects the same names. Linked names form a cluster, whose most frequent
-spelling stands for it.
+name of the place connects the same names. Names whose numbers nobody else has meet nobody, and the
+few names that share rare numbers are compared as they are, which takes far less than their
+patterns. Linked names form a cluster, whose most frequent spelling stands for it.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from ledgerline.session import materialize
 
 # takes the place of a replaced letter in a pattern
 GAP = "\x01"
+# up to so many names with the same numbers are compared pair by pair
+MOST_IN_PAIRS = 16
 
 
 def normal_name(name: str) -> Column:
@@ -55,8 +58,27 @@ def links(names: DataFrame, distance: int = 1) -> DataFrame:
     """Pairs (a, b) of names within ``distance`` edits, enough to connect all that are connected.
 
     ``names`` has one row per name: name, letters (compared by edits), numbers (compared as they
-    are). In the place of a pattern, a name from which nothing was cut is within the distance of
-    all others; names from which one letter each was cut are within two edits of each other.
+    are). Small groups of names with the same numbers are compared pair by pair, all others meet by
+    their patterns.
+    """
+    # the gap is no letter to patterns, so names that hold it go by patterns in any case
+    groups = names.groupBy("numbers").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("letters").contains(GAP)).alias("odd")
+    )
+    met = materialize(names.join(groups.filter("n > 1"), "numbers"), "names-by-numbers")
+    few = (F.col("n") <= MOST_IN_PAIRS) & ~F.col("odd")
+    left = met.filter(few).select("numbers", F.col("name").alias("a"), F.col("letters").alias("a_letters"))
+    right = met.filter(few).select("numbers", F.col("name").alias("b"), F.col("letters").alias("b_letters"))
+    near = F.levenshtein("a_letters", "b_letters", distance) >= 0
+    pairs = left.join(right, "numbers").filter((F.col("a") < F.col("b")) & near).select("a", "b")
+    return pairs.unionByName(_links_by_patterns(met.filter(~few).select(*names.columns), distance))
+
+
+def _links_by_patterns(names: DataFrame, distance: int) -> DataFrame:
+    """:func:`links` by the places of patterns.
+
+    In the place of a pattern, a name from which nothing was cut is within the distance of all
+    others; names from which one letter each was cut are within two edits of each other.
     """
     placed = names.select("name", "numbers", F.inline(patterns(F.col("letters"), distance)))
     placed = materialize(placed, "patterns")
