@@ -193,21 +193,46 @@ def _encoder(ranks, pattern: str, names: list[str]) -> Callable:
     return encode_texts
 
 
+def _inputs(docs: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
+    """The columns ``keys`` and text of ``docs``, in small batches, and the schema of the keys."""
+    inputs = docs.select(*[F.col(f"`{k}`") for k in keys], F.col("text").cast("string").alias("text"))
+    plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.schema if f.name != "text")
+    return in_small_batches(inputs), plain
+
+
 def encode(docs: DataFrame, path: str, pattern: str, keys: list[str]) -> DataFrame:
     """The columns ``keys`` of ``docs`` and ids: the ids of the whole text as little-endian 32-bit integers.
 
     NULL and empty texts have no ids. Special tokens are ordinary text. Every row gives one row;
     an empty table gives none. Other columns than ``keys`` and text are ignored.
     """
-    inputs = docs.select(*[F.col(f"`{k}`") for k in keys], F.col("text").cast("string").alias("text"))
+    inputs, plain = _inputs(docs, keys)
     shipped = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
-    plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.schema if f.name != "text")
-    return in_small_batches(inputs).mapInArrow(_encoder(shipped, pattern, keys), f"{plain}, ids binary")
+    return inputs.mapInArrow(_encoder(shipped, pattern, keys), f"{plain}, ids binary")
+
+
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, keys: list[str]) -> DataFrame:
+    """What :func:`decode` makes of what :func:`encode` returns, in one Python worker per task.
+
+    Two operators in a row would keep two workers, each with its copy of the ranks.
+    """
+    inputs, plain = _inputs(docs, keys)
+    shipped = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    encoder, decoder = _encoder(shipped, pattern, keys), _decoder(shipped)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return decoder(encoder(batches))
+
+    return inputs.mapInArrow(both, f"{plain}, ids binary, bytes binary")
+
+
+def _pieces(ranks: dict[bytes, int]) -> dict[int, bytes]:
+    return {rank: token for token, rank in ranks.items()}
 
 
-def _decoder(pieces) -> Callable:
+def _decoder(ranks) -> Callable:
     def decode_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = pieces.value.__getitem__
+        piece = _pieces(ranks.value).__getitem__
         for batch in batches:
             texts = [b"".join(map(piece, np.frombuffer(ids or b"", IDS).tolist())) for ids in batch["ids"].to_pylist()]
             names = [*batch.schema.names, "bytes"]
@@ -218,8 +243,7 @@ def _decoder(pieces) -> Callable:
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` (with ids) and bytes: the concatenated byte strings of the ids."""
-    pieces = {rank: token for token, rank in read_ranks(path).items()}
-    shipped = encoded.sparkSession.sparkContext.broadcast(pieces)
+    shipped = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(_decoder(shipped), f"{fields}, bytes binary")
 
@@ -229,7 +253,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False)
 
     ``with_ids`` adds the ids themselves as token_ids, little-endian 32-bit integers.
     """
-    coded = decode(encode(docs, path, pattern, ["doc_id"]), path)
+    coded = encode_and_decode(docs, path, pattern, ["doc_id"])
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -310,3 +310,11 @@ def test_retrieval_probability():
 
 def test_licenses_on_awkward_rows(spark):
     assert licenses.scan(docs(spark, awkward(), CLASH)).count() == 0
+
+
+def test_round_trip_takes_one_python_worker_a_task(spark):
+    table = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id int, text string")
+    found = bpe.round_trip(table, RANKS, public_tokenizers.PATTERN, with_ids=True)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    apart = bpe.decode(bpe.encode(table, RANKS, public_tokenizers.PATTERN, ["doc_id"]), RANKS)
+    assert {r.doc_id: bytes(r.ids) for r in apart.collect()} == {r.doc_id: bytes(r.token_ids) for r in found.collect()}
