@@ -39,7 +39,7 @@ MOVED = "customer_id BIGINT, kind STRING, transaction_id BIGINT, payment_id BIGI
 # when open charges have been reported)
 STATE = "charges BINARY, payments BINARY, lines BINARY"
 # fixed for the life of a checkpoint; a bucket's state is read and written whole
-BUCKETS = 4096
+BUCKETS = 512
 DAY = 86_400_000_000
 
 Queue = np.ndarray

@@ -123,7 +123,7 @@ def test_forecast_beats_a_flat_mean_on_seasonal_demand(spark):
 
 def test_weeks_without_sales_are_no_rows(spark):
     """Products of any number meet their weeks without a row per product and week."""
-    sales = [(date(2024, 1, 1) + timedelta(days=7 * k), k % 3 + 1, 5) for k in range(30)]
+    sales = [(date(2024, 1, 1) + timedelta(days=7 * k), {k % 3 + 1: 5}) for k in range(30)]
     plan = forecast.demand_forecast(shop_of(spark, sales))._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate explode" not in plan
     assert "MapInArrow" in plan

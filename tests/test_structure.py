@@ -204,3 +204,64 @@ def test_clusters(spark):
         key=repr,
     )
     assert rows(names.clusters(df.limit(0), "name")) == []
+
+
+def test_discovery_tests_on_all_rows_only_what_samples_leave_open(spark, monkeypatch):
+    """Rows counted over the whole table: sets that hold, not sets that a few classes refute."""
+    from ledgerline.operators import dependencies
+
+    counted, count = [], dependencies._counted
+
+    def counting(codes, tests):
+        counted.extend(tests)
+        return count(codes, tests)
+
+    monkeypatch.setattr(dependencies, "_counted", counting)
+    random.seed(9)
+    table = [(n, n % 97, n % 97 // 10, random.randrange(60), random.randrange(60)) for n in range(4000)]
+    df = spark.createDataFrame(table, "id long, town int, area int, x int, y int")
+    found = discover(df, max_left=2, sample_rows=1)
+    expected, keys = plain_dependencies(table, ["id", "town", "area", "x", "y"], 2)
+    assert {(d.left, d.right, d.n_values) for d in found.dependencies} == expected
+    assert set(found.keys) == keys
+    assert {left for left, _ in counted} == {(0,), (1,)}
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_sets_with_a_common_column_share_a_shuffle(spark, monkeypatch, hot):
+    from ledgerline.operators import dependencies
+
+    dealt, deal = [], dependencies._Rows.dealt
+
+    def dealing(self, columns, keys):
+        dealt.append(tuple(keys))
+        return deal(self, columns, keys)
+
+    monkeypatch.setattr(dependencies._Rows, "dealt", dealing)
+    if hot:
+        monkeypatch.setattr(dependencies._Rows, "_even", lambda self, column: False)
+    random.seed(3)
+    table = [(k // 2, (k // 2) % 30, *[random.randrange(40) for _ in range(5)]) for k in range(600)]
+    df = spark.createDataFrame(table, "id long, town int, u int, v int, x int, y int, z int")
+    found = discover(df, max_left=3)
+    expected, keys = plain_dependencies(table, df.columns, 3)
+    assert {(d.left, d.right, d.n_values) for d in found.dependencies} == expected
+    assert set(found.keys) == keys
+    assert bool(dealt) != hot
+
+
+def test_names_with_rare_numbers_take_no_patterns(spark, monkeypatch):
+    kept, stored = {}, names.materialize
+
+    def storing(df, label):
+        out = stored(df, label)
+        kept[label] = out.count()
+        return out
+
+    monkeypatch.setattr(names, "materialize", storing)
+    typed = [f"Customer {k}" for k in range(200)] + [f"Custmer {k}" for k in range(100)] + ["milk", "mlk", "mik"] * 2
+    df = spark.createDataFrame([(t,) for t in typed], "name string")
+    found = {r.name: (r.cluster, r.n_names) for r in names.clusters(df, "name").collect()}
+    assert found["Custmer 7"] == ("Custmer 7", 2) and found["Customer 107"] == ("Customer 107", 1)
+    assert found["mik"] == ("mik", 3)
+    assert kept["patterns"] == 0
