@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.rows import in_small_batches
+from ledgerline.llm.rows import giving_back, in_small_batches
 
 # a task remembers the ids of at most so many words, then forgets them all
 MOST_KNOWN = 1 << 18
@@ -190,7 +190,7 @@ def _encoder(ranks, pattern: str, names: list[str]) -> Callable:
             columns = [batch[n] for n in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary())], names=[*names, "ids"])
 
-    return encode_texts
+    return giving_back(encode_texts)
 
 
 def _inputs(docs: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
@@ -238,7 +238,7 @@ def _decoder(ranks) -> Callable:
             names = [*batch.schema.names, "bytes"]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=names)
 
-    return decode_ids
+    return giving_back(decode_ids)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

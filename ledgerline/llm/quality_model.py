@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import words as W
-from ledgerline.llm.rows import CHECK, KEY, in_small_batches, keep_rows, row_key
+from ledgerline.llm.rows import CHECK, KEY, giving_back, in_small_batches, keep_rows, row_key
 from ledgerline.session import materialize
 
 BUCKET_BITS = 17
@@ -73,22 +73,25 @@ def _windows(bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return first, np.maximum(first, bounds[1:] - size + 1)
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, float]:
-    """Train on the features of every text; the log-odds contribution of every bucket, and the bias."""
+def count_buckets(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of a text's features, and their counts in the narrowest type that holds them."""
+    rows, counts = np.unique(text, return_counts=True)
+    return rows, counts.astype(np.min_scalar_type(counts.max(initial=0)))
+
+
+def fit(counted: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """Train on the counted buckets of every text; the log-odds contribution of every bucket, and the bias."""
     random = np.random.Generator(np.random.PCG64(1))
     vectors = random.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
     layer = np.zeros((DIMENSIONS, 2))
     bias = np.zeros(2)
-    counted = []
-    for text in texts:
-        rows, counts = np.unique(text, return_counts=True)
-        counted.append((rows, (counts / max(1, counts.sum()))[:, None]))
-    steps, step = EPOCHS * len(texts), 0
+    steps, step = EPOCHS * len(counted), 0
     for _ in range(EPOCHS):
-        for k in random.permutation(len(texts)):
+        for k in random.permutation(len(counted)):
             rate = RATE * (1 - step / steps)
             step += 1
-            rows, shares = counted[k]
+            rows, counts = counted[k]
+            shares = (counts.astype(np.float64) / max(1, int(counts.sum())))[:, None]
             mean = (vectors[rows] * shares).sum(0)
             scores = mean @ layer + bias
             odds = np.exp(scores - scores.max())
@@ -101,20 +104,21 @@ def fit(texts: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, float]
     return (vectors @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(bias[1] - bias[0])
 
 
+@giving_back
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    texts, labels, ids = [], [], []
+    counted, labels, ids = [], [], []
     for batch in batches:
         ids += batch["doc_id"].to_pylist()
         labels += batch["label"].to_pylist()
         for piece in W.pieces(batch["text"]):
             kinds = list(features(piece))
-            texts += [
-                np.concatenate([buckets[first[k] : last[k]] for buckets, first, last in kinds])
+            counted += [
+                count_buckets(np.concatenate([buckets[first[k] : last[k]] for buckets, first, last in kinds]))
                 for k in range(len(piece))
             ]
     # tasks may read rows in any order; an id occurs once
     order = sorted(range(len(ids)), key=lambda k: ids[k])
-    table, bias = fit([texts[k] for k in order], np.array([labels[k] for k in order], int))
+    table, bias = fit([counted[k] for k in order], np.array([labels[k] for k in order], int))
     yield pa.RecordBatch.from_arrays(
         [pa.array([table.tobytes()], pa.binary()), pa.array([bias])], names=["weights", "bias"]
     )
